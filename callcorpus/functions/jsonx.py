@@ -25,12 +25,6 @@ from .text import col_of
 # One token of JSON-ish text: a (possibly unterminated) string, a backslash escape,
 # a bracket, or a run of anything else. DOTALL so an escaped newline stays an escape.
 _TOKEN_RE = r'(?s)"(?:[^"\\]|\\.)*+"?|\\.?|[{}\[\]]|[^"{}\[\]\\]++'
-_JSON_WS_RUN = r"^[ \t\n\r]*"
-_SCALAR_RE = (
-    r'^(?:-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?'
-    r'|true|false|null'
-    r'|"(?:[^"\\\x00-\x1F]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*")[ \t\n\r]*$'
-)
 
 
 def _scan_end(text: Column, opens: tuple[str, ...], closes: tuple[str, ...]) -> Column:
@@ -56,21 +50,26 @@ def _scan_end(text: Column, opens: tuple[str, ...], closes: tuple[str, ...]) ->
 def json_loads_ok(c: Column | str) -> Column:
     """True when ``json.loads(c)`` would succeed; NULL input gives NULL.
 
-    ``try_parse_json`` ignores trailing text, so containers are cut at their closing
-    bracket first and the remainder must be JSON whitespace.
+    ``try_parse_json`` stops after the first value and ignores what follows. The text
+    is therefore parsed twice, once as the only element of an array and once as the
+    value of an object field. Trailing text survives the array wrapper only when it
+    starts with ``,`` (more elements) or ``]``, and the object wrapper only when it
+    starts with ``,`` + a key + ``:`` or ``}``. A key followed by ``:`` is invalid in an
+    array, so no trailing text passes both -- an exact check with two native parses
+    and no scan.
     """
     x = col_of(c)
-    y = F.regexp_replace(x, _JSON_WS_RUN, "")
-    end = _scan_end(y, ("{", "["), ("}", "]"))
-    container_ok = (
-        end.isNotNull()
-        & F.try_parse_json(F.substring(y, 1, end)).isNotNull()
-        & F.substring(y, end + 1, 1 << 30).rlike(r"^[ \t\n\r]*$")
-    )
-    is_container = y.startswith("{") | y.startswith("[")
-    return F.when(x.isNull(), F.lit(None).cast("boolean")).when(
-        is_container, F.coalesce(container_ok, F.lit(False))
-    ).otherwise(y.rlike(_SCALAR_RE))
+    as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
+    return F.when(x.isNull(), F.lit(None).cast("boolean")).otherwise(as_elem.isNotNull() & as_field.isNotNull())
+
+
+def parsed(c: Column | str) -> Column:
+    """VARIANT of ``c`` when ``json.loads(c)`` succeeds, else NULL (one parse reused)."""
+    x = col_of(c)
+    as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
+    return F.when(as_elem.isNotNull(), F.try_variant_get(as_field, "$.v", "variant"))
 
 
 def json_text(c: Column | str) -> Column:

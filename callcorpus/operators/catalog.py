@@ -58,11 +58,12 @@ def _is_obj(v: Column) -> Column:
     return F.coalesce(_kind(v).startswith("OBJECT"), F.lit(False))
 
 
-def py_str(v: Column) -> Column:
+def py_str(v: Column, kind: Column | None = None) -> Column:
     """Python ``str()`` of a JSON value held as VARIANT (NULL when absent)."""
-    k = _kind(v)
+    k = _kind(v) if kind is None else kind
     return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
+        F.when(k == "STRING", F.variant_get(v, "$", "string"))
+        .when(v.isNull(), F.lit(None).cast("string"))
         .when(k == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), F.lit("True")).otherwise(F.lit("False")))
         .when(k == "VOID", F.lit("None"))
         .when(k.startswith("OBJECT") | k.startswith("ARRAY"), J.python_spacing(F.to_json(v)))
@@ -70,64 +71,83 @@ def py_str(v: Column) -> Column:
     )
 
 
-def _tool_line(v: Column, t: Column, strict: bool, single: bool, flat: bool = False) -> Column:
-    """struct(line, ok) for one tool: VARIANT ``v`` and its source text ``t``."""
-    name = F.try_variant_get(v, "$.name", "variant")
-    desc = F.try_variant_get(v, "$.description", "variant")
+def _tool_fields(v: Column, t: Column, flat: bool) -> Column:
+    """Stage 1: every per-tool value computed once (lambdas get no common-subexpression
+    elimination, so the second stage reads these fields instead of recomputing)."""
     params = F.try_variant_get(v, "$.parameters", "variant")
-    props = F.try_variant_get(params, "$.properties", "variant")
-    req = F.try_variant_get(params, "$.required", "variant")
+    props = F.try_variant_get(v, "$.parameters.properties", "variant")
+    req = F.try_variant_get(v, "$.parameters.required", "variant")
+    pk = _kind(params)
     keys_path = "$.parameters.properties"
     if flat:
         # opt-in: a ``parameters`` map without ``properties`` lists the parameters itself
-        use_flat = props.isNull() & _is_obj(params)
+        use_flat = props.isNull() & F.coalesce(pk.startswith("OBJECT"), F.lit(False))
         props = F.when(use_flat, params).otherwise(props)
-        keys = F.coalesce(
-            F.when(use_flat, F.json_object_keys(F.get_json_object(t, "$.parameters"))).otherwise(
-                F.json_object_keys(F.get_json_object(t, keys_path))
-            ),
-            F.array().cast("array<string>"),
+        keys = F.when(use_flat, F.json_object_keys(F.get_json_object(t, "$.parameters"))).otherwise(
+            F.json_object_keys(F.get_json_object(t, keys_path))
         )
     else:
-        keys = F.coalesce(F.json_object_keys(F.get_json_object(t, keys_path)), F.array().cast("array<string>"))
-    props_map = F.try_cast(props, "map<string,variant>") if hasattr(F, "try_cast") else props.cast("map<string,variant>")
-    rk = _kind(req)
-    req_arr = F.when(rk.startswith("ARRAY"), req.cast("array<variant>"))
-    req_str = F.when(rk == "STRING", F.variant_get(req, "$", "string"))
-    req_map = F.when(rk.startswith("OBJECT"), req.cast("map<string,variant>"))
+        keys = F.json_object_keys(F.get_json_object(t, keys_path))
+    name = F.try_variant_get(v, "$.name", "variant")
+    desc = F.try_variant_get(v, "$.description", "variant")
+    return F.struct(
+        _kind(v).alias("vk"),
+        name.isNotNull().alias("has_name"),
+        desc.isNotNull().alias("has_desc"),
+        py_str(name).alias("name"),
+        py_str(desc).alias("desc"),
+        params.isNull().alias("no_params"),
+        pk.alias("pk"),
+        props.isNull().alias("no_props"),
+        _kind(props).alias("ppk"),
+        F.coalesce(keys, F.array().cast("array<string>")).alias("keys"),
+        props.try_cast("map<string,variant>").alias("pmap"),
+        req.isNull().alias("no_req"),
+        _kind(req).alias("rk"),
+        req.try_cast("array<variant>").alias("rarr"),
+        F.when(_kind(req) == "STRING", F.variant_get(req, "$", "string")).alias("rstr"),
+        req.try_cast("map<string,variant>").alias("rmap"),
+    )
+
+
+def _tool_line(f: Column, strict: bool, single: bool) -> Column:
+    """Stage 2: struct(line, ok) from the stage-1 fields of one tool."""
+    rk = f["rk"]
 
     def is_required(k: Column) -> Column:
-        in_arr = F.exists(req_arr, lambda x: (_kind(x) == "STRING") & (F.variant_get(x, "$", "string") == k))
+        in_arr = F.exists(f["rarr"], lambda x: F.try_variant_get(x, "$", "string") == k)
         return (
-            F.when(req.isNull(), F.lit(False))
+            F.when(f["no_req"], F.lit(False))
             .when(rk.startswith("ARRAY"), in_arr)
-            .when(rk == "STRING", F.instr(req_str, k) > 0)
-            .when(rk.startswith("OBJECT"), F.map_contains_key(req_map, k))
+            .when(rk == "STRING", F.instr(f["rstr"], k) > 0)
+            .when(rk.startswith("OBJECT"), F.map_contains_key(f["rmap"], k))
             .otherwise(F.lit(False))
         )
 
     def param(k: Column) -> Column:
-        info = F.element_at(props_map, k)
+        info = F.element_at(f["pmap"], k)
+        ik = _kind(info)
         typ = F.coalesce(py_str(F.try_variant_get(info, "$.type", "variant")), F.lit("string"))
         text = F.concat(k, F.when(is_required(k), F.lit("")).otherwise(F.lit("?")), F.lit(": "), typ)
-        return F.struct(text.alias("text"), _is_obj(info).alias("ok"))
-
-    ps = F.transform(keys, param)
-    params_ok = params.isNull() | _is_obj(params)
-    props_ok = props.isNull() | _is_obj(props)
-    req_ok = (F.size(keys) == 0) | req.isNull() | rk.startswith("ARRAY") | (rk == "STRING") | rk.startswith("OBJECT")
-    ok = _is_obj(v) & params_ok & props_ok & F.forall(ps, lambda p: p["ok"]) & req_ok
+        return F.struct(text.alias("text"), F.coalesce(ik.startswith("OBJECT"), F.lit(False)).alias("ok"))
+
+    ps = F.transform(f["keys"], param)
+    is_obj = F.coalesce(f["vk"].startswith("OBJECT"), F.lit(False))
+    params_ok = f["no_params"] | F.coalesce(f["pk"].startswith("OBJECT"), F.lit(False))
+    props_ok = f["no_props"] | F.coalesce(f["ppk"].startswith("OBJECT"), F.lit(False))
+    req_ok = (F.size(f["keys"]) == 0) | f["no_req"] | rk.startswith("ARRAY") | (rk == "STRING") | rk.startswith("OBJECT")
+    ok = is_obj & params_ok & props_ok & F.forall(ps, lambda p: p["ok"]) & F.coalesce(req_ok, F.lit(False))
     if strict:
-        ok = ok & name.isNotNull() & desc.isNotNull() & params.isNotNull()
+        ok = ok & f["has_name"] & f["has_desc"] & ~f["no_params"]
     if single:
-        ok = ok & props.isNotNull()
+        ok = ok & ~f["no_props"]
     line = F.concat(
         F.lit("- "),
-        F.coalesce(py_str(name), F.lit("")),
+        F.coalesce(f["name"], F.lit("")),
         F.lit("("),
         F.array_join(F.transform(ps, lambda p: p["text"]), ", "),
         F.lit(")\n  "),
-        F.coalesce(py_str(desc), F.lit("")),
+        F.coalesce(f["desc"], F.lit("")),
         F.lit("" if single else "\n"),
     )
     return F.struct(line.alias("line"), ok.alias("ok"))
@@ -136,13 +156,13 @@ def _tool_line(v: Column, t: Column, strict: bool, single: bool, flat: bool = Fa
 def render_tools(tools: Column | str, strict: bool = False, single: bool = False, flat: bool = False) -> Column:
     """F1 / F1b / F1c over a JSON text column holding the tool list."""
     t = col_of(tools)
-    valid = J.json_loads_ok(t)
-    tv = F.try_parse_json(t)
+    tv = J.parsed(t)  # VARIANT when json.loads would succeed
+    valid = tv.isNotNull()
     kind = _kind(tv)
-    falsy = ~J.is_truthy_json(t)
     elems_v = F.when(kind.startswith("ARRAY"), tv.cast("array<variant>"))
     elems_t = F.from_json(t, "array<string>")
-    lines = F.transform(elems_v, lambda v, i: _tool_line(v, F.element_at(elems_t, i + 1), strict, single, flat))
+    fields = F.transform(elems_v, lambda v, i: _tool_fields(v, F.element_at(elems_t, i + 1), flat))
+    lines = F.transform(fields, lambda f: _tool_line(f, strict, single))
     body = F.array_join(F.transform(lines, lambda x: x["line"]), "\n" if single else "")
     all_ok = F.forall(lines, lambda x: x["ok"])
     header = "" if single else TOOLS_HEADER
@@ -151,7 +171,9 @@ def render_tools(tools: Column | str, strict: bool = False, single: bool = False
         text = F.concat(F.lit(header), F.coalesce(body, F.lit("")))
         malformed = ~F.coalesce(valid & kind.startswith("ARRAY") & all_ok, F.lit(False))
         return F.struct(text.alias("text"), malformed.alias("malformed"))
-    unparsed_or_empty = ~F.coalesce(valid, F.lit(False)) | t.isNull() | falsy
+    canon = F.to_json(tv)
+    falsy = canon.isin("{}", "[]", '""', "0", "0.0", "false", "null")
+    unparsed_or_empty = ~valid | falsy
     text = F.when(unparsed_or_empty, F.lit("")).otherwise(F.concat(F.lit(header), body))
     malformed = F.when(unparsed_or_empty, F.lit(False)).otherwise(~F.coalesce(kind.startswith("ARRAY") & all_ok, F.lit(False)))
     return F.struct(text.alias("text"), malformed.alias("malformed"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.readers import read_table
+
 # The model names the scoring queries evaluate (a registry, not data).
 MODEL_NAMES = ["model_0", "model_1", "model_2", "model_3"]
 # Number of planted output kinds in derived predictions.
@@ -17,7 +19,7 @@ N_PRED_KINDS = 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _k(props: Column) -> Column:

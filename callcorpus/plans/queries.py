@@ -242,3 +242,51 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         SG.last_assistant_segment("text").alias("last_assistant"),
         SG.first_user_segment("text").alias("first_user"),
     )
+
+
+# ---------------------------------------------------------------------------
+# splits: T1 T2 L1 C6 (documents)
+# ---------------------------------------------------------------------------
+
+from ..operators import split as SP  # noqa: E402
+
+_ORACLE_HASH_SPLIT = """
+WITH r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn,
+         COUNT(*) OVER () AS n
+  FROM documents)
+SELECT doc_id, CASE WHEN rn <= ceil(n * 0.05) THEN 'val' ELSE 'train' END AS split FROM r
+"""
+
+
+@register("hash_split", _ORACLE_HASH_SPLIT)
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = D.table(spark, sf_dir, "documents").select("doc_id")
+    return SP.hash_split(docs, "doc_id", 0.05, 42).select("doc_id", "split")
+
+
+@register(
+    "split_counts",
+    f"SELECT split, COUNT(*)::BIGINT AS n FROM ({_ORACLE_HASH_SPLIT}) GROUP BY split",
+)
+def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SP.split_counts(hash_split(spark, sf_dir))
+
+
+@register(
+    "ordered_split",
+    """
+SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(COUNT(*) OVER () * 0.95) THEN 'train' ELSE 'val' END AS split
+FROM documents
+""",
+)
+def ordered_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = D.table(spark, sf_dir, "documents").select("doc_id")
+    return SP.ordered_split(docs, ["doc_id"], 0.95).select("doc_id", "split")
+
+
+@register("head_n", "SELECT doc_id, n_chars, lang FROM documents ORDER BY doc_id LIMIT 100")
+def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # L1 max_samples=100: the limit is the operator itself (first-N sampling)
+    docs = D.table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
+    return SP.head(docs, ["doc_id"], 100)
