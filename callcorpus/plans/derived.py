@@ -8,7 +8,7 @@ deterministic projection (no randomness), so the DuckDB oracle can rebuild it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources.readers import read_table
 
@@ -146,3 +146,84 @@ def glaive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     chat = F.concat(F.array_join(F.transform("_l", lambda x: x["line"]), "\n"), F.lit("\n<|endoftext|>"))
     return agg.select("conv_id", "system", chat.alias("chat"))
+
+
+# ---------------------------------------------------------------------------
+# teacher replies from events; a tool catalog from event types
+# ---------------------------------------------------------------------------
+
+# Items per teacher batch.
+PER_BATCH = 10
+
+
+def event_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tool catalog ``(ord, tool_json)``: one tool per event type, ordered by name."""
+    ev = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    tool = F.concat(
+        F.lit('{"name": "'), et, F.lit('", "description": "Record one '), et,
+        F.lit(' event", "parameters": {"type": "object", "properties": {"k": {"type": "integer", '
+              '"description": "payload key", "maximum": 100}, "value": {"type": "number"}}, "required": ["k"]}}'),
+    )
+    # the distinct event types are the catalog: a handful of rows after a partial
+    # aggregate; the catalog renderer checks its size before it is used
+    types = ev.select(et).distinct()
+    return types.select(F.dense_rank().over(Window.orderBy(et)).alias("ord"), tool.alias("tool_json"), et.alias("name"))
+
+
+def teacher_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(batch_id, content)``: batches of 10 events (event_id div 10, so a batch can
+    never hold more than 10 rows), wrapped by batch_id % 5 in the reply shapes a
+    teacher produces; batch_id % 11 == 10 is truncated (invalid JSON); items of
+    event_id % 7 == 3 lack ``tool``."""
+    ev = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    q = F.concat(F.lit('"query": "Please log this '), et, F.lit(" for user "), F.col("user_id").cast("string"), F.lit('"'))
+    item = F.when(
+        F.col("event_id") % 7 == 3, F.concat(F.lit("{"), q, F.lit(', "arguments": '), F.col("props"), F.lit("}"))
+    ).otherwise(F.concat(F.lit("{"), q, F.lit(', "tool": "'), et, F.lit('", "arguments": '), F.col("props"), F.lit("}")))
+    batches = (
+        ev.select((F.col("event_id") / PER_BATCH).cast("long").alias("batch_id"), "event_id", item.alias("item"))
+        .groupBy("batch_id")
+        .agg(F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("_items"))
+    )
+    arr = F.concat(F.lit("["), F.array_join(F.transform("_items", lambda x: x["item"]), ", "), F.lit("]"))
+    b = F.col("batch_id") % 5
+    wrapped = (
+        F.when(b == 0, F.col("_a"))
+        .when(b == 1, F.concat(F.lit("```json\n"), F.col("_a"), F.lit("\n```")))
+        .when(b == 2, F.concat(F.lit('{"examples": '), F.col("_a"), F.lit("}")))
+        .when(b == 3, F.concat(F.lit('```\n{"data": '), F.col("_a"), F.lit("}\n```")))
+        .otherwise(F.lit('{"other": 1}'))
+    )
+    truncated = F.expr("substring(_w, 1, length(_w) - 1)")
+    return (
+        batches.select("batch_id", arr.alias("_a"))
+        .select("batch_id", wrapped.alias("_w"))
+        .select("batch_id", F.when(F.col("batch_id") % 11 == 10, truncated).otherwise(F.col("_w")).alias("content"))
+    )
+
+
+# Number of planted call kinds for validation.
+N_CALL_KINDS = 9
+
+
+def planted_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(call_id, call_json)``: one call per event; kind = event_id % 9 plants one
+    violation class each (0 = valid)."""
+    ev = table(spark, sf_dir, "events")
+    et, k = F.col("event_type"), _k(F.col("props"))
+    kind = F.col("event_id") % N_CALL_KINDS
+    fn = F.concat(F.lit('{"function": "'), et, F.lit('"'))
+    call = (
+        F.when(kind == 1, F.lit('["x"]'))
+        .when(kind == 2, F.concat(F.lit('{"arguments": {"k": '), k, F.lit("}}")))
+        .when(kind == 3, F.concat(fn, F.lit("}")))
+        .when(kind == 4, F.concat(F.lit('{"function": "'), et, F.lit('_x", "arguments": {"k": '), k, F.lit("}}")))
+        .when(kind == 5, F.concat(fn, F.lit(', "arguments": {"value": 1.5}}')))
+        .when(kind == 6, F.concat(fn, F.lit(', "arguments": {"k": '), k, F.lit(', "colour": "red"}}')))
+        .when(kind == 7, F.concat(fn, F.lit(', "arguments": {"k": "'), k, F.lit('"}}')))
+        .when(kind == 8, F.concat(fn, F.lit(', "arguments": {"k": '), (k.cast("int") + 101).cast("string"), F.lit("}}")))
+        .otherwise(F.concat(fn, F.lit(', "arguments": {"k": '), k, F.lit("}}")))
+    )
+    return ev.select(F.col("event_id").alias("call_id"), call.alias("call_json"))

@@ -290,3 +290,91 @@ def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     # L1 max_samples=100: the limit is the operator itself (first-N sampling)
     docs = D.table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang")
     return SP.head(docs, ["doc_id"], 100)
+
+
+# ---------------------------------------------------------------------------
+# teacher replies: J3 J4 J5 F5 F1b C8 U1
+# ---------------------------------------------------------------------------
+
+from ..operators import catalog as CT  # noqa: E402
+from ..operators import teacher as TC  # noqa: E402
+
+_ORACLE_TEACHER = f"""
+WITH cat AS (
+  SELECT string_agg('- ' || et || '(k: integer, value?: number)' || {_NL} || '  Record one ' || et || ' event' || {_NL}, '' ORDER BY et) AS tt
+  FROM (SELECT DISTINCT event_type AS et FROM events)),
+e AS (
+  SELECT event_id // 10 AS batch_id, (row_number() OVER (PARTITION BY event_id // 10 ORDER BY event_id) - 1)::BIGINT AS item_pos,
+         event_id, event_type AS et, props, CAST(user_id AS VARCHAR) AS uid
+  FROM events),
+ok AS (
+  SELECT e.*, cat.tt FROM e, cat
+  WHERE batch_id % 5 <> 4 AND batch_id % 11 <> 10 AND event_id % 7 <> 3)
+"""
+
+
+def _event_tools_text(spark: SparkSession, sf_dir: str) -> str:
+    return CT.catalog_text(D.event_tools(spark, sf_dir).select("ord", "tool_json"), strict=True)
+
+
+@register(
+    "teacher_unpack",
+    _ORACLE_TEACHER
+    + f"""
+SELECT batch_id, item_pos,
+  '<|im_start|>system' || {_NL} || 'You are a helpful assistant with access to functions. Use them when appropriate.'
+  || {_NL} || {_NL} || 'Available functions:' || {_NL} || tt || {_NL} || {_NL}
+  || 'Output format: {{"function": "function_name", "arguments": {{...}}}}' || '<|im_end|>' || {_NL}
+  || '<|im_start|>user' || {_NL} || 'Please log this ' || et || ' for user ' || uid || '<|im_end|>' || {_NL}
+  || '<|im_start|>assistant' || {_NL} || '{{"function": "' || et || '", "arguments": ' || props || '}}' || '<|im_end|>' AS text
+FROM ok
+""",
+)
+def teacher_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools_text = _event_tools_text(spark, sf_dir)
+    items = TC.unpack(D.teacher_replies(spark, sf_dir), tools_text)
+    return items.filter("item_ok").select("batch_id", "item_pos", "text")
+
+
+@register(
+    "teacher_yield",
+    _ORACLE_TEACHER
+    + """
+, b AS (SELECT DISTINCT batch_id FROM e)
+SELECT b.batch_id,
+  CASE WHEN b.batch_id % 11 = 10 THEN 'invalid_json' WHEN b.batch_id % 5 = 4 THEN 'unexpected_format' ELSE 'ok' END AS status,
+  10::BIGINT AS requested,
+  (SELECT COUNT(*) FROM ok WHERE ok.batch_id = b.batch_id)::BIGINT AS obtained
+FROM b
+""",
+)
+def teacher_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools_text = _event_tools_text(spark, sf_dir)
+    return TC.batch_yield(D.teacher_replies(spark, sf_dir), tools_text, D.PER_BATCH)
+
+
+# ---------------------------------------------------------------------------
+# validation: R1 (with the S5 catalog normalisation)
+# ---------------------------------------------------------------------------
+
+from ..operators import validate as VL  # noqa: E402
+
+
+@register(
+    "validate_calls",
+    """
+WITH c AS (SELECT event_id AS call_id, event_id % 9 AS kind FROM events)
+SELECT call_id, 'not_object' AS violation, NULL::VARCHAR AS param FROM c WHERE kind = 1
+UNION ALL SELECT call_id, 'missing_function', NULL FROM c WHERE kind = 2
+UNION ALL SELECT call_id, 'missing_arguments', NULL FROM c WHERE kind = 3
+UNION ALL SELECT call_id, 'missing_required', 'k' FROM c WHERE kind IN (3, 5)
+UNION ALL SELECT call_id, 'unknown_function', NULL FROM c WHERE kind = 4
+UNION ALL SELECT call_id, 'unknown_param', 'colour' FROM c WHERE kind = 6
+UNION ALL SELECT call_id, 'wrong_type', 'k' FROM c WHERE kind = 7
+UNION ALL SELECT call_id, 'over_maximum', 'k' FROM c WHERE kind = 8
+""",
+)
+def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools = D.event_tools(spark, sf_dir).select(F.lit("events").alias("device"), "ord", "name", F.lit(None).cast("string").alias("description"), "tool_json")
+    params = CT.catalog_params(tools)
+    return VL.validate_calls(D.planted_calls(spark, sf_dir), params).select("call_id", "violation", "param")
