@@ -378,3 +378,190 @@ def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     tools = D.event_tools(spark, sf_dir).select(F.lit("events").alias("device"), "ord", "name", F.lit(None).cast("string").alias("description"), "tool_json")
     params = CT.catalog_params(tools)
     return VL.validate_calls(D.planted_calls(spark, sf_dir), params).select("call_id", "violation", "param")
+
+
+# ---------------------------------------------------------------------------
+# table tools: R2 R3 R4 R5 R6 R7 R8 R11
+# ---------------------------------------------------------------------------
+
+from ..functions.text import PY_WHITESPACE as _WS, py_word_count  # noqa: E402
+from ..operators import tables as TB  # noqa: E402
+
+_RE2_WS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _WS) + "]"
+
+
+@register(
+    "paged_filter",
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+WHERE o_orderstatus IN ('O', 'F')
+  AND o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate <= TIMESTAMP '1998-12-31 23:59:59'
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 20 OFFSET 40
+""",
+)
+def paged_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = D.table(spark, sf_dir, "orders")
+    out = TB.conversations_query(
+        orders, created_col="o_orderdate", status_col="o_orderstatus", id_col="o_orderkey",
+        start_date="1996-01-01T00:00:00+00:00", end_date="1998-12-31T23:59:59+00:00", statuses="O,F", limit=20, offset=40,
+    )
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@register(
+    "paged_filter_deep",
+    """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'F')
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 50 OFFSET 5000
+""",
+)
+def paged_filter_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deep page: the offset is past the direct top-N bound, so the global index runs
+    orders = D.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("O", "F"))
+    out = SP.page(orders, [F.col("o_orderdate").desc(), F.col("o_orderkey")], 5000, 50, direct_max=1000)
+    return out.select("o_orderkey", "o_orderstatus")
+
+
+@register(
+    "memories",
+    """
+SELECT event_id, user_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'
+ORDER BY ts DESC, event_id LIMIT 50 OFFSET 100
+""",
+)
+def memories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = D.table(spark, sf_dir, "events")
+    out = TB.memories_query(ev, "ts", "event_id", "2024-01-10T00:00:00+00:00", "2024-01-20T00:00:00+00:00", limit=50, offset=100)
+    return out.select("event_id", "user_id")
+
+
+@register(
+    "action_items",
+    """
+WITH a AS (
+  SELECT o_orderkey, o_custkey, o_orderdate AS created_at, o_orderstatus = 'F' AS completed,
+         o_orderdate + to_days(CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 7) AS due_at
+  FROM orders)
+SELECT o_orderkey, o_custkey FROM a
+WHERE NOT completed AND created_at >= TIMESTAMP '1996-01-01 00:00:00' AND created_at <= TIMESTAMP '1997-12-31 00:00:00'
+  AND due_at <= TIMESTAMP '1997-06-30 00:00:00'
+ORDER BY created_at DESC, o_orderkey LIMIT 50 OFFSET 10
+""",
+)
+def action_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = D.table(spark, sf_dir, "orders")
+    items = orders.select(
+        "o_orderkey", "o_custkey",
+        F.col("o_orderdate").alias("created_at"),
+        (F.col("o_orderstatus") == "F").alias("completed"),
+        F.col("o_custkey").cast("string").alias("conversation_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(days=F.substring("o_orderpriority", 1, 1).cast("int") * 7)).alias("due_at"),
+    )
+    out = TB.action_items_query(
+        items, "o_orderkey", "created_at", "due_at", "completed", "conversation_id", completed=False,
+        start_date="1996-01-01T00:00:00+00:00", end_date="1997-12-31T00:00:00+00:00", due_end_date="1997-06-30T00:00:00+00:00",
+        limit=50, offset=10,
+    )
+    return out.select("o_orderkey", "o_custkey")
+
+
+@register(
+    "transcripts",
+    f"""
+SELECT conv_id, COUNT(*)::BIGINT AS n_segments,
+       string_agg('[' || CAST(turn AS VARCHAR) || '] ' || role || ': ' || text, {_NL} ORDER BY turn) AS transcript
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
+WHERE rn <= 2 GROUP BY conv_id
+""",
+)
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = D.table(spark, sf_dir, "conversations")
+    return TB.transcripts(conv, "conv_id", "turn", "role", "text", max_segments=2, include_timestamps=True)
+
+
+_ORACLE_VEC = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+d AS (SELECT label, i, avg(x) AS m FROM u GROUP BY label, i),
+c AS (SELECT label AS query_id, list(m ORDER BY i) AS q FROM d GROUP BY label),
+s AS (SELECT query_id, vec_id,
+             list_dot_product(q, v) / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(v, v))) AS score
+      FROM c, e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+"""
+
+
+def _centroid_queries(spark: SparkSession, sf_dir: str):
+    emb = D.table(spark, sf_dir, "embeddings")
+    cents = TB.label_centroids(emb, "label", "embedding")
+    return emb, TB.collect_queries(cents, "label", "centroid")
+
+
+@register(
+    "vector_topk",
+    _ORACLE_VEC + "SELECT query_id::BIGINT AS query_id, rank::BIGINT AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank <= 5",
+)
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb, qs = _centroid_queries(spark, sf_dir)
+    out = TB.vector_topk(emb, qs, "vec_id", "embedding", 5)
+    return out.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", F.round("score", 6).alias("score"))
+
+
+@register(
+    "paged_search",
+    _ORACLE_VEC
+    + "SELECT query_id::BIGINT AS query_id, rank::BIGINT AS rank, vec_id, round(score, 6) AS score FROM r WHERE rank BETWEEN 11 AND 20",
+)
+def paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Page 2 of 10 results per page -> ranks 11..20
+    emb, qs = _centroid_queries(spark, sf_dir)
+    per_page, pg = 10, 2
+    out = TB.vector_topk(emb, qs, "vec_id", "embedding", pg * per_page, rank_from=(pg - 1) * per_page + 1)
+    return out.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", F.round("score", 6).alias("score"))
+
+
+@register(
+    "upsert_state",
+    """
+WITH u AS (
+  SELECT user_id, ts, event_id,
+         CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type || ' #' || CAST(event_id AS VARCHAR) END AS description,
+         CASE WHEN event_id % 4 = 0 THEN NULL ELSE value > 50 END AS completed,
+         CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS due_k
+  FROM events)
+SELECT user_id, COUNT(*)::BIGINT AS n_updates,
+       arg_max(description, (ts, event_id)) FILTER (WHERE description IS NOT NULL) AS description,
+       arg_max(completed, (ts, event_id)) FILTER (WHERE completed IS NOT NULL) AS completed,
+       arg_max(due_k, (ts, event_id)) FILTER (WHERE due_k IS NOT NULL) AS due_k
+FROM u GROUP BY user_id
+""",
+)
+def upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = D.table(spark, sf_dir, "events")
+    updates = ev.select(
+        "user_id", "ts", "event_id",
+        F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.concat("event_type", F.lit(" #"), F.col("event_id").cast("string"))).alias("description"),
+        F.when(F.col("event_id") % 4 == 0, F.lit(None)).otherwise(F.col("value") > 50).alias("completed"),
+        F.when(F.col("event_id") % 5 == 0, F.lit(None)).otherwise(F.get_json_object("props", "$.k").cast("long")).alias("due_k"),
+    )
+    return TB.upsert_state(updates, "user_id", ["ts", "event_id"], ["description", "completed", "due_k"])
+
+
+@register(
+    "length_budget",
+    f"""
+WITH t AS (
+  SELECT CASE WHEN trim(text, {_WS_LIT}) = '' THEN 0
+              ELSE len(regexp_split_to_array(trim(text, {_WS_LIT}), '{_RE2_WS}+')) END AS tokens
+  FROM documents)
+SELECT (least(tokens // 512, 8) * 512)::BIGINT AS bucket, COUNT(*)::BIGINT AS n_docs,
+       COUNT(*) FILTER (WHERE tokens > 2048)::BIGINT AS n_over_budget
+FROM t GROUP BY 1
+""",
+)
+def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import runlogs as RL
+
+    docs = D.table(spark, sf_dir, "documents")
+    return RL.length_histogram(docs, "text", bucket_width=512, n_buckets=8, budget=2048)
