@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import col_of
+from .text import col_of, let
 
 # One token of JSON-ish text: a (possibly unterminated) string, a backslash escape,
 # a bracket, or a run of anything else. DOTALL so an escaped newline stays an escape.
@@ -58,24 +58,27 @@ def json_loads_ok(c: Column | str) -> Column:
     array, so no trailing text passes both -- an exact check with two native parses
     and no scan.
     """
-    x = col_of(c)
-    as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
-    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
-    return F.when(x.isNull(), F.lit(None).cast("boolean")).otherwise(as_elem.isNotNull() & as_field.isNotNull())
+    def check(x):
+        as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
+        as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
+        return F.when(x.isNull(), F.lit(None).cast("boolean")).otherwise(as_elem.isNotNull() & as_field.isNotNull())
+
+    return let(col_of(c), check)
 
 
 def parsed(c: Column | str) -> Column:
     """VARIANT of ``c`` when ``json.loads(c)`` succeeds, else NULL (one parse reused)."""
-    x = col_of(c)
-    as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
-    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
-    return F.when(as_elem.isNotNull(), F.try_variant_get(as_field, "$.v", "variant"))
+    def parse(x):
+        as_elem = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
+        as_field = F.try_parse_json(F.concat(F.lit('{"v":'), x, F.lit("}")))
+        return F.when(as_elem.isNotNull(), F.try_variant_get(as_field, "$.v", "variant"))
+
+    return let(col_of(c), parse)
 
 
 def json_text(c: Column | str) -> Column:
     """``c`` when it is a complete JSON document (``json.loads`` succeeds), else NULL."""
-    x = col_of(c)
-    return F.when(json_loads_ok(x), x)
+    return let(col_of(c), lambda x: F.when(json_loads_ok(x), x))
 
 
 def first_object(c: Column | str) -> Column:
@@ -84,12 +87,13 @@ def first_object(c: Column | str) -> Column:
     Only the first ``{`` is tried; the brace scan treats strings atomically; the cut
     text must parse. Returns the original substring (NULL when there is none).
     """
-    out = col_of(c)
-    start = F.instr(out, "{")
-    sub = F.substring(out, start, 1 << 30)
-    end = _scan_end(sub, ("{",), ("}",))
-    obj = F.substring(sub, 1, end)
-    return F.when((start > 0) & end.isNotNull() & F.try_parse_json(obj).isNotNull(), obj)
+    def cut(sub):
+        return let(
+            _scan_end(sub, ("{",), ("}",)),
+            lambda end: let(F.substring(sub, 1, end), lambda obj: F.when(end.isNotNull() & F.try_parse_json(obj).isNotNull(), obj)),
+        )
+
+    return let(col_of(c), lambda out: F.when(F.instr(out, "{") > 0, cut(F.substring(out, F.instr(out, "{"), 1 << 30))))
 
 
 # ---------------------------------------------------------------------------
@@ -138,13 +142,13 @@ def _py_float(tok: Column) -> Column:
 
 def python_floats(c: Column | str) -> Column:
     """Rewrite Jackson's scientific float text (``1.0E-5``) the way Python prints it."""
-    x = col_of(c)
-    toks = F.regexp_extract_all(x, F.lit(_NUM_TOKEN_RE), 0)
-    fixed = F.array_join(
-        F.transform(toks, lambda t: F.when(t.rlike(_SCI_RE), _py_float(t)).otherwise(t)), ""
-    )
-    # Only numbers outside strings carry an 'E' next to a digit; cheap pre-check.
-    return F.when(x.rlike(r"[0-9]E-?[0-9]"), fixed).otherwise(x)
+    def fix(x):
+        toks = F.regexp_extract_all(x, F.lit(_NUM_TOKEN_RE), 0)
+        fixed = F.array_join(F.transform(toks, lambda t: F.when(t.rlike(_SCI_RE), _py_float(t)).otherwise(t)), "")
+        # Only numbers outside strings carry an 'E' next to a digit; cheap pre-check.
+        return F.when(x.rlike(r"[0-9]E-?[0-9]"), fixed).otherwise(x)
+
+    return let(col_of(c), fix)
 
 
 def _escape_char(ch: Column) -> Column:
@@ -163,8 +167,10 @@ def ascii_escape(c: Column | str) -> Column:
     Jackson leaves BMP characters raw and writes upper-case hex for the escapes it
     makes (control characters, astral pairs); Python writes lower-case hex for both.
     """
-    x = col_of(c)
-    toks = F.regexp_extract_all(x, F.lit(_ESC_TOKEN_RE), 0)
+    def run(x):
+        toks = F.regexp_extract_all(x, F.lit(_ESC_TOKEN_RE), 0)
+        escaped = F.array_join(F.transform(toks, fix), "")
+        return F.when(x.rlike(r"[^\x20-\x7E]|\\u"), escaped).otherwise(x)
 
     def fix(t):
         plain = F.array_join(F.transform(F.split(t, ""), _escape_char), "")
@@ -175,8 +181,7 @@ def ascii_escape(c: Column | str) -> Column:
             .otherwise(t)
         )
 
-    escaped = F.array_join(F.transform(toks, fix), "")
-    return F.when(x.rlike(r"[^\x20-\x7E]|\\u"), escaped).otherwise(x)
+    return let(col_of(c), run)
 
 
 def _variant_at(j: Column, path: str) -> Column:
@@ -191,11 +196,16 @@ def py_dumps_at(c: Column | str, path: str = "$") -> Column:
     NULL when the path is absent.
     """
     j = col_of(c)
-    g = F.get_json_object(j, path)
-    v = _variant_at(j, path)
-    kind = F.schema_of_variant(v)
-    raw = F.when(kind == "STRING", F.to_json(v)).when(kind == "VOID", F.lit("null")).otherwise(g)
-    return ascii_escape(python_floats(python_spacing(raw)))
+
+    def from_variant(v):
+        return let(
+            F.schema_of_variant(v),
+            lambda kind: F.when(kind == "STRING", F.to_json(v))
+            .when(kind == "VOID", F.lit("null"))
+            .otherwise(F.get_json_object(j, path)),
+        )
+
+    return ascii_escape(python_floats(python_spacing(let(_variant_at(j, path), from_variant))))
 
 
 def has_key(c: Column | str, parent_path: str, key: str) -> Column:
@@ -230,6 +240,4 @@ def canonical_at(c: Column | str, path: str = "$") -> Column:
 
 def is_truthy_json(c: Column | str) -> Column:
     """Python truthiness of a parsed JSON document (``{}``, ``[]``, ``""``, 0, false, null are falsy)."""
-    x = col_of(c)
-    canon = canonical_at(x)
-    return ~canon.isin("{}", "[]", '""', "0", "0.0", "false", "null") & canon.isNotNull()
+    return let(canonical_at(col_of(c)), lambda canon: ~canon.isin("{}", "[]", '""', "0", "0.0", "false", "null") & canon.isNotNull())

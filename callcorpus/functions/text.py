@@ -58,3 +58,13 @@ def clean_model_name(c: Column | str) -> Column:
 def last_path_part(c: Column | str) -> Column:
     """``name.split('/')[-1]``."""
     return F.substring_index(col_of(c), "/", -1)
+
+
+def let(expr: Column, fn) -> Column:
+    """Evaluate ``expr`` once and pass it to ``fn`` as a lambda variable.
+
+    Column helpers that test a value and then transform it would otherwise copy the
+    value's whole expression tree into every reference; nested helpers multiply the
+    copies (and the work) instead of reusing one result.
+    """
+    return F.element_at(F.transform(F.array(expr), fn), 1)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import jsonx as J
-from ..functions.text import col_of
+from ..functions.text import col_of, let
 
 # Text the reference writes around the tool list.
 TOOLS_HEADER = "\n\nAvailable functions:\n"
@@ -156,27 +156,35 @@ def _tool_line(f: Column, strict: bool, single: bool) -> Column:
 def render_tools(tools: Column | str, strict: bool = False, single: bool = False, flat: bool = False) -> Column:
     """F1 / F1b / F1c over a JSON text column holding the tool list."""
     t = col_of(tools)
-    tv = J.parsed(t)  # VARIANT when json.loads would succeed
-    valid = tv.isNotNull()
-    kind = _kind(tv)
-    elems_v = F.when(kind.startswith("ARRAY"), tv.cast("array<variant>"))
-    elems_t = F.from_json(t, "array<string>")
-    fields = F.transform(elems_v, lambda v, i: _tool_fields(v, F.element_at(elems_t, i + 1), flat))
-    lines = F.transform(fields, lambda f: _tool_line(f, strict, single))
-    body = F.array_join(F.transform(lines, lambda x: x["line"]), "\n" if single else "")
-    all_ok = F.forall(lines, lambda x: x["ok"])
     header = "" if single else TOOLS_HEADER
-    if strict or single:
-        # strict callers hold a parsed list; anything else raises
-        text = F.concat(F.lit(header), F.coalesce(body, F.lit("")))
-        malformed = ~F.coalesce(valid & kind.startswith("ARRAY") & all_ok, F.lit(False))
-        return F.struct(text.alias("text"), malformed.alias("malformed"))
-    canon = F.to_json(tv)
-    falsy = canon.isin("{}", "[]", '""', "0", "0.0", "false", "null")
-    unparsed_or_empty = ~valid | falsy
-    text = F.when(unparsed_or_empty, F.lit("")).otherwise(F.concat(F.lit(header), body))
-    malformed = F.when(unparsed_or_empty, F.lit(False)).otherwise(~F.coalesce(kind.startswith("ARRAY") & all_ok, F.lit(False)))
-    return F.struct(text.alias("text"), malformed.alias("malformed"))
+
+    def from_variant(tv):  # tv: VARIANT when json.loads would succeed
+        valid = tv.isNotNull()
+        kind = _kind(tv)
+        elems_v = F.when(kind.startswith("ARRAY"), tv.cast("array<variant>"))
+        elems_t = F.from_json(t, "array<string>")
+        fields = F.transform(elems_v, lambda v, i: _tool_fields(v, F.element_at(elems_t, i + 1), flat))
+        lines = F.transform(fields, lambda f: _tool_line(f, strict, single))
+
+        def finish(lines):
+            body = F.array_join(F.transform(lines, lambda x: x["line"]), "\n" if single else "")
+            all_ok = F.forall(lines, lambda x: x["ok"])
+            if strict or single:
+                # strict callers hold a parsed list; anything else raises
+                text = F.concat(F.lit(header), F.coalesce(body, F.lit("")))
+                malformed = ~F.coalesce(valid & kind.startswith("ARRAY") & all_ok, F.lit(False))
+                return F.struct(text.alias("text"), malformed.alias("malformed"))
+            falsy = F.to_json(tv).isin("{}", "[]", '""', "0", "0.0", "false", "null")
+            unparsed_or_empty = ~valid | falsy
+            text = F.when(unparsed_or_empty, F.lit("")).otherwise(F.concat(F.lit(header), body))
+            malformed = F.when(unparsed_or_empty, F.lit(False)).otherwise(
+                ~F.coalesce(kind.startswith("ARRAY") & all_ok, F.lit(False))
+            )
+            return F.struct(text.alias("text"), malformed.alias("malformed"))
+
+        return let(lines, finish)
+
+    return let(J.parsed(t), from_variant)
 
 
 # ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import jsonx as J
-from ..functions.text import PY_WHITESPACE, col_of, preview, py_strip
+from ..functions.text import col_of, let, preview, py_strip
 from .catalog import EARBUD_FUNCTIONS_TEXT, OUTPUT_FORMAT, SYSTEM_PREFIX, render_tools
 
 # Chat-template markers.
@@ -163,24 +163,29 @@ def glaive_text(system: Column | str, chat: Column | str) -> Column:
         role = F.when(is_user, F.lit("user")).when(is_asst, F.lit("assistant"))
         return F.struct(role.alias("role"), content.alias("content"))
 
-    kept = F.filter(F.transform(lines, classify), lambda x: x["role"].isNotNull() | (x["content"] != ""))
-    n = F.size(kept)
-    positions = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at(kept, i)["role"].isNotNull())).otherwise(
-        F.array().cast("array<int>")
-    )
-
-    def block(p, j):
-        end = F.coalesce(F.try_element_at(positions, j + 2), n + 1)
-        seg = F.slice(kept, p, end - p)
-        return F.concat(
-            F.lit(IM_START), F.element_at(kept, p)["role"], F.lit("\n"),
-            F.array_join(F.transform(seg, lambda s: s["content"]), "\n"), F.lit(IM_END),
+    def assemble(kept):
+        n = F.size(kept)
+        marks = F.when(n > 0, F.filter(F.sequence(F.lit(1), n), lambda i: F.element_at(kept, i)["role"].isNotNull())).otherwise(
+            F.array().cast("array<int>")
         )
 
-    blocks = F.transform(positions, block)
+        def blocks(positions):
+            def block(p, j):
+                end = F.coalesce(F.try_element_at(positions, j + 2), n + 1)
+                seg = F.slice(kept, p, end - p)
+                return F.concat(
+                    F.lit(IM_START), F.element_at(kept, p)["role"], F.lit("\n"),
+                    F.array_join(F.transform(seg, lambda s: s["content"]), "\n"), F.lit(IM_END),
+                )
+
+            return F.array_join(F.transform(positions, block), "\n")
+
+        return let(marks, blocks)
+
+    kept = F.filter(F.transform(lines, classify), lambda x: x["role"].isNotNull() | (x["content"] != ""))
     return F.concat(
         F.lit(f"{IM_START}system\n"), F.coalesce(col_of(system), F.lit(DEFAULT_SYSTEM)), F.lit(f"{IM_END}\n"),
-        F.array_join(blocks, "\n"),
+        let(kept, assemble),
     )
 
 

@@ -16,26 +16,29 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import jsonx as J
-from ..functions.text import clean_model_name, col_of, preview
+from ..functions.text import clean_model_name, col_of, let, preview
 
 
 # ---------------------------------------------------------------------------
 # J9 + C1: normalise and compare
 # ---------------------------------------------------------------------------
 
-def _normalised(obj_text: Column) -> tuple[Column, Column]:
-    """``normalize_json`` as comparison text: (function, arguments).
+def _normalised(obj_text: Column) -> Column:
+    """``normalize_json`` as comparison text: struct(fn, args).
 
     A falsy call (NULL or ``{}``) normalises to an empty dict whose ``.get`` gives None
     for both fields -> SQL NULL. A missing key takes the default (``""`` / ``{}``).
-    A JSON ``null`` value is Python None as well -> SQL NULL.
+    A JSON ``null`` value is Python None as well -> SQL NULL. One parse per side.
     """
-    falsy = obj_text.isNull() | (J.canonical_at(obj_text) == "{}")
-    f = J.canonical_at(obj_text, "$.function")
-    a = J.canonical_at(obj_text, "$.arguments")
-    fn = F.when(falsy, F.lit(None)).when(f.isNull(), F.lit('""')).when(f == "null", F.lit(None)).otherwise(f)
-    args = F.when(falsy, F.lit(None)).when(a.isNull(), F.lit("{}")).when(a == "null", F.lit(None)).otherwise(a)
-    return fn.cast("string"), args.cast("string")
+    def from_variant(v):
+        falsy = v.isNull() | (F.to_json(v) == "{}")
+        f = F.to_json(F.try_variant_get(v, "$.function", "variant"))
+        a = F.to_json(F.try_variant_get(v, "$.arguments", "variant"))
+        fn = F.when(falsy, F.lit(None)).when(f.isNull(), F.lit('""')).when(f == "null", F.lit(None)).otherwise(f)
+        args = F.when(falsy, F.lit(None)).when(a.isNull(), F.lit("{}")).when(a == "null", F.lit(None)).otherwise(a)
+        return F.struct(fn.cast("string").alias("fn"), args.cast("string").alias("args"))
+
+    return let(F.try_parse_json(obj_text), from_variant)
 
 
 def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict[str, Column]:
@@ -44,10 +47,10 @@ def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict
     ``predicted_obj`` is the J2 output (object text or NULL); ``expected`` the golden
     call text. Arguments compare deep-equal with key order ignored (VARIANT text).
     """
-    p_fn, p_args = _normalised(col_of(predicted_obj))
-    e_fn, e_args = _normalised(J.json_text(col_of(expected)))
-    function_match = p_fn.eqNullSafe(e_fn)
-    args_match = p_args.eqNullSafe(e_args)
+    p = _normalised(col_of(predicted_obj))
+    e = _normalised(J.json_text(col_of(expected)))
+    function_match = p["fn"].eqNullSafe(e["fn"])
+    args_match = p["args"].eqNullSafe(e["args"])
     return {
         "exact_match": function_match & args_match,
         "function_match": function_match,
@@ -59,8 +62,22 @@ def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict
 def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected") -> DataFrame:
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details)."""
     with_pred = df.withColumn("predicted", J.first_object(F.col(raw_col)))
-    verdicts = compare_columns(F.col("predicted"), F.col(expected_col))
-    return with_pred.select("*", *[c.alias(n) for n, c in verdicts.items()])
+    # normalised sides as columns of their own, so each is parsed once per row
+    staged = with_pred.select(
+        "*",
+        _normalised(F.col("predicted")).alias("_cc_p"),
+        _normalised(J.json_text(F.col(expected_col))).alias("_cc_e"),
+    )
+    fm = F.col("_cc_p.fn").eqNullSafe(F.col("_cc_e.fn"))
+    am = F.col("_cc_p.args").eqNullSafe(F.col("_cc_e.args"))
+    out = staged.select(
+        "*",
+        (fm & am).alias("exact_match"),
+        fm.alias("function_match"),
+        am.alias("args_match"),
+        F.col("predicted").isNotNull().alias("valid_json"),
+    )
+    return out.drop("_cc_p", "_cc_e")
 
 
 # ---------------------------------------------------------------------------
