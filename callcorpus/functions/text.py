@@ -68,3 +68,16 @@ def let(expr: Column, fn) -> Column:
     copies (and the work) instead of reusing one result.
     """
     return F.element_at(F.transform(F.array(expr), fn), 1)
+
+
+def keep_where(df, cond: Column):
+    """Keep rows where ``cond`` is true, as a generate step instead of a filter.
+
+    Catalyst pushes a filter below every deterministic projection by inlining the
+    aliased expressions it reads; a filter on a derived column (a verdict, a reject
+    reason) would then evaluate the whole derivation twice -- once in the filter and
+    once in the projection. An explode of a zero-or-one element array drops the same
+    rows and is not pushed through anything.
+    """
+    keep = F.explode(F.array_repeat(F.lit(True), F.when(cond, F.lit(1)).otherwise(F.lit(0)))).alias("_cc_keep")
+    return df.select("*", keep).drop("_cc_keep")

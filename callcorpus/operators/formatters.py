@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import jsonx as J
-from ..functions.text import col_of, let, preview, py_strip
+from ..functions.text import col_of, keep_where, let, preview, py_strip
 from .catalog import EARBUD_FUNCTIONS_TEXT, OUTPUT_FORMAT, SYSTEM_PREFIX, render_tools
 
 # Chat-template markers.
@@ -112,9 +112,10 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
         _truthy(first).alias("_cc_has_call"),
         F.coalesce(F.schema_of_variant(first).startswith("OBJECT"), F.lit(False)).alias("_cc_call_obj"),
         call_text.alias("_cc_call"),
-        rendered["text"].alias("_cc_tools_text"),
-        rendered["malformed"].alias("_cc_tools_bad"),
+        rendered.alias("_cc_r"),
     )
+    # the rendered struct is one column read twice, so it is computed once
+    staged = staged.select("*", F.col("_cc_r.text").alias("_cc_tools_text"), F.col("_cc_r.malformed").alias("_cc_tools_bad"))
     reason = (
         F.when(F.col("_cc_a").isNotNull() & ~F.col("_cc_a_ok"), F.lit("answers_unparseable"))
         .when(~F.col("_cc_has_call"), F.lit("no_call"))
@@ -124,17 +125,20 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
     )
     call = F.col("_cc_call")
     keys = F.json_object_keys(call)
-    fn_json = (
+    fn_json = F.coalesce(
         F.when(F.array_contains(keys, "name"), J.py_dumps_at(call, "$.name"))
         .when(F.array_contains(keys, "function"), J.py_dumps_at(call, "$.function"))
-        .otherwise(F.lit('""'))
+        .otherwise(F.lit('""')),
+        F.lit("null"),
     )
-    args_json = (
+    args_json = F.coalesce(
         F.when(F.array_contains(keys, "arguments"), J.py_dumps_at(call, "$.arguments"))
         .when(F.array_contains(keys, "parameters"), J.py_dumps_at(call, "$.parameters"))
-        .otherwise(F.lit("{}"))
+        .otherwise(F.lit("{}")),
+        F.lit("null"),
     )
     text = training_text(F.col("_cc_q"), fn_json, args_json, F.col("_cc_tools_text"))
+    # reject_reason is its own projection: filters on it stay cheap (see drop_failed)
     out = staged.select("*", reason.alias("reject_reason"))
     out = out.select("*", F.when(F.col("reject_reason").isNull(), text).alias("text"))
     return out.drop(*[c for c in out.columns if c.startswith("_cc_")])
@@ -294,8 +298,13 @@ def get_formatter(dataset_name: str, include_disabled: bool = False) -> Callable
 
 
 def drop_failed(formatted: DataFrame) -> DataFrame:
-    """Keep rows whose text is not NULL (an empty string survives)."""
-    return formatted.filter(F.col("text").isNotNull())
+    """Keep rows whose text is not NULL (an empty string survives).
+
+    Every formatter here yields a non-NULL text exactly when ``reject_reason`` is
+    NULL, so the reason is tested, through ``keep_where`` (a filter would be pushed
+    below the formatting projection and evaluate it twice).
+    """
+    return keep_where(formatted, F.col("reject_reason").isNull())
 
 
 def keep_text(formatted: DataFrame) -> DataFrame:
@@ -306,11 +315,9 @@ def keep_text(formatted: DataFrame) -> DataFrame:
 def rejects(formatted: DataFrame, id_col: str = "id", preview_col: str | None = None) -> DataFrame:
     """one row per dropped row with its reason and a preview."""
     prev = preview(preview_col, 200) if preview_col else F.lit(None).cast("string")
-    return formatted.filter(F.col("text").isNull()).select(
-        id_col, F.coalesce("reject_reason", F.lit("unknown")).alias("reject_reason"), prev.alias("preview")
-    )
+    return keep_where(formatted, F.col("reject_reason").isNotNull()).select(id_col, "reject_reason", prev.alias("preview"))
 
 
 def reject_counts(formatted: DataFrame) -> DataFrame:
     """``before - after`` broken down by reason (counted from the source)."""
-    return formatted.filter(F.col("text").isNull()).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return keep_where(formatted, F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import jsonx as J
-from ..functions.text import clean_model_name, col_of, let, preview
+from ..functions.text import clean_model_name, col_of, keep_where, let, preview
 
 
 # ---------------------------------------------------------------------------
@@ -192,7 +192,7 @@ def numbered(details: DataFrame, order_by: str = "example_id") -> DataFrame:
 def failures(details: DataFrame, verbose: bool = False) -> DataFrame:
     """P6 + P7: rows the report prints (all when verbose, else the non-exact ones),
     with the 100-character raw preview."""
-    rows = details if verbose else details.filter(~F.col("exact_match"))
+    rows = details if verbose else keep_where(details, ~F.col("exact_match"))
     return rows.withColumn("raw_preview", preview("raw_output", 100))
 
 

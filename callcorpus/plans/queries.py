@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import keep_where
 from ..operators import scoring
 from . import derived as D
 
@@ -333,7 +334,7 @@ FROM ok
 def teacher_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     tools_text = _event_tools_text(spark, sf_dir)
     items = TC.unpack(D.teacher_replies(spark, sf_dir), tools_text)
-    return items.filter("item_ok").select("batch_id", "item_pos", "text")
+    return keep_where(items, F.col("item_ok")).select("batch_id", "item_pos", "text")
 
 
 @register(
