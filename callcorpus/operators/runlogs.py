@@ -77,26 +77,53 @@ def best_eval(metrics: DataFrame) -> DataFrame:
 # Printed eval report -> details
 # ---------------------------------------------------------------------------
 
+# The printed report's line prefixes (verdict marks and detail labels).
+PASS_MARK, FAIL_MARK = "✓", "✗"
+EXPECTED_PREFIX = "  Expected:  "
+PREDICTED_PREFIX = "  Predicted: "
+RAW_PREFIX = "  Raw:       "
+
+
+def render_report_lines(details: DataFrame, verbose: bool = False) -> DataFrame:
+    """The printed per-case report block (P6/P7 text) for each scored detail row:
+    ``(model_name, position, block)``; needs ``position``/``total`` (W1) and
+    ``predicted_json`` (J1 of the predicted object or ``null``)."""
+    from ..functions.text import keep_where
+
+    rows = details if verbose else keep_where(details, ~F.col("exact_match"))
+    head = F.concat(
+        F.when(F.col("exact_match"), F.lit(PASS_MARK)).otherwise(F.lit(FAIL_MARK)),
+        F.lit(" ["), F.col("position").cast("string"), F.lit("/"), F.col("total").cast("string"), F.lit("] "), F.col("command"),
+    )
+    detail = F.concat(
+        F.lit("\n" + EXPECTED_PREFIX), F.col("expected"),
+        F.lit("\n" + PREDICTED_PREFIX), F.col("predicted_json"),
+        F.lit("\n" + RAW_PREFIX), F.substring("raw_output", 1, 100), F.lit("...\n"),
+    )
+    block = F.concat(head, F.when(F.col("exact_match"), F.lit("")).otherwise(detail))
+    return rows.select("model_name", "position", block.alias("block"))
+
+
 def parse_eval_report(report: DataFrame, value_col: str = "value") -> DataFrame:
     """Verdict lines ``✓/✗ [i/n] command`` and the ``Expected:``/``Predicted:``/
     ``Raw:`` lines after a failure -> ``(position, total, passed, command, expected,
-    predicted, raw_preview)``. The report is read whole (``wholetext``): one row
-    per report file, the verdicts are extracted with ``regexp_extract_all`` and
-    exploded, so a large report set spreads over files, not lines of one task.
+    predicted, raw_preview)`` plus the report's other columns. One row per report
+    text (``spark.read.text(..., wholetext=True)``); verdict blocks are extracted with
+    ``regexp_extract_all`` and exploded, so reports spread over tasks by file.
     """
-    pat = r"(?m)^([✓✗]) \[(\d+)/(\d+)\] (.*)$((?:\n  (?:Expected|Predicted|Raw):.*)*)"
-    t = F.col(value_col)
-    blocks = report.select(
-        F.posexplode(F.regexp_extract_all(t, F.lit(pat), 0)).alias("_i", "_blk")
-    )
+    pat = r"(?m)^[✓✗] \[\d+/\d+\] .*$(?:\n  (?:Expected|Predicted|Raw):.*)*"
+    keep = [c for c in report.columns if c != value_col]
+    blocks = report.select(*keep, F.explode(F.regexp_extract_all(F.col(value_col), F.lit(pat), 0)).alias("_blk"))
     b = F.col("_blk")
     first = r"^([✓✗]) \[(\d+)/(\d+)\] (.*)"
+    raw = F.regexp_extract(b, r"\n  Raw:       (.*)", 1)
     return blocks.select(
+        *keep,
         F.regexp_extract(b, first, 2).cast("long").alias("position"),
         F.regexp_extract(b, first, 3).cast("long").alias("total"),
-        (F.regexp_extract(b, first, 1) == "✓").alias("passed"),
+        (F.regexp_extract(b, first, 1) == PASS_MARK).alias("passed"),
         F.regexp_extract(b, first, 4).alias("command"),
-        F.nullif(F.regexp_extract(b, r"\n  Expected:\s+(.*)", 1), F.lit("")).alias("expected"),
-        F.nullif(F.regexp_extract(b, r"\n  Predicted:\s+(.*)", 1), F.lit("")).alias("predicted"),
-        F.nullif(F.regexp_extract(b, r"\n  Raw:\s+(.*)", 1), F.lit("")).alias("raw_preview"),
+        F.when(b.contains("\n" + EXPECTED_PREFIX), F.regexp_extract(b, r"\n  Expected:  (.*)", 1)).alias("expected"),
+        F.when(b.contains("\n" + PREDICTED_PREFIX), F.regexp_extract(b, r"\n  Predicted: (.*)", 1)).alias("predicted"),
+        F.when(b.contains("\n" + RAW_PREFIX), F.regexp_replace(raw, r"\.\.\.$", "")).alias("raw_preview"),
     )

@@ -227,3 +227,20 @@ def planted_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(fn, F.lit(', "arguments": {"k": '), k, F.lit("}}")))
     )
     return ev.select(F.col("event_id").alias("call_id"), call.alias("call_json"))
+
+
+def trainer_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value`` lines as a trainer prints them: one loss line per event, an eval line
+    for every tenth event and progress noise -- rendered from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    epoch = (F.col("event_id") / 1000.0).cast("string")
+    loss = F.concat(
+        F.lit("{'loss': "), (F.col("value") / 10).cast("string"), F.lit(", 'grad_norm': "),
+        (_k(F.col("props")).cast("double") / 10).cast("string"), F.lit(", 'learning_rate': 0.0002, 'epoch': "), epoch, F.lit("}"),
+    )
+    ev_line = F.when(
+        F.col("event_id") % 10 == 0,
+        F.concat(F.lit("{'eval_loss': "), (F.col("value") / 20).cast("string"), F.lit(", 'eval_runtime': 18.1351, 'epoch': "), epoch, F.lit("}")),
+    )
+    noise = F.when(F.col("event_id") % 10 == 5, F.lit(" 12%|###       | 160/1338 [05:21<39:30,  2.01s/it]"))
+    return ev.select(F.explode(F.array_compact(F.array(loss, ev_line, noise))).alias("value"))

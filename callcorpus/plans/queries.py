@@ -566,3 +566,75 @@ def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = D.table(spark, sf_dir, "documents")
     return RL.length_histogram(docs, "text", bucket_width=512, n_buckets=8, budget=2048)
+
+
+# ---------------------------------------------------------------------------
+# run artefacts: R9 R10
+# ---------------------------------------------------------------------------
+
+from ..functions import jsonx as JX  # noqa: E402
+from ..operators import runlogs as RLG  # noqa: E402
+
+
+@register(
+    "run_metrics",
+    """
+SELECT 'loss' AS kind, event_id / 1000.0 AS epoch, value / 10 AS loss,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) / 10 AS grad_norm, NULL::DOUBLE AS eval_loss FROM events
+UNION ALL
+SELECT 'eval', event_id / 1000.0, NULL, NULL, value / 20 FROM events WHERE event_id % 10 = 0
+""",
+)
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = RLG.parse_metric_lines(D.trainer_log_lines(spark, sf_dir))
+    return m.select("kind", "epoch", "loss", "grad_norm", "eval_loss")
+
+
+@register(
+    "run_best_eval",
+    """
+SELECT min(value / 20) AS best_eval_loss, arg_min(event_id / 1000.0, (value / 20, event_id / 1000.0)) AS best_epoch
+FROM events WHERE event_id % 10 = 0
+""",
+)
+def run_best_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return RLG.best_eval(RLG.parse_metric_lines(D.trainer_log_lines(spark, sf_dir)))
+
+
+# Cases per rendered report page (bounds every report text).
+REPORT_PAGE = 1000
+
+
+@register(
+    "eval_report",
+    _ORACLE_PRED
+    + f"""
+, n AS (
+  SELECT *, row_number() OVER (PARTITION BY model_name ORDER BY example_id) AS position,
+         COUNT(*) OVER (PARTITION BY model_name) AS total FROM v)
+SELECT model_name, position::BIGINT AS position, total::BIGINT AS total, false AS passed,
+       'record a ' || et || ' event' AS command,
+       '{{"function": "' || et || '", "arguments": ' || props || '}}' AS expected,
+       CASE kind
+         WHEN 2 THEN '{{"function": "' || et || '_v2", "arguments": ' || props || '}}'
+         WHEN 3 THEN '{{"function": "' || et || '", "arguments": {{"k": "' || kval || '"}}}}'
+         WHEN 5 THEN '{{}}'
+         WHEN 8 THEN '{{"function": "' || et || '"}}'
+         WHEN 10 THEN '{{"function": "' || et || '", "arguments": {{"k": ' || kval || ', "note": "a }} \\" {{"}}}}'
+         ELSE 'null' END AS predicted,
+       substr(raw_output, 1, 100) AS raw_preview
+FROM n WHERE NOT exact_match
+""",
+)
+def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    details = scored_details(spark, sf_dir)
+    numbered = scoring.numbered(details).withColumn(
+        "predicted_json", F.coalesce(JX.py_dumps_at("predicted", "$"), F.lit("null"))
+    )
+    blocks = RLG.render_report_lines(numbered)
+    # one report text per (model, page of 1000 cases): bounded texts, parsed in parallel
+    pages = blocks.groupBy("model_name", (F.col("position") / REPORT_PAGE).cast("long").alias("page")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "block"))), lambda x: x["block"]), "\n").alias("value")
+    )
+    parsed = RLG.parse_eval_report(pages)
+    return parsed.select("model_name", "position", "total", "passed", "command", "expected", "predicted", "raw_preview")
