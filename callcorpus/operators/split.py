@@ -73,13 +73,16 @@ def global_row_index(df: DataFrame, order_by: Sequence[Column | str], index_col:
     return indexed_with_total(df, order_by, index_col)[0]
 
 
-def kth_row_keys(df: DataFrame, key_cols: Sequence[str], k: int) -> tuple[tuple | None, int]:
+def kth_row_keys(df: DataFrame, key_cols: Sequence[str], k) -> tuple[tuple | None, int]:
     """Key values of the *k*-th row (1-based) in key order, and the row count.
 
-    Only the key columns are sorted and checkpointed.
+    ``k`` is an int or a function of the row count (the count comes from the
+    indexing pass itself, no separate job). Only the key columns are sorted and
+    checkpointed.
     """
     narrow = df.select(*key_cols)
     idx, total = indexed_with_total(narrow, key_cols, "_cc_idx")
+    k = k(total) if callable(k) else k
     if k <= 0 or total == 0:
         return None, total
     k = min(k, total)
@@ -112,12 +115,9 @@ def hash_split(
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
     keyed = df.withColumn("_cc_hkey", key)
-    # count first: k depends on n
-    n = keyed.count()
-    k = math.ceil(n * test_fraction) if n else 0
-    if k == 0:
+    kth, _ = kth_row_keys(keyed, ["_cc_hkey", id_col], lambda n: math.ceil(n * test_fraction))
+    if kth is None:
         return keyed.withColumn(split_col, F.lit(names[0])).drop("_cc_hkey")
-    kth, _ = kth_row_keys(keyed, ["_cc_hkey", id_col], k)
     is_val = _le_keys(["_cc_hkey", id_col], kth)
     return keyed.withColumn(split_col, F.when(is_val, names[1]).otherwise(names[0])).drop("_cc_hkey")
 
@@ -127,11 +127,9 @@ def ordered_split(
     names: tuple[str, str] = ("train", "val"),
 ) -> DataFrame:
     """The first ``int(n * f)`` rows in ``order_cols`` order train, the rest val."""
-    n = df.count()
-    k = int(n * train_fraction)
-    if k <= 0:
+    kth, _ = kth_row_keys(df, list(order_cols), lambda n: int(n * train_fraction))
+    if kth is None:
         return df.withColumn(split_col, F.lit(names[1]))
-    kth, _ = kth_row_keys(df, list(order_cols), k)
     return df.withColumn(split_col, F.when(_le_keys(list(order_cols), kth), names[0]).otherwise(names[1]))
 
 

@@ -73,8 +73,12 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
         ).alias("violation"),
         F.lit(None).cast("string").alias("param"),
     )
+    # one count proves the catalog small; every catalog-side frame below is at most
+    # that many rows, so all of them broadcast (or none does)
+    small = params.count() <= max_broadcast_rows
+    hint = F.broadcast if small else (lambda d: d)
     tools = params.select(F.col("tool").alias("fn")).distinct()
-    tools_b = maybe_broadcast(tools, max_broadcast_rows)
+    tools_b = hint(tools)
     named = base.filter(F.col("is_obj") & F.col("has_fn"))
     unknown_fn = named.join(tools_b, "fn", "left_anti").select(
         "_id", F.lit("unknown_function").alias("violation"), F.lit(None).cast("string").alias("param")
@@ -94,7 +98,7 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
         F.try_variant_get(val, "$", "double").alias("vnum"),
     )
     p = params.select(F.col("tool").alias("fn"), "param", F.col("type").alias("ptype"), "maximum", "required")
-    p_b = maybe_broadcast(p, max_broadcast_rows)
+    p_b = hint(p)
     joined = arg_vals.join(p_b, ["fn", "param"], "left")
     per_arg = joined.select(
         "_id", "param",
@@ -105,7 +109,7 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
     ).filter(F.col("violation").isNotNull())
     required = p.filter("required").groupBy("fn").agg(F.collect_set("param").alias("req"))
     missing = (
-        known.join(maybe_broadcast(required, max_broadcast_rows), "fn")
+        known.join(hint(required), "fn")
         .select("_id", F.explode(F.array_except("req", F.coalesce(F.json_object_keys(F.get_json_object("_call", "$.arguments")), F.array().cast("array<string>")))).alias("param"))
         .select("_id", F.lit("missing_required").alias("violation"), "param")
     )
