@@ -231,13 +231,16 @@ def catalog_params(tools: DataFrame) -> DataFrame:
     )
 
 
-def catalog_text(tools: DataFrame, strict: bool = True, single: bool = False, max_bytes: int = 1 << 20) -> str:
+def catalog_text(tools: DataFrame, strict: bool = True, single: bool = False, max_bytes: int = 1 << 20, max_tools: int = 10_000) -> str:
     """Render a catalog table ``(ord, tool_json)`` once, as a driver-side string.
 
     The rendered catalog is placed into every example or prompt, so it must be
     small; the size is checked rather than assumed. Aggregation happens in Spark
     (one row out), and only the final text reaches the driver.
     """
+    n_tools = tools.count()
+    if n_tools > max_tools:
+        raise ValueError(f"catalog has {n_tools} tools; over the {max_tools} tool bound")
     lines = tools.select(
         "ord",
         render_tools(F.concat(F.lit("["), F.col("tool_json"), F.lit("]")), strict=strict, single=True).alias("r"),

@@ -133,15 +133,16 @@ def ordered_split(
     return df.withColumn(split_col, F.when(_le_keys(list(order_cols), kth), names[0]).otherwise(names[1]))
 
 
-def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None) -> DataFrame:
+def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None, direct_max: int = 100_000) -> DataFrame:
     """L1 first-N rows (``max_samples``): 0 or None means no limit.
 
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its own
-    top N, so only N rows per task cross the network.
+    Up to ``direct_max`` rows, ``orderBy().limit()`` plans as TakeOrderedAndProject
+    (each task keeps its own top N). A larger N would gather N rows in the final
+    task, so it goes through the global index instead (same rows, no single task).
     """
     if not n:
         return df
-    return df.orderBy(*_cols(order_cols)).limit(int(n))
+    return page(df, order_cols, 0, int(n), direct_max)
 
 
 def sample_rows(df: DataFrame, order_cols: Sequence[Column | str], k: int = 1) -> DataFrame:

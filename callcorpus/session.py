@@ -41,12 +41,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's ``spark.checkpoint.dir`` (a shared folder) wins. Only when it is
     unset -- local tests and benchmarks -- do we set a fresh private one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext handle (e.g. Spark Connect): the server's setting applies
+        return configured or ""
+    current = sc.getCheckpointDir() or configured
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="callcorpus-ckpt-")
+    local = tempfile.mkdtemp(prefix="callcorpus-ckpt-")  # tests and local runs only
     sc.setCheckpointDir(local)
     return local

@@ -14,8 +14,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     small single-row-group file (one split) would otherwise run its row-local,
     CPU-heavy expressions in one task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
 
