@@ -96,6 +96,25 @@ def first_object(c: Column | str) -> Column:
     return let(col_of(c), lambda out: F.when(F.instr(out, "{") > 0, cut(F.substring(out, F.instr(out, "{"), 1 << 30))))
 
 
+def first_object_value(c: Column | str) -> Column:
+    """J2 as a parsed value: struct(text, value) of the first ``{...}`` object, or NULL.
+
+    For valid JSON the reference brace scan ends exactly where the first JSON value
+    ends (strings are atomic in both, and escapes outside strings are invalid), and
+    ``try_parse_json`` reads that first value strictly while ignoring what follows.
+    One native parse of the text from the first ``{`` therefore decides the same
+    rows as scan + ``json.loads`` -- no token scan. ``text`` is the object re-written
+    compactly in source key order (``get_json_object``).
+    """
+    def from_sub(sub):
+        return let(
+            F.try_parse_json(sub),
+            lambda v: F.when(v.isNotNull(), F.struct(F.get_json_object(sub, "$").alias("text"), v.alias("value"))),
+        )
+
+    return let(col_of(c), lambda out: F.when(F.instr(out, "{") > 0, from_sub(F.substring(out, F.instr(out, "{"), 1 << 30))))
+
+
 # ---------------------------------------------------------------------------
 # Json.dumps text
 # ---------------------------------------------------------------------------

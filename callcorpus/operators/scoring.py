@@ -23,14 +23,14 @@ from ..functions.text import clean_model_name, col_of, keep_where, let, preview
 # J9 + C1: normalise and compare
 # ---------------------------------------------------------------------------
 
-def _normalised(obj_text: Column) -> Column:
-    """``normalize_json`` as comparison text: struct(fn, args).
+def _normalised_variant(v: Column) -> Column:
+    """``normalize_json`` as comparison text from a parsed VARIANT: struct(fn, args).
 
     A falsy call (NULL or ``{}``) normalises to an empty dict whose ``.get`` gives None
     for both fields -> SQL NULL. A missing key takes the default (``""`` / ``{}``).
-    A JSON ``null`` value is Python None as well -> SQL NULL. One parse per side.
+    A JSON ``null`` value is Python None as well -> SQL NULL.
     """
-    def from_variant(v):
+    def build(v):
         falsy = v.isNull() | (F.to_json(v) == "{}")
         f = F.to_json(F.try_variant_get(v, "$.function", "variant"))
         a = F.to_json(F.try_variant_get(v, "$.arguments", "variant"))
@@ -38,7 +38,12 @@ def _normalised(obj_text: Column) -> Column:
         args = F.when(falsy, F.lit(None)).when(a.isNull(), F.lit("{}")).when(a == "null", F.lit(None)).otherwise(a)
         return F.struct(fn.cast("string").alias("fn"), args.cast("string").alias("args"))
 
-    return let(F.try_parse_json(obj_text), from_variant)
+    return let(v, build)
+
+
+def _normalised(obj_text: Column) -> Column:
+    """``normalize_json`` of a JSON object text (one parse)."""
+    return _normalised_variant(F.try_parse_json(obj_text))
 
 
 def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict[str, Column]:
@@ -61,12 +66,14 @@ def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict
 
 def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected") -> DataFrame:
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details)."""
-    with_pred = df.withColumn("predicted", J.first_object(F.col(raw_col)))
+    # J2 as one parse of the text from the first '{' (see jsonx.first_object_value)
+    with_pred = df.withColumn("_cc_first", J.first_object_value(F.col(raw_col)))
     # normalised sides as columns of their own, so each is parsed once per row
     staged = with_pred.select(
         "*",
-        _normalised(F.col("predicted")).alias("_cc_p"),
-        _normalised(J.json_text(F.col(expected_col))).alias("_cc_e"),
+        F.col("_cc_first.text").alias("predicted"),
+        _normalised_variant(F.col("_cc_first.value")).alias("_cc_p"),
+        _normalised_variant(J.parsed(F.col(expected_col))).alias("_cc_e"),
     )
     fm = F.col("_cc_p.fn").eqNullSafe(F.col("_cc_e.fn"))
     am = F.col("_cc_p.args").eqNullSafe(F.col("_cc_e.args"))
@@ -77,7 +84,7 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
         am.alias("args_match"),
         F.col("predicted").isNotNull().alias("valid_json"),
     )
-    return out.drop("_cc_p", "_cc_e")
+    return out.drop("_cc_p", "_cc_e", "_cc_first")
 
 
 # ---------------------------------------------------------------------------

@@ -71,3 +71,14 @@ def test_canonical_ignores_key_order_and_int_float(spark):
     df = spark.createDataFrame([('{"b":1,"a":2}', '{"a":2,"b":1.0}'), ('{"level":"50"}', '{"level":50}')], "x string, y string")
     rows = df.select((J.canonical_at("x") == J.canonical_at("y")).alias("eq")).collect()
     assert [r.eq for r in rows] == [True, False]
+
+
+def test_first_object_value_agrees_with_scan(spark):
+    rows = ["no braces", '{"a":1', 'x {"f":{"g":"}"}} {"h":1}', 'pre {bad} {"ok":1}', "{'a':1}", '{"a": "x\\"}y"} tail',
+            'a {"a":1}} b', '{"a":[1,{"b":"}"}]}x', '{"a":01}', "{}", '{"a":"\\u00e9"} {']
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string")
+    got = df.select("i", J.first_object("s").alias("scan"), J.first_object_value("s").alias("fast")).orderBy("i").collect()
+    for r in got:
+        assert (r.scan is None) == (r.fast is None), rows[r.i]
+        if r.scan is not None:
+            assert json.loads(r.scan) == json.loads(r.fast.text)
