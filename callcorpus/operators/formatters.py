@@ -321,3 +321,33 @@ def rejects(formatted: DataFrame, id_col: str = "id", preview_col: str | None =
 def reject_counts(formatted: DataFrame) -> DataFrame:
     """``before - after`` broken down by reason (counted from the source)."""
     return keep_where(formatted, F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def python_row_formatter(df: DataFrame, fn: Callable[[dict], dict | None], id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """X1 for user Python formatters: ``fn(row_dict) -> {"text": ...} | None`` run over
+    Arrow batches with ``mapInPandas`` (the reference's ``dataset.map(fn)``).
+
+    This is the opt-in slow path for formatters that cannot be written as column
+    expressions; the built-in formatters above never use it. A raising row counts
+    as a failed conversion (``reject_reason = "formatter_error"``).
+    """
+    cols = columns or df.columns
+    out_schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, text string, reject_reason string"
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            texts, reasons = [], []
+            for rec in pdf[cols].to_dict("records"):
+                try:
+                    res = fn(rec)
+                except Exception:
+                    res, why = None, "formatter_error"
+                else:
+                    why = None if res is not None and res.get("text") is not None else "formatter_none"
+                texts.append(None if why else res["text"])
+                reasons.append(why)
+            yield pd.DataFrame({id_col: pdf[id_col].values, "text": texts, "reject_reason": reasons})
+
+    return df.select(*dict.fromkeys([id_col, *cols])).mapInPandas(run, out_schema)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from ..functions import jsonx as J
 from ..functions.text import clean_model_name, col_of, keep_where, let, preview
@@ -64,8 +64,14 @@ def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict
     }
 
 
-def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected") -> DataFrame:
-    """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details)."""
+def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected", strict_python: bool = False) -> DataFrame:
+    """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details).
+
+    ``strict_python=True`` re-decides the residue -- failed rows whose texts hold
+    exponents, booleans, NaN/Infinity or an unparsed object (duplicate keys) -- with
+    Python's own ``json`` and ``==`` (see ``_python_verdicts``); other rows never
+    reach Python.
+    """
     # J2 as one parse of the text from the first '{' (see jsonx.first_object_value)
     with_pred = df.withColumn("_cc_first", J.first_object_value(F.col(raw_col)))
     # normalised sides as columns of their own, so each is parsed once per row
@@ -84,7 +90,56 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
         am.alias("args_match"),
         F.col("predicted").isNotNull().alias("valid_json"),
     )
-    return out.drop("_cc_p", "_cc_e", "_cc_first")
+    out = out.drop("_cc_p", "_cc_e", "_cc_first")
+    if not strict_python:
+        return out
+    raw, exp = F.col(raw_col), F.col(expected_col)
+    residue = ~F.col("exact_match") & (
+        raw.rlike(r"[0-9][eE][+-]?[0-9]|true|false|NaN|Infinity") | exp.rlike(r"[0-9][eE][+-]?[0-9]|true|false")
+        | (F.col("predicted").isNull() & (F.instr(raw, "{") > 0))
+    )
+    staged = out.select("*", _python_verdicts(F.when(residue, raw), F.when(residue, exp)).alias("_cc_py"))
+    cols = {c: F.coalesce(F.col(f"_cc_py.{c}"), F.col(c)).alias(c) for c in ("exact_match", "function_match", "args_match", "valid_json")}
+    return staged.select(*[cols.get(c, F.col(c)) for c in out.columns])
+
+
+_VERDICT_TYPE = StructType([StructField(n, BooleanType()) for n in ("exact_match", "function_match", "args_match", "valid_json")])
+
+
+@F.pandas_udf(_VERDICT_TYPE)
+def _python_verdicts(raw: pd.Series, expected: pd.Series) -> pd.DataFrame:
+    """C1 with Python's own json + ``==`` for the residue rows (NULL input -> NULL out).
+
+    The first object is decoded in place from the first ``{`` (``raw_decode``): for an
+    object that parses, that is the same object the brace scan isolates.
+    """
+    import json
+
+    dec = json.JSONDecoder()
+
+    def first(text):
+        i = text.find("{")
+        if i < 0:
+            return None
+        try:
+            obj, _ = dec.raw_decode(text, i)
+        except ValueError:
+            return None
+        return obj if isinstance(obj, dict) else None
+
+    def norm(obj):
+        return {} if not obj else {"function": obj.get("function", ""), "arguments": obj.get("arguments", {})}
+
+    rows = []
+    for r, e in zip(raw, expected):
+        if r is None or e is None:
+            rows.append((None, None, None, None))
+            continue
+        pred = first(r)
+        p, x = norm(pred), norm(json.loads(e))
+        fm, am = p.get("function") == x.get("function"), p.get("arguments") == x.get("arguments")
+        rows.append((fm and am, fm, am, pred is not None))
+    return pd.DataFrame(rows, columns=["exact_match", "function_match", "args_match", "valid_json"])
 
 
 # ---------------------------------------------------------------------------

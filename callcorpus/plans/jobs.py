@@ -18,6 +18,12 @@ from ..operators import formatters as FM, scoring, split as SP, teacher as TC
 from ..sources import sinks
 
 
+def resolve_setting(arg, defaults: dict, key: str, literal):
+    """Argument, else config default, else literal -- with Python ``or`` semantics
+    (``0`` and ``""`` count as unset). Driver-side; no Spark operator."""
+    return arg or defaults.get(key) or literal
+
+
 @dataclass
 class PreparedCorpus:
     corpus: DataFrame        # (text, split)

@@ -104,3 +104,35 @@ def test_registry():
     with pytest.raises(ValueError):
         FM.get_formatter("glaive-function-calling-v2")
     assert FM.get_formatter("glaive-function-calling-v2", include_disabled=True) is FM.glaive_format
+
+
+def test_python_row_formatter_x1(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "boom")], "id long, q string")
+
+    def fmt(row):
+        if row["q"] == "boom":
+            raise ValueError("bad row")
+        return {"text": f"<{row['q']}>"} if row["q"] else None
+
+    out = {r.id: (r.text, r.reject_reason) for r in FM.python_row_formatter(df, fmt).collect()}
+    assert out == {1: ("<a>", None), 2: (None, "formatter_none"), 3: (None, "formatter_error")}
+
+
+def test_prompts(spark):
+    df = spark.createDataFrame([("hang up",)], "c string")
+    plain = df.select(FM.eval_prompt("c").alias("p")).first().p
+    assert plain.startswith("Convert the following voice command into a JSON function call.")
+    assert '\nCommand: "hang up"\n' in plain and plain.endswith("JSON:") and "- check_battery() - Check battery level\n" in plain
+    cat = df.select(FM.eval_prompt("c", "- f(x: string)\n  d", "Omi Wearable Backend").alias("p")).first().p
+    assert cat.startswith("You are a function-calling assistant for Omi Wearable Backend.\n\nAvailable functions:\n- f(x: string)\n  d\n\n")
+    gen = df.select(FM.generation_prompt("c", F.lit("")).alias("p")).first().p
+    assert gen.endswith("<|im_start|>user\nhang up<|im_end|>\n<|im_start|>assistant\n")
+    assert FM.chat_system_prompt(None) == "You are a helpful assistant."
+
+
+def test_settings_merge():
+    from callcorpus.plans.jobs import resolve_setting
+
+    assert resolve_setting(None, {"max_new_tokens": 100}, "max_new_tokens", 50) == 100
+    assert resolve_setting(0, {}, "max_new_tokens", 100) == 100
+    assert resolve_setting("cpu", {"device": "auto"}, "device", "auto") == "cpu"
