@@ -5,10 +5,12 @@ Violations: ``not_object``, ``missing_function``, ``missing_arguments``,
 ``over_maximum``. A call without ``arguments`` is checked as ``{}`` (the scorer's
 default), so its required parameters are also reported missing.
 
-Plan: calls are exploded to one row per argument and equi-joined with the catalog's
-parameter table on (tool, param); unknown functions come from a left-anti join on the
-tool name. The catalog side is broadcast only after its row count is checked; a
-larger catalog takes a shuffle join (AQE splits a hot tool's partition).
+Plan: one pass over the calls. Each call is left-joined on its function name with
+the tool's signature row (parameter map + required list); every check is then a
+row-local expression and the violations are exploded. The signature side is
+broadcast only after a count proves the catalog small; a larger catalog takes a
+shuffle join, where AQE splits the partition of a function that holds a third of
+all calls.
 """
 
 from __future__ import annotations
@@ -29,17 +31,14 @@ _TYPE_OK = {
 }
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave it to the planner."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def _type_ok(expected: str, kind):
-    """True when the VARIANT kind satisfies the declared type (unknown types pass)."""
-    cond = F.lit(True)
-    for name, test in reversed(list(_TYPE_OK.items())):
-        cond = F.when(F.col(expected) == name, F.coalesce(test(kind), F.lit(False))).otherwise(cond)
-    return cond
+def tool_signatures(params: DataFrame) -> DataFrame:
+    """One row per tool: ``(fn, pmap: map<param, struct<type, maximum>>, req: array<param>)``.
+    The per-tool gather is bounded by the tool's parameter count."""
+    entry = F.struct(F.col("param"), F.struct(F.col("type").alias("type"), F.col("maximum").alias("maximum")))
+    return params.groupBy(F.col("tool").alias("fn")).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("pmap"),
+        F.array_sort(F.collect_list(F.when(F.col("required"), F.col("param")))).alias("req"),
+    )
 
 
 def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json",
@@ -47,71 +46,59 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
     """``(id, violation, param)`` rows; a valid call yields none.
 
     ``params``: ``(tool, param, type, maximum, required)`` as produced by
-    ``catalog.catalog_params``.
+    ``catalog.catalog_params``. One pass: each call is left-joined with its tool's
+    signature row and every check is a row-local expression over the argument map.
     """
+    sigs = tool_signatures(params)
+    # one count proves the catalog small (signatures have at most that many rows)
+    if params.count() <= max_broadcast_rows:
+        sigs = F.broadcast(sigs)
     v = J.parsed(F.col(call_col))
-    kind = F.schema_of_variant(v)
     keys = F.json_object_keys(F.col(call_col))
     base = calls.select(
         F.col(id_col).alias("_id"),
         F.col(call_col).alias("_call"),
-        F.coalesce(kind.startswith("OBJECT"), F.lit(False)).alias("is_obj"),
+        F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_obj"),
         F.coalesce(F.array_contains(keys, "function"), F.lit(False)).alias("has_fn"),
         F.coalesce(F.array_contains(keys, "arguments"), F.lit(False)).alias("has_args"),
         F.try_variant_get(v, "$.function", "string").alias("fn"),
+        F.try_variant_get(v, "$.arguments", "variant").try_cast("map<string,variant>").alias("amap"),
+        F.coalesce(F.json_object_keys(F.get_json_object(F.col(call_col), "$.arguments")), F.array().cast("array<string>")).alias("akeys"),
     )
-    call_level = base.select(
-        "_id",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(~F.col("is_obj"), F.lit("not_object")),
-                    F.when(F.col("is_obj") & ~F.col("has_fn"), F.lit("missing_function")),
-                    F.when(F.col("is_obj") & ~F.col("has_args"), F.lit("missing_arguments")),
-                )
-            )
-        ).alias("violation"),
-        F.lit(None).cast("string").alias("param"),
-    )
-    # one count proves the catalog small; every catalog-side frame below is at most
-    # that many rows, so all of them broadcast (or none does)
-    small = params.count() <= max_broadcast_rows
-    hint = F.broadcast if small else (lambda d: d)
-    tools = params.select(F.col("tool").alias("fn")).distinct()
-    tools_b = hint(tools)
-    named = base.filter(F.col("is_obj") & F.col("has_fn"))
-    unknown_fn = named.join(tools_b, "fn", "left_anti").select(
-        "_id", F.lit("unknown_function").alias("violation"), F.lit(None).cast("string").alias("param")
-    )
-    known = named.join(tools_b, "fn", "left_semi")
-    # one row per argument of a call to a known function; values are looked up in
-    # the VARIANT map of the arguments (string values keep their type)
-    amap = J.parsed(F.get_json_object("_call", "$.arguments")).try_cast("map<string,variant>")
-    args = known.select(
-        "_id", "fn", "_call", amap.alias("_amap"),
-        F.explode(F.coalesce(F.json_object_keys(F.get_json_object("_call", "$.arguments")), F.array().cast("array<string>"))).alias("param"),
-    )
-    val = F.element_at(F.col("_amap"), F.col("param"))
-    arg_vals = args.select(
-        "_id", "fn", "param",
-        F.schema_of_variant(val).alias("vkind"),
-        F.try_variant_get(val, "$", "double").alias("vnum"),
-    )
-    p = params.select(F.col("tool").alias("fn"), "param", F.col("type").alias("ptype"), "maximum", "required")
-    p_b = hint(p)
-    joined = arg_vals.join(p_b, ["fn", "param"], "left")
-    per_arg = joined.select(
-        "_id", "param",
-        F.when(F.col("ptype").isNull(), F.lit("unknown_param"))
-        .when(~_type_ok("ptype", F.col("vkind")), F.lit("wrong_type"))
-        .when(F.col("maximum").isNotNull() & (F.col("vnum") > F.col("maximum")), F.lit("over_maximum"))
-        .alias("violation"),
-    ).filter(F.col("violation").isNotNull())
-    required = p.filter("required").groupBy("fn").agg(F.collect_set("param").alias("req"))
-    missing = (
-        known.join(hint(required), "fn")
-        .select("_id", F.explode(F.array_except("req", F.coalesce(F.json_object_keys(F.get_json_object("_call", "$.arguments")), F.array().cast("array<string>")))).alias("param"))
-        .select("_id", F.lit("missing_required").alias("violation"), "param")
+    j = base.join(sigs, "fn", "left")
+    known = F.col("is_obj") & F.col("has_fn") & F.col("pmap").isNotNull()
+
+    def call_issue(name, cond):
+        return F.when(cond, F.struct(F.lit(name).alias("violation"), F.lit(None).cast("string").alias("param")))
+
+    def arg_issue(k):
+        spec = F.element_at(F.col("pmap"), k)
+        val = F.element_at(F.col("amap"), k)
+        vkind = F.schema_of_variant(val)
+        name = (
+            F.when(spec.isNull(), F.lit("unknown_param"))
+            .when(~_type_ok_expr(spec["type"], vkind), F.lit("wrong_type"))
+            .when(spec["maximum"].isNotNull() & (F.try_variant_get(val, "$", "double") > spec["maximum"]), F.lit("over_maximum"))
+        )
+        return F.when(name.isNotNull(), F.struct(name.alias("violation"), k.alias("param")))
+
+    issues = F.concat(
+        F.array(
+            call_issue("not_object", ~F.col("is_obj")),
+            call_issue("missing_function", F.col("is_obj") & ~F.col("has_fn")),
+            call_issue("missing_arguments", F.col("is_obj") & ~F.col("has_args")),
+            call_issue("unknown_function", F.col("is_obj") & F.col("has_fn") & F.col("pmap").isNull()),
+        ),
+        F.when(known, F.transform("akeys", arg_issue)).otherwise(F.array()),
+        F.when(known, F.transform(F.array_except("req", "akeys"), lambda p: F.struct(F.lit("missing_required").alias("violation"), p.alias("param")))).otherwise(F.array()),
     )
-    out = call_level.unionByName(unknown_fn).unionByName(per_arg.select("_id", "violation", "param")).unionByName(missing)
-    return out.withColumnRenamed("_id", id_col)
+    out = j.select(F.col("_id").alias(id_col), F.explode(F.array_compact(issues)).alias("_v"))
+    return out.select(id_col, F.col("_v.violation").alias("violation"), F.col("_v.param").alias("param"))
+
+
+def _type_ok_expr(expected, kind):
+    """True when the VARIANT kind satisfies the declared type (unknown types pass)."""
+    cond = F.lit(True)
+    for name, test in reversed(list(_TYPE_OK.items())):
+        cond = F.when(expected == name, F.coalesce(test(kind), F.lit(False))).otherwise(cond)
+    return cond

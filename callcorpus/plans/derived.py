@@ -8,7 +8,7 @@ deterministic projection (no randomness), so the DuckDB oracle can rebuild it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..sources.readers import read_table
 
@@ -166,9 +166,9 @@ def event_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
               '"description": "payload key", "maximum": 100}, "value": {"type": "number"}}, "required": ["k"]}}'),
     )
     # the distinct event types are the catalog: a handful of rows after a partial
-    # aggregate; the catalog renderer checks its size before it is used
+    # aggregate; tools are ordered by name (``ord``) and the renderer checks the size
     types = ev.select(et).distinct()
-    return types.select(F.dense_rank().over(Window.orderBy(et)).alias("ord"), tool.alias("tool_json"), et.alias("name"))
+    return types.select(et.alias("ord"), tool.alias("tool_json"), et.alias("name"))
 
 
 def teacher_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
