@@ -207,12 +207,13 @@ def _variant_at(j: Column, path: str) -> Column:
     return F.try_variant_get(F.try_parse_json(j), path, "variant")
 
 
-def py_dumps_at(c: Column | str, path: str = "$") -> Column:
+def py_dumps_at(c: Column | str, path: str = "$", parsed_doc: Column | None = None) -> Column:
     """``json.dumps(value)`` for the value at ``path`` of JSON text ``c``.
 
     Object key order is the source order (Jackson keeps it). String scalars are
     re-quoted from the VARIANT value because ``get_json_object`` unquotes them.
-    NULL when the path is absent.
+    NULL when the path is absent. ``parsed_doc`` is ``c`` already parsed to VARIANT
+    (pass it when several paths of one document are dumped, to parse it once).
     """
     j = col_of(c)
 
@@ -224,7 +225,8 @@ def py_dumps_at(c: Column | str, path: str = "$") -> Column:
             .otherwise(F.get_json_object(j, path)),
         )
 
-    return ascii_escape(python_floats(python_spacing(let(_variant_at(j, path), from_variant))))
+    v = _variant_at(j, path) if parsed_doc is None else F.try_variant_get(parsed_doc, path, "variant")
+    return ascii_escape(python_floats(python_spacing(let(v, from_variant))))
 
 
 def has_key(c: Column | str, parent_path: str, key: str) -> Column:

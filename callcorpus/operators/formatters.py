@@ -115,7 +115,10 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
         rendered.alias("_cc_r"),
     )
     # the rendered struct is one column read twice, so it is computed once
-    staged = staged.select("*", F.col("_cc_r.text").alias("_cc_tools_text"), F.col("_cc_r.malformed").alias("_cc_tools_bad"))
+    staged = staged.select(
+        "*", F.col("_cc_r.text").alias("_cc_tools_text"), F.col("_cc_r.malformed").alias("_cc_tools_bad"),
+        F.when(F.col("_cc_call_obj"), first).alias("_cc_cv"),
+    )
     reason = (
         F.when(F.col("_cc_a").isNotNull() & ~F.col("_cc_a_ok"), F.lit("answers_unparseable"))
         .when(~F.col("_cc_has_call"), F.lit("no_call"))
@@ -124,16 +127,17 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
         .when(~F.col("_cc_call_obj"), F.lit("call_not_object"))
     )
     call = F.col("_cc_call")
+    cv = F.col("_cc_cv")  # the call object parsed once
     keys = F.json_object_keys(call)
     fn_json = F.coalesce(
-        F.when(F.array_contains(keys, "name"), J.py_dumps_at(call, "$.name"))
-        .when(F.array_contains(keys, "function"), J.py_dumps_at(call, "$.function"))
+        F.when(F.array_contains(keys, "name"), J.py_dumps_at(call, "$.name", cv))
+        .when(F.array_contains(keys, "function"), J.py_dumps_at(call, "$.function", cv))
         .otherwise(F.lit('""')),
         F.lit("null"),
     )
     args_json = F.coalesce(
-        F.when(F.array_contains(keys, "arguments"), J.py_dumps_at(call, "$.arguments"))
-        .when(F.array_contains(keys, "parameters"), J.py_dumps_at(call, "$.parameters"))
+        F.when(F.array_contains(keys, "arguments"), J.py_dumps_at(call, "$.arguments", cv))
+        .when(F.array_contains(keys, "parameters"), J.py_dumps_at(call, "$.parameters", cv))
         .otherwise(F.lit("{}")),
         F.lit("null"),
     )

@@ -48,10 +48,13 @@ def unpack(replies: DataFrame, tools_text: str) -> DataFrame:
     """
     unwrapped = unwrap(replies).filter(F.col("status") == "ok")
     items = unwrapped.select("batch_id", F.posexplode(F.from_json("items_json", "array<string>")).alias("item_pos", "item"))
+    # each item is parsed once (VARIANT) and reused by every field below
+    items = items.select("*", F.try_parse_json("item").alias("_cc_v"))
     keys = F.json_object_keys("item")
     ok = F.coalesce(F.forall(F.array(*[F.lit(k) for k in ITEM_KEYS]), lambda k: F.array_contains(keys, k)), F.lit(False))
-    query = py_str(F.try_variant_get(F.try_parse_json("item"), "$.query", "variant"))
-    text = training_text(query, J.py_dumps_at("item", "$.tool"), J.py_dumps_at("item", "$.arguments"), F.lit(tools_text))
+    v = F.col("_cc_v")
+    query = py_str(F.try_variant_get(v, "$.query", "variant"))
+    text = training_text(query, J.py_dumps_at("item", "$.tool", v), J.py_dumps_at("item", "$.arguments", v), F.lit(tools_text))
     return items.select(
         "batch_id",
         F.col("item_pos").cast("long").alias("item_pos"),

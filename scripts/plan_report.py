@@ -25,7 +25,7 @@ MARKERS = [
     ("bhj", r"BroadcastHashJoin"),
     ("bnlj", r"BroadcastNestedLoopJoin"),
     ("cartesian", r"CartesianProduct"),
-    ("partial_agg", r"(?:Hash|ObjectHash|Sort)Aggregate\(keys=\[[^\]]*\], functions=\[partial_"),
+    ("partial_agg", r"(?:Hash|ObjectHash|Sort)Aggregate\(keys?=\[[^\]]*\], functions=\[partial_"),
     ("wgl_partial", r"WindowGroupLimit .* Partial"),
     ("python", r"(?:ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow)"),
     ("topk", r"TakeOrderedAndProject"),
