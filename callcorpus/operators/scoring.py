@@ -46,6 +46,19 @@ def _normalised(obj_text: Column) -> Column:
     return _normalised_variant(F.try_parse_json(obj_text))
 
 
+EXPECTED_NORM = "_cc_expected_norm"
+
+
+def normalised_expected(expected: Column) -> Column:
+    """J9 of a golden call text: struct(fn, args) comparison text."""
+    return _normalised_variant(J.parsed(expected))
+
+
+def prepare_cases(cases: DataFrame, expected_col: str = "expected") -> DataFrame:
+    """Normalise each golden call once per case, before cases fan out to models."""
+    return cases.withColumn(EXPECTED_NORM, normalised_expected(F.col(expected_col)))
+
+
 def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict[str, Column]:
     """C1 ``compare_outputs`` as four boolean columns.
 
@@ -74,12 +87,14 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
     """
     # J2 as one parse of the text from the first '{' (see jsonx.first_object_value)
     with_pred = df.withColumn("_cc_first", J.first_object_value(F.col(raw_col)))
+    # the golden side may arrive normalised already (prepare_cases, once per case)
+    exp_norm = F.col(EXPECTED_NORM) if EXPECTED_NORM in df.columns else normalised_expected(F.col(expected_col))
     # normalised sides as columns of their own, so each is parsed once per row
     staged = with_pred.select(
         "*",
         F.col("_cc_first.text").alias("predicted"),
         _normalised_variant(F.col("_cc_first.value")).alias("_cc_p"),
-        _normalised_variant(J.parsed(F.col(expected_col))).alias("_cc_e"),
+        exp_norm.alias("_cc_e"),
     )
     fm = F.col("_cc_p.fn").eqNullSafe(F.col("_cc_e.fn"))
     am = F.col("_cc_p.args").eqNullSafe(F.col("_cc_e.args"))
@@ -90,7 +105,7 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
         am.alias("args_match"),
         F.col("predicted").isNotNull().alias("valid_json"),
     )
-    out = out.drop("_cc_p", "_cc_e", "_cc_first")
+    out = out.drop("_cc_p", "_cc_e", "_cc_first", *([EXPECTED_NORM] if EXPECTED_NORM in df.columns else []))
     if not strict_python:
         return out
     raw, exp = F.col(raw_col), F.col(expected_col)
@@ -156,6 +171,7 @@ def pair_predictions(cases: DataFrame, predictions: DataFrame, model_names: list
     shuffle join on a key that is unique per side (no hot key). A missing
     prediction scores as invalid JSON.
     """
+    cases = prepare_cases(cases) if EXPECTED_NORM not in cases.columns else cases
     keep = [m for m in model_names if m not in set(failed or [])]
     if not keep:
         return cases.select("*", F.lit(None).cast("string").alias("model_name"), F.lit(None).cast("string").alias("raw_output")).limit(0)
