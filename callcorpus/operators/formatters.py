@@ -322,6 +322,12 @@ def rejects(formatted: DataFrame, id_col: str = "id", preview_col: str | None =
     return keep_where(formatted, F.col("reject_reason").isNotNull()).select(id_col, "reject_reason", prev.alias("preview"))
 
 
+def reject_sample(formatted: DataFrame, id_col: str = "id", k: int = 3, preview_col: str | None = None) -> DataFrame:
+    """the first ``k`` rejected rows (by id) with their reasons -- the reference
+    prints the first three errors; the limit is the feature."""
+    return rejects(formatted, id_col, preview_col).orderBy(id_col).limit(k)
+
+
 def reject_counts(formatted: DataFrame) -> DataFrame:
     """``before - after`` broken down by reason (counted from the source)."""
     return keep_where(formatted, F.col("reject_reason").isNotNull()).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))

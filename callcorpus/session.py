@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="callcorpus-ckpt-")  # tests and local runs only
+    if not (sc.master or "").startswith("local"):
+        # a machine-local folder is not reachable from other executors: refuse
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/ABFS...) for positional operators")
+    local = tempfile.mkdtemp(prefix="callcorpus-ckpt-")  # local mode (tests, benchmarks) only
     sc.setCheckpointDir(local)
     return local

@@ -117,3 +117,9 @@ def read_models_config(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
         F.col("m.enabled").alias("enabled"),
     )
     return models, doc.select("default_settings.*")
+
+
+def read_teacher_replies(spark: SparkSession, path: str) -> DataFrame:
+    """U1 input: teacher replies ``(batch_id, content)`` from JSONL files -- one file per
+    call or many calls per file; a multi-file scan is the batch concatenation."""
+    return spark.read.schema("batch_id long, content string").json(path)

@@ -119,3 +119,15 @@ def test_chat_response_unpack(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "b string")
     rows = [(r.s.status, r.s.content) for r in df.select(SG.chat_response_content("b").alias("s")).collect()]
     assert rows == [("ok", '{"function": "f"}'), ("error", "timeout"), ("unexpected", None)]
+
+
+def test_teacher_replies_reader_and_reject_sample(spark):
+    from callcorpus.operators import formatters as FM
+
+    d = tempfile.mkdtemp()
+    _write(os.path.join(d, "b0.jsonl"), json.dumps({"batch_id": 0, "content": "[]"}) + "\n")
+    _write(os.path.join(d, "b1.jsonl"), json.dumps({"batch_id": 1, "content": "```json\n[]\n```"}) + "\n")
+    assert sorted(r.batch_id for r in readers.read_teacher_replies(spark, d).collect()) == [0, 1]
+    rows = spark.createDataFrame([(i, "q", "[]", "bad") for i in range(5)], "id long, query string, tools string, answers string")
+    sample = FM.reject_sample(FM.xlam_format(rows)).collect()
+    assert [(r.id, r.reject_reason) for r in sample] == [(0, "answers_unparseable"), (1, "answers_unparseable"), (2, "answers_unparseable")]
