@@ -97,11 +97,11 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
     staged = df.select(
         "*",
         a.alias("_cc_a"),
-        J.json_loads_ok(a).alias("_cc_a_ok"),
-        F.try_parse_json(a).alias("_cc_av"),
+        J.parsed(a).alias("_cc_av"),  # VARIANT exactly when json.loads succeeds
         tools.alias("_cc_tools"),
         query.cast("string").alias("_cc_q"),
     )
+    staged = staged.select("*", F.col("_cc_av").isNotNull().alias("_cc_a_ok"))
     av = F.col("_cc_av")
     ak = F.schema_of_variant(av)
     first = F.when(ak.startswith("ARRAY"), F.try_variant_get(av, "$[0]", "variant")).otherwise(av)
