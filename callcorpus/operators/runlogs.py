@@ -10,24 +10,41 @@ from ..functions.text import col_of, py_word_count
 MAX_SEQ_LENGTH = 2048
 
 
-def token_count(text: Column | str, tokenizer: str = "whitespace") -> Column:
-    """Pluggable token count. ``whitespace`` = ``len(text.split())`` (an approximation of
-    a model tokenizer; the real tokenizer is model internals and not built)."""
-    if tokenizer != "whitespace":
+def token_count(text: Column | str, tokenizer="whitespace") -> Column:
+    """Pluggable token count.
+
+    ``"whitespace"`` (default) = ``len(text.split())`` as a native expression, an
+    approximation of a model tokenizer. A callable ``list[str] -> list[int]`` (e.g. a
+    loaded tokenizer's batch encode + len) runs over Arrow batches as a pandas UDF;
+    no tokenizer model is bundled (model files are not part of this library).
+    """
+    if tokenizer == "whitespace":
+        return py_word_count(col_of(text))
+    if not callable(tokenizer):
         raise ValueError(f"unknown tokenizer {tokenizer!r}")
-    return py_word_count(col_of(text))
+    import pandas as pd
+    from pyspark.sql.types import LongType
+
+    @F.pandas_udf(LongType())
+    def _count(batch: pd.Series) -> pd.Series:
+        texts = batch.fillna("").tolist()
+        counts = pd.Series(tokenizer(texts), dtype="int64")
+        return counts.where(batch.notna().values, None)
+
+    return _count(col_of(text))
 
 
-def length_flags(df: DataFrame, text_col: str, budget: int = MAX_SEQ_LENGTH) -> DataFrame:
+def length_flags(df: DataFrame, text_col: str, budget: int = MAX_SEQ_LENGTH, tokenizer="whitespace") -> DataFrame:
     """Per-row token count and an over-budget flag."""
-    n = token_count(text_col)
+    n = token_count(text_col, tokenizer)
     return df.select("*", n.alias("n_tokens"), (n > budget).alias("over_budget"))
 
 
-def length_histogram(df: DataFrame, text_col: str, bucket_width: int = 512, n_buckets: int = 8, budget: int = MAX_SEQ_LENGTH) -> DataFrame:
+def length_histogram(df: DataFrame, text_col: str, bucket_width: int = 512, n_buckets: int = 8, budget: int = MAX_SEQ_LENGTH,
+                     tokenizer="whitespace") -> DataFrame:
     """Documents per token-length bucket (last bucket open-ended) and how many
     exceed the budget. A partial/final aggregate on a handful of buckets."""
-    n = token_count(text_col)
+    n = token_count(text_col, tokenizer)
     bucket = (F.least(F.floor(n / bucket_width), F.lit(n_buckets)) * bucket_width).cast("long")
     return df.select(bucket.alias("bucket"), n.alias("_n")).groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("_n") > budget).alias("n_over_budget")

@@ -251,10 +251,11 @@ def summary_document(board: DataFrame, dataset: str, run_ts: str) -> DataFrame:
 def numbered(details: DataFrame, order_by: str = "example_id") -> DataFrame:
     """1-based ``position`` and ``total`` per model, in ``order_by`` order.
 
-    The rank needs every row of a model in order; it is computed as
-    ``count(rows of the model with a smaller key) + 1`` via a range-free two-step
-    plan: a per-model window would place a hot model in one task, so the global
-    index of the split module is used per model instead when models are few.
+    A window partitioned by model would put a model that holds most rows into one
+    task. Instead the rows get a global index over ``(model_name, order_by)`` (range
+    partitioned, see ``split.global_row_index``); a model's position is its index
+    minus the model's first index, and the per-model starts (one row per model) are
+    broadcast.
     """
     from .split import global_row_index
 

@@ -59,3 +59,12 @@ def test_golden_case_13_missing_required(spark):
     calls = spark.createDataFrame([(13, '{"function": "update_action_item_tool", "arguments": {"completed": true}}')], "call_id long, call_json string")
     out = [(r.violation, r.param) for r in VL.validate_calls(calls, params).collect()]
     assert out == [("missing_required", "action_item_id")]
+
+
+def test_pluggable_tokenizer(spark):
+    from callcorpus.operators import runlogs
+
+    df = spark.createDataFrame([("a b c",), ("",), (None,)], "t string")
+    ws = [r.n for r in df.select(runlogs.token_count("t").alias("n")).collect()]
+    chars = [r.n for r in df.select(runlogs.token_count("t", lambda xs: [len(x) for x in xs]).alias("n")).collect()]
+    assert ws == [3, 0, None] and chars == [5, 0, None]
