@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from ..functions.text import col_of, py_word_count
 
@@ -22,9 +24,6 @@ def token_count(text: Column | str, tokenizer="whitespace") -> Column:
         return py_word_count(col_of(text))
     if not callable(tokenizer):
         raise ValueError(f"unknown tokenizer {tokenizer!r}")
-    import pandas as pd
-    from pyspark.sql.types import LongType
-
     @F.pandas_udf(LongType())
     def _count(batch: pd.Series) -> pd.Series:
         texts = batch.fillna("").tolist()
