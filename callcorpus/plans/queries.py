@@ -638,3 +638,112 @@ def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parsed = RLG.parse_eval_report(pages)
     return parsed.select("model_name", "position", "total", "passed", "command", "expected", "predicted", "raw_preview")
+
+
+# ---------------------------------------------------------------------------
+# prompts, summaries, file names, chat responses: F6 F7 F1c C4 K3 K5 J8
+# ---------------------------------------------------------------------------
+
+from ..functions import segments as SGM  # noqa: E402
+
+# The device name placed into catalog prompts, and the run time stamps.
+EVENTS_DEVICE = "Events Backend"
+RUN_TS_COMPACT = "20260101_000000"
+
+
+@register(
+    "eval_summary",
+    _ORACLE_PRED
+    + """
+SELECT model_name, COUNT(*) FILTER (WHERE exact_match)::BIGINT AS exact_match, COUNT(*)::BIGINT AS total,
+       printf('%.1f', (COUNT(*) FILTER (WHERE exact_match))::DOUBLE / COUNT(*) * 100) || '%' AS accuracy
+FROM v GROUP BY model_name
+""",
+)
+def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.summary(scoring.scoreboard(scored_details(spark, sf_dir), with_pct=False))
+
+
+@register(
+    "result_files",
+    f"""
+SELECT DISTINCT 'model_' || CAST(m AS VARCHAR) AS model_name,
+       'model_' || CAST(m AS VARCHAR) || '_{RUN_TS_COMPACT}.json' AS file_name
+FROM events, (VALUES (0), (1), (2), (3)) t(m)
+""",
+)
+def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    board = scoring.scoreboard(scored_details(spark, sf_dir), with_pct=False)
+    return scoring.result_file_names(board, RUN_TS_COMPACT)
+
+
+_ORACLE_SINGLE_CAT = f"""
+cat AS (
+  SELECT string_agg('- ' || et || '(k: integer, value?: number)' || {_NL} || '  Record one ' || et || ' event', {_NL} ORDER BY et) AS tt
+  FROM (SELECT DISTINCT event_type AS et FROM events))
+"""
+
+
+@register(
+    "eval_prompts",
+    "WITH "
+    + _ORACLE_SINGLE_CAT
+    + f"""
+SELECT event_id AS example_id,
+  'You are a function-calling assistant for {EVENTS_DEVICE}.' || {_NL} || {_NL} || 'Available functions:' || {_NL} || tt || {_NL} || {_NL}
+  || 'Convert the following command into a function call using ONLY the functions listed above.' || {_NL} || {_NL}
+  || 'Command: "record a ' || event_type || ' event"' || {_NL} || {_NL}
+  || 'Output ONLY valid JSON in this exact format:' || {_NL}
+  || '{{"function": "function_name", "arguments": {{"param": "value"}}}}' || {_NL} || {_NL} || 'JSON:' AS prompt
+FROM events, cat
+""",
+)
+def eval_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # F6 catalog branch: the catalog is rendered once (F1c lines joined by newlines)
+    single = CT.catalog_text(D.event_tools(spark, sf_dir).select("ord", "tool_json"), strict=True, single=True)
+    cases = D.eval_cases(spark, sf_dir)
+    return cases.select("example_id", FM.eval_prompt("command", single, EVENTS_DEVICE).alias("prompt"))
+
+
+@register(
+    "generation_prompts",
+    f"""
+WITH cat AS (
+  SELECT string_agg('- ' || et || '(k: integer, value?: number)' || {_NL} || '  Record one ' || et || ' event' || {_NL}, '' ORDER BY et) AS tt
+  FROM (SELECT DISTINCT event_type AS et FROM events))
+SELECT event_id AS example_id,
+  '<|im_start|>system' || {_NL} || 'You are a helpful assistant with access to functions. Use them when appropriate.'
+  || {_NL} || {_NL} || 'Available functions:' || {_NL} || tt || {_NL} || {_NL}
+  || 'Output format: {{"function": "function_name", "arguments": {{...}}}}' || '<|im_end|>' || {_NL}
+  || '<|im_start|>user' || {_NL} || 'record a ' || event_type || ' event' || '<|im_end|>' || {_NL}
+  || '<|im_start|>assistant' || {_NL} AS prompt
+FROM events, cat
+""",
+)
+def generation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # F7b with the strict catalog text (F1b), rendered once
+    tools_text = _event_tools_text(spark, sf_dir)
+    cases = D.eval_cases(spark, sf_dir)
+    return cases.select("example_id", FM.generation_prompt("command", F.lit(tools_text)).alias("prompt"))
+
+
+@register(
+    "chat_responses",
+    _ORACLE_PRED
+    + """
+SELECT model_name, example_id,
+       CASE WHEN example_id % 17 = 0 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN example_id % 17 = 0 THEN 'upstream timeout' ELSE raw_output END AS content
+FROM v
+""",
+)
+def chat_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # J8 over response bodies rendered from the predictions (every 17th is an error body)
+    preds = D.eval_predictions(spark, sf_dir)
+    ok_body = F.to_json(
+        F.struct(F.array(F.struct(F.struct(F.lit("assistant").alias("role"), F.col("raw_output").alias("content")).alias("message"))).alias("choices"))
+    )
+    err_body = F.lit('{"error": "upstream timeout"}')
+    bodies = preds.select("model_name", "example_id", F.when(F.col("example_id") % 17 == 0, err_body).otherwise(ok_body).alias("body"))
+    unpacked = bodies.select("model_name", "example_id", SGM.chat_response_content("body").alias("r"))
+    return unpacked.select("model_name", "example_id", F.col("r.status").alias("status"), F.col("r.content").alias("content"))
