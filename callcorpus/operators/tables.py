@@ -25,10 +25,20 @@ DEFAULT_STATUSES = "processing,completed"
 
 
 def _ts(value: str | None) -> Column | None:
-    """ISO-8601 text (offset allowed) -> TIMESTAMP_NTZ in the session time zone."""
+    """ISO-8601 text (offset allowed) -> a TIMESTAMP_NTZ literal in UTC.
+
+    Bounds are driver-side parameters: they are normalised here (offset applied, then
+    made naive) and cast from text, so the session time zone never shifts them.
+    Naive columns are read as UTC wall-clock times.
+    """
     if value is None:
         return None
-    return F.to_timestamp(F.lit(value)).cast("timestamp_ntz")
+    from datetime import datetime, timezone
+
+    t = datetime.fromisoformat(value.replace("Z", "+00:00"))
+    if t.tzinfo is not None:
+        t = t.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _clamp(limit: int | None, default_max: tuple[int, int]) -> int:

@@ -24,7 +24,7 @@ def get_spark(master: str | None = None, app: str = "callcorpus", shuffle_partit
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("CALLCORPUS_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CALLCORPUS_DRIVER_MEMORY", "16g"))
