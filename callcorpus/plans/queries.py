@@ -385,7 +385,7 @@ def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # table tools: R2 R3 R4 R5 R6 R7 R8 R11
 # ---------------------------------------------------------------------------
 
-from ..functions.text import PY_WHITESPACE as _WS, py_word_count  # noqa: E402
+from ..functions.text import PY_WHITESPACE as _WS  # noqa: E402
 from ..operators import tables as TB  # noqa: E402
 
 _RE2_WS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _WS) + "]"

@@ -1,6 +1,5 @@
 """End-to-end jobs and streaming forms."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F

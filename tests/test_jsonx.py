@@ -3,8 +3,6 @@
 import json
 import random
 
-from pyspark.sql import functions as F
-
 from callcorpus.functions import jsonx as J
 
 

@@ -4,8 +4,6 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
-
 from callcorpus.functions import segments as SG
 from callcorpus.operators import catalog
 from callcorpus.plans import jobs
