@@ -250,7 +250,7 @@ def catalog_text(tools: DataFrame, strict: bool = True, single: bool = False, ma
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.col("r.text").alias("t")))), lambda x: x["t"]), "\n").alias("body"),
         F.max(F.col("r.malformed").cast("int")).alias("bad"),
     ).first()
-    if row is None or row["body"] is None:
+    if row is None or not row["body"]:  # no tools: strict text is the header alone
         return "" if single else TOOLS_HEADER
     if row["nbytes"] is not None and row["nbytes"] > max_bytes:
         raise ValueError(f"catalog renders to {row['nbytes']} bytes; over the {max_bytes} byte bound")

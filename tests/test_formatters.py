@@ -136,3 +136,9 @@ def test_settings_merge():
     assert resolve_setting(None, {"max_new_tokens": 100}, "max_new_tokens", 50) == 100
     assert resolve_setting(0, {}, "max_new_tokens", 100) == 100
     assert resolve_setting("cpu", {"device": "auto"}, "device", "auto") == "cpu"
+
+
+def test_catalog_text_zero_tools(spark):
+    empty = spark.createDataFrame([], "ord int, tool_json string")
+    assert catalog.catalog_text(empty) == catalog.TOOLS_HEADER
+    assert catalog.catalog_text(empty, single=True) == ""
