@@ -238,6 +238,16 @@ def catalog_text(tools: DataFrame, strict: bool = True, single: bool = False, ma
     small; the size is checked rather than assumed. Aggregation happens in Spark
     (one row out), and only the final text reaches the driver.
     """
+    # the tool table is read twice (bound check, then render): keep it in memory in
+    # between so a derived catalog is computed once (a cache, recomputable from lineage)
+    tools = tools.select("ord", "tool_json").cache()
+    try:
+        return _render_catalog(tools, strict, single, max_bytes, max_tools)
+    finally:
+        tools.unpersist()
+
+
+def _render_catalog(tools: DataFrame, strict: bool, single: bool, max_bytes: int, max_tools: int) -> str:
     n_tools = tools.count()
     if n_tools > max_tools:
         raise ValueError(f"catalog has {n_tools} tools; over the {max_tools} tool bound")
