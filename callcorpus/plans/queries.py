@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import keep_where
-from ..operators import scoring
+from ..functions import jsonx as JX, segments as SG
+from ..functions.text import PY_WHITESPACE, keep_where
+from ..operators import catalog as CT, formatters as FM, runlogs as RLG, scoring, split as SP
+from ..operators import tables as TB, teacher as TC, validate as VL
 from . import derived as D
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,9 +125,6 @@ def eval_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
 # formatting: F1 F2 F3 F4 F9 P1-P4 J1 J6 J7
 # ---------------------------------------------------------------------------
 
-from ..functions.text import PY_WHITESPACE  # noqa: E402
-from ..operators import formatters as FM  # noqa: E402
-from ..functions import segments as SG  # noqa: E402
 
 _NL = "chr(10)"
 _WS_LIT = "'" + PY_WHITESPACE.replace("'", "''") + "'"
@@ -249,7 +248,6 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 # splits: T1 T2 L1 C6 (documents)
 # ---------------------------------------------------------------------------
 
-from ..operators import split as SP  # noqa: E402
 
 _ORACLE_HASH_SPLIT = """
 WITH r AS (
@@ -297,8 +295,6 @@ def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 # teacher replies: J3 J4 J5 F5 F1b C8 U1
 # ---------------------------------------------------------------------------
 
-from ..operators import catalog as CT  # noqa: E402
-from ..operators import teacher as TC  # noqa: E402
 
 _ORACLE_TEACHER = f"""
 WITH cat AS (
@@ -358,8 +354,6 @@ def teacher_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
 # validation: R1 (with the S5 catalog normalisation)
 # ---------------------------------------------------------------------------
 
-from ..operators import validate as VL  # noqa: E402
-
 
 @register(
     "validate_calls",
@@ -385,10 +379,8 @@ def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 # table tools: R2 R3 R4 R5 R6 R7 R8 R11
 # ---------------------------------------------------------------------------
 
-from ..functions.text import PY_WHITESPACE as _WS  # noqa: E402
-from ..operators import tables as TB  # noqa: E402
 
-_RE2_WS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _WS) + "]"
+_RE2_WS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in PY_WHITESPACE) + "]"
 
 
 @register(
@@ -572,9 +564,6 @@ def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 # run artefacts: R9 R10
 # ---------------------------------------------------------------------------
 
-from ..functions import jsonx as JX  # noqa: E402
-from ..operators import runlogs as RLG  # noqa: E402
-
 
 @register(
     "run_metrics",
@@ -644,7 +633,6 @@ def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # prompts, summaries, file names, chat responses: F6 F7 F1c C4 K3 K5 J8
 # ---------------------------------------------------------------------------
 
-from ..functions import segments as SGM  # noqa: E402
 
 # The device name placed into catalog prompts, and the run time stamps.
 EVENTS_DEVICE = "Events Backend"
@@ -745,5 +733,5 @@ def chat_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     err_body = F.lit('{"error": "upstream timeout"}')
     bodies = preds.select("model_name", "example_id", F.when(F.col("example_id") % 17 == 0, err_body).otherwise(ok_body).alias("body"))
-    unpacked = bodies.select("model_name", "example_id", SGM.chat_response_content("body").alias("r"))
+    unpacked = bodies.select("model_name", "example_id", SG.chat_response_content("body").alias("r"))
     return unpacked.select("model_name", "example_id", F.col("r.status").alias("status"), F.col("r.content").alias("content"))
