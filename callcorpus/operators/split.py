@@ -12,8 +12,12 @@ one task. Exact positional work therefore goes through ``global_row_index``:
    prefix offsets and broadcast them (bounded by the partition count);
 4. global index = partition offset + position inside the partition.
 
-Splits only need the *k*-th key, so they index a narrow projection (key columns
-only) and then filter the full rows against one scalar threshold -- no join back.
+Splits only need the *k*-th key. With a numeric first key they find it by selection
+(``kth_row_keys_select``): approximate percentiles bracket the k-th row, one pass
+counts below and inside the bracket, and only the bracket's rows are indexed -- no
+sort of the whole key set. Otherwise they index a narrow projection (key columns
+only). Either way the full rows are then filtered against one scalar threshold -- no
+join back.
 """
 
 from __future__ import annotations
@@ -90,6 +94,41 @@ def kth_row_keys(df: DataFrame, key_cols: Sequence[str], k) -> tuple[tuple | Non
     return tuple(row), total
 
 
+def _numeric_first_key(df: DataFrame, key_cols: Sequence[str]) -> bool:
+    from pyspark.sql.types import NumericType
+
+    return isinstance(df.schema[key_cols[0]].dataType, NumericType)
+
+
+def kth_row_keys_select(df: DataFrame, key_cols: Sequence[str], fraction: float, k_of_total, accuracy: int = 100_000) -> tuple[tuple | None, int]:
+    """Exact k-th key by selection, for a numeric first key column (no full sort).
+
+    1. one aggregate: row count + approximate percentiles that bracket ``fraction``;
+    2. one pass: rows below the bracket, rows inside it;
+    3. only the rows inside the bracket (about ``4n/accuracy``) are indexed exactly.
+    If the bracket misses the k-th row, the full global index is used instead.
+    """
+    first = F.col(key_cols[0])
+    eps = 2.0 / accuracy
+    lo_q, hi_q = max(0.0, fraction - eps), min(1.0, fraction + eps)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(first, [lo_q, hi_q], accuracy).alias("b")).first()
+    n = row["n"]
+    k = k_of_total(n)
+    if k <= 0 or n == 0:
+        return None, n
+    k = min(k, n)
+    lo, hi = row["b"]
+    lo = None if lo_q <= 0.0 else lo
+    hi = None if hi_q >= 1.0 else hi
+    below = first < F.lit(lo) if lo is not None else F.lit(False)
+    inside = (first >= F.lit(lo) if lo is not None else F.lit(True)) & (first <= F.lit(hi) if hi is not None else F.lit(True))
+    c = df.agg(F.count_if(below).alias("lo"), F.count_if(inside).alias("in")).first()
+    if c["lo"] < k <= c["lo"] + c["in"]:
+        kth, _ = kth_row_keys(df.filter(inside), key_cols, k - c["lo"])
+        return kth, n
+    return kth_row_keys(df, key_cols, k)
+
+
 def _le_keys(key_cols: Sequence[str], values: tuple) -> Column:
     """Lexicographic ``(key_cols) <= values``; NULLs first like ascending sort."""
     cond = F.lit(True)
@@ -114,20 +153,31 @@ def hash_split(
     reference library's permutation.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    keyed = df.withColumn("_cc_hkey", key)
-    kth, _ = kth_row_keys(keyed, ["_cc_hkey", id_col], lambda n: math.ceil(n * test_fraction))
+    # (first 60 bits as a number, full hash, id) orders exactly like (hash, id) and
+    # gives the selection a uniform numeric key
+    keyed = df.withColumn("_cc_hkey", key).withColumn(
+        "_cc_hnum", F.conv(F.substring("_cc_hkey", 1, 15), 16, 10).cast("long")
+    )
+    keys = ["_cc_hnum", "_cc_hkey", id_col]
+    kth, _ = kth_row_keys_select(keyed, keys, test_fraction, lambda n: math.ceil(n * test_fraction))
     if kth is None:
-        return keyed.withColumn(split_col, F.lit(names[0])).drop("_cc_hkey")
-    is_val = _le_keys(["_cc_hkey", id_col], kth)
-    return keyed.withColumn(split_col, F.when(is_val, names[1]).otherwise(names[0])).drop("_cc_hkey")
+        return keyed.withColumn(split_col, F.lit(names[0])).drop("_cc_hkey", "_cc_hnum")
+    is_val = _le_keys(keys, kth)
+    return keyed.withColumn(split_col, F.when(is_val, names[1]).otherwise(names[0])).drop("_cc_hkey", "_cc_hnum")
 
 
 def ordered_split(
     df: DataFrame, order_cols: Sequence[str], train_fraction: float = 0.95, split_col: str = "split",
     names: tuple[str, str] = ("train", "val"),
 ) -> DataFrame:
-    """The first ``int(n * f)`` rows in ``order_cols`` order train, the rest val."""
-    kth, _ = kth_row_keys(df, list(order_cols), lambda n: int(n * train_fraction))
+    """The first ``int(n * f)`` rows in ``order_cols`` order train, the rest val.
+
+    A numeric first order column takes the selection path (no full sort)."""
+    cols = list(order_cols)
+    if _numeric_first_key(df, cols):
+        kth, _ = kth_row_keys_select(df, cols, train_fraction, lambda n: int(n * train_fraction))
+    else:
+        kth, _ = kth_row_keys(df, cols, lambda n: int(n * train_fraction))
     if kth is None:
         return df.withColumn(split_col, F.lit(names[1]))
     return df.withColumn(split_col, F.when(_le_keys(list(order_cols), kth), names[0]).otherwise(names[1]))

@@ -68,3 +68,11 @@ def test_pluggable_tokenizer(spark):
     ws = [r.n for r in df.select(runlogs.token_count("t").alias("n")).collect()]
     chars = [r.n for r in df.select(runlogs.token_count("t", lambda xs: [len(x) for x in xs]).alias("n")).collect()]
     assert ws == [3, 0, None] and chars == [5, 0, None]
+
+
+def test_selection_matches_full_index_and_falls_back(spark):
+    df = spark.range(20000).select((F.col("id") * 7919 % 20000).alias("k"), F.col("id"))
+    want, n = SP.kth_row_keys(df, ["k", "id"], 1000)
+    hit, _ = SP.kth_row_keys_select(df, ["k", "id"], 1000 / 20000, lambda n: 1000)
+    miss, _ = SP.kth_row_keys_select(df, ["k", "id"], 0.5, lambda n: 1000)  # bracket aims elsewhere
+    assert want == hit == miss and n == 20000
