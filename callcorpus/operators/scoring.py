@@ -268,6 +268,17 @@ def numbered(details: DataFrame, order_by: str = "example_id") -> DataFrame:
     )
 
 
+def number_cases(cases: DataFrame, order_by: str = "example_id") -> DataFrame:
+    """W1 as the reference prints it: ``[i/total]`` is the case's 1-based position in
+    the dataset and the dataset size, the same for every model. Computed once over
+    the N cases (global index, no single-task window), then carried through the
+    model fan-out -- not recomputed over N x models details."""
+    from .split import indexed_with_total
+
+    idx, total = indexed_with_total(cases, [F.col(order_by)], "_cc_case_idx")
+    return idx.withColumn("position", F.col("_cc_case_idx") + 1).withColumn("total", F.lit(total).cast("long")).drop("_cc_case_idx")
+
+
 def failures(details: DataFrame, verbose: bool = False) -> DataFrame:
     """P6 + P7: rows the report prints (all when verbose, else the non-exact ones),
     with the 100-character raw preview."""

@@ -35,8 +35,10 @@ def register(name: str, oracle: str | None = None):
 # scoring: J2 J9 N1 N2 C1 C2 C3 C5 W1 P6 P7
 # ---------------------------------------------------------------------------
 
-def scored_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_details(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     cases = D.eval_cases(spark, sf_dir)
+    if numbered:
+        cases = scoring.number_cases(cases)
     preds = D.eval_predictions(spark, sf_dir)
     paired = scoring.pair_predictions(cases, preds, D.MODEL_NAMES)
     return scoring.score_rows(paired)
@@ -117,8 +119,7 @@ FROM events, (VALUES (0), (1), (2), (3)) t(m)
 """,
 )
 def eval_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = scored_details(spark, sf_dir).select("model_name", "example_id", "exact_match")
-    return scoring.numbered(details).select("model_name", "example_id", "position", "total")
+    return scored_details(spark, sf_dir, numbered=True).select("model_name", "example_id", "position", "total")
 
 
 # ---------------------------------------------------------------------------
@@ -616,10 +617,8 @@ FROM n WHERE NOT exact_match
 """,
 )
 def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details = scored_details(spark, sf_dir)
-    numbered = scoring.numbered(details).withColumn(
-        "predicted_json", F.coalesce(JX.py_dumps_at("predicted", "$"), F.lit("null"))
-    )
+    details = scored_details(spark, sf_dir, numbered=True)
+    numbered = details.withColumn("predicted_json", F.coalesce(JX.py_dumps_at("predicted", "$"), F.lit("null")))
     blocks = RLG.render_report_lines(numbered)
     # one report text per (model, page of 1000 cases): bounded texts, parsed in parallel
     pages = blocks.groupBy("model_name", (F.col("position") / REPORT_PAGE).cast("long").alias("page")).agg(
