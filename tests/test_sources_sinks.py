@@ -129,3 +129,16 @@ def test_teacher_replies_reader_and_reject_sample(spark):
     rows = spark.createDataFrame([(i, "q", "[]", "bad") for i in range(5)], "id long, query string, tools string, answers string")
     sample = FM.reject_sample(FM.xlam_format(rows)).collect()
     assert [(r.id, r.reject_reason) for r in sample] == [(0, "answers_unparseable"), (1, "answers_unparseable"), (2, "answers_unparseable")]
+
+
+def test_validate_extracted_calls(spark):
+    cases = spark.createDataFrame([(0, "c", '{"function": "make_item", "arguments": {"description": "x"}}')], "example_id long, command string, expected string")
+    preds = spark.createDataFrame([("m", 0, 'Sure {"function": "make_item", "arguments": {"due": 1}} done')], "model_name string, example_id long, raw_output string")
+    ev = jobs.evaluate(cases, preds, ["m"])
+    tool = '{"name": "make_item", "description": "Create", "parameters": {"type": "object", "properties": {"description": {"type": "string"}}, "required": ["description"]}}'
+    tools = spark.createDataFrame([("d", 0, "make_item", "Create", tool)], "device string, ord int, name string, description string, tool_json string")
+    calls = ev.details.select(ev.details.example_id.alias("call_id"), ev.details.predicted.alias("call_json"))
+    from callcorpus.operators import validate
+
+    got = sorted((r.violation, r.param) for r in validate.validate_calls(calls, catalog.catalog_params(tools)).collect())
+    assert got == [("missing_required", "description"), ("unknown_param", "due")]
