@@ -182,6 +182,18 @@ def vector_topk(
     return out
 
 
+def vector_search(corpus: DataFrame, queries, id_col: str, vec_col: str, limit: int | None = None) -> DataFrame:
+    """R4 ``vector_search``: top ``limit`` per query (default 5, at most 20)."""
+    return vector_topk(corpus, queries, id_col, vec_col, max(1, _clamp(limit, VECTOR_LIMIT)))
+
+
+def paged_search(corpus: DataFrame, queries, id_col: str, vec_col: str, page: int = 1, per_page: int | None = None) -> DataFrame:
+    """R5 ``search``: page ``page`` (from 1) of ``per_page`` results (default 10, at most 100)."""
+    n = max(1, _clamp(per_page, SEARCH_PER_PAGE))
+    p = max(1, int(page or 1))
+    return vector_topk(corpus, queries, id_col, vec_col, p * n, rank_from=(p - 1) * n + 1)
+
+
 def label_centroids(corpus: DataFrame, label_col: str, vec_col: str) -> DataFrame:
     """Mean vector per label: posexplode + partial/final average per (label, dim)."""
     flat = corpus.select(label_col, F.posexplode(vec_col).alias("pos", "x"))

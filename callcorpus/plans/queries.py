@@ -498,7 +498,7 @@ def _centroid_queries(spark: SparkSession, sf_dir: str):
 )
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb, qs = _centroid_queries(spark, sf_dir)
-    out = TB.vector_topk(emb, qs, "vec_id", "embedding", 5)
+    out = TB.vector_search(emb, qs, "vec_id", "embedding")  # default limit 5
     return out.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
@@ -510,8 +510,7 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Page 2 of 10 results per page -> ranks 11..20
     emb, qs = _centroid_queries(spark, sf_dir)
-    per_page, pg = 10, 2
-    out = TB.vector_topk(emb, qs, "vec_id", "embedding", pg * per_page, rank_from=(pg - 1) * per_page + 1)
+    out = TB.paged_search(emb, qs, "vec_id", "embedding", page=2)  # default 10 per page
     return out.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
