@@ -226,3 +226,20 @@ def upsert_state(updates: DataFrame, key_col: str, order_cols: Sequence[str], fi
     order = F.struct(*[F.col(c) for c in order_cols])
     aggs = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), order)).alias(f) for f in fields]
     return updates.groupBy(key_col).agg(F.count(F.lit(1)).alias("n_updates"), *aggs)
+
+
+def conversations_with_transcripts(
+    page_df: DataFrame, conv_id_col: str, segments: DataFrame, seg_conv_col: str, order_col: str, speaker_col: str,
+    text_col: str, include_transcript: bool = True, max_transcript_segments: int = 0, include_timestamps: bool = False,
+) -> DataFrame:
+    """R2 + R3: a page of conversations (``conversations_query`` output) with their
+    transcripts. Segments are gathered only for the page's ids: the page holds at
+    most 5000 rows (the declared maximum), so its id list is broadcast into a
+    left-semi join before any gather."""
+    if not include_transcript or max_transcript_segments == 0:
+        return page_df.withColumn("transcript", F.lit(None).cast("string"))
+    ids = page_df.select(F.col(conv_id_col).alias(seg_conv_col)).distinct()
+    wanted = segments.join(F.broadcast(ids), seg_conv_col, "left_semi")
+    tr = transcripts(wanted, seg_conv_col, order_col, speaker_col, text_col, max_transcript_segments, include_timestamps)
+    tr = tr.select(F.col(seg_conv_col).alias("_cc_conv"), "transcript")
+    return page_df.join(tr, page_df[conv_id_col] == tr["_cc_conv"], "left").drop("_cc_conv")

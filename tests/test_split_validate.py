@@ -76,3 +76,20 @@ def test_selection_matches_full_index_and_falls_back(spark):
     hit, _ = SP.kth_row_keys_select(df, ["k", "id"], 1000 / 20000, lambda n: 1000)
     miss, _ = SP.kth_row_keys_select(df, ["k", "id"], 0.5, lambda n: 1000)  # bracket aims elsewhere
     assert want == hit == miss and n == 20000
+
+
+def test_conversations_with_transcripts(spark):
+    from callcorpus.operators import tables as TB
+
+    convs = spark.createDataFrame(
+        [(1, "2024-01-02 00:00:00", "completed"), (2, "2024-01-03 00:00:00", "processing"), (3, "2024-01-04 00:00:00", "failed")],
+        "id long, created string, status string",
+    ).withColumn("created", F.col("created").cast("timestamp_ntz"))
+    segs = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 2, "user", "x"), (2, 0, "user", "a")],
+                                 "conv_id long, turn long, role string, text string")
+    page = TB.conversations_query(convs, "created", "status", "id")  # default statuses drop conv 3
+    out = {r.id: r.transcript for r in TB.conversations_with_transcripts(page, "id", segs, "conv_id", "turn", "role", "text",
+                                                                        max_transcript_segments=2).collect()}
+    assert out == {1: "user: hi\nassistant: yo", 2: "user: a"}
+    none = TB.conversations_with_transcripts(page, "id", segs, "conv_id", "turn", "role", "text", include_transcript=False)
+    assert {r.transcript for r in none.collect()} == {None}
