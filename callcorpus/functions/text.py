@@ -81,3 +81,9 @@ def keep_where(df, cond: Column):
     """
     keep = F.explode(F.array_repeat(F.lit(True), F.when(cond, F.lit(1)).otherwise(F.lit(0)))).alias("_cc_keep")
     return df.select("*", keep).drop("_cc_keep")
+
+
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """``broadcast(df)`` when a count proves it at most ``max_rows`` rows, else ``df``
+    unchanged (the planner then picks a shuffle join)."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions import jsonx as J
-from ..functions.text import clean_model_name, col_of, keep_where, let, preview
+from ..functions.text import broadcast_if_small, clean_model_name, col_of, keep_where, let, preview
 
 
 # ---------------------------------------------------------------------------
@@ -252,14 +252,14 @@ def numbered(details: DataFrame, order_by: str = "example_id") -> DataFrame:
     task. Instead the rows get a global index over ``(model_name, order_by)`` (range
     partitioned, see ``split.global_row_index``); a model's position is its index
     minus the model's first index, and the per-model starts (one row per model) are
-    broadcast.
+    broadcast after a count proves them small.
     """
     from .split import global_row_index
 
     indexed = global_row_index(details, [F.col("model_name"), F.col(order_by)], index_col="_gidx")
     starts = indexed.groupBy("model_name").agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("total"))
     return (
-        indexed.join(F.broadcast(starts), "model_name")
+        indexed.join(broadcast_if_small(starts), "model_name")
         .withColumn("position", F.col("_gidx") - F.col("_start") + 1)
         .drop("_gidx", "_start")
     )

@@ -12,6 +12,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.text import broadcast_if_small
 from .split import page
 
 # Limits declared by the catalog (default, maximum).
@@ -234,12 +235,12 @@ def conversations_with_transcripts(
 ) -> DataFrame:
     """R2 + R3: a page of conversations (``conversations_query`` output) with their
     transcripts. Segments are gathered only for the page's ids: the page holds at
-    most 5000 rows (the declared maximum), so its id list is broadcast into a
-    left-semi join before any gather."""
+    most 5000 rows (the declared maximum), so its id list is broadcast -- after a
+    count confirms it -- into a left-semi join before any gather."""
     if not include_transcript or max_transcript_segments == 0:
         return page_df.withColumn("transcript", F.lit(None).cast("string"))
     ids = page_df.select(F.col(conv_id_col).alias(seg_conv_col)).distinct()
-    wanted = segments.join(F.broadcast(ids), seg_conv_col, "left_semi")
+    wanted = segments.join(broadcast_if_small(ids, 10_000), seg_conv_col, "left_semi")
     tr = transcripts(wanted, seg_conv_col, order_col, speaker_col, text_col, max_transcript_segments, include_timestamps)
     tr = tr.select(F.col(seg_conv_col).alias("_cc_conv"), "transcript")
     return page_df.join(tr, page_df[conv_id_col] == tr["_cc_conv"], "left").drop("_cc_conv")
