@@ -142,3 +142,14 @@ def test_validate_extracted_calls(spark):
 
     got = sorted((r.violation, r.param) for r in validate.validate_calls(calls, catalog.catalog_params(tools)).collect())
     assert got == [("missing_required", "description"), ("unknown_param", "due")]
+
+
+def test_summary_only_when_not_exactly_one_model(spark):
+    cases = spark.createDataFrame([(0, "c", '{"function": "f", "arguments": {}}')], "example_id long, command string, expected string")
+    preds = spark.createDataFrame([("a", 0, '{"function": "f", "arguments": {}}')], "model_name string, example_id long, raw_output string")
+    one = tempfile.mkdtemp()
+    jobs.evaluate(cases, preds, ["a", "b"], failed=["b"], output_dir=one)
+    assert not os.path.exists(os.path.join(one, "summary"))
+    two = tempfile.mkdtemp()
+    jobs.evaluate(cases, preds, ["a", "b"], output_dir=two)
+    assert os.path.exists(os.path.join(two, "summary"))
