@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, app: str = "callcorpus", shuffle_partit
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CALLCORPUS_DRIVER_MEMORY", "16g"))
     )
+    if os.environ.get("CALLCORPUS_ANSI") is not None:  # test knob: run under either SQL mode
+        builder = builder.config("spark.sql.ansi.enabled", os.environ["CALLCORPUS_ANSI"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
