@@ -93,3 +93,11 @@ def test_conversations_with_transcripts(spark):
     assert out == {1: "user: hi\nassistant: yo", 2: "user: a"}
     none = TB.conversations_with_transcripts(page, "id", segs, "conv_id", "turn", "role", "text", include_transcript=False)
     assert {r.transcript for r in none.collect()} == {None}
+
+
+def test_hash_split_reproducible_across_partitionings(spark):
+    df = spark.range(5000).withColumnRenamed("id", "doc_id")
+    a = {r.doc_id for r in SP.hash_split(df, "doc_id").filter("split = 'val'").collect()}
+    b = {r.doc_id for r in SP.hash_split(df.repartition(7), "doc_id").filter("split = 'val'").collect()}
+    c = {r.doc_id for r in SP.hash_split(df, "doc_id", seed=7).filter("split = 'val'").collect()}
+    assert a == b and len(a) == 250 and a != c and len(c) == 250
