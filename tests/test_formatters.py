@@ -100,7 +100,7 @@ def test_hermes_rules(spark):
 def test_registry():
     import pytest
 
-    assert FM.get_formatter("Salesforce/xlam-function-calling-60k") is FM.xlam_format
+    assert FM.get_formatter("org/xlam-style-calls") is FM.xlam_format
     with pytest.raises(ValueError):
         FM.get_formatter("glaive-function-calling-v2")
     assert FM.get_formatter("glaive-function-calling-v2", include_disabled=True) is FM.glaive_format
@@ -123,8 +123,8 @@ def test_prompts(spark):
     plain = df.select(FM.eval_prompt("c").alias("p")).first().p
     assert plain.startswith("Convert the following voice command into a JSON function call.")
     assert '\nCommand: "hang up"\n' in plain and plain.endswith("JSON:") and "- check_battery() - Check battery level\n" in plain
-    cat = df.select(FM.eval_prompt("c", "- f(x: string)\n  d", "Omi Wearable Backend").alias("p")).first().p
-    assert cat.startswith("You are a function-calling assistant for Omi Wearable Backend.\n\nAvailable functions:\n- f(x: string)\n  d\n\n")
+    cat = df.select(FM.eval_prompt("c", "- f(x: string)\n  d", "Test Device Backend").alias("p")).first().p
+    assert cat.startswith("You are a function-calling assistant for Test Device Backend.\n\nAvailable functions:\n- f(x: string)\n  d\n\n")
     gen = df.select(FM.generation_prompt("c", F.lit("")).alias("p")).first().p
     assert gen.endswith("<|im_start|>user\nhang up<|im_end|>\n<|im_start|>assistant\n")
     assert FM.chat_system_prompt(None) == "You are a helpful assistant."

@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 def test_prepare_corpus_end_to_end(spark):
     raw = D.xlam_rows(spark, SF_SMALL)
     out_dir = tempfile.mkdtemp(prefix="cc-corpus-")
-    res = jobs.prepare_corpus(spark, raw, "Salesforce/xlam-function-calling-60k", output_dir=out_dir)
+    res = jobs.prepare_corpus(spark, raw, "org/xlam-style-calls", output_dir=out_dir)
     n_src = raw.count()
     n_rej = res.rejects.count()
     counts = {r.split: r.n for r in res.counts.collect()}

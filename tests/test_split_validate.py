@@ -54,7 +54,7 @@ def test_golden_case_13_missing_required(spark):
         '"properties": {"action_item_id": {"type": "string"}, "completed": {"type": "boolean"}, '
         '"description": {"type": "string"}, "due_at": {"type": "string"}}, "required": ["action_item_id"]}}'
     )
-    tools = spark.createDataFrame([("omi", 0, "update_action_item_tool", "", tool)], "device string, ord int, name string, description string, tool_json string")
+    tools = spark.createDataFrame([("device", 0, "update_action_item_tool", "", tool)], "device string, ord int, name string, description string, tool_json string")
     params = catalog.catalog_params(tools)
     calls = spark.createDataFrame([(13, '{"function": "update_action_item_tool", "arguments": {"completed": true}}')], "call_id long, call_json string")
     out = [(r.violation, r.param) for r in VL.validate_calls(calls, params).collect()]
