@@ -38,7 +38,7 @@ def prepare_corpus(
     max_samples: int | None = None, val_split: float = 0.05, seed: int = 42, output_dir: str | None = None,
     include_disabled: bool = False,
 ) -> PreparedCorpus:
-    """``prepare.py main``: the formatter is chosen at plan time (F8), the limit is
+    """Corpus preparation: the formatter is chosen at plan time (F8), the limit is
     applied before formatting (L1, ordered by ``id_col``), failures are counted
     from the source (F9), the split is exact-size and reproducible (T1)."""
     fmt = FM.get_formatter(formatter_name or dataset_name, include_disabled=include_disabled)
@@ -62,7 +62,7 @@ def evaluate(
     cases: DataFrame, predictions: DataFrame, model_names: list[str], failed: list[str] | None = None,
     dataset: str = "", run_ts: str = "", output_dir: str | None = None,
 ) -> Evaluation:
-    """``evaluate.py main`` after generation: pair, score, aggregate, report."""
+    """Evaluation after generation: pair, score, aggregate, report."""
     details = scoring.score_rows(scoring.pair_predictions(cases, predictions, model_names, failed))
     board = scoring.scoreboard(details)
     doc = scoring.summary_document(board, dataset, run_ts)
@@ -77,7 +77,7 @@ def evaluate(
 
 def unpack_teacher(replies: DataFrame, tools_text: str, per_batch: int = 10, train_fraction: float = 0.95,
                    output_dir: str | None = None, dataset_name: str = "omi_synthetic") -> tuple[DataFrame, DataFrame]:
-    """``generate_synthetic.py`` after the teacher calls: unpack, concatenate in batch
+    """Synthetic examples after the teacher calls: unpack, concatenate in batch
     order (U1), ordered 95/5 split (T2), write (K2). Returns (examples, yield)."""
     items = TC.unpack(replies, tools_text)
     examples = items.filter("item_ok").select("batch_id", "item_pos", "text")
