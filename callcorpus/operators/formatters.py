@@ -24,6 +24,18 @@ IM_END = "<|im_end|>"
 END_OF_TEXT = "<|endoftext|>"
 # Default system text of the transcript formatter.
 DEFAULT_SYSTEM = "You are a helpful assistant."
+# Evaluation prompt templates (F6), catalog branch then plain branch,
+# and the chat client's system text with a catalog.
+CATALOG_PROMPT_HEAD = (
+    "You are a function-calling assistant for {device}.\n\nAvailable functions:\n{tools}\n\n"
+    "Convert the following command into a function call using ONLY the functions listed above.\n\nCommand: \""
+)
+CATALOG_PROMPT_TAIL = (
+    '"\n\nOutput ONLY valid JSON in this exact format:\n{"function": "function_name", "arguments": {"param": "value"}}\n\nJSON:'
+)
+PLAIN_PROMPT_HEAD = "Convert the following voice command into a JSON function call.\n\nAvailable functions:\n{tools}\n\nCommand: \""
+PLAIN_PROMPT_TAIL = '"\n\nOutput only valid JSON in this format:\n{"function": "function_name", "arguments": {"param": "value"}}\n\nJSON:'
+CHAT_SYSTEM_WITH_TOOLS = '{prefix}\n\nAvailable functions:\n{tools}\n\nOutput format: {{"function": "function_name", "arguments": {{...}}}}'
 # Reject reasons, in the order the reference would hit them.
 REJECT_REASONS = ("answers_unparseable", "no_call", "tools_malformed", "no_query", "call_not_object")
 
@@ -228,32 +240,20 @@ def hermes_format(df: DataFrame) -> DataFrame:
 
 def eval_prompt(command: Column | str, tools_single_text: str | None = None, device: str | None = None) -> Column:
     """F6 ``create_prompt``: catalog branch (device name + single-tool lines) or the
-    fixed earbud text. The catalog is rendered once (``catalog.catalog_text``)."""
-    cmd = col_of(command)
+    fixed earbud text. The catalog is rendered once (``catalog.catalog_text``); the
+    command is placed raw between quotes."""
     if tools_single_text is not None:
-        head = (
-            f"You are a function-calling assistant for {device or 'device'}.\n\nAvailable functions:\n"
-            f"{tools_single_text}\n\nConvert the following command into a function call using ONLY the "
-            'functions listed above.\n\nCommand: "'
-        )
-        tail = '"\n\nOutput ONLY valid JSON in this exact format:\n{"function": "function_name", "arguments": {"param": "value"}}\n\nJSON:'
+        head, tail = CATALOG_PROMPT_HEAD.format(device=device or "device", tools=tools_single_text), CATALOG_PROMPT_TAIL
     else:
-        head = (
-            "Convert the following voice command into a JSON function call.\n\nAvailable functions:\n"
-            f"{EARBUD_FUNCTIONS_TEXT}\n\nCommand: \""
-        )
-        tail = '"\n\nOutput only valid JSON in this format:\n{"function": "function_name", "arguments": {"param": "value"}}\n\nJSON:'
-    return F.concat(F.lit(head), cmd, F.lit(tail))
+        head, tail = PLAIN_PROMPT_HEAD.format(tools=EARBUD_FUNCTIONS_TEXT), PLAIN_PROMPT_TAIL
+    return F.concat(F.lit(head), col_of(command), F.lit(tail))
 
 
 def chat_system_prompt(tools_single_text: str | None) -> str:
     """F7a system text of the chat client (driver-side constant per catalog)."""
     if tools_single_text is None:
         return DEFAULT_SYSTEM
-    return (
-        f"{SYSTEM_PREFIX}\n\nAvailable functions:\n{tools_single_text}\n\n"
-        'Output format: {"function": "function_name", "arguments": {...}}'
-    )
+    return CHAT_SYSTEM_WITH_TOOLS.format(prefix=SYSTEM_PREFIX, tools=tools_single_text)
 
 
 def chat_messages(user: Column | str, system_text: str) -> Column:

@@ -128,6 +128,10 @@ def test_prompts(spark):
     gen = df.select(FM.generation_prompt("c", F.lit("")).alias("p")).first().p
     assert gen.endswith("<|im_start|>user\nhang up<|im_end|>\n<|im_start|>assistant\n")
     assert FM.chat_system_prompt(None) == "You are a helpful assistant."
+    assert FM.chat_system_prompt("- f()\n  d") == (
+        "You are a helpful assistant with access to functions. Use them when appropriate.\n\nAvailable functions:\n"
+        '- f()\n  d\n\nOutput format: {"function": "function_name", "arguments": {...}}'
+    )
 
 
 def test_settings_merge():
