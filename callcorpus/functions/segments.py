@@ -10,6 +10,9 @@ from .text import col_of, py_strip
 ASSISTANT_MARK = "<|im_start|>assistant\n"
 USER_MARK = "<|im_start|>user\n"
 END_MARK = "<|im_end|>"
+# Code fences removed from teacher replies.
+FENCE = "```"
+JSON_FENCE = "```json"
 
 
 def last_assistant_segment(c: Column | str) -> Column:
@@ -42,7 +45,7 @@ def strip_fences(c: Column | str) -> Column:
     """Trimmed content; a leading json-tagged fence removes every json-tagged fence and
     every bare fence; a leading bare fence removes every bare fence; trimmed again."""
     t = py_strip(col_of(c))
-    fence, tagged = "```", "```json"
+    fence, tagged = FENCE, JSON_FENCE
     return (
         F.when(t.startswith(tagged), py_strip(F.replace(F.replace(t, F.lit(tagged), F.lit("")), F.lit(fence), F.lit(""))))
         .when(t.startswith(fence), py_strip(F.replace(t, F.lit(fence), F.lit(""))))

@@ -61,6 +61,7 @@ def length_percentiles(df: DataFrame, text_col: str, percentages=(0.5, 0.9, 0.99
 # Trainer log lines -> metrics
 # ---------------------------------------------------------------------------
 
+# The metric names a trainer prints in its dict-literal log lines.
 _METRIC_SCHEMA = (
     "loss double, grad_norm double, learning_rate double, epoch double, eval_loss double, eval_runtime double, "
     "eval_samples_per_second double, eval_steps_per_second double, train_runtime double, "
