@@ -30,17 +30,17 @@ def read_table(spark: SparkSession, path: str, spread_small: bool = True) -> Dat
     return spread(df) if spread_small else df
 
 
-def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", split: str | None = None, split_col: str = "split") -> DataFrame:
+def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", split: str | None = None, split_col: str = "split",
+                 split_layout: str = "column") -> DataFrame:
     """S1 scan part of ``load_and_format_dataset``: a named dataset and split.
 
-    A split is a sub-directory (``path/split``) when the data is laid out that way,
-    else a filter on ``split_col`` (partition pruning when it is a partition column).
-    Hub download is not built: the data is read from storage.
+    ``split_layout="subdir"`` reads ``path/<split>``; ``"column"`` filters ``split_col``
+    (pruned at the scan when it is a partition column). Hub download is not built:
+    the data is read from storage.
     """
-    reader = spark.read.format(fmt)
-    if fmt == "json":
-        reader = reader.option("multiLine", "false")
-    df = reader.load(path)
+    if split is not None and split_layout == "subdir":
+        return spark.read.format(fmt).load(f"{path.rstrip('/')}/{split}")
+    df = spark.read.format(fmt).load(path)
     if split is not None and split_col in df.columns:
         df = df.filter(F.col(split_col) == split)
     return df

@@ -153,3 +153,12 @@ def test_summary_only_when_not_exactly_one_model(spark):
     two = tempfile.mkdtemp()
     jobs.evaluate(cases, preds, ["a", "b"], output_dir=two)
     assert os.path.exists(os.path.join(two, "summary"))
+
+
+def test_read_dataset_splits(spark):
+    d = tempfile.mkdtemp()
+    df = spark.createDataFrame([(1, "train"), (2, "train"), (3, "test")], "id long, split string")
+    df.write.mode("overwrite").partitionBy("split").parquet(os.path.join(d, "by_col"))
+    df.filter("split = 'test'").drop("split").write.mode("overwrite").parquet(os.path.join(d, "by_dir", "test"))
+    assert readers.read_dataset(spark, os.path.join(d, "by_col"), split="train").count() == 2
+    assert readers.read_dataset(spark, os.path.join(d, "by_dir"), split="test", split_layout="subdir").count() == 1
