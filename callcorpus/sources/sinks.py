@@ -7,20 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import clean_dataset_name
 
 
-def write_splits(df: DataFrame, output_dir: str, dataset_name: str, split_col: str = "split", single_file: bool = False) -> str:
+def write_splits(df: DataFrame, output_dir: str, dataset_name: str, split_col: str = "split", single_file: bool = False,
+                 fmt: str = "json") -> str:
     """K1/K2: JSONL text per split under ``{output_dir}/{clean_name}/split=<name>/``.
 
     One directory of part files per split (the distributed form of
     ``{clean}_train.jsonl`` / ``{clean}_val.jsonl``); ``single_file=True`` coalesces
     each split to one part, for small corpora only. Rows keep only ``text``, as the
-    reference writes ``json.dumps({"text": ...})`` per line.
+    reference writes ``json.dumps({"text": ...})`` per line; ``fmt`` picks another
+    format (e.g. ``parquet``) for the same layout.
     """
     clean = dataset_name.replace("/", "_").replace("-", "_")
     path = f"{output_dir.rstrip('/')}/{clean}"
     out = df.select("text", split_col)
     if single_file:
         out = out.repartition(split_col)
-    out.write.mode("overwrite").partitionBy(split_col).json(path)
+    out.write.mode("overwrite").partitionBy(split_col).format(fmt).save(path)
     return path
 
 

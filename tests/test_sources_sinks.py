@@ -162,3 +162,14 @@ def test_read_dataset_splits(spark):
     df.filter("split = 'test'").drop("split").write.mode("overwrite").parquet(os.path.join(d, "by_dir", "test"))
     assert readers.read_dataset(spark, os.path.join(d, "by_col"), split="train").count() == 2
     assert readers.read_dataset(spark, os.path.join(d, "by_dir"), split="test", split_layout="subdir").count() == 1
+
+
+def test_write_splits_formats(spark):
+    from callcorpus.sources import sinks
+
+    df = spark.createDataFrame([("a", "train"), ("b", "val")], "text string, split string")
+    d = tempfile.mkdtemp()
+    pj = sinks.write_splits(df, d, "org/name-x", single_file=True)
+    pp = sinks.write_splits(df, d + "/pq", "org/name-x", fmt="parquet")
+    assert pj.endswith("name_x") and sorted(r.text for r in spark.read.json(pj).collect()) == ["a", "b"]
+    assert {r.split: r.text for r in spark.read.parquet(pp).collect()} == {"train": "a", "val": "b"}
