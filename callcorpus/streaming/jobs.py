@@ -1,7 +1,7 @@
 """Structured Streaming forms of the row-local formatters and of the aggregates.
 
 F2-F4, J1-J9, C1 and R1 are row-local: the same column expressions run on a
-streaming DataFrame. C2 (the scoreboard) and R8 (action-item state) are stateful
+streaming DataFrame (R1 as a stream-static join with the catalog). C2 (the scoreboard) and R8 (action-item state) are stateful
 aggregations; ``max_by``/``count_if`` keep partial aggregation buffers in the state
 store, so state per key stays constant-size. T1/T2/L1 need a total count or order
 and stay batch-only.
@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import formatters as FM, scoring, tables as TB
+from ..operators import formatters as FM, scoring, tables as TB, validate as VL
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,6 +33,13 @@ def format_stream(raw: DataFrame, formatter: Callable[[DataFrame], DataFrame] =
     return FM.drop_failed(formatter(raw)).select(id_col, "text")
 
 
+def validate_stream(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json") -> DataFrame:
+    """R1 over a stream of calls (append): a stream-static left join with the tool
+    signatures (the static catalog side is count-checked and broadcast), then row-local
+    checks -- no state."""
+    return VL.validate_calls(calls, params, id_col, call_col)
+
+
 def scoreboard_stream(scored_input: DataFrame) -> DataFrame:
     """Running per-model counters over a stream of ``(model_name, example_id,
     raw_output, expected)`` rows (complete or update output mode)."""

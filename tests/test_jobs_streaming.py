@@ -70,3 +70,19 @@ def test_format_stream_append(spark):
     from callcorpus.operators import formatters as FM
 
     assert spark.read.parquet(out).count() == FM.drop_failed(FM.xlam_format(raw)).count()
+
+
+def test_validate_stream_matches_batch(spark):
+    from callcorpus.operators import catalog, validate
+
+    calls = D.planted_calls(spark, SF_SMALL)
+    tools = D.event_tools(spark, SF_SMALL).select(F.lit("events").alias("device"), "ord", "name", F.lit(None).cast("string").alias("description"), "tool_json")
+    params = catalog.catalog_params(tools)
+    src = tempfile.mkdtemp(prefix="cc-calls-")
+    calls.repartition(3).write.mode("overwrite").parquet(src)
+    stream = SJ.read_stream(spark, src, "call_id long, call_json string", max_files_per_trigger=1)
+    q = SJ.start(SJ.validate_stream(stream, params), tempfile.mkdtemp(prefix="cc-ckpt-"), sink="memory", query_name="violations")
+    q.awaitTermination()
+    got = sorted((r.call_id, r.violation, r.param) for r in spark.sql("SELECT * FROM violations").collect())
+    want = sorted((r.call_id, r.violation, r.param) for r in validate.validate_calls(calls, params).collect())
+    assert got == want and len(got) > 0
