@@ -208,25 +208,36 @@ def catalog_tools(catalog_doc: DataFrame) -> DataFrame:
 
 def catalog_params(tools: DataFrame) -> DataFrame:
     """One row per declared parameter: ``(device, tool, ord, param, type, description,
-    default_json, maximum, required)``; parameter order is the source order."""
+    default_json, maximum, required)``; parameter order is the source order.
+
+    Values come from a VARIANT map lookup (safe for any parameter name); the default
+    is dumped from the source text (key order kept) unless the name holds a quote,
+    which a JSON path cannot address -- then from the VARIANT value.
+    """
+    props = F.try_variant_get(F.try_parse_json("tool_json"), "$.parameters.properties", "variant")
     keyed = tools.select(
         "device",
         F.col("name").alias("tool"),
         F.posexplode(F.json_object_keys(F.get_json_object("tool_json", "$.parameters.properties"))).alias("ord", "param"),
         "tool_json",
+        props.try_cast("map<string,variant>").alias("_cc_pmap"),
     )
+    info = F.element_at(F.col("_cc_pmap"), F.col("param"))
     path = F.concat(F.lit("$.parameters.properties['"), F.col("param"), F.lit("']"))
-    info = F.call_function("get_json_object", F.col("tool_json"), path)
+    info_text = F.call_function("get_json_object", F.col("tool_json"), path)
+    default_json = F.when(
+        F.instr(F.col("param"), "'") == 0, J.py_dumps_at(info_text, "$.default")
+    ).otherwise(F.to_json(F.try_variant_get(info, "$.default", "variant")))
     req = F.from_json(F.get_json_object("tool_json", "$.parameters.required"), "array<string>")
     return keyed.select(
         "device",
         "tool",
         "ord",
         "param",
-        F.coalesce(F.get_json_object(info, "$.type"), F.lit("string")).alias("type"),
-        F.get_json_object(info, "$.description").alias("description"),
-        J.py_dumps_at(info, "$.default").alias("default_json"),
-        F.get_json_object(info, "$.maximum").cast("bigint").alias("maximum"),
+        F.coalesce(F.try_variant_get(info, "$.type", "string"), F.lit("string")).alias("type"),
+        F.try_variant_get(info, "$.description", "string").alias("description"),
+        default_json.alias("default_json"),
+        F.try_variant_get(info, "$.maximum", "bigint").alias("maximum"),
         F.coalesce(F.array_contains(req, F.col("param")), F.lit(False)).alias("required"),
     )
 

@@ -173,3 +173,11 @@ def test_write_splits_formats(spark):
     pp = sinks.write_splits(df, d + "/pq", "org/name-x", fmt="parquet")
     assert pj.endswith("name_x") and sorted(r.text for r in spark.read.json(pj).collect()) == ["a", "b"]
     assert {r.split: r.text for r in spark.read.parquet(pp).collect()} == {"train": "a", "val": "b"}
+
+
+def test_catalog_params_odd_names(spark):
+    tool = ('{"name": "t", "description": "d", "parameters": {"properties": {"it\'s": {"type": "integer", "default": 3, "maximum": 9}, '
+            '"a.b": {"type": "string"}}, "required": ["a.b"]}}')
+    tools = spark.createDataFrame([("d", 0, "t", "d", tool)], "device string, ord int, name string, description string, tool_json string")
+    got = {r.param: (r.type, r.default_json, r.maximum, r.required, r.ord) for r in catalog.catalog_params(tools).collect()}
+    assert got == {"it's": ("integer", "3", 9, False, 0), "a.b": ("string", None, None, True, 1)}
