@@ -183,13 +183,19 @@ def vector_topk(
     return out
 
 
-def vector_search(corpus: DataFrame, queries, id_col: str, vec_col: str, limit: int | None = None) -> DataFrame:
-    """R4 ``vector_search``: top ``limit`` per query (default 5, at most 20)."""
+def vector_search(corpus: DataFrame, queries, id_col: str, vec_col: str, limit: int | None = None,
+                  where: Column | None = None) -> DataFrame:
+    """R4 ``vector_search``: top ``limit`` per query (default 5, at most 20).
+    ``where`` (date range, discarded flag, ...) filters the corpus first and pushes
+    into the scan."""
+    corpus = corpus if where is None else corpus.filter(where)
     return vector_topk(corpus, queries, id_col, vec_col, max(1, _clamp(limit, VECTOR_LIMIT)))
 
 
-def paged_search(corpus: DataFrame, queries, id_col: str, vec_col: str, page: int = 1, per_page: int | None = None) -> DataFrame:
+def paged_search(corpus: DataFrame, queries, id_col: str, vec_col: str, page: int = 1, per_page: int | None = None,
+                 where: Column | None = None) -> DataFrame:
     """R5 ``search``: page ``page`` (from 1) of ``per_page`` results (default 10, at most 100)."""
+    corpus = corpus if where is None else corpus.filter(where)
     n = max(1, _clamp(per_page, SEARCH_PER_PAGE))
     p = max(1, int(page or 1))
     return vector_topk(corpus, queries, id_col, vec_col, p * n, rank_from=(p - 1) * n + 1)

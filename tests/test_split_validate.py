@@ -101,3 +101,15 @@ def test_hash_split_reproducible_across_partitionings(spark):
     b = {r.doc_id for r in SP.hash_split(df.repartition(7), "doc_id").filter("split = 'val'").collect()}
     c = {r.doc_id for r in SP.hash_split(df, "doc_id", seed=7).filter("split = 'val'").collect()}
     assert a == b and len(a) == 250 and a != c and len(c) == 250
+
+
+def test_vector_search_where_and_limits(spark):
+    from callcorpus.operators import tables as TB
+
+    corpus = spark.createDataFrame([(i, [float(i % 5), 1.0], i % 2 == 0) for i in range(60)], "vec_id long, embedding array<float>, discarded boolean")
+    q = [(0, [1.0, 1.0])]
+    top = TB.vector_search(corpus, q, "vec_id", "embedding", limit=50, where=~F.col("discarded"))
+    rows = top.collect()
+    assert len(rows) == 20 and all(r.vec_id % 2 == 1 for r in rows)  # limit clamped to 20, filter applied
+    page = TB.paged_search(corpus, q, "vec_id", "embedding", page=2, per_page=10)
+    assert sorted(r.rank for r in page.collect()) == list(range(11, 21))
