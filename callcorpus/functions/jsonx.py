@@ -5,7 +5,9 @@ VARIANT parser (``try_parse_json``). Neither matches Python's ``json`` module ex
 so this module closes the gaps with native expressions:
 
 * ``json_loads_ok``      -- would ``json.loads(text)`` succeed (no trailing data)?
+* ``parsed``             -- the VARIANT of a text exactly when ``json.loads`` succeeds.
 * ``first_object``       -- J2: the first ``{...}`` found by a brace scan, if it parses.
+* ``first_object_value`` -- J2 as one strict parse from the first ``{`` (same rows).
 * ``py_dumps_at``        -- J1: ``json.dumps(value)`` text of the value at a JSON path,
                             key order kept, Python spacing, ``ensure_ascii`` escapes and
                             Python float repr.
