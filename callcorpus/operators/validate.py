@@ -31,25 +31,38 @@ _TYPE_OK = {
 }
 
 
-def tool_signatures(params: DataFrame) -> DataFrame:
+def tool_signatures(params: DataFrame, tools: DataFrame | None = None) -> DataFrame:
     """One row per tool: ``(fn, pmap: map<param, struct<type, maximum>>, req: array<param>)``.
-    The per-tool gather is bounded by the tool's parameter count."""
+
+    ``tools`` (a ``name`` column) lists every tool, including ones without
+    parameters -- those have no parameter rows, so without the list they would look
+    unknown. The per-tool gather is bounded by the tool's parameter count.
+    """
     entry = F.struct(F.col("param"), F.struct(F.col("type").alias("type"), F.col("maximum").alias("maximum")))
-    return params.groupBy(F.col("tool").alias("fn")).agg(
+    sigs = params.groupBy(F.col("tool").alias("fn")).agg(
         F.map_from_entries(F.collect_list(entry)).alias("pmap"),
         F.array_sort(F.collect_list(F.when(F.col("required"), F.col("param")))).alias("req"),
     )
+    if tools is None:
+        return sigs
+    names = tools.select(F.col("name").alias("fn")).distinct()
+    empty_map = F.create_map().cast("map<string,struct<type:string,maximum:bigint>>")
+    return names.join(sigs, "fn", "left").select(
+        "fn", F.coalesce("pmap", empty_map).alias("pmap"), F.coalesce("req", F.array().cast("array<string>")).alias("req")
+    )
 
 
 def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json",
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   max_broadcast_rows: int = 1_000_000, tools: DataFrame | None = None) -> DataFrame:
     """``(id, violation, param)`` rows; a valid call yields none.
 
     ``params``: ``(tool, param, type, maximum, required)`` as produced by
-    ``catalog.catalog_params``. One pass: each call is left-joined with its tool's
-    signature row and every check is a row-local expression over the argument map.
+    ``catalog.catalog_params``; ``tools`` (``catalog.catalog_tools`` output) lists every
+    tool -- pass it so tools without parameters are known. One pass: each call is
+    left-joined with its tool's signature row and every check is a row-local
+    expression over the argument map.
     """
-    sigs = tool_signatures(params)
+    sigs = tool_signatures(params, tools)
     # one count proves the catalog small (signatures have at most that many rows)
     if params.count() <= max_broadcast_rows:
         sigs = F.broadcast(sigs)

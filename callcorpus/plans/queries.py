@@ -373,7 +373,7 @@ UNION ALL SELECT call_id, 'over_maximum', 'k' FROM c WHERE kind = 8
 def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     tools = D.event_tools(spark, sf_dir).select(F.lit("events").alias("device"), "ord", "name", F.lit(None).cast("string").alias("description"), "tool_json")
     params = CT.catalog_params(tools)
-    return VL.validate_calls(D.planted_calls(spark, sf_dir), params).select("call_id", "violation", "param")
+    return VL.validate_calls(D.planted_calls(spark, sf_dir), params, tools=tools).select("call_id", "violation", "param")
 
 
 # ---------------------------------------------------------------------------

@@ -33,11 +33,12 @@ def format_stream(raw: DataFrame, formatter: Callable[[DataFrame], DataFrame] =
     return FM.drop_failed(formatter(raw)).select(id_col, "text")
 
 
-def validate_stream(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json") -> DataFrame:
+def validate_stream(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json",
+                    tools: DataFrame | None = None) -> DataFrame:
     """R1 over a stream of calls (append): a stream-static left join with the tool
     signatures (the static catalog side is count-checked and broadcast), then row-local
     checks -- no state."""
-    return VL.validate_calls(calls, params, id_col, call_col)
+    return VL.validate_calls(calls, params, id_col, call_col, tools=tools)
 
 
 def scoreboard_stream(scored_input: DataFrame) -> DataFrame:
