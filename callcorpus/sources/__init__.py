@@ -1,0 +1 @@
+"""Readers (S1-S7) and sinks (K1-K5)."""

@@ -1,0 +1 @@
+"""Structured Streaming forms of the formatter, scoreboard, call validation and state."""
