@@ -13,9 +13,9 @@ so this module closes the gaps with native expressions:
                             Python float repr.
 * ``canonical_at``       -- comparison text: keys sorted, ``1.0`` == ``1`` (C1).
 
-Documented deviations (the VARIANT parser is stricter than Python): objects with
-duplicate keys and ``NaN``/``Infinity`` literals count as invalid; ``1e0`` vs ``1``
-and ``true`` vs ``1`` compare unequal.
+Documented deviation (the VARIANT parser is stricter than Python): objects with
+duplicate keys and ``NaN``/``Infinity`` literals count as invalid. Python's ``==``
+between numbers and booleans is restored in ``operators.scoring``.
 """
 
 from __future__ import annotations

@@ -41,6 +41,37 @@ def _normalised_variant(v: Column) -> Column:
     return let(v, build)
 
 
+# Tokens of canonical JSON text (VARIANT ``to_json``): strings, numbers, literals, punctuation.
+_CANON_TOKEN_RE = r'"(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|[{}\[\],:]'
+
+
+def _numeric_form(canon: Column) -> Column:
+    """Canonical text with every number and boolean rewritten through a double:
+    Python's ``==`` equates ``1``, ``1.0``, ``1e0`` and ``True`` (and ``0``/``False``).
+    NULL when an integer has more than 15 digits (a double would blur it) -- those
+    rows keep the exact comparison."""
+    toks = F.regexp_extract_all(canon, F.lit(_CANON_TOKEN_RE), 0)
+
+    def norm(t):
+        is_num = t.rlike(r"^-?[0-9]")
+        return (
+            F.when(is_num, t.cast("double").cast("string"))
+            .when(t == "true", F.lit("1.0"))
+            .when(t == "false", F.lit("0.0"))
+            .otherwise(t)
+        )
+
+    blurred = F.exists(toks, lambda t: t.rlike(r"^-?[0-9]{16,}$"))
+    return F.when(~blurred, F.array_join(F.transform(toks, norm), ""))
+
+
+def _python_eq(a: Column, b: Column) -> Column:
+    """Python ``==`` of two normalised values given as canonical text (NULL = None):
+    exact text first; only differing texts take the numeric form (lazy branch)."""
+    na, nb = _numeric_form(a), _numeric_form(b)
+    return F.when(a.eqNullSafe(b), F.lit(True)).otherwise(F.coalesce(na.isNotNull() & (na == nb), F.lit(False)))
+
+
 def _normalised(obj_text: Column) -> Column:
     """``normalize_json`` of a JSON object text (one parse)."""
     return _normalised_variant(F.try_parse_json(obj_text))
@@ -67,8 +98,8 @@ def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict
     """
     p = _normalised(col_of(predicted_obj))
     e = _normalised(J.json_text(col_of(expected)))
-    function_match = p["fn"].eqNullSafe(e["fn"])
-    args_match = p["args"].eqNullSafe(e["args"])
+    function_match = _python_eq(p["fn"], e["fn"])
+    args_match = _python_eq(p["args"], e["args"])
     return {
         "exact_match": function_match & args_match,
         "function_match": function_match,
@@ -96,8 +127,8 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
         _normalised_variant(F.col("_cc_first.value")).alias("_cc_p"),
         exp_norm.alias("_cc_e"),
     )
-    fm = F.col("_cc_p.fn").eqNullSafe(F.col("_cc_e.fn"))
-    am = F.col("_cc_p.args").eqNullSafe(F.col("_cc_e.args"))
+    fm = _python_eq(F.col("_cc_p.fn"), F.col("_cc_e.fn"))
+    am = _python_eq(F.col("_cc_p.args"), F.col("_cc_e.args"))
     out = staged.select(
         "*",
         (fm & am).alias("exact_match"),
