@@ -112,7 +112,8 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details).
 
     ``strict_python=True`` re-decides the residue -- failed rows whose texts hold
-    exponents, booleans, NaN/Infinity or an unparsed object (duplicate keys) -- with
+    exponents, booleans, NaN/Infinity, integers over 15 digits or an unparsed object
+    (duplicate keys) -- with
     Python's own ``json`` and ``==`` (see ``_python_verdicts``); other rows never
     reach Python.
     """
@@ -141,7 +142,7 @@ def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "
         return out
     raw, exp = F.col(raw_col), F.col(expected_col)
     residue = ~F.col("exact_match") & (
-        raw.rlike(r"[0-9][eE][+-]?[0-9]|true|false|NaN|Infinity") | exp.rlike(r"[0-9][eE][+-]?[0-9]|true|false")
+        raw.rlike(r"[0-9][eE][+-]?[0-9]|true|false|NaN|Infinity|[0-9]{16,}") | exp.rlike(r"[0-9][eE][+-]?[0-9]|true|false|[0-9]{16,}")
         | (F.col("predicted").isNull() & (F.instr(raw, "{") > 0))
     )
     staged = out.select("*", _python_verdicts(F.when(residue, raw), F.when(residue, exp)).alias("_cc_py"))
