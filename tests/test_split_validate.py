@@ -113,3 +113,13 @@ def test_vector_search_where_and_limits(spark):
     assert len(rows) == 20 and all(r.vec_id % 2 == 1 for r in rows)  # limit clamped to 20, filter applied
     page = TB.paged_search(corpus, q, "vec_id", "embedding", page=2, per_page=10)
     assert sorted(r.rank for r in page.collect()) == list(range(11, 21))
+
+
+def test_length_flags_and_percentiles(spark):
+    from callcorpus.operators import runlogs
+
+    df = spark.createDataFrame([(" ".join(["w"] * n),) for n in (1, 10, 100, 3000)], "text string")
+    flags = sorted((r.n_tokens, r.over_budget) for r in runlogs.length_flags(df, "text").collect())
+    assert flags == [(1, False), (10, False), (100, False), (3000, True)]
+    p = runlogs.length_percentiles(df, "text", (0.5, 1.0)).first()
+    assert p.max_tokens == 3000 and p.percentiles[1] == 3000 and p.percentiles[0] in (10, 100)
