@@ -18,3 +18,13 @@ def test_entry_runs(spark):
 
 def test_oracles_have_queries():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")
+def test_query_columns_are_aliased(spark):
+    import re
+
+    for name, fn in E.queries().items():
+        cols = fn(spark, SF_SMALL).columns
+        assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", c) for c in cols), (name, cols)
+        assert len(cols) == len(set(cols)), (name, cols)
