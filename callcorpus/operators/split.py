@@ -183,12 +183,12 @@ def ordered_split(
     return df.withColumn(split_col, F.when(_le_keys(list(order_cols), kth), names[0]).otherwise(names[1]))
 
 
-def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None, direct_max: int = 100_000) -> DataFrame:
+def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None, direct_max: int = 10_000) -> DataFrame:
     """L1 first-N rows (``max_samples``): 0 or None means no limit.
 
     Up to ``direct_max`` rows, ``orderBy().limit()`` plans as TakeOrderedAndProject
-    (each task keeps its own top N). A larger N would gather N rows in the final
-    task, so it goes through the global index instead (same rows, no single task).
+    (each task keeps its own top N; one task merges ``tasks x N`` candidates). A
+    larger N goes through the global index instead (same rows, no single task).
     """
     if not n:
         return df
@@ -205,11 +205,12 @@ def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def page(df: DataFrame, order_by: Sequence[Column | str], offset: int, limit: int, direct_max: int = 100_000) -> DataFrame:
+def page(df: DataFrame, order_by: Sequence[Column | str], offset: int, limit: int, direct_max: int = 10_000) -> DataFrame:
     """Rows ``offset .. offset+limit-1`` in ``order_by`` order (the table tools' paging).
 
-    Small pages use TakeOrderedAndProject (per-task top ``offset+limit``). Deep
-    pages would make that top-N itself large, so they go through the global index.
+    Small pages use TakeOrderedAndProject: each task keeps its top ``offset+limit``
+    and one task merges ``tasks x (offset+limit)`` candidates, so that bound is kept
+    small (``direct_max``). Deeper pages go through the distributed global index.
     """
     offset = max(int(offset or 0), 0)
     limit = max(int(limit), 0)
