@@ -121,6 +121,7 @@ def transcripts(
     rows = segments
     if max_segments > 0:
         n = min(max_segments, TRANSCRIPT_MAX_SEGMENTS)
+        ensure_group_limit(segments.sparkSession, n)
         w = Window.partitionBy(conv_col).orderBy(order_col)
         rows = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
     prefix = F.concat(F.lit("["), F.col(order_col).cast("string"), F.lit("] ")) if include_timestamps else F.lit("")
@@ -136,6 +137,20 @@ def transcripts(
 # Vector search
 # ---------------------------------------------------------------------------
 
+def ensure_group_limit(spark, k: int) -> None:
+    """Keep the map-side top-k for ``k`` ranks per group.
+
+    Spark plans a partial ``WindowGroupLimit`` before the shuffle only for limits up
+    to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default); above it a
+    group's rows would all reach one task. The threshold is raised (never lowered) so
+    deep pages keep the map-side cut -- it only enables that optimization.
+    """
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    current = int(spark.conf.get(key, "1000"))
+    if k > current:
+        spark.conf.set(key, str(k))
+
+
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
@@ -159,6 +174,7 @@ def vector_topk(
     no cap).
     """
     queries = list(queries)
+    ensure_group_limit(corpus.sparkSession, k)
     parts = []
     for start in range(0, len(queries), chunk):
         part = queries[start : start + chunk]

@@ -46,3 +46,10 @@ def test_hot_entity_state(spark):
     assert "partial_max_by" in _plan(state)
     hot = state.filter("item_id = 7").first()
     assert hot.description == "49998" and hot.n_updates == 50000 - 500 + (1 if 7 % 100 == 0 else 0)
+
+
+def test_deep_page_keeps_map_side_limit(spark):
+    corpus = spark.range(5000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(1.0)).alias("embedding"))
+    out = TB.paged_search(corpus, [(0, [1.0, 0.0])], "vec_id", "embedding", page=20, per_page=100)  # ranks 1901..2000
+    assert "WindowGroupLimit" in _plan(out) and "Partial" in _plan(out)
+    assert sorted(r.rank for r in out.collect()) == list(range(1901, 2001))
