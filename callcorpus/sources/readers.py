@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import jsonx as J
+from ..functions.text import py_strip
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -59,7 +60,8 @@ def read_eval_cases(spark: SparkSession, path: str, mode: str = "FAILFAST") -> D
     # monotonically increasing ids follow file order: they order the cases (W1 uses
     # them as positions) without pulling the file through one task
     w_idx = lines
-    ok = J.json_loads_ok(F.col("value")) & F.col("value").startswith("{")
+    # each line is loaded after ``strip()``; it must hold one JSON object
+    ok = J.json_loads_ok(F.col("value")) & py_strip(F.col("value")).startswith("{")
     out = w_idx.select(
         F.col("_pos").alias("example_id"),
         F.get_json_object("value", "$.command").alias("command"),
