@@ -57,15 +57,15 @@ def read_eval_cases(spark: SparkSession, path: str, mode: str = "FAILFAST") -> D
     lines = spark.read.text(path).select(
         F.monotonically_increasing_id().alias("_pos"), F.input_file_name().alias("_file"), F.col("value")
     )
-    # monotonically increasing ids follow file order: they order the cases (W1 uses
-    # them as positions) without pulling the file through one task
-    w_idx = lines
+    # monotonically increasing ids follow file order: they order the cases (W1 ranks
+    # them into positions) without pulling the file through one task
     # each line is loaded after ``strip()``; it must hold one JSON object
-    ok = J.json_loads_ok(F.col("value")) & py_strip(F.col("value")).startswith("{")
-    out = w_idx.select(
+    line = py_strip(F.col("value"))
+    ok = J.json_loads_ok(line) & line.startswith("{")
+    out = lines.select(
         F.col("_pos").alias("example_id"),
-        F.get_json_object("value", "$.command").alias("command"),
-        J.py_dumps_at(F.col("value"), "$.expected_output").alias("expected"),
+        F.get_json_object(line, "$.command").alias("command"),
+        J.py_dumps_at(line, "$.expected_output").alias("expected"),
         (~F.coalesce(ok, F.lit(False))).alias("bad_line"),
         F.col("value").alias("line"),
     )

@@ -230,6 +230,6 @@ def test_eval_report_from_text_file(spark):
 
 def test_read_eval_cases_strips_lines(spark):
     d = tempfile.mkdtemp()
-    p = _write(os.path.join(d, "c.jsonl"), '   {"command": "a", "expected_output": {"function": "f", "arguments": {}}}  \n')
+    p = _write(os.path.join(d, "c.jsonl"), '\u3000 {"command": "a", "expected_output": {"function": "f", "arguments": {}}}  \n')
     rows = readers.read_eval_cases(spark, p).collect()
     assert [r.command for r in rows] == ["a"]
