@@ -96,6 +96,10 @@ def xlam_format(df: DataFrame, flat_params: bool = False) -> DataFrame:
     ``query``->``instruction``) are decided from the schema at plan time.
     ``flat_params=True`` renders tools whose ``parameters`` maps names straight to
     parameter objects (the reference renders them with no parameters).
+
+    ``tools``/``answers`` are best kept as JSON text: a struct or array column is
+    serialised with ``to_json``, so object key order then follows the column's schema
+    (Spark's JSON schema inference sorts keys), not the source text.
     """
     cols = set(df.columns)
     answers_name = "answers" if "answers" in cols else ("answer" if "answer" in cols else None)
