@@ -54,10 +54,6 @@ def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _is_obj(v: Column) -> Column:
-    return F.coalesce(_kind(v).startswith("OBJECT"), F.lit(False))
-
-
 def py_str(v: Column, kind: Column | None = None) -> Column:
     """Python ``str()`` of a JSON value held as VARIANT (NULL when absent)."""
     k = _kind(v) if kind is None else kind

@@ -70,10 +70,3 @@ def batch_yield(replies: DataFrame, tools_text: str, per_batch: int) -> DataFram
     return status.join(got, "batch_id", "left").select(
         "batch_id", "status", F.lit(per_batch).cast("long").alias("requested"), F.coalesce("obtained", F.lit(0)).cast("long").alias("obtained")
     )
-
-
-def ordered_split_text(examples: DataFrame, order_cols: list[str], train_fraction: float = 0.95) -> DataFrame:
-    """The synthetic save -- ordered split, no shuffle of membership."""
-    from .split import ordered_split
-
-    return ordered_split(examples, order_cols, train_fraction)
