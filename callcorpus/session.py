@@ -27,6 +27,7 @@ def get_spark(master: str | None = None, app: str = "callcorpus", shuffle_partit
         .config("spark.sql.session.timeZone", os.environ.get("CALLCORPUS_TZ", "UTC"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("CALLCORPUS_DRIVER_MEMORY", "16g"))
     )
