@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import mixing, quality_rules
+from . import langid, mixing, quality_rules, token_counts, toxicity
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,25 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("keep_base")).alias("base_failed"), F.col("keep_v1").alias("kept"), "fail_bits")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(C.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", F.coalesce("nearest", F.lit(langid.UNDETERMINED)).alias("lang_pred"), "score", "distance", "rejected", "lang_found")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_documents(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("evidence").alias("n_neighbours"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_counts.section_tokens(C.table(spark, sf_dir, "documents"))
+    return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op5_langid": op5_langid,
+    "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
