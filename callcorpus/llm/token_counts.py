@@ -1,10 +1,11 @@
 """Token counts of sections, attributed through offsets (operator 9).
 
 A whole text is encoded once (byte-level BPE). Its tokens cover the text's bytes without
-gaps, so token offsets are running sums of token lengths. The sections (lines: a newline
-ends its section) are byte intervals of the same text; both interval lists are sorted, so
-the interval join is a merge by binary search within the text's row. A token that crosses a
-section's end is allocated by an explicit rule:
+gaps, so token offsets are running sums of token lengths. The sections (sentences: one ends
+with a newline, or with ``.``, ``!`` or ``?`` and the space after it) are byte intervals of
+the same text; both interval lists are sorted, so the interval join is a merge by binary
+search within the text's row. A token that crosses a section's end (this vocabulary joins a
+space to the next word, so most ends have one) is allocated by an explicit rule:
 
 * ``first``: to the section of its first byte; ``last``: of its last byte;
 * ``majority``: to the section with most of its bytes, the first of equals;
@@ -78,6 +79,16 @@ def attribute(ends: np.ndarray, cuts: np.ndarray, rule: str) -> tuple[np.ndarray
     return counts, crossing
 
 
+def section_ends(data: np.ndarray) -> np.ndarray:
+    """End byte of each section of a text (UTF-8 bytes); the last is the text's end."""
+    stop = data == 0x0A
+    if len(data) > 1:
+        mark = (data[:-1] == 0x2E) | (data[:-1] == 0x21) | (data[:-1] == 0x3F)
+        stop[1:] |= mark & (data[1:] == 0x20)
+    cuts = np.flatnonzero(stop) + 1
+    return cuts if len(cuts) and cuts[-1] == len(data) else np.append(cuts, len(data))
+
+
 def section_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, pattern: str = PATTERN, rule: str = "majority", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per section: doc_id, section (from 0), char_start, char_end, n_tokens
     (a whole number except under ``split``), n_crossing, doc_tokens."""
@@ -89,22 +100,21 @@ def section_tokens(docs: DataFrame, tokenizer: str = TOKENIZER, pattern: str = P
         enc, lengths = load(tokenizer, pattern)
         for batch in batches:
             for chunk in C.text_chunks(batch.column(1)):
-                take, cols = [], [[], [], [], [], [], []]
+                take, cols = [], [[], [], [], [], [], []]  # per column, an array per text
                 for i in range(chunk.n):
                     raw = chunk.bytes_of(i)
                     data = chunk.data[chunk.offs[i] : chunk.offs[i + 1]]
                     tokens = np.asarray(enc.encode_ordinary(raw.decode("utf-8")), dtype=np.int64)
-                    cuts = np.flatnonzero(data == 0x0A) + 1
-                    if not len(cuts) or cuts[-1] != len(data):
-                        cuts = np.append(cuts, len(data))
+                    cuts = section_ends(data)
                     chars = np.cumsum((data & 0xC0) != 0x80)
                     stops = chars[cuts - 1] if len(data) else np.zeros(1, dtype=np.int64)
                     counts, crossing = attribute(np.cumsum(lengths[tokens]), cuts, rule)
-                    take += [chunk.first + i] * len(cuts)
-                    for col, values in zip(cols, (range(len(cuts)), [0, *stops[:-1]], stops, counts, crossing, [len(tokens)] * len(cuts))):
-                        col.extend(values)
+                    take.append(np.full(len(cuts), chunk.first + i))
+                    for col, values in zip(cols, (np.arange(len(cuts)), np.concatenate([[0], stops[:-1]]), stops, counts, crossing, np.full(len(cuts), len(tokens)))):
+                        col.append(values)
+                whole = [np.concatenate(c).astype(np.float64 if j == 3 else np.int64) for j, c in enumerate(cols)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(take, pa.int64())), *[pa.array(np.asarray(c, dtype=np.float64 if j == 3 else np.int64)) for j, c in enumerate(cols)]],
+                    [batch.column(0).take(pa.array(np.concatenate(take))), *map(pa.array, whole)],
                     ["doc_id", "section", "char_start", "char_end", "n_tokens", "n_crossing", "doc_tokens"],
                 )
 
