@@ -52,4 +52,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 FROM b
 """
 
-ORACLES = {"op2_mixing": OP2, "op3_quality_rules": OP3}
+_BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP7 = rf"""
+WITH az AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS u, 'abcdefghijklmnopqrstuvwxyz' AS l),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '{_BENCH_WORD}') AS ws FROM documents, az),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), u, l), '{_BENCH_WORD}') AS ws FROM benchmark, az),
+bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[p:p + n - 1], ' ') AS win
+  FROM (SELECT item_id, ws, least(len(ws), 13) AS n, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) AS p FROM b WHERE len(ws) > 0)),
+lens AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT rid, n, p, array_to_string(ws[p:p + n - 1], ' ') AS win FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d, lens)),
+hit AS (SELECT rid, item_id, n, p FROM dw JOIN bw USING (n, win)),
+nh AS (SELECT rid, count(DISTINCT p + j) AS n_hit FROM (SELECT DISTINCT rid, p, unnest(range(0, n)) AS j FROM hit) GROUP BY rid),
+it AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM hit) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN nh USING (rid) LEFT JOIN it USING (rid)
+"""
+
+ORACLES = {"op7_decontaminate": OP7, "op2_mixing": OP2, "op3_quality_rules": OP3}

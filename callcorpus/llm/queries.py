@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import langid, mixing, quality_rules, token_counts, toxicity
+from . import decontaminate, langid, mixing, quality_rules, token_counts, toxicity
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +34,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op5_langid": op5_langid,
+    "op7_decontaminate": op7_decontaminate,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
