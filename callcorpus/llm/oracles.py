@@ -71,4 +71,31 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN nh USING (rid) LEFT JOIN it USING (rid)
 """
 
-ORACLES = {"op7_decontaminate": OP7, "op2_mixing": OP2, "op3_quality_rules": OP3}
+# Canonical links and refresh redirects to absolute urls (attributes in either order);
+# components by recursion over the ties.
+OP8 = r"""
+WITH RECURSIVE rules(h, p, action) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE contains(url, '://')),
+tgt AS (
+  SELECT url, CASE WHEN regexp_matches(tag, '(?is)rel\s*=\s*["'']canonical') THEN regexp_extract(tag, '(?is)href\s*=\s*["'']([^"'']*)', 1)
+    WHEN regexp_matches(tag, '(?is)http-equiv\s*=\s*["'']refresh') THEN regexp_extract(tag, '(?is)url\s*=\s*([^"'']*)', 1) END AS t FROM tags),
+tie AS (SELECT DISTINCT regexp_replace(url, '(?s)#.*$', '') AS a, regexp_replace(t, '(?s)#.*$', '') AS b FROM tgt WHERE t <> '' AND contains(t, '://')),
+sym AS (SELECT a, b FROM tie UNION SELECT b, a FROM tie),
+reach AS (SELECT a, b FROM sym UNION SELECT r.a, o.b FROM reach r JOIN sym o ON r.b = o.a),
+urls AS (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL UNION SELECT a FROM sym),
+parts AS (
+  SELECT url, regexp_replace(url, '(?s)#.*$', '') AS node,
+    translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM urls),
+fit AS (
+  SELECT url, r.h || r.p AS rule, action, row_number() OVER (PARTITION BY url ORDER BY length(r.h || r.p) DESC) AS rk
+  FROM parts JOIN rules r ON (host = r.h OR ends_with(host, '.' || r.h)) AND starts_with(path, r.p)),
+best AS (SELECT parts.*, rule, action FROM parts LEFT JOIN (SELECT * FROM fit WHERE rk = 1) USING (url)),
+seen AS (SELECT x.url, max((y.action = 'block')::INT) AS blocks, max((y.action = 'allow')::INT) AS allows
+  FROM best x JOIN reach r ON x.node = r.a JOIN best y ON y.node = r.b WHERE y.action IS NOT NULL GROUP BY x.url)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+  coalesce(action, CASE WHEN coalesce(blocks, 0) = 1 AND coalesce(allows, 0) = 0 THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages LEFT JOIN best USING (url) LEFT JOIN seen USING (url)
+"""
+
+ORACLES = {"op8_url_filter": OP8, "op7_decontaminate": OP7, "op2_mixing": OP2, "op3_quality_rules": OP3}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import decontaminate, langid, mixing, quality_rules, token_counts, toxicity
+from . import decontaminate, langid, mixing, quality_rules, token_counts, toxicity, url_filter
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,11 +39,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judge(C.table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op5_langid": op5_langid,
     "op7_decontaminate": op7_decontaminate,
+    "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
