@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import decontaminate, langid, mixing, quality_rules, token_counts, toxicity, url_filter
+from . import decontaminate, langid, line_dedup, mixing, quality_rules, token_counts, toxicity, url_filter
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +44,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(C.table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    return done.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.length("text").cast("long").alias("kept_chars"), kept.alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_langid": op5_langid,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
