@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import decontaminate, langid, line_dedup, mixing, quality_rules, token_counts, toxicity, url_filter
+from . import decontaminate, langid, line_dedup, mixing, near_dedup, quality_rules, token_counts, toxicity, url_filter
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,11 +50,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.length("text").cast("long").alias("kept_chars"), kept.alias("kept_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.assign(C.table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_langid": op5_langid,
+    "op6_near_dedup": op6_near_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,

@@ -131,8 +131,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, examples: dict[int, int]
     return C.store(distinct.select(F.monotonically_increasing_id().alias("slot"), "doc_id", "toxic", "text"), "examples"), sizes
 
 
-def choose_terms(sample: DataFrame, max_terms: int, least_documents: int, least_chi2: float) -> list[str]:
-    """Terms whose presence depends most on the label (chi-square with one degree of freedom)."""
+def choose_terms(sample: DataFrame, max_terms: int, least_documents: int, least_chi2: float, least_lift: float) -> list[str]:
+    """Terms whose presence depends most on the label: by chi-square (one degree of freedom),
+    among those ``least_lift`` times as frequent under one label as under the other."""
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
@@ -142,7 +143,9 @@ def choose_terms(sample: DataFrame, max_terms: int, least_documents: int, least_
     b, n = F.col("df") - F.col("a"), float(pos + neg)
     cross = F.col("a") * (neg - b) - b * (pos - F.col("a"))
     chi2 = F.lit(n) * cross * cross / (F.col("df") * (n - F.col("df")) * pos * neg)
-    ranked = by.filter((F.col("df") >= least_documents) & (F.col("df") < n)).withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2)
+    lift = (F.col("a") / pos) / (F.greatest(b, F.lit(0.5)) / neg)
+    strong = (lift >= least_lift) | (lift <= 1 / least_lift)
+    ranked = by.filter((F.col("df") >= least_documents) & (F.col("df") < n)).withColumn("chi2", chi2).filter((F.col("chi2") >= least_chi2) & strong)
     return [r["term"] for r in ranked.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()]
 
 
@@ -172,11 +175,12 @@ def score(
     max_terms: int = 600,
     least_documents: int = 4,
     least_chi2: float = 20.0,
+    least_lift: float = 3.0,
 ) -> DataFrame:
     """doc_id, score in 0..1 and ``evidence`` (the neighbours used) for every document."""
     spark = docs.sparkSession
     sample, known = labelled_sample(docs, labels, examples or {0: 6000, 1: 3000}, usable)
-    vocabulary = {t: i for i, t in enumerate(choose_terms(sample, max_terms, least_documents, least_chi2))}
+    vocabulary = {t: i for i, t in enumerate(choose_terms(sample, max_terms, least_documents, least_chi2, least_lift))}
     vectors = C.store(document_vectors(docs, vocabulary), "vectors")
     n_docs = vectors.count()
     idf = np.full(len(vocabulary), np.log(1.0 + n_docs))
@@ -187,7 +191,8 @@ def score(
     stands_for = tuple(known.get(y, 0) / max(1, drawn[y]) for y in (0, 1))
     empty = Counter(r["doc_id"]["toxic"] for r in rows if not r["terms"])
     prior = empty[1] * stands_for[1] / max(1e-9, empty[0] * stands_for[0] + empty[1] * stands_for[1])
-    full = [r for r in rows if r["terms"]]
+    # examples with the same rarest term stand together, so that block maxima are tight
+    full = sorted((r for r in rows if r["terms"]), key=lambda r: (max((idf[t], t) for t in r["terms"]), r["doc_id"]["doc_id"]))
     index = Index.build(vocabulary, idf, [r["doc_id"]["doc_id"] for r in full], [r["doc_id"]["toxic"] for r in full], [(r["terms"], r["counts"]) for r in full], prior, stands_for)
     shared = spark.sparkContext.broadcast(index)  # bounded: examples * terms of each
 
