@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import decontaminate, langid, line_dedup, mixing, near_dedup, quality_rules, token_counts, toxicity, url_filter
+from . import decontaminate, langid, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, token_counts, toxicity, url_filter
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,13 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.assign(C.table(spark, sf_dir, "documents"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.remove_repeats(C.table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
