@@ -13,7 +13,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -174,6 +174,12 @@ def per_text(counts_at: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that names added beside it never clash; ``row.*``
+    gives them back."""
+    return F.struct(*[df[c] for c in df.columns]).alias("row")
+
+
 def texts_only(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under the names doc_id and text (other columns,
     whatever their names, never enter)."""

@@ -215,13 +215,12 @@ def keep_identified(docs: DataFrame, k: int = 4, sample_per_lang: int = 500) ->
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    width = len(docs.columns)
-    src = docs.select("*", F.col("text").cast("string").alias("_text"), has_letter("text").alias("_known"))
+    src = docs.select(C.packed(docs), docs["text"].cast("string").alias("text"), has_letter("text").alias("known"))
 
     def run(batches):
         for batch in batches:
-            known = np.asarray(batch.column(width + 1).to_pylist(), dtype=bool)
-            rejected = judge(shared.value, batch.column(width), known)[3]
-            yield batch.select(list(range(width))).filter(pa.array(~rejected))
+            known = np.asarray(batch.column(2).to_pylist(), dtype=bool)
+            rejected = judge(shared.value, batch.column(1), known)[3]
+            yield pa.RecordBatch.from_struct_array(batch.column(0).filter(pa.array(~rejected)))
 
     return src.mapInArrow(run, docs.schema)

@@ -162,18 +162,19 @@ def removals(docs: DataFrame, min_block_words: int = MIN_BLOCK_WORDS, id_col: st
 
 def dedup_lines(docs: DataFrame, min_block_words: int = MIN_BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the same columns, ``text_col`` without the deleted lines, and
-    ``n_lines`` and ``n_removed`` in a struct column ``line_dedup``."""
+    ``n_lines`` and ``n_removed`` in a struct column ``line_dedup`` (one of that name in
+    ``docs`` is replaced)."""
     found = C.store(removals(docs, min_block_words, id_col, text_col), "removals")
-    names = {"key": "_k", "first": "_f", "n_lines": "_l", "n_words": "_w", "drop": "_d"}
-    side = found.select(*[F.col(c).alias(n) for c, n in names.items()])
-    keyed = docs.select("*", text_key(F.col(text_col)).alias("_key"))
-    both = keyed.join(side, F.col("_key") == F.col("_k"), "left")
-    copy = ~F.col(id_col).eqNullSafe(F.col("_f")) & (F.col("_w") >= min_block_words)
-    kept = F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains("_d", i))
-    text = F.when(copy, F.lit("")).when(F.size("_d") > 0, F.array_join(kept, "\n")).otherwise(F.col(text_col))
-    removed = F.when(copy, F.col("_l")).otherwise(F.coalesce(F.size("_d"), F.lit(0)))
-    info = F.struct(F.coalesce("_l", F.lit(0)).cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"))
-    return both.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], info.alias("line_dedup"))
+    keyed = docs.select(C.packed(docs), text_key(docs[text_col]).alias("at"))
+    both = keyed.join(found, F.col("at") == F.col("key"), "left")
+    given = F.col("row").getField(text_col).cast("string")
+    copy = ~F.col("row").getField(id_col).eqNullSafe(F.col("first")) & (F.col("n_words") >= min_block_words)
+    kept = F.filter(F.split(given, "\n", -1), lambda x, i: ~F.array_contains("drop", i))
+    text = F.when(copy, F.lit("")).when(F.size("drop") > 0, F.array_join(kept, "\n")).otherwise(given)
+    removed = F.when(copy, F.col("n_lines")).otherwise(F.coalesce(F.size("drop"), F.lit(0)))
+    info = F.struct(F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"))
+    back = [text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c != "line_dedup"]
+    return both.select(*back, info.alias("line_dedup"))
 
 
 def drop_repeated(docs: DataFrame, min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:

@@ -123,6 +123,7 @@ def mixture(
     side = plan.join(_cuts(measured, plan), F.col("source").eqNullSafe(F.col("s")), "left").select(
         F.col("source").alias("s"), F.col("size").alias("source_size"), "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
     )
+    side = C.store(side, "cuts")  # its size is then known: few sources are broadcast, many are joined
     return measured.join(side, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "source", "key", "size", "source_size", "target",
         (F.col("whole") + F.when(F.col("key") <= F.col("cut"), 1).otherwise(0)).alias("copies"),
@@ -131,9 +132,10 @@ def mixture(
 
 def mix_documents(docs: DataFrame, seed: int = 20, **options) -> DataFrame:
     """The documents of the mix, all columns, plus ``copies`` (documents taken 0 times are
-    left out; ``explode(sequence(1, copies))`` writes the repetitions out)."""
+    left out; ``explode(sequence(1, copies))`` writes the repetitions out). A column of
+    that name in ``docs`` is replaced."""
     plan = mixture(docs, seed=seed, **options)
-    key = sampling_key(seed, F.col("doc_id"), F.col("text").cast("string"))
-    taken = plan.filter("copies > 0").groupBy(F.col("source").alias("_s"), F.col("key").alias("_k")).agg(F.max("copies").alias("_c"))
-    keyed = docs.withColumn("_key", key)
-    return keyed.join(taken, (keyed["_key"] == taken["_k"]) & keyed["source"].cast("string").eqNullSafe(taken["_s"])).select(*[keyed[c] for c in docs.columns], taken["_c"].alias("copies"))
+    taken = plan.filter("copies > 0").groupBy("source", "key").agg(F.max("copies").alias("copies"))
+    keyed = docs.select(C.packed(docs), sampling_key(seed, docs["doc_id"], docs["text"].cast("string")).alias("at"))
+    both = keyed.join(taken, (F.col("at") == F.col("key")) & F.col("row").getField("source").cast("string").eqNullSafe(F.col("source")))
+    return both.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "copies"], "copies")

@@ -295,9 +295,9 @@ def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs``, all columns: one row of each class, that of the smallest doc_id. Rows
     without words are in no class and all stay."""
     found = C.store(classes(docs, threshold), "found")
-    keep = found.filter("key = first_key").select(F.col("key").alias("_k"), F.col("class_id").alias("_c"))
-    text = F.col("text").cast("string")
+    keep = found.filter("key = first_key").select("key", "class_id")
+    text = docs["text"].cast("string")
     wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    stay = docs.filter(~wordless).withColumn("_key", text_key(text)).join(keep, (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_c")), "left_semi")
-    one = stay.dropDuplicates(["_key"]).select(*docs.columns)
-    return one.unionByName(docs.filter(wordless))
+    rows = docs.filter(~wordless).select(C.packed(docs), text_key(text).alias("at"))
+    stay = rows.join(keep, (F.col("at") == F.col("key")) & F.col("row").getField("doc_id").eqNullSafe(F.col("class_id")), "left_semi")
+    return stay.dropDuplicates(["at"]).select("row.*").union(docs.filter(wordless))
