@@ -14,10 +14,10 @@ counts over sum of the larger ones), 0.8 or more.
   share a bucket. Each bucket has a head: the node that shares most bands over all of its
   buckets (the centre of a family of variants). Every node is compared with the heads of its
   buckets, never with all members.
-* Nodes that miss a head are compared, by signature, with all members of that bucket, inside
-  one row per bucket. Of each group already joined, the three closest in each of the node's
-  buckets are verified (to verify all would be quadratic in a family of variants). A bucket too large for one row is divided
-  by the further bands that its members share, as often as needed.
+* Nodes that miss a head are queries, by signature, against all members of that bucket; of
+  each group already joined, the three closest in each of the node's buckets are verified
+  (to verify all would be quadratic in a family of variants). Large buckets are compared in
+  tiles.
 * A pair is verified on the full multisets (a signature estimate below 0.66, four
   standard errors under 0.8, is not verified). Classes are the connected components of the
   verified pairs.
@@ -44,10 +44,8 @@ ROWS = 4
 BANDS = REGISTERS // ROWS
 THRESHOLD = 0.8
 _DOUBT = 0.66
-#: A bucket of at most BLOCK members is compared in one row, if that takes at most
-#: COMPARISONS comparisons of signatures; a larger one is divided.
-BLOCK = 4096
-COMPARISONS = 1 << 20
+#: Nodes on a side of the tiles in which a bucket's members are compared.
+TILE = 1024
 #: Of each group of joined nodes in a bucket, so many closest ones are verified.
 CLOSEST = 3
 _U = np.uint64
@@ -219,37 +217,33 @@ def links(node: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, text_c
 
 def _within(missed: DataFrame, members: DataFrame, sigs: DataFrame) -> DataFrame:
     """Pairs (lo, hi) of a node that missed a head and another member of that bucket which is
-    not joined with it yet and whose signature does not rule it out. Buckets within BLOCK and COMPARISONS are compared in
-    one row each, by signature; members of a larger one meet again in its sub-buckets, one
-    per further band that they share, as often as needed."""
-    own = members
-    out = None
-    while True:
-        flagged = members.join(missed.withColumn("missed", F.lit(True)), ["band", "nid"], "left")
-        size = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count("missed").alias("f"), F.min("root").alias("r"), F.max("root").alias("s")).filter("f > 0 AND r != s")
-        size = C.store(size.withColumn("small", (F.col("n") <= BLOCK) & (F.col("n") * F.col("f") <= COMPARISONS)), "sizes")
-        at = C.store(flagged.join(size, "band").select("band", "nid", "root", F.coalesce("missed", F.lit(False)).alias("missed"), "small"), "blocks")
-        rows = at.filter("small").join(sigs.select("nid", "sig"), "nid")
-        blocks = rows.groupBy("band").agg(F.collect_list(F.struct("nid", "root", "missed", "sig")).alias("m"))  # at most BLOCK members
-        near = blocks.select("m.nid", "m.root", "m.missed", "m.sig").mapInArrow(_compare, "lo long, hi long").distinct()
-        out = near if out is None else out.unionByName(near)
-        large = at.filter("NOT small")
-        if large.isEmpty():
-            return out.distinct()
-        deeper = large.select(F.col("band").alias("outer"), "nid", "root", "missed").join(own.select("nid", F.col("band").alias("inner")), "nid").filter("outer != inner")
-        deeper = C.store(deeper.select(F.xxhash64("outer", "inner").alias("band"), "nid", "root", "missed").distinct(), "deeper")
-        members, missed = deeper.select("band", "nid", "root"), deeper.filter("missed").select("band", "nid")
+    not joined with it yet and whose signature does not rule it out. The missed nodes are
+    queries against all members of their bucket, in tiles of about TILE by TILE nodes, one
+    row per tile."""
+    flagged = members.join(missed.withColumn("missed", F.lit(True)), ["band", "nid"], "left")
+    size = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count("missed").alias("f"), F.min("root").alias("r"), F.max("root").alias("s")).filter("f > 0 AND r != s")
+    size = C.store(size.select("band", F.ceil(F.col("f") / TILE).cast("int").alias("across"), F.ceil(F.col("n") / TILE).cast("int").alias("down")), "tiles")
+    at = C.store(flagged.join(size, "band"), "blocks")
+    spot = F.xxhash64("nid")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    queries = at.filter("missed").select("band", "nid", "root", F.lit(True).alias("query"), F.pmod(spot, "across").cast("int").alias("x"), each("down").alias("y"))
+    others = at.select("band", "nid", "root", F.lit(False).alias("query"), each("across").alias("x"), F.pmod(spot, "down").cast("int").alias("y"))
+    rows = queries.unionByName(others).join(sigs.select("nid", "sig"), "nid")
+    tiles = rows.groupBy("band", "x", "y").agg(F.collect_list(F.struct("nid", "root", "query", "sig")).alias("m"))
+    return tiles.select("m.nid", "m.root", "m.query", "m.sig").mapInArrow(_compare, "lo long, hi long").distinct()
 
 
 def _compare(batches):
     for batch in batches:
         lo, hi = [], []
-        for nid, root, missed, sig in zip(*(c.to_pylist() for c in batch.columns)):
-            ids, roots, all_sigs = np.array(nid), np.array(root), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, REGISTERS)
-            for q in np.flatnonzero(missed):
-                estimate = (all_sigs == all_sigs[q]).mean(axis=1)
-                near = np.flatnonzero((estimate >= _DOUBT) & (roots != roots[q]))
-                near = near[np.lexsort((ids[near], -estimate[near], roots[near]))]
+        for nid, root, query, sig in zip(*(c.to_pylist() for c in batch.columns)):
+            ids, roots, sigs = np.array(nid), np.array(root), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, REGISTERS)
+            members = np.flatnonzero(~np.array(query))
+            for q in np.flatnonzero(query):
+                estimate = (sigs[members] == sigs[q]).mean(axis=1)
+                ok = (estimate >= _DOUBT) & (roots[members] != roots[q])
+                near, estimate = members[ok], estimate[ok]
+                near = near[np.lexsort((ids[near], -estimate, roots[near]))]
                 first = np.searchsorted(roots[near], roots[near])  # where the partner's group starts
                 near = near[np.arange(len(near)) - first < CLOSEST]
                 lo += np.minimum(ids[near], ids[q]).tolist()
