@@ -298,11 +298,12 @@ REGISTRY: dict[str, Formatter] = {
 
 def get_formatter(dataset_name: str, include_disabled: bool = False) -> Callable[[DataFrame], DataFrame]:
     """F8: first registry key contained in the lower-cased name, else ValueError."""
-    active = [f for f in REGISTRY.values() if f.enabled or include_disabled]
-    for f in active:
-        if f.name in dataset_name.lower():
-            return f.fn
-    raise ValueError(f"No formatter found for dataset: {dataset_name}. Available: {[f.name for f in active]}")
+    wanted = dataset_name.casefold()
+    known = {key: entry.fn for key, entry in REGISTRY.items() if include_disabled or entry.enabled}
+    match = next(filter(wanted.__contains__, known), None)
+    if match is None:
+        raise ValueError(f"{dataset_name!r} names none of the registered formatters: {', '.join(known)}")
+    return known[match]
 
 
 def drop_failed(formatted: DataFrame) -> DataFrame:
@@ -339,7 +340,7 @@ def reject_counts(formatted: DataFrame) -> DataFrame:
 
 def python_row_formatter(df: DataFrame, fn: Callable[[dict], dict | None], id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
     """X1 for user Python formatters: ``fn(row_dict) -> {"text": ...} | None`` run over
-    Arrow batches with ``mapInPandas`` (the reference's ``dataset.map(fn)``).
+    Arrow batches with ``mapInArrow`` (the reference's ``dataset.map(fn)``).
 
     This is the opt-in slow path for formatters that cannot be written as column
     expressions; the built-in formatters above never use it. A raising row counts
@@ -349,19 +350,23 @@ def python_row_formatter(df: DataFrame, fn: Callable[[dict], dict | None], id_co
     out_schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, text string, reject_reason string"
 
     def run(batches):
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
+        for batch in batches:
             texts, reasons = [], []
-            for rec in pdf[cols].to_dict("records"):
+            for rec in batch.select(cols).to_pylist():  # Python values: NULL is None, integers stay integers
                 try:
                     res = fn(rec)
+                    text = None if res is None else res.get("text")
+                    why = None if text is not None else "formatter_none"
+                    text = text if text is None or isinstance(text, str) else str(text)
                 except Exception:
-                    res, why = None, "formatter_error"
-                else:
-                    why = None if res is not None and res.get("text") is not None else "formatter_none"
-                texts.append(None if why else res["text"])
+                    text, why = None, "formatter_error"
+                texts.append(text)
                 reasons.append(why)
-            yield pd.DataFrame({id_col: pdf[id_col].values, "text": texts, "reject_reason": reasons})
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index(id_col)), pa.array(texts, pa.string()), pa.array(reasons, pa.string())],
+                [id_col, "text", "reject_reason"],
+            )
 
-    return df.select(*dict.fromkeys([id_col, *cols])).mapInPandas(run, out_schema)
+    return df.select(*dict.fromkeys([id_col, *cols])).mapInArrow(run, out_schema)

@@ -332,7 +332,7 @@ def select_models(models: DataFrame, identifier: str | None = None) -> DataFrame
     first = hit.orderBy("ord").limit(1)
     spark = models.sparkSession
     literal = spark.createDataFrame(
-        [(10**9, identifier, identifier, "Direct HuggingFace model ID", True)],
+        [(10**9, identifier, identifier, "model given by its id", True)],
         "ord long, name string, model_id string, description string, enabled boolean",
     )
     fallback = literal.join(hit.select(F.lit(1).alias("_hit")).limit(1), how="left_anti")

@@ -26,6 +26,7 @@ import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from ..session import ensure_checkpoint_dir
 
@@ -120,8 +121,9 @@ def kth_row_keys_select(df: DataFrame, key_cols: Sequence[str], fraction: float,
     lo, hi = row["b"]
     lo = None if lo_q <= 0.0 else lo
     hi = None if hi_q >= 1.0 else hi
-    below = first < F.lit(lo) if lo is not None else F.lit(False)
-    inside = (first >= F.lit(lo) if lo is not None else F.lit(True)) & (first <= F.lit(hi) if hi is not None else F.lit(True))
+    # NULL keys sort first: they lie below any bracket, and inside one that is open below
+    below = first.isNull() | (first < F.lit(lo)) if lo is not None else F.lit(False)
+    inside = F.coalesce((first >= F.lit(lo) if lo is not None else F.lit(True)) & (first <= F.lit(hi) if hi is not None else F.lit(True)), F.lit(lo is None))
     c = df.agg(F.count_if(below).alias("lo"), F.count_if(inside).alias("in")).first()
     if c["lo"] < k <= c["lo"] + c["in"]:
         kth, _ = kth_row_keys(df.filter(inside), key_cols, k - c["lo"])
@@ -142,6 +144,24 @@ def _le_keys(key_cols: Sequence[str], values: tuple) -> Column:
     return cond
 
 
+def _split_at(df: DataFrame, keys: Sequence[str], kth: tuple, k_of_total, split_col: str, inside: str, outside: str) -> DataFrame:
+    """The first k rows in key order get ``inside``, the rest ``outside``; exact also when
+    several rows share the k-th key. Only those rows are then ordered (by all columns)."""
+    upto = _le_keys(keys, kth)
+    tie = F.lit(True)
+    for name, val in zip(keys, kth):
+        tie = tie & F.col(name).eqNullSafe(F.lit(val))
+    c = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(upto).alias("upto"), F.count_if(tie).alias("ties")).first()
+    over = c["upto"] - k_of_total(c["n"])
+    marked = df.withColumn(split_col, F.when(upto, inside).otherwise(outside))
+    if over <= 0:
+        return marked
+    order = [x for x in df.columns if not isinstance(df.schema[x].dataType, (MapType, VariantType))]
+    tied = global_row_index(df.filter(tie), order, "_cc_tie")
+    cut = F.when(F.col("_cc_tie") < c["ties"] - over, inside).otherwise(outside)
+    return marked.filter(~tie).unionByName(tied.withColumn(split_col, cut).drop("_cc_tie"))
+
+
 def hash_split(
     df: DataFrame, id_col: str, test_fraction: float = 0.05, seed: int = 42, split_col: str = "split",
     names: tuple[str, str] = ("train", "val"),
@@ -162,8 +182,7 @@ def hash_split(
     kth, _ = kth_row_keys_select(keyed, keys, test_fraction, lambda n: math.ceil(n * test_fraction))
     if kth is None:
         return keyed.withColumn(split_col, F.lit(names[0])).drop("_cc_hkey", "_cc_hnum")
-    is_val = _le_keys(keys, kth)
-    return keyed.withColumn(split_col, F.when(is_val, names[1]).otherwise(names[0])).drop("_cc_hkey", "_cc_hnum")
+    return _split_at(keyed, keys, kth, lambda n: math.ceil(n * test_fraction), split_col, names[1], names[0]).drop("_cc_hkey", "_cc_hnum")
 
 
 def ordered_split(
@@ -180,7 +199,7 @@ def ordered_split(
         kth, _ = kth_row_keys(df, cols, lambda n: int(n * train_fraction))
     if kth is None:
         return df.withColumn(split_col, F.lit(names[1]))
-    return df.withColumn(split_col, F.when(_le_keys(list(order_cols), kth), names[0]).otherwise(names[1]))
+    return _split_at(df, cols, kth, lambda n: int(n * train_fraction), split_col, names[0], names[1])
 
 
 def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None, direct_max: int = 10_000) -> DataFrame:

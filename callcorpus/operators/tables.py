@@ -42,15 +42,34 @@ def _ts(value: str | None) -> Column | None:
     return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _clamp(limit: int | None, default_max: tuple[int, int]) -> int:
+def _instant(df: DataFrame, col: str) -> Column:
+    """A date column as a naive UTC time: ISO text (with or without offset) and TIMESTAMP
+    are instants, TIMESTAMP_NTZ is read as UTC (and stays pushable into the scan)."""
+    from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, TimestampNTZType):
+        return c
+    if isinstance(kind, TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+    if isinstance(kind, StringType):
+        zoned = F.when(c.rlike(r"([Zz]|[+-][0-9]{2}:?[0-9]{2})$") & (F.length(c) > 10), c).otherwise(F.concat(c, F.when(F.length(c) == 10, "T00:00:00Z").otherwise("Z")))
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(zoned).cast("timestamp_ntz"))
+    return c.cast("timestamp_ntz")
+
+
+def _limit(limit: int | None, default_max: tuple[int, int]) -> int:
+    """The default, or the request; one outside 0..maximum is an error, never cut short."""
     default, maximum = default_max
     n = default if limit is None else int(limit)
-    return max(0, min(n, maximum))
+    if not 0 <= n <= maximum:
+        raise ValueError(f"limit {n} is outside 0..{maximum}")
+    return n
 
 
 def date_range(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
     """``start <= col <= end`` for the given bounds (pushed into the scan)."""
-    c = F.col(col)
+    c = _instant(df, col)
     if start is not None:
         df = df.filter(c >= _ts(start))
     if end is not None:
@@ -76,7 +95,7 @@ def conversations_query(
         out = out.filter(F.col(status_col).isin(wanted))
     if discarded_col is not None and not include_discarded:
         out = out.filter(~F.coalesce(F.col(discarded_col), F.lit(False)))
-    return paged_query(out, [F.col(created_col).desc(), F.col(id_col)], _clamp(limit, CONVERSATION_LIMIT), offset)
+    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, CONVERSATION_LIMIT), offset)
 
 
 def memories_query(
@@ -85,7 +104,7 @@ def memories_query(
 ) -> DataFrame:
     """R6 ``get_memories``: R2 without status, default 50 (max 5000)."""
     out = date_range(df, created_col, start_date, end_date)
-    return paged_query(out, [F.col(created_col).desc(), F.col(id_col)], _clamp(limit, MEMORY_LIMIT), offset)
+    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, MEMORY_LIMIT), offset)
 
 
 def action_items_query(
@@ -102,7 +121,7 @@ def action_items_query(
         out = out.filter(F.col(completed_col) == F.lit(bool(completed)))
     if conversation_id is not None:
         out = out.filter(F.col(conversation_col) == F.lit(conversation_id))
-    return paged_query(out, [F.col(created_col).desc(), F.col(id_col)], _clamp(limit, ACTION_ITEM_LIMIT), offset)
+    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, ACTION_ITEM_LIMIT), offset)
 
 
 def transcripts(
@@ -111,16 +130,17 @@ def transcripts(
 ) -> DataFrame:
     """The first N segments of each conversation as one transcript text.
 
-    ``0`` = none (no rows), ``-1`` = all, else N (capped at 1000). The top-N filter
+    ``0`` = every conversation with an empty transcript, ``-1`` = all segments, else N (at
+    most 1000; more is an error). The top-N filter
     plans as a partial WindowGroupLimit before the shuffle: each map task forwards at
     most N rows per conversation, so a conversation holding a third of the rows is cut
     down map-side. With ``-1`` the transcript is the whole conversation by definition.
     """
     if max_segments == 0:
-        return segments.select(F.col(conv_col), F.lit(0).cast("long").alias("n_segments"), F.lit("").alias("transcript")).limit(0)
+        return segments.select(F.col(conv_col)).distinct().select(conv_col, F.lit(0).cast("long").alias("n_segments"), F.lit("").alias("transcript"))
     rows = segments
     if max_segments > 0:
-        n = min(max_segments, TRANSCRIPT_MAX_SEGMENTS)
+        n = _limit(max_segments, (0, TRANSCRIPT_MAX_SEGMENTS))
         ensure_group_limit(segments.sparkSession, n)
         w = Window.partitionBy(conv_col).orderBy(order_col)
         rows = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
@@ -156,7 +176,8 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return _dot(a, b) / (F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
+    """NULL if either vector is zero (it has no direction)."""
+    return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
 def vector_topk(
@@ -174,6 +195,9 @@ def vector_topk(
     no cap).
     """
     queries = list(queries)
+    if not queries:
+        kind = corpus.schema[id_col].dataType.simpleString()
+        return corpus.sparkSession.createDataFrame([], f"query_id long, `{id_col}` {kind}, score double, rank long")
     ensure_group_limit(corpus.sparkSession, k)
     parts = []
     for start in range(0, len(queries), chunk):
@@ -205,14 +229,14 @@ def vector_search(corpus: DataFrame, queries, id_col: str, vec_col: str, limit:
     ``where`` (date range, discarded flag, ...) filters the corpus first and pushes
     into the scan."""
     corpus = corpus if where is None else corpus.filter(where)
-    return vector_topk(corpus, queries, id_col, vec_col, max(1, _clamp(limit, VECTOR_LIMIT)))
+    return vector_topk(corpus, queries, id_col, vec_col, max(1, _limit(limit, VECTOR_LIMIT)))
 
 
 def paged_search(corpus: DataFrame, queries, id_col: str, vec_col: str, page: int = 1, per_page: int | None = None,
                  where: Column | None = None) -> DataFrame:
     """R5 ``search``: page ``page`` (from 1) of ``per_page`` results (default 10, at most 100)."""
     corpus = corpus if where is None else corpus.filter(where)
-    n = max(1, _clamp(per_page, SEARCH_PER_PAGE))
+    n = max(1, _limit(per_page, SEARCH_PER_PAGE))
     p = max(1, int(page or 1))
     return vector_topk(corpus, queries, id_col, vec_col, p * n, rank_from=(p - 1) * n + 1)
 

@@ -7,10 +7,11 @@ aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import jsonx as J
 from ..functions.segments import strip_fences
+from ..functions.text import keep_where
 from .catalog import py_str
 from .formatters import training_text
 
@@ -28,7 +29,8 @@ def unwrap(replies: DataFrame) -> DataFrame:
     """
     c = strip_fences(F.col("content"))
     staged = replies.select("batch_id", c.alias("_c"))
-    v = J.parsed(F.col("_c"))
+    staged = staged.select("batch_id", "_c", J.parsed(F.col("_c")).alias("_cc_v"))  # parsed once, used below
+    v = F.col("_cc_v")
     kind = F.schema_of_variant(v)
     envelope = F.lit(None).cast("string")
     for key in reversed(ENVELOPE_KEYS):
@@ -39,6 +41,11 @@ def unwrap(replies: DataFrame) -> DataFrame:
     return staged.select("batch_id", status.alias("status"), F.when(status == "ok", items).alias("items_json"))
 
 
+def _item_ok(item: Column) -> Column:
+    keys = F.json_object_keys(item)
+    return F.coalesce(F.size(F.array_intersect(keys, F.array(*[F.lit(k) for k in ITEM_KEYS]))) == len(ITEM_KEYS), F.lit(False))
+
+
 def unpack(replies: DataFrame, tools_text: str) -> DataFrame:
     """J5 + F5: one row per item ``(batch_id, item_pos, text, item_ok)``.
 
@@ -46,12 +53,11 @@ def unpack(replies: DataFrame, tools_text: str) -> DataFrame:
     a warning in the reference: here ``item_ok`` is false and ``text`` NULL. The
     rendered catalog is one driver-side string (rendered and size-checked once).
     """
-    unwrapped = unwrap(replies).filter(F.col("status") == "ok")
+    unwrapped = keep_where(unwrap(replies), F.col("status") == "ok")
     items = unwrapped.select("batch_id", F.posexplode(F.from_json("items_json", "array<string>")).alias("item_pos", "item"))
     # each item is parsed once (VARIANT) and reused by every field below
     items = items.select("*", F.try_parse_json("item").alias("_cc_v"))
-    keys = F.json_object_keys("item")
-    ok = F.coalesce(F.forall(F.array(*[F.lit(k) for k in ITEM_KEYS]), lambda k: F.array_contains(keys, k)), F.lit(False))
+    ok = _item_ok(F.col("item"))
     v = F.col("_cc_v")
     query = py_str(F.try_variant_get(v, "$.query", "variant"))
     text = training_text(query, J.py_dumps_at("item", "$.tool", v), J.py_dumps_at("item", "$.arguments", v), F.lit(tools_text))
@@ -65,8 +71,6 @@ def unpack(replies: DataFrame, tools_text: str) -> DataFrame:
 
 def batch_yield(replies: DataFrame, tools_text: str, per_batch: int) -> DataFrame:
     """Requested vs obtained per batch (every batch listed, skipped ones with 0)."""
-    status = unwrap(replies).select("batch_id", "status")
-    got = unpack(replies, tools_text).groupBy("batch_id").agg(F.count_if("item_ok").alias("obtained"))
-    return status.join(got, "batch_id", "left").select(
-        "batch_id", "status", F.lit(per_batch).cast("long").alias("requested"), F.coalesce("obtained", F.lit(0)).cast("long").alias("obtained")
-    )
+    items = F.coalesce(F.from_json("items_json", "array<string>"), F.array().cast("array<string>"))
+    valid = F.filter(items, _item_ok)  # counted inside the reply's row: no join, no shuffle
+    return unwrap(replies).select("batch_id", "status", F.lit(per_batch).cast("long").alias("requested"), F.size(valid).cast("long").alias("obtained"))

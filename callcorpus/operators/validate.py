@@ -7,10 +7,9 @@ default), so its required parameters are also reported missing.
 
 Plan: one pass over the calls. Each call is left-joined on its function name with
 the tool's signature row (parameter map + required list); every check is then a
-row-local expression and the violations are exploded. The signature side is
-broadcast only after a count proves the catalog small; a larger catalog takes a
-shuffle join, where AQE splits the partition of a function that holds a third of
-all calls.
+row-local expression and the violations are exploded. The planner broadcasts a
+small signature side by its size; a larger catalog takes a shuffle join, where AQE
+splits the partition of a function that holds a third of all calls.
 """
 
 from __future__ import annotations
@@ -39,9 +38,13 @@ def tool_signatures(params: DataFrame, tools: DataFrame | None = None) -> DataFr
     unknown. The per-tool gather is bounded by the tool's parameter count.
     """
     entry = F.struct(F.col("param"), F.struct(F.col("type").alias("type"), F.col("maximum").alias("maximum")))
-    sigs = params.groupBy(F.col("tool").alias("fn")).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("pmap"),
-        F.array_sort(F.collect_list(F.when(F.col("required"), F.col("param")))).alias("req"),
+    # a tool declared by several catalogs is one signature: of two declarations of a
+    # parameter the one of the first device counts, and required anywhere is required
+    first = F.col("device") if "device" in params.columns else F.lit(0)
+    one = params.groupBy(F.col("tool"), F.col("param")).agg(F.min_by(entry, first).alias("_e"), F.coalesce(F.max("required"), F.lit(False)).alias("_r"))
+    sigs = one.groupBy(F.col("tool").alias("fn")).agg(
+        F.map_from_entries(F.collect_list("_e")).alias("pmap"),
+        F.array_sort(F.collect_list(F.when(F.col("_r"), F.col("param")))).alias("req"),
     )
     if tools is None:
         return sigs
@@ -53,7 +56,7 @@ def tool_signatures(params: DataFrame, tools: DataFrame | None = None) -> DataFr
 
 
 def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id", call_col: str = "call_json",
-                   max_broadcast_rows: int = 1_000_000, tools: DataFrame | None = None) -> DataFrame:
+                   tools: DataFrame | None = None) -> DataFrame:
     """``(id, violation, param)`` rows; a valid call yields none.
 
     ``params``: ``(tool, param, type, maximum, required)`` as produced by
@@ -63,9 +66,6 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
     expression over the argument map.
     """
     sigs = tool_signatures(params, tools)
-    # one count proves the catalog small (signatures have at most that many rows)
-    if params.count() <= max_broadcast_rows:
-        sigs = F.broadcast(sigs)
     v = J.parsed(F.col(call_col))
     keys = F.json_object_keys(F.col(call_col))
     base = calls.select(

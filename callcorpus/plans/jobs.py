@@ -12,8 +12,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import keep_where
 from ..operators import formatters as FM, scoring, split as SP, teacher as TC
 from ..sources import sinks
 
@@ -44,6 +45,10 @@ def prepare_corpus(
     fmt = FM.get_formatter(formatter_name or dataset_name, include_disabled=include_disabled)
     rows = SP.head(raw, [id_col], max_samples)
     formatted = fmt(rows)
+    if output_dir:  # formatted once; the split, the counts and the rejects read it back
+        done = f"{output_dir.rstrip('/')}/_formatted/{dataset_name.replace('/', '_')}"
+        formatted.select(id_col, "text", "reject_reason").write.mode("overwrite").parquet(done)
+        formatted = spark.read.parquet(done)
     kept = FM.drop_failed(formatted).select(id_col, "text")
     split = SP.hash_split(kept, id_col, val_split, seed, names=("train", "val"))
     corpus = split.select("text", "split")
@@ -64,6 +69,10 @@ def evaluate(
 ) -> Evaluation:
     """Evaluation after generation: pair, score, aggregate, report."""
     details = scoring.score_rows(scoring.pair_predictions(cases, predictions, model_names, failed))
+    if output_dir:  # scored once; the three outputs read it back
+        scored = sinks.run_dir(output_dir, "scored", run_ts)
+        details.write.mode("overwrite").parquet(scored)
+        details = details.sparkSession.read.parquet(scored)
     board = scoring.scoreboard(details)
     doc = scoring.summary_document(board, dataset, run_ts)
     if output_dir:
@@ -71,16 +80,16 @@ def evaluate(
         # K4: the summary is written unless exactly one model succeeded (0 included)
         n_ok = len([m for m in model_names if m not in set(failed or [])])
         if n_ok != 1:
-            sinks.write_summary(doc, output_dir)
+            sinks.write_summary(doc, output_dir, run_ts)
     return Evaluation(details, board, doc)
 
 
 def unpack_teacher(replies: DataFrame, tools_text: str, per_batch: int = 10, train_fraction: float = 0.95,
-                   output_dir: str | None = None, dataset_name: str = "omi_synthetic") -> tuple[DataFrame, DataFrame]:
+                   output_dir: str | None = None, dataset_name: str = "synthetic") -> tuple[DataFrame, DataFrame]:
     """Synthetic examples after the teacher calls: unpack, concatenate in batch
     order (U1), ordered 95/5 split (T2), write (K2). Returns (examples, yield)."""
     items = TC.unpack(replies, tools_text)
-    examples = items.filter("item_ok").select("batch_id", "item_pos", "text")
+    examples = keep_where(items, F.col("item_ok")).select("batch_id", "item_pos", "text")
     split = SP.ordered_split(examples, ["batch_id", "item_pos"], train_fraction)
     if output_dir:
         sinks.write_splits(split, output_dir, dataset_name)

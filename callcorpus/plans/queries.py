@@ -653,14 +653,154 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "result_files",
     f"""
-SELECT DISTINCT 'model_' || CAST(m AS VARCHAR) AS model_name,
-       'model_' || CAST(m AS VARCHAR) || '_{RUN_TS_COMPACT}.json' AS file_name
-FROM events, (VALUES (0), (1), (2), (3)) t(m)
+SELECT s_nationkey || '/' || s_name || ' v-' || CAST(s_suppkey % 3 AS VARCHAR) AS model_name,
+       replace(replace(s_nationkey || '/' || s_name || ' v-' || CAST(s_suppkey % 3 AS VARCHAR), '/', '_'), ' ', '_') || '_{RUN_TS_COMPACT}.json' AS file_name
+FROM supplier
 """,
 )
 def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    board = scoring.scoreboard(scored_details(spark, sf_dir), with_pct=False)
-    return scoring.result_file_names(board, RUN_TS_COMPACT)
+    # K5 on names with '/', ' ' and '-', built from table values
+    s = D.table(spark, sf_dir, "supplier")
+    name = F.concat(F.col("s_nationkey").cast("string"), F.lit("/"), F.col("s_name"), F.lit(" v-"), (F.col("s_suppkey") % 3).cast("string"))
+    return scoring.result_file_names(s.select(name.alias("model_name")), RUN_TS_COMPACT)
+
+
+@register(
+    "model_selection",
+    """
+WITH r AS (
+  SELECT s_suppkey AS ord, s_name AS name, 'org/' || lower(s_name) AS model_id, s_nationkey::VARCHAR AS description,
+         CASE s_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN false ELSE true END AS enabled
+  FROM supplier)
+SELECT 'enabled' AS how, ord, name, model_id, description, enabled FROM r WHERE coalesce(enabled, true)
+UNION ALL SELECT 'by_id', ord, name, model_id, description, enabled FROM r WHERE model_id = 'org/supplier#000000001'
+UNION ALL SELECT 'by_name', ord, name, model_id, description, enabled FROM r WHERE name = 'Supplier#000000003'
+UNION ALL SELECT 'literal', 1000000000, 'org/none', 'org/none', 'model given by its id', true
+""",
+)
+def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # P5: enabled models, by id (ignores enabled), by name, and an id that the registry lacks
+    s = D.table(spark, sf_dir, "supplier")
+    kind = F.col("s_suppkey") % 4
+    registry = s.select(
+        F.col("s_suppkey").alias("ord"), F.col("s_name").alias("name"), F.concat(F.lit("org/"), F.lower("s_name")).alias("model_id"),
+        F.col("s_nationkey").cast("string").alias("description"), F.when(kind == 1, False).when(kind != 0, True).alias("enabled"),
+    )
+    wanted = {"enabled": None, "by_id": "org/supplier#000000001", "by_name": "Supplier#000000003", "literal": "org/none"}
+    parts = [scoring.select_models(registry, given).select(F.lit(how).alias("how"), "ord", "name", "model_id", "description", "enabled") for how, given in wanted.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@register(
+    "eval_failed_models",
+    _ORACLE_PRED
+    + """
+SELECT model_name, COUNT(*)::BIGINT AS total, COUNT(*) FILTER (WHERE exact_match)::BIGINT AS exact_match,
+       COUNT(*) FILTER (WHERE valid_json)::BIGINT AS valid_json
+FROM v WHERE model_name <> 'model_2' GROUP BY model_name
+""",
+)
+def eval_failed_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A model whose run failed is left out of pairing, scoring and the board
+    paired = scoring.pair_predictions(D.eval_cases(spark, sf_dir), D.eval_predictions(spark, sf_dir), D.MODEL_NAMES, failed=["model_2"])
+    board = scoring.scoreboard(scoring.score_rows(paired), with_pct=False)
+    return board.select("model_name", "total", "exact_match", "valid_json")
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@register(
+    "plain_prompts",
+    f"""
+SELECT event_id AS example_id,
+  {_sql_text(FM.PLAIN_PROMPT_HEAD.format(tools=CT.EARBUD_FUNCTIONS_TEXT))} || 'record a ' || event_type || ' event' || {_sql_text(FM.PLAIN_PROMPT_TAIL)} AS prompt
+FROM events
+""",
+)
+def plain_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # F6, branch without a catalog
+    return D.eval_cases(spark, sf_dir).select("example_id", FM.eval_prompt("command").alias("prompt"))
+
+
+@register(
+    "chat_messages",
+    f"""
+SELECT event_id AS example_id, 'system' AS role_0, {_sql_text(FM.DEFAULT_SYSTEM)} AS content_0, 'user' AS role_1,
+       'record a ' || event_type || ' event' AS content_1
+FROM events
+""",
+)
+def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # F7a without a catalog, one column per message field
+    m = D.eval_cases(spark, sf_dir).select("example_id", FM.chat_messages("command", FM.chat_system_prompt(None)).alias("m"))
+    fields = [F.col("m")[i][f].alias(f"{f}_{i}") for i in (0, 1) for f in ("role", "content")]
+    return m.select("example_id", *fields)
+
+
+@register(
+    "conversations_iso_dates",
+    """
+SELECT o_orderkey, status, created FROM (
+  SELECT o_orderkey, o_orderdate, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'processing' ELSE 'failed' END AS status,
+         strftime(o_orderdate + to_hours([0, 2, -5][1 + o_orderkey % 3]), '%Y-%m-%dT%H:%M:%S') || ['Z', '+02:00', '-05:00'][1 + o_orderkey % 3] AS created
+  FROM orders)
+WHERE o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate <= TIMESTAMP '1996-12-31' AND status IN ('processing', 'completed') AND o_orderkey % 7 <> 0
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 500
+""",
+)
+def conversations_iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # R2 on ISO text with varied offsets: default statuses, discarded rows, bounds with offsets
+    o = D.table(spark, sf_dir, "orders")
+    at = F.col("o_orderkey") % 3
+    hours = F.when(at == 0, 0).when(at == 1, 2).otherwise(-5)
+    wall = F.date_format(F.col("o_orderdate") + F.make_dt_interval(hours=hours), "yyyy-MM-dd'T'HH:mm:ss")
+    rows = o.select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "processing").otherwise("failed").alias("status"),
+        F.concat(wall, F.when(at == 0, "Z").when(at == 1, "+02:00").otherwise("-05:00")).alias("created"), (F.col("o_orderkey") % 7 == 0).alias("discarded"),
+    )
+    out = TB.conversations_query(rows, "created", "status", "o_orderkey", "discarded", start_date="1996-03-01T02:00:00+02:00", end_date="1996-12-31T00:00:00Z", limit=500)
+    return out.select("o_orderkey", "status", "created")
+
+
+@register(
+    "action_items_filtered",
+    """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_orderstatus = 'F' AND o_custkey % 10 = 3 AND o_orderdate + INTERVAL 30 DAY >= TIMESTAMP '1995-06-01'
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 100
+""",
+)
+def action_items_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Completed (null for some rows), one conversation, due from
+    o = D.table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    rows = o.select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").alias("created"), (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("due"),
+        F.when(status == "F", True).when(status == "O", False).alias("completed"), F.concat(F.lit("c"), (F.col("o_custkey") % 10).cast("string")).alias("conversation"),
+    )
+    out = TB.action_items_query(rows, "o_orderkey", "created", "due", "completed", "conversation", completed=True, conversation_id="c3", due_start_date="1995-06-01", limit=100)
+    return out.select("o_orderkey", "o_custkey")
+
+
+@register(
+    "transcripts_all",
+    f"""
+SELECT conv_id, COUNT(*)::BIGINT AS n_segments, string_agg(role || ': ' || text, {_NL} ORDER BY turn) AS transcript
+FROM conversations GROUP BY conv_id
+""",
+)
+def transcripts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # R3 with -1: the whole conversation is the output row
+    return TB.transcripts(D.table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", max_segments=-1)
+
+
+@register("sample_rows", "SELECT doc_id, lang, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 5")
+def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # L2: the printed sample; the limit is the feature
+    docs = D.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return SP.sample_rows(docs, [F.col("n_chars").desc(), F.col("doc_id")], 5)
 
 
 _ORACLE_SINGLE_CAT = f"""

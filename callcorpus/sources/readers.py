@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import jsonx as J
 from ..functions.text import py_strip
+from ..operators.split import global_row_index
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -48,22 +49,25 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", split: st
 
 
 def read_eval_cases(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """S2 ``load_eval_dataset``: JSONL, one object per line, order kept as ``example_id``.
+    """S2 ``load_eval_dataset``: JSONL, one object per line; ``example_id`` is the line's
+    0-based position over all files, in path order.
 
     ``expected_output`` stays JSON text (argument keys differ per row). In FAILFAST
     mode a blank or invalid line raises, as in the reference; ``mode="PERMISSIVE"``
     returns such lines with ``bad_line`` set instead.
     """
-    lines = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("_pos"), F.input_file_name().alias("_file"), F.col("value")
-    )
-    # monotonically increasing ids follow file order: they order the cases (W1 ranks
-    # them into positions) without pulling the file through one task
+    # a line's place is its file, the block of the file that holds it, and its order in
+    # that block; the rank of the places is the same for any split size or cluster
+    placed = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_order"), "value",
+    )
+    lines = global_row_index(placed, ["_file", "_block", "_order"], "example_id")
     # each line is loaded after ``strip()``; it must hold one JSON object
     line = py_strip(F.col("value"))
     ok = J.json_loads_ok(line) & line.startswith("{")
     out = lines.select(
-        F.col("_pos").alias("example_id"),
+        "example_id",
         F.get_json_object(line, "$.command").alias("command"),
         J.py_dumps_at(line, "$.expected_output").alias("expected"),
         (~F.coalesce(ok, F.lit(False))).alias("bad_line"),

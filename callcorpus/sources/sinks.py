@@ -4,48 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.text import clean_dataset_name
+from ..functions.text import clean_model_name
 
 
-def write_splits(df: DataFrame, output_dir: str, dataset_name: str, split_col: str = "split", single_file: bool = False,
-                 fmt: str = "json") -> str:
-    """K1/K2: JSONL text per split under ``{output_dir}/{clean_name}/split=<name>/``.
+def write_splits(df: DataFrame, output_dir: str, dataset_name: str, split_col: str = "split", fmt: str = "json") -> str:
+    """K1/K2: one folder of part files per split, ``{output_dir}/{clean}_{split}.jsonl/``.
 
-    One directory of part files per split (the distributed form of
-    ``{clean}_train.jsonl`` / ``{clean}_val.jsonl``); ``single_file=True`` coalesces
-    each split to one part, for small corpora only. Rows keep only ``text``, as the
-    reference writes ``json.dumps({"text": ...})`` per line; ``fmt`` picks another
-    format (e.g. ``parquet``) for the same layout.
+    ``readers.read_training_splits(spark, output_dir)`` reads them back. Rows keep only
+    ``text``; ``fmt`` picks another format, which then also names the folders. Each task
+    writes its own part; no split is gathered. Returns ``{output_dir}/{clean}``.
     """
     clean = dataset_name.replace("/", "_").replace("-", "_")
     path = f"{output_dir.rstrip('/')}/{clean}"
-    out = df.select("text", split_col)
-    if single_file:
-        out = out.repartition(split_col)
-    out.write.mode("overwrite").partitionBy(split_col).format(fmt).save(path)
+    suffix = "jsonl" if fmt == "json" else fmt
+    for row in df.select(split_col).distinct().collect():  # a row per split
+        part = df.filter(F.col(split_col).eqNullSafe(F.lit(row[0]))).select("text")
+        part.write.mode("overwrite").format(fmt).save(f"{path}_{row[0]}.{suffix}")
     return path
 
 
-def clean_name_column(df: DataFrame, col: str, out: str = "clean_name") -> DataFrame:
-    """K5 for a column of dataset names."""
-    return df.withColumn(out, clean_dataset_name(col))
+def run_dir(output_dir: str, table: str, run_ts: str) -> str:
+    """Where one run writes a table: ``{output_dir}/{table}/run=<stamp>``. Other runs' folders
+    are never touched, and reading ``{output_dir}/{table}`` gives all runs."""
+    stamp = "".join(c if c.isalnum() else "_" for c in run_ts) or "none"
+    return f"{output_dir.rstrip('/')}/{table}/run={stamp}"
 
 
 def write_model_results(details: DataFrame, board: DataFrame, output_dir: str, run_ts: str) -> str:
-    """K3: per-model results, partitioned by the cleaned model name.
+    """K3: per-model results of one run, partitioned by the cleaned model name.
 
     ``details`` (one row per case) and the counters go to two tables instead of one
-    JSON document per model holding every detail in memory.
+    JSON document per model holding every detail in memory. Writing a run again
+    replaces that run only.
     """
-    base = output_dir.rstrip("/")
-    safe = F.translate(F.col("model_name"), "/ ", "__")
-    details.withColumn("model_safe", safe).withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").partitionBy("model_safe").json(f"{base}/details")
-    board.withColumn("model_safe", safe).withColumn("timestamp", F.lit(run_ts)).write.mode("overwrite").partitionBy("model_safe").json(f"{base}/results")
-    return base
+    safe = clean_model_name("model_name")
+    details.withColumn("model_safe", safe).withColumn("run_ts", F.lit(run_ts)).write.mode("overwrite").partitionBy("model_safe").json(run_dir(output_dir, "details", run_ts))
+    board.withColumn("model_safe", safe).withColumn("timestamp", F.lit(run_ts)).write.mode("overwrite").partitionBy("model_safe").json(run_dir(output_dir, "results", run_ts))
+    return output_dir.rstrip("/")
 
 
-def write_summary(summary_doc: DataFrame, output_dir: str) -> str:
-    """K4: the one-row cross-model summary document."""
-    path = f"{output_dir.rstrip('/')}/summary"
+def write_summary(summary_doc: DataFrame, output_dir: str, run_ts: str = "") -> str:
+    """K4: the one-row cross-model summary document of one run."""
+    path = run_dir(output_dir, "summary", run_ts)
     summary_doc.coalesce(1).write.mode("overwrite").json(path)
     return path

@@ -24,7 +24,10 @@ def test_oracles_have_queries():
 def test_query_columns_are_aliased(spark):
     import re
 
-    for name, fn in E.queries().items():
+    from callcorpus.plans.queries import QUERIES
+
+    for name, fn in QUERIES.items():
+        assert E.queries()[name] is fn
         cols = fn(spark, SF_SMALL).columns
         assert all(re.fullmatch(r"[a-z_][a-z0-9_]*", c) for c in cols), (name, cols)
         assert len(cols) == len(set(cols)), (name, cols)

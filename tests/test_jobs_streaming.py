@@ -17,7 +17,9 @@ def test_prepare_corpus_end_to_end(spark):
     n_rej = res.rejects.count()
     counts = {r.split: r.n for r in res.counts.collect()}
     assert counts["train"] + counts["val"] + n_rej == n_src  # every row accounted for
-    back = spark.read.json(res.path)
+    from callcorpus.sources import readers
+
+    back = readers.read_training_splits(spark, out_dir)
     assert back.count() == counts["train"] + counts["val"]
     assert set(back.columns) == {"text", "split"}
 

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from callcorpus.functions import segments as SG
@@ -108,9 +109,14 @@ def test_vector_search_where_and_limits(spark):
 
     corpus = spark.createDataFrame([(i, [float(i % 5), 1.0], i % 2 == 0) for i in range(60)], "vec_id long, embedding array<float>, discarded boolean")
     q = [(0, [1.0, 1.0])]
-    top = TB.vector_search(corpus, q, "vec_id", "embedding", limit=50, where=~F.col("discarded"))
+    top = TB.vector_search(corpus, q, "vec_id", "embedding", limit=20, where=~F.col("discarded"))
     rows = top.collect()
-    assert len(rows) == 20 and all(r.vec_id % 2 == 1 for r in rows)  # limit clamped to 20, filter applied
+    assert len(rows) == 20 and all(r.vec_id % 2 == 1 for r in rows)
+    with pytest.raises(ValueError):  # above the declared maximum: an error, not a shorter answer
+        TB.vector_search(corpus, q, "vec_id", "embedding", limit=50)
+    assert TB.vector_topk(corpus, [], "vec_id", "embedding", 3).count() == 0
+    zero = corpus.unionByName(spark.createDataFrame([(99, [0.0, 0.0], False)], corpus.schema))
+    assert 99 not in {r.vec_id for r in TB.vector_search(zero, q, "vec_id", "embedding", limit=20).collect()}
     page = TB.paged_search(corpus, q, "vec_id", "embedding", page=2, per_page=10)
     assert sorted(r.rank for r in page.collect()) == list(range(11, 21))
 
@@ -123,3 +129,56 @@ def test_length_flags_and_percentiles(spark):
     assert flags == [(1, False), (10, False), (100, False), (3000, True)]
     p = runlogs.length_percentiles(df, "text", (0.5, 1.0)).first()
     assert p.max_tokens == 3000 and p.percentiles[1] == 3000 and p.percentiles[0] in (10, 100)
+
+
+def test_splits_are_exact_with_ties_and_nulls(spark):
+    rows = [(i % 5, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id long, x long")
+    n = {r.split: r["count"] for r in SP.hash_split(df, "id", 0.05).groupBy("split").count().collect()}
+    assert n == {"train": 950, "val": 50}
+    tied = spark.createDataFrame([(None if i < 100 else 7, i) for i in range(1000)], "k long, x long")
+    n = {r.split: r["count"] for r in SP.ordered_split(tied, ["k"], 0.5).groupBy("split").count().collect()}
+    assert n == {"train": 500, "val": 500}
+    named = spark.createDataFrame([(f"s{i % 3}", i) for i in range(90)], "k string, x long")
+    n = {r.split: r["count"] for r in SP.ordered_split(named, ["k"], 0.4).groupBy("split").count().collect()}
+    assert n == {"train": 36, "val": 54}
+
+
+def test_two_devices_may_declare_one_tool(spark):
+    from callcorpus.operators import validate
+
+    rows = [("d1", "f", "a", "integer", 5, True), ("d2", "f", "a", "string", None, False), ("d2", "g", "b", "string", None, False)]
+    params = spark.createDataFrame(rows, "device string, tool string, param string, type string, maximum long, required boolean")
+    calls = spark.createDataFrame([(1, '{"function": "f", "arguments": {"a": 9}}'), (2, '{"function": "g", "arguments": {}}')], "call_id long, call_json string")
+    assert [tuple(r) for r in validate.validate_calls(calls, params).collect()] == [(1, "over_maximum", "a")]
+
+
+def test_dates_as_text_and_in_any_session_zone(spark):
+    from callcorpus.operators import tables as TB
+
+    rows = [(1, "2024-05-01T00:30:00+02:00"), (2, "2024-05-01T23:30:00-02:00"), (3, "2024-05-01T12:00:00Z"), (4, "2024-05-01"), (5, "bad")]
+    text = spark.createDataFrame(rows, "id long, created string")
+    ids = lambda df: sorted(r.id for r in TB.memories_query(df, "created", "id", "2024-05-01", "2024-05-01T23:59:59").collect())
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert ids(text) == [3, 4]
+            instants = text.filter("id < 4").select("id", F.to_timestamp("created").alias("created"))
+            assert ids(instants) == [3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_user_formatter_sees_python_values(spark):
+    from callcorpus.operators import formatters as FM
+
+    df = spark.createDataFrame([(1, None, "a"), (2, 5, "b"), (3, 6, "c")], "id long, n long, t string")
+
+    def fn(row):
+        if row["id"] == 3:
+            return "not a dict"
+        return {"text": f"{row['n']!r} {row['t']}"}
+
+    got = {r.id: (r.text, r.reject_reason) for r in FM.python_row_formatter(df, fn).collect()}
+    assert got == {1: ("None a", None), 2: ("5 b", None), 3: (None, "formatter_error")}
