@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..session import ensure_checkpoint_dir
 
 #: Bytes of text that a Python worker handles at once (a longer text is a piece of its own).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -38,7 +38,7 @@ def store(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back (cuts lineage, gives real sizes)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -247,7 +247,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text_col: str = "text"
     table = C.store(made.select(F.monotonically_increasing_id().alias("rid"), "*"), "anchors")
     keys = C.store(table.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("rid").alias("rid")), "keys")
     each = table.select("rid", F.explode(F.arrays_zip("first", "n", "anchor", "context")).alias("w")).select("rid", "w.*")
+    # stored, so that a frequent anchor's rows may be split in the join
     shared = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), (F.min("context") == F.max("context")).alias("same")).filter("c > 1").select("anchor", "same")
+    shared = C.store(shared, "shared")
     flagged = each.select("anchor", "rid", "first", "n").join(shared, "anchor").select("rid", "first", "n", "same")
     placed = C.store(flagged.join(keys, "rid").select("key", (F.col("copies") == 1).alias("single"), "first", "n", "same"), "placed")
     inside = placed.filter("same AND single").select("key", F.col("first").cast("long").alias("a"), (F.col("first") + F.col("n") - 1).cast("long").alias("b"))
