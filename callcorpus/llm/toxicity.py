@@ -32,6 +32,7 @@ from .langid import held_out, sample_unit
 
 STEM = 4
 BLOCK = 64
+DOCS_PER_TASK = 10_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -209,7 +210,8 @@ def score(
                 ["doc_id", "score", "evidence"],
             )
 
-    return vectors.mapInArrow(run, f"doc_id {vectors.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>")
+    spread = vectors.repartition(n_docs // DOCS_PER_TASK + 1)  # the stored rows are few bytes, their search is not
+    return spread.mapInArrow(run, f"doc_id {vectors.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
