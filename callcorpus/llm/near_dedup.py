@@ -14,10 +14,10 @@ counts over sum of the larger ones), 0.8 or more.
   share a bucket. Each bucket has a head: the node that shares most bands over all of its
   buckets (the centre of a family of variants). Every node is compared with the heads of its
   buckets, never with all members.
-* Nodes that miss a head are queries, by signature, against all members of that bucket; of
-  each group already joined, the three closest in each of the node's buckets are verified
-  (to verify all would be quadratic in a family of variants). Large buckets are compared in
-  tiles.
+* Nodes that miss a head are queries, by signature, against all members of that bucket.
+  Members that reached the same head are a group; in each of the node's buckets the closest
+  member of each of the four closest groups is verified (to verify all pairs would be
+  quadratic in a family of variants). Large buckets are compared in tiles.
 * A pair is verified on the full multisets (a signature estimate below 0.66, four
   standard errors under 0.8, is not verified). Classes are the connected components of the
   verified pairs.
@@ -46,8 +46,8 @@ THRESHOLD = 0.8
 _DOUBT = 0.66
 #: Nodes on a side of the tiles in which a bucket's members are compared.
 TILE = 1024
-#: Of each group of joined nodes in a bucket, so many closest ones are verified.
-CLOSEST = 3
+#: In each bucket, the closest member of each of so many closest groups is verified.
+CLOSEST = 4
 _U = np.uint64
 
 
@@ -208,7 +208,8 @@ def links(node: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, text_c
     judged = C.store(_judge(C.store(pairs, "pairs"), sigs, bags), "judged")
     ok = judged.filter(F.col("similarity") >= threshold).select(F.col("lo").alias("l"), F.col("hi").alias("h"))
     missed = tries.join(ok, (F.least("nid", "head") == F.col("l")) & (F.greatest("nid", "head") == F.col("h")), "left_anti")
-    joined = C.store(components(ok, "l", "h"), "joined").select(F.col("node").alias("nid"), "root")
+    reached = tries.join(ok, (F.least("nid", "head") == F.col("l")) & (F.greatest("nid", "head") == F.col("h")))
+    joined = reached.groupBy("nid").agg(F.min("head").alias("root"))
     placed = members.select("band", "nid").join(joined, "nid", "left").select("band", "nid", F.coalesce("root", "nid").alias("root"))
     more = _within(C.store(missed.select("band", "nid"), "missed"), C.store(placed, "placed"), sigs)
     late = C.store(_judge(C.store(more.join(judged.select("lo", "hi"), ["lo", "hi"], "left_anti"), "late"), sigs, bags), "judged")
@@ -216,8 +217,8 @@ def links(node: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, text_c
 
 
 def _within(missed: DataFrame, members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (lo, hi) of a node that missed a head and another member of that bucket which is
-    not joined with it yet and whose signature does not rule it out. The missed nodes are
+    """Pairs (lo, hi) of a node that missed a head and another member of that bucket which
+    has not reached the same head and whose signature does not rule it out. The missed nodes are
     queries against all members of their bucket, in tiles of about TILE by TILE nodes, one
     row per tile."""
     flagged = members.join(missed.withColumn("missed", F.lit(True)), ["band", "nid"], "left")
@@ -235,7 +236,7 @@ def _within(missed: DataFrame, members: DataFrame, sigs: DataFrame) -> DataFrame
 
 def _compare(batches):
     for batch in batches:
-        lo, hi = [], []
+        found: set[tuple[int, int]] = set()
         for nid, root, query, sig in zip(*(c.to_pylist() for c in batch.columns)):
             ids, roots, sigs = np.array(nid), np.array(root), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, REGISTERS)
             members = np.flatnonzero(~np.array(query))
@@ -243,12 +244,11 @@ def _compare(batches):
                 estimate = (sigs[members] == sigs[q]).mean(axis=1)
                 ok = (estimate >= _DOUBT) & (roots[members] != roots[q])
                 near, estimate = members[ok], estimate[ok]
-                near = near[np.lexsort((ids[near], -estimate, roots[near]))]
-                first = np.searchsorted(roots[near], roots[near])  # where the partner's group starts
-                near = near[np.arange(len(near)) - first < CLOSEST]
-                lo += np.minimum(ids[near], ids[q]).tolist()
-                hi += np.maximum(ids[near], ids[q]).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["lo", "hi"])
+                near = near[np.lexsort((ids[near], -estimate))]
+                _, first = np.unique(roots[near], return_index=True)  # the closest of each group
+                near = near[np.sort(first)[:CLOSEST]]
+                found.update(zip(np.minimum(ids[near], ids[q]).tolist(), np.maximum(ids[near], ids[q]).tolist()))
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["lo", "hi"])
 
 
 def _judge(pairs: DataFrame, sigs: DataFrame, bags: DataFrame) -> DataFrame:
