@@ -14,10 +14,11 @@ counts over sum of the larger ones), 0.8 or more.
   share a bucket. Each bucket has a head: the node that shares most bands over all of its
   buckets (the centre of a family of variants). Every node is compared with the heads of its
   buckets, never with all members.
-* Nodes that miss a head are queries, by signature, against all members of that bucket.
-  Members that reached the same head are a group; in each of the node's buckets the closest
-  member of each of the four closest groups is verified (to verify all pairs would be
-  quadratic in a family of variants). Large buckets are compared in tiles.
+* Nodes that miss a head are queries, by signature, against all members of that bucket, in
+  tiles. A pair is taken up in the first band that it shares. Inside a tile the pairs are
+  verified from the closest down; only a pair whose ends are already linked (by the heads or
+  by verified pairs of the tile) is left out, so no class is lost, and a tile gives a tree
+  of links, never all pairs of a family.
 * A pair is verified on the full multisets (a signature estimate below 0.66, four
   standard errors under 0.8, is not verified). Classes are the connected components of the
   verified pairs.
@@ -46,8 +47,6 @@ THRESHOLD = 0.8
 _DOUBT = 0.66
 #: Nodes on a side of the tiles in which a bucket's members are compared.
 TILE = 1024
-#: In each bucket, the closest member of each of so many closest groups is verified.
-CLOSEST = 4
 _U = np.uint64
 
 
@@ -208,47 +207,96 @@ def links(node: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, text_c
     judged = C.store(_judge(C.store(pairs, "pairs"), sigs, bags), "judged")
     ok = judged.filter(F.col("similarity") >= threshold).select(F.col("lo").alias("l"), F.col("hi").alias("h"))
     missed = tries.join(ok, (F.least("nid", "head") == F.col("l")) & (F.greatest("nid", "head") == F.col("h")), "left_anti")
-    reached = tries.join(ok, (F.least("nid", "head") == F.col("l")) & (F.greatest("nid", "head") == F.col("h")))
-    joined = reached.groupBy("nid").agg(F.min("head").alias("root"))
-    placed = members.select("band", "nid").join(joined, "nid", "left").select("band", "nid", F.coalesce("root", "nid").alias("root"))
-    more = _within(C.store(missed.select("band", "nid"), "missed"), C.store(placed, "placed"), sigs)
-    late = C.store(_judge(C.store(more.join(judged.select("lo", "hi"), ["lo", "hi"], "left_anti"), "late"), sigs, bags), "judged")
-    return judged.unionByName(late).filter(F.col("similarity") >= threshold)
-
-
-def _within(missed: DataFrame, members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs (lo, hi) of a node that missed a head and another member of that bucket which
-    has not reached the same head and whose signature does not rule it out. The missed nodes are
-    queries against all members of their bucket, in tiles of about TILE by TILE nodes, one
-    row per tile."""
+    linked = C.store(components(ok, "l", "h"), "linked")
+    placed = members.join(linked, F.col("nid") == F.col("node"), "left").select("band", "nid", F.coalesce("root", "nid").alias("root"))
+    late = _within(C.store(missed.select("band", "nid"), "missed"), C.store(placed, "placed"), sigs, bags, threshold)
+    return judged.filter(F.col("similarity") >= threshold).unionByName(late)
+
+
+def _within(missed: DataFrame, members: DataFrame, sigs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Verified pairs (lo, hi, similarity) of a node that missed a head and another member
+    of that bucket with another root. The missed nodes are queries against all members of their
+    bucket, in tiles of about TILE by TILE nodes, one row per tile; multisets are joined
+    only to the nodes of a tile whose signatures do not rule out every pair."""
     flagged = members.join(missed.withColumn("missed", F.lit(True)), ["band", "nid"], "left")
     size = flagged.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count("missed").alias("f"), F.min("root").alias("r"), F.max("root").alias("s")).filter("f > 0 AND r != s")
     size = C.store(size.select("band", F.ceil(F.col("f") / TILE).cast("int").alias("across"), F.ceil(F.col("n") / TILE).cast("int").alias("down")), "tiles")
-    at = C.store(flagged.join(size, "band"), "blocks")
+    at = C.store(flagged.join(size, "band").withColumn("missed", F.coalesce("missed", F.lit(False))), "blocks")
     spot = F.xxhash64("nid")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    queries = at.filter("missed").select("band", "nid", "root", F.lit(True).alias("query"), F.pmod(spot, "across").cast("int").alias("x"), each("down").alias("y"))
-    others = at.select("band", "nid", "root", F.lit(False).alias("query"), each("across").alias("x"), F.pmod(spot, "down").cast("int").alias("y"))
+    queries = at.filter("missed").select("band", "nid", "root", "missed", F.lit(True).alias("query"), F.pmod(spot, "across").cast("int").alias("x"), each("down").alias("y"))
+    others = at.select("band", "nid", "root", "missed", F.lit(False).alias("query"), each("across").alias("x"), F.pmod(spot, "down").cast("int").alias("y"))
     rows = queries.unionByName(others).join(sigs.select("nid", "sig"), "nid")
-    tiles = rows.groupBy("band", "x", "y").agg(F.collect_list(F.struct("nid", "root", "query", "sig")).alias("m"))
-    return tiles.select("m.nid", "m.root", "m.query", "m.sig").mapInArrow(_compare, "lo long, hi long").distinct()
+    fields = ["nid", "root", "missed", "query", "sig"]
+    tile = lambda df, names: df.groupBy("band", "x", "y").agg(F.collect_list(F.struct(*names)).alias("m")).select("band", "x", "y", *[f"m.{c}" for c in names])
+    wanted = C.store(tile(rows, fields).mapInArrow(_compare, "band long, x int, y int, nid long, root long, missed boolean, query boolean, sig binary"), "wanted")
+    return C.store(tile(wanted.join(bags, "nid"), [*fields, "bag"]).mapInArrow(_link(threshold), "lo long, hi long, similarity double"), "late").groupBy("lo", "hi").agg(F.max("similarity").alias("similarity"))
+
+
+class _Tile:
+    """Queries and members of a tile."""
+
+    def __init__(self, nid, root, missed, query, sig):
+        self.ids, self.missed, self.query = np.array(nid), np.array(missed), np.array(query)
+        self.group = np.unique(root, return_inverse=True)[1]
+        self.sigs = np.frombuffer(b"".join(sig), np.uint32).reshape(-1, REGISTERS)
+        self.members = np.flatnonzero(~self.query)
+
+    def near(self, q: int, band: int, keys: np.ndarray) -> np.ndarray:
+        """Members, from the closest down, that query ``q`` has to be verified against here:
+        of another group, not ruled out, in the first band that both share; of two queries
+        the one of the smaller id asks."""
+        m = self.members
+        m = m[(self.group[m] != self.group[q]) & (~self.missed[m] | (self.ids[m] > self.ids[q]))]
+        estimate = (self.sigs[m] == self.sigs[q]).mean(axis=1)
+        ok = estimate >= _DOUBT
+        m, estimate = m[ok], estimate[ok]
+        same = keys[m] == keys[q]
+        first = keys[q][same.argmax(axis=1)] == band
+        m, estimate = m[first], estimate[first]
+        return m[np.lexsort((self.ids[m], -estimate))]
 
 
 def _compare(batches):
+    """The nodes of each tile that have a pair to verify."""
     for batch in batches:
-        found: set[tuple[int, int]] = set()
-        for nid, root, query, sig in zip(*(c.to_pylist() for c in batch.columns)):
-            ids, roots, sigs = np.array(nid), np.array(root), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, REGISTERS)
-            members = np.flatnonzero(~np.array(query))
-            for q in np.flatnonzero(query):
-                estimate = (sigs[members] == sigs[q]).mean(axis=1)
-                ok = (estimate >= _DOUBT) & (roots[members] != roots[q])
-                near, estimate = members[ok], estimate[ok]
-                near = near[np.lexsort((ids[near], -estimate))]
-                _, first = np.unique(roots[near], return_index=True)  # the closest of each group
-                near = near[np.sort(first)[:CLOSEST]]
-                found.update(zip(np.minimum(ids[near], ids[q]).tolist(), np.maximum(ids[near], ids[q]).tolist()))
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["lo", "hi"])
+        at: list[tuple[int, int, int]] = []
+        out: list[list] = [[], [], [], [], []]
+        for band, x, y, *node in zip(*(c.to_pylist() for c in batch.columns)):
+            t = _Tile(*node)
+            keys, use = bands(t.sigs), np.zeros(len(t.ids), dtype=bool)
+            for q in np.flatnonzero(t.query):
+                near = t.near(q, band, keys)
+                use[near] = True
+                use[q] |= len(near) > 0
+            for i in np.flatnonzero(use):
+                at.append((band, x, y))
+                for column, values in zip(out, node):
+                    column.append(values[i])
+        place = [pa.array([a[i] for a in at], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        found = [pa.array(v, kind) for v, kind in zip(out, (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([*place, *found], ["band", "x", "y", "nid", "root", "missed", "query", "sig"])
+
+
+def _link(threshold: float):
+    def run(batches):
+        for batch in batches:
+            found: list[tuple[int, int, float]] = []
+            for band, _, _, *node, bag in zip(*(c.to_pylist() for c in batch.columns)):
+                t = _Tile(*node)
+                keys = bands(t.sigs)
+                for q in np.flatnonzero(t.query):
+                    near = t.near(q, band, keys)
+                    while len(near):
+                        m, near = near[0], near[1:]
+                        sim = similarity(bag[q], bag[m])
+                        if sim >= threshold:
+                            found.append((int(min(t.ids[q], t.ids[m])), int(max(t.ids[q], t.ids[m])), sim))
+                            t.group[t.group == t.group[m]] = t.group[q]
+                            near = near[t.group[near] != t.group[q]]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["lo", "hi", "similarity"])
+
+    return run
 
 
 def _judge(pairs: DataFrame, sigs: DataFrame, bags: DataFrame) -> DataFrame:

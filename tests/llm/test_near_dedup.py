@@ -110,3 +110,24 @@ def test_keep_first(spark):
 
 def test_empty_table(spark):
     assert N.assign(documents(spark, [])).count() == 0
+
+
+def crowded_rows():
+    """78 pairs of similarity 0.82 and no other of 0.8, but many that look closer by
+    signature: each text edits five spots, of which any two texts share one at most and
+    partners share one edit."""
+    texts = []
+    for b in range(13):
+        for a in range(12):
+            w = [f"b{i}" for i in range(400)]
+            for i in range(5):
+                w[4 + 5 * (13 * i + (a * i + b) % 13)] = f"t{a if i else a // 2}b{b}i{i}"
+            texts.append(" ".join(w))
+    return [(i, t, "en", "a") for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("tile", [30, 1024])
+def test_partners_behind_texts_that_look_closer(spark, monkeypatch, tile):
+    monkeypatch.setattr(N, "TILE", tile)
+    rows = crowded_rows()
+    assert classes_of(spark, rows) == brute(rows) == sorted(((i, i - i % 2) for i, *_ in rows), key=str)
