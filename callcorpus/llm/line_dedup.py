@@ -2,10 +2,12 @@
 
 1. Texts are keyed by MD5. Copies of one text are collapsed: the document with the smallest
    id is its first, every other one is a later copy.
-2. Each distinct text becomes its list of line hashes and line lengths (in words). A line's
-   owner is the earliest text that holds it. Every text is paired with the owners of its
-   lines, rarest line first: at most one pair per line, so a line that a third of all texts
-   share gives each of them one pair and never all pairs among them.
+2. Each distinct text becomes its list of line hashes and line lengths (in words). Its keys
+   are its lines and its least runs: from each line on, and up to each line, the fewest
+   lines that reach ``min_block_words`` words. Every line of a common block of that size is
+   in a least run of the block. A key's owner is the earliest text that holds it. Every text
+   is paired with the owners of its keys: at most one pair per key, so a line that a third of
+   all texts share gives each of them one pair and never all pairs among them.
 3. A pair is aligned by patience diff: lines that are unique on both sides, their longest
    increasing run, and the same again between them. Common blocks of at least
    ``min_block_words`` words are deleted from the later text.
@@ -20,7 +22,8 @@ compared whole, without their newline. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +84,25 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
+def least_runs(words: list[int], min_block_words: int) -> set[tuple[int, int]]:
+    """(start, end) of the fewest lines from, and up to, each line with words that have
+    ``min_block_words`` words."""
+    total = [0, *accumulate(words)]
+    out = set()
+    for k, n in enumerate(words):
+        if n:
+            end = bisect_left(total, total[k] + min_block_words)
+            if end < len(total):
+                out.add((k, end))
+            start = bisect_right(total, total[k + 1] - min_block_words) - 1
+            if start >= 0:
+                out.add((start, k + 1))
+    return out
+
+
 def common_lines(owner: list, later: list, words: list[int], min_block_words: int) -> list[int]:
-    """Lines of ``later`` inside aligned common blocks of at least ``min_block_words`` words."""
+    """Lines of ``later`` inside common blocks of at least ``min_block_words`` words: the
+    aligned ones."""
     out: list[int] = []
     block: list[int] = []
     before = (-2, -2)
@@ -96,30 +116,58 @@ def common_lines(owner: list, later: list, words: list[int], min_block_words: in
     return out
 
 
-def _lines(batches):
-    """key, first (id), hashes and words of each line."""
-    for batch in batches:
-        for chunk in C.text_chunks(batch.column(2)):
-            data, offs = chunk.data, chunk.offs
-            starts, _, _ = C.word_spans(data, offs)
-            breaks = np.flatnonzero(data == 0x0A)
-            # a text's lines start at its start and after each newline, and end before the next newline or its end
-            begin = np.sort(np.concatenate([offs[:-1], breaks + 1]), kind="stable")
-            finish = np.sort(np.concatenate([offs[1:], breaks]), kind="stable")
-            doc_first = np.zeros(chunk.n + 1, dtype=np.int64)
-            np.cumsum(np.searchsorted(breaks, offs[1:]) - np.searchsorted(breaks, offs[:-1]) + 1, out=doc_first[1:])
-            hashes = C.span_hashes(C.prefix_sums(data), begin, finish).view(np.int64)
-            words = np.searchsorted(starts, finish) - np.searchsorted(starts, begin)
-            offsets = pa.array(doc_first.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(chunk.first, chunk.n),
-                    batch.column(1).slice(chunk.first, chunk.n),
-                    pa.ListArray.from_arrays(offsets, pa.array(hashes)),
-                    pa.ListArray.from_arrays(offsets, pa.array(words.astype(np.int32))),
-                ],
-                ["key", "id", "hashes", "words"],
-            )
+def _lines(min_block_words: int):
+    """key, first (id), hashes and words of each line, and the keys: hashes of the lines with
+    words and of the least runs."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in C.text_chunks(batch.column(2)):
+                yield _line_rows(batch, chunk, min_block_words)
+
+    return run
+
+
+def _line_rows(batch, chunk, min_block_words: int) -> pa.RecordBatch:
+    data, offs = chunk.data, chunk.offs
+    starts, _, _ = C.word_spans(data, offs)
+    breaks = np.flatnonzero(data == 0x0A)
+    # a text's lines start at its start and after each newline, and end before the next newline or its end
+    begin = np.sort(np.concatenate([offs[:-1], breaks + 1]), kind="stable")
+    finish = np.sort(np.concatenate([offs[1:], breaks]), kind="stable")
+    doc_first = np.zeros(chunk.n + 1, dtype=np.int64)
+    np.cumsum(np.searchsorted(breaks, offs[1:]) - np.searchsorted(breaks, offs[:-1]) + 1, out=doc_first[1:])
+    sums = C.prefix_sums(data)
+    hashes = C.span_hashes(sums, begin, finish).view(np.int64)
+    words = np.searchsorted(starts, finish) - np.searchsorted(starts, begin)
+    total = np.zeros(len(words) + 1, dtype=np.int64)
+    np.cumsum(words, out=total[1:])
+    text = np.repeat(np.arange(chunk.n), np.diff(doc_first))
+    worded = np.flatnonzero(words)
+    start = np.concatenate([worded, np.searchsorted(total, total[worded + 1] - min_block_words, "right") - 1])
+    end = np.concatenate([np.searchsorted(total, total[worded] + min_block_words), worded + 1])
+    of = np.concatenate([text[worded], text[worded]])
+    inside = (start >= doc_first[of]) & (end <= doc_first[of + 1])
+    start, end, of = start[inside], end[inside], of[inside]
+    keys = np.concatenate([hashes[worded], C.span_hashes(sums, begin[start], finish[end - 1]).view(np.int64)])
+    of = np.concatenate([text[worded], of])
+    order = np.lexsort((keys, of))
+    keys, of = keys[order], of[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+    keys, of = keys[new], of[new]
+    key_first = np.searchsorted(of, np.arange(chunk.n + 1)).astype(np.int32)
+    offsets = pa.array(doc_first.astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column(0).slice(chunk.first, chunk.n),
+            batch.column(1).slice(chunk.first, chunk.n),
+            pa.ListArray.from_arrays(offsets, pa.array(hashes)),
+            pa.ListArray.from_arrays(offsets, pa.array(words.astype(np.int32))),
+            pa.ListArray.from_arrays(pa.array(key_first), pa.array(keys)),
+        ],
+        ["key", "id", "hashes", "words", "keys"],
+    )
 
 
 def _align(min_block_words: int):
@@ -142,15 +190,13 @@ def removals(docs: DataFrame, min_block_words: int = MIN_BLOCK_WORDS, id_col: st
     text = F.col(text_col).cast("string")
     src = docs.filter(F.col(text_col).isNotNull()).select(text_key(text).alias("key"), F.col(id_col).alias("id"), text.alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    rows = src.mapInArrow(_lines, f"key string, id {kind}, hashes array<long>, words array<int>")
-    one = rows.groupBy("key").agg(F.min("id").alias("first"), F.first("hashes").alias("hashes"), F.first("words").alias("words"))
+    rows = src.mapInArrow(_lines(min_block_words), f"key string, id {kind}, hashes array<long>, words array<int>, keys array<long>")
+    one = rows.groupBy("key").agg(F.min("id").alias("first"), F.first("hashes").alias("hashes"), F.first("words").alias("words"), F.first("keys").alias("keys"))
     texts = C.store(one.select(F.monotonically_increasing_id().alias("nid"), "*"), "texts")
     order = F.struct(F.col("first").isNull().alias("late"), F.col("first").alias("id"), F.col("nid").alias("nid"))
-    each = texts.select("nid", order.alias("at"), F.explode(F.arrays_zip("hashes", "words")).alias("l"))
-    lines = each.filter("l.words > 0").select(F.col("l.hashes").alias("line"), "nid", "at").distinct()
-    owners = lines.groupBy("line").agg(F.min("at").alias("owner"), F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("line", F.col("owner.nid").alias("owner"), "texts")
-    shared = lines.select("line", "nid").join(owners, "line").filter("nid != owner")
-    pairs = shared.groupBy("nid", "owner").agg(F.min("texts").alias("rarest"))
+    held = texts.select("nid", order.alias("at"), F.explode("keys").alias("held"))
+    owners = held.groupBy("held").agg(F.min("at").alias("owner"), F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("held", F.col("owner.nid").alias("owner"))
+    pairs = held.select("held", "nid").join(owners, "held").filter("nid != owner").select("nid", "owner").distinct()
     a = texts.select(F.col("nid").alias("owner"), F.col("hashes").alias("a"))
     b = texts.select("nid", F.col("hashes").alias("b"), "words")
     both = pairs.join(b, "nid").join(a, "owner").select("nid", "a", "b", "words")

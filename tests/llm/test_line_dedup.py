@@ -63,6 +63,17 @@ def test_shared_blocks(spark):
     check(spark, rows)
 
 
+def left_by(spark, texts):
+    done = L.dedup_lines(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]))
+    return [r.text for r in done.orderBy("doc_id").collect()]
+
+
+def test_block_whose_lines_have_other_owners(spark):
+    a, b, c = "one two three four five six", "seven eight nine ten eleven", "twelve thirteen"
+    texts = [f"{a}\nfirst text", f"{b}\nsecond text", f"third text\n{a}\n{b}\n{c}", f"{a}\n{b}\n{c}\nfourth text"]
+    assert left_by(spark, texts) == [*texts[:3], "fourth text"]
+
+
 def test_matches_are_increasing_and_equal():
     rng = random.Random(5)
     for _ in range(300):
