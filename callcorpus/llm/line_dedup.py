@@ -10,7 +10,9 @@
    all texts share gives each of them one pair and never all pairs among them.
 3. A pair is aligned by patience diff: lines that are unique on both sides, their longest
    increasing run, and the same again between them. Common blocks of at least
-   ``min_block_words`` words are deleted from the later text.
+   ``min_block_words`` words are deleted from the later text. So are all least runs of the
+   later text that the owner holds in any place: blocks that stand in another order, or
+   twice on a side, are not in the increasing alignment.
 
 The earliest holder of a line never loses it, so no line disappears from the corpus.
 
@@ -102,7 +104,7 @@ def least_runs(words: list[int], min_block_words: int) -> set[tuple[int, int]]:
 
 def common_lines(owner: list, later: list, words: list[int], min_block_words: int) -> list[int]:
     """Lines of ``later`` inside common blocks of at least ``min_block_words`` words: the
-    aligned ones."""
+    aligned ones, then those that the alignment leaves."""
     out: list[int] = []
     block: list[int] = []
     before = (-2, -2)
@@ -113,7 +115,14 @@ def common_lines(owner: list, later: list, words: list[int], min_block_words: in
             block = []
         block.append(pair[1])
         before = pair
-    return out
+    done = set(out)
+    size = dict(zip(later, words))
+    known = [size.get(line, min_block_words) for line in owner]  # a line that ``later`` lacks ends a run
+    held = {tuple(owner[i:end]) for i, end in least_runs(known, min_block_words)}
+    for j, end in least_runs(words, min_block_words):
+        if tuple(later[j:end]) in held:
+            done.update(range(j, end))
+    return sorted(done)
 
 
 def _lines(min_block_words: int):

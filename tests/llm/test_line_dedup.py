@@ -74,6 +74,35 @@ def test_block_whose_lines_have_other_owners(spark):
     assert left_by(spark, texts) == [*texts[:3], "fourth text"]
 
 
+def test_repeated_and_moved_blocks(spark):
+    p, q = "p1 p2 p3 p4 p5 p6\np7 p8 p9 p10 p11", "q1 q2 q3 q4 q5 q6 q7 q8 q9 q10 q11"
+    texts = [f"x\n{p}\ny\n{q}", f"u\n{p}\nv\n{p}\nw", f"r\n{q}\ns\n{p}\nt"]
+    assert left_by(spark, texts) == [texts[0], "u\nv\nw", "r\ns\nt"]
+
+
+def test_no_common_block_is_left(spark):
+    """Lines with words of the first copies against a comparison with every earlier text."""
+    rng = random.Random(3)
+    pool = [words(rng, rng.randint(1, 14)) for _ in range(25)]
+    texts = []
+    for _ in range(60):
+        a = rng.randrange(len(pool))
+        texts.append("\n".join([*pool[a : a + rng.randint(1, 6)], *rng.sample(pool, 3), *pool[a : a + 3]]))
+    want = []
+    for n, t in enumerate(texts):
+        lines, gone = t.split("\n"), set()
+        for e in (x.split("\n") for x in texts[:n]):
+            for j in range(len(lines)):
+                for i in range(len(e)):
+                    k = 0
+                    while j + k < len(lines) and i + k < len(e) and lines[j + k] == e[i + k]:
+                        k += 1
+                    if sum(map(words_of, lines[j : j + k])) >= 10:
+                        gone.update(range(j, j + k))
+        want.append("" if t in texts[:n] else "\n".join(x for j, x in enumerate(lines) if j not in gone))
+    assert left_by(spark, texts) == want
+
+
 def test_matches_are_increasing_and_equal():
     rng = random.Random(5)
     for _ in range(300):
