@@ -2,15 +2,18 @@
 
 * Examples: a bounded sample of labelled documents (about ``examples[label]`` of each
   label, by a hash of the id, one per distinct text). This is the only bounded part.
-* Terms: words and their 4-character stems, chosen by chi-square on the sample's documents
-  (``max_terms`` at most). Their document frequencies count every document of the table.
-* Every document becomes a sparse TF-IDF vector over those terms. Its neighbours are the
-  ``k`` examples of the highest cosine, found exactly through an inverted index with block
-  maxima: blocks of examples are visited from the highest bound down until no bound can
-  reach the k-th best.
+* Terms: all words of the examples and their 4-character stems. Their document frequencies
+  count every document of the table. Chi-square on the sample's documents is a soft weight:
+  a term that says nothing about the label keeps a twentieth of its weight.
+* Every document becomes a sparse weighted TF-IDF vector over those terms. Its neighbours are
+  the ``k`` examples of the highest cosine, found exactly through an inverted index with
+  block maxima: the blocks of the highest bounds are scored first, then all blocks whose bound
+  can reach the k-th best. Words that no example holds are not in the document's norm, which
+  scales its similarities and leaves their order.
 * Score: votes weighted by similarity and by the documents that an example stands for
   (its label's count over its label's sample), shrunk towards the prior; the prior is the
-  share of toxic ones among sample documents without any term, weighted alike.
+  share of toxic ones among sample documents without a term that marks a label (chi-square
+  and lift), weighted alike.
 
 Defined results: null or empty text has no term and gets the prior. A doc_id with several
 labels counts as toxic if any is 1. Repeated rows are scored alike. Without labelled rows
@@ -32,7 +35,10 @@ from .langid import held_out, sample_unit
 
 STEM = 4
 BLOCK = 64
-DOCS_PER_TASK = 10_000
+#: Blocks scored before the bounds are tested.
+FIRST_BLOCKS = 4
+#: What a term keeps of its weight if it says nothing about the label.
+LEAST_WEIGHT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -56,14 +62,22 @@ def _explode_terms(batches):
 
 @dataclass
 class Index:
-    """Postings of the examples in blocks of BLOCK, with the largest weight per term and block."""
+    """Vectors of the examples by example and by term, with the largest weight per term and
+    block of BLOCK examples."""
 
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # weight of each term
     ids: list
     labels: np.ndarray
-    postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # (block, term) -> positions, weights
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
+    row_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by example: terms, weights
+    row_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    row_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term: examples, weights
+    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    term_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    max_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term: blocks, largest weights
+    max_blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    max_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
     stands_for: tuple[float, float] = (1.0, 1.0)
 
@@ -74,13 +88,20 @@ class Index:
     @staticmethod
     def build(vocabulary, idf, ids, labels, rows, prior=0.0, stands_for=(1.0, 1.0)) -> "Index":
         ix = Index(vocabulary, idf, ids, np.asarray(labels, dtype=np.float64), prior=prior, stands_for=stands_for)
-        ix.block_max = np.zeros((len(vocabulary), -(-len(ids) // BLOCK)), dtype=np.float64)
-        lists: dict[tuple[int, int], list] = {}
-        for pos, (terms, counts) in enumerate(rows):
-            for t, w in zip(terms, ix.vector(np.asarray(terms), np.asarray(counts, dtype=np.float64))):
-                lists.setdefault((pos // BLOCK, int(t)), []).append((pos % BLOCK, w))
-                ix.block_max[t, pos // BLOCK] = max(ix.block_max[t, pos // BLOCK], w)
-        ix.postings = {k: (np.array([p for p, _ in v]), np.array([w for _, w in v])) for k, v in lists.items()}
+        if not len(ids):
+            return ix
+        ix.row_first = np.cumsum([0, *(len(t) for t, _ in rows)])
+        ix.row_terms = np.concatenate([np.asarray(t, dtype=np.int32) for t, _ in rows])
+        ix.row_weights = np.concatenate([ix.vector(np.asarray(t, dtype=np.int32), np.asarray(c, dtype=np.float64)) for t, c in rows])
+        at = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(ix.row_first))
+        order = np.argsort(ix.row_terms, kind="stable")
+        terms, numbers = ix.row_terms[order], np.arange(len(vocabulary) + 1)
+        ix.term_rows, ix.term_weights = at[order], ix.row_weights[order]
+        ix.term_first = np.searchsorted(terms, numbers)
+        blocks = ix.term_rows // BLOCK
+        new = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])))
+        ix.max_blocks, ix.max_weights = blocks[new], np.maximum.reduceat(ix.term_weights, new)
+        ix.max_first = np.searchsorted(terms[new], numbers)
         return ix
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -88,21 +109,45 @@ class Index:
         if not len(terms) or not len(self.ids):
             return []
         q = self.vector(terms, counts)
-        bounds = q @ self.block_max[terms]
-        best: list[tuple[float, int]] = []
-        floor = 0.0
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < floor - 1e-12):
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, q):
-                hit = self.postings.get((int(block), int(t)))
-                if hit is not None:
-                    scores[hit[0]] += w * hit[1]
-            best += [(round(float(scores[p]), 9), int(block) * BLOCK + int(p)) for p in np.flatnonzero(scores > 0)]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-            floor = best[-1][0] if best else 0.0
-        return best
+        at, each = self._spans(self.max_first, terms, q)
+        bounds = np.bincount(self.max_blocks[at], weights=self.max_weights[at] * each, minlength=-(-len(self.ids) // BLOCK))
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        dense = np.zeros(len(self.idf))
+        dense[terms] = q
+        best = self._best([self._block(dense, int(b)) for b in order[:FIRST_BLOCKS]], k)
+        floor = best[-1][0] if len(best) == k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] >= floor - 1e-6]
+        if len(rest) > 16:  # most of them: by term, over all examples
+            at, each = self._spans(self.term_first, terms, q)
+            sims = np.bincount(self.term_rows[at], weights=self.term_weights[at] * each, minlength=len(self.ids))
+            return self._best([(np.arange(len(sims)), sims)], k)
+        return self._best([(np.array([p for _, p in best], dtype=np.int64), np.array([s for s, _ in best])), *(self._block(dense, int(b)) for b in rest)], k)
+
+    @staticmethod
+    def _spans(first: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the terms' entries and the query's weight at each."""
+        size = first[terms + 1] - first[terms]
+        return np.arange(size.sum()) + np.repeat(first[terms] - np.cumsum(size) + size, size), np.repeat(q, size)
+
+    def _block(self, dense: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of a block and their similarities."""
+        rows = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.ids)))
+        first = self.row_first[rows[0] : rows[-1] + 2]
+        part = slice(first[0], first[-1])
+        at = np.repeat(np.arange(len(rows)), np.diff(first))
+        return rows, np.bincount(at, weights=dense[self.row_terms[part]] * self.row_weights[part], minlength=len(rows))
+
+    @staticmethod
+    def _best(found: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[float, int]]:
+        rows, sims = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, dtype=np.int64), np.zeros(0))
+        sims = np.round(sims, 9)
+        if len(sims) > k:
+            use = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
+            rows, sims = rows[use], sims[use]
+        order = np.lexsort((rows, -sims))[:k]
+        return [(float(sims[i]), int(rows[i])) for i in order if sims[i] > 0]
 
     def score(self, near: list[tuple[float, int]]) -> float:
         """Weighted share of toxic neighbours, shrunk towards the prior by two votes: ten far
@@ -132,39 +177,44 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, examples: dict[int, int]
     return C.store(distinct.select(F.monotonically_increasing_id().alias("slot"), "doc_id", "toxic", "text"), "examples"), sizes
 
 
-def choose_terms(sample: DataFrame, max_terms: int, least_documents: int, least_chi2: float, least_lift: float) -> list[str]:
-    """Terms whose presence depends most on the label: by chi-square (one degree of freedom),
-    among those ``least_lift`` times as frequent under one label as under the other."""
+def marked_terms(sample: DataFrame, least_documents: int, least_chi2: float, least_lift: float) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Every term of the sample with its weight in LEAST_WEIGHT..1, by how much its presence
+    depends on the label (chi-square with one degree of freedom, and lift), and whether it
+    marks a label (reaches the three limits)."""
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = totals.get(1, 0), totals.get(0, 0)
-    if not pos or not neg:
-        return []
+    pos, neg = max(1, totals.get(1, 0)), max(1, totals.get(0, 0))
     terms = sample.select("slot", "toxic", "text").mapInArrow(_explode_terms, "slot long, toxic int, term string")
     by = terms.groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.count(F.lit(1)).cast("double").alias("df"))
-    b, n = F.col("df") - F.col("a"), float(pos + neg)
-    cross = F.col("a") * (neg - b) - b * (pos - F.col("a"))
-    chi2 = F.lit(n) * cross * cross / (F.col("df") * (n - F.col("df")) * pos * neg)
-    lift = (F.col("a") / pos) / (F.greatest(b, F.lit(0.5)) / neg)
-    strong = (lift >= least_lift) | (lift <= 1 / least_lift)
-    ranked = by.filter((F.col("df") >= least_documents) & (F.col("df") < n)).withColumn("chi2", chi2).filter((F.col("chi2") >= least_chi2) & strong)
-    return [r["term"] for r in ranked.orderBy(F.desc("chi2"), "term").limit(max_terms).select("term").collect()]
+    rows = by.orderBy("term").toArrow()  # the terms of the bounded sample
+    a, df = rows.column("a").to_numpy(), rows.column("df").to_numpy()
+    b, n = df - a, float(pos + neg)
+    cross = a * (neg - b) - b * (pos - a)
+    chi2 = n * cross * cross / np.maximum(df * (n - df) * pos * neg, 1e-9)
+    lift = np.abs(np.log((np.maximum(a, 0.5) / pos) / (np.maximum(b, 0.5) / neg)))
+    if not totals.get(1) or not totals.get(0):
+        chi2 = np.zeros(len(df))
+    weight = LEAST_WEIGHT + (1 - LEAST_WEIGHT) * chi2 / (chi2 + least_chi2) * np.minimum(1, lift / np.log(least_lift))
+    marks = (df >= least_documents) & (chi2 >= least_chi2) & (lift >= np.log(least_lift))
+    return rows.column("term").to_pylist(), weight, marks
 
 
-def document_vectors(docs: DataFrame, vocabulary: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, terms (numbers in the vocabulary) and counts; one pass over whole texts."""
-    src = C.texts_only(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # at most max_terms entries
+def _known(text: str | None, vocabulary: dict[str, int]) -> list[tuple[int, int]]:
+    return sorted((vocabulary[t], n) for t, n in term_counts(text).items() if t in vocabulary) if text else []
+
+
+def document_frequencies(docs: DataFrame, vocabulary) -> DataFrame:
+    """(t, n): documents that hold term ``t`` of the broadcast vocabulary; all documents at -1."""
 
     def run(batches):
-        known = shared.value
+        known, seen, n = vocabulary.value, np.zeros(len(vocabulary.value), dtype=np.int64), 0
         for batch in batches:
-            rows = [sorted((known[t], n) for t, n in term_counts(x).items() if t in known) if x else [] for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.int32())), pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int32()))],
-                ["doc_id", "terms", "counts"],
-            )
+            n += batch.num_rows
+            for x in batch.column(0).to_pylist():
+                seen[[known[t] for t in term_counts(x or "") if t in known]] += 1
+        hit = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1), pa.int64()), pa.array(np.append(seen[hit], n), pa.int64())], ["t", "n"])
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, terms array<int>, counts array<int>")
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
 
 
 def score(
@@ -173,7 +223,6 @@ def score(
     usable: Column | None = None,
     k: int = 10,
     examples: dict[int, int] | None = None,
-    max_terms: int = 600,
     least_documents: int = 4,
     least_chi2: float = 20.0,
     least_lift: float = 3.0,
@@ -181,26 +230,34 @@ def score(
     """doc_id, score in 0..1 and ``evidence`` (the neighbours used) for every document."""
     spark = docs.sparkSession
     sample, known = labelled_sample(docs, labels, examples or {0: 6000, 1: 3000}, usable)
-    vocabulary = {t: i for i, t in enumerate(choose_terms(sample, max_terms, least_documents, least_chi2, least_lift))}
-    vectors = C.store(document_vectors(docs, vocabulary), "vectors")
-    n_docs = vectors.count()
+    terms, weights, marks = marked_terms(sample, least_documents, least_chi2, least_lift)
+    vocabulary = {t: i for i, t in enumerate(terms)}
+    counted = document_frequencies(docs, spark.sparkContext.broadcast(vocabulary)).toArrow()  # a row per vocabulary entry
+    t, n = counted.column("t").to_numpy(), counted.column("n").to_numpy()
+    n_docs = int(n[t < 0].sum())
     idf = np.full(len(vocabulary), np.log(1.0 + n_docs))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():  # a row per vocabulary entry
-        idf[r["t"]] = np.log((1.0 + n_docs) / (1.0 + r["count"])) + 0.05
-    rows = document_vectors(sample.select(F.struct("doc_id", "toxic").alias("at"), "text"), vocabulary, "at").orderBy("doc_id").collect()  # the bounded sample
-    drawn = Counter(r["doc_id"]["toxic"] for r in rows)
+    idf[t[t >= 0]] = np.log((1.0 + n_docs) / (1.0 + n[t >= 0])) + 0.05
+    weights = weights * idf
+    rows = []
+    for r in sample.orderBy("doc_id").toLocalIterator():  # the bounded sample
+        v = np.array(_known(r["text"], vocabulary), dtype=np.int32).reshape(-1, 2)
+        rows.append((r["doc_id"], r["toxic"], v[:, 0].copy(), v[:, 1].copy()))
+    drawn = Counter(r[1] for r in rows)
     stands_for = tuple(known.get(y, 0) / max(1, drawn[y]) for y in (0, 1))
-    empty = Counter(r["doc_id"]["toxic"] for r in rows if not r["terms"])
+    empty = Counter(r[1] for r in rows if not marks[r[2]].any())
     prior = empty[1] * stands_for[1] / max(1e-9, empty[0] * stands_for[0] + empty[1] * stands_for[1])
-    # examples with the same rarest term stand together, so that block maxima are tight
-    full = sorted((r for r in rows if r["terms"]), key=lambda r: (max((idf[t], t) for t in r["terms"]), r["doc_id"]["doc_id"]))
-    index = Index.build(vocabulary, idf, [r["doc_id"]["doc_id"] for r in full], [r["doc_id"]["toxic"] for r in full], [(r["terms"], r["counts"]) for r in full], prior, stands_for)
+    # examples with the same heaviest term stand together, so that block maxima are tight
+    full = sorted((r for r in rows if len(r[2])), key=lambda r: (r[2][np.argmax(weights[r[2]])], r[0]))
+    index = Index.build(vocabulary, weights, [r[0] for r in full], [r[1] for r in full], [r[2:] for r in full], prior, stands_for)
     shared = spark.sparkContext.broadcast(index)  # bounded: examples * terms of each
 
     def run(batches):
         ix = shared.value
         for batch in batches:
-            near = [ix.nearest(np.asarray(t, dtype=np.int64), np.asarray(c, dtype=np.float64), k) for t, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            near = []
+            for x in batch.column(1).to_pylist():
+                v = np.array(_known(x, ix.vocabulary), dtype=np.int64).reshape(-1, 2)
+                near.append(ix.nearest(v[:, 0], v[:, 1].astype(np.float64), k))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -210,8 +267,8 @@ def score(
                 ["doc_id", "score", "evidence"],
             )
 
-    spread = vectors.repartition(n_docs // DOCS_PER_TASK + 1)  # the stored rows are few bytes, their search is not
-    return spread.mapInArrow(run, f"doc_id {vectors.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>")
+    src = C.texts_only(docs, "doc_id", "text")
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

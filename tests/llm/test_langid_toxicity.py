@@ -72,6 +72,18 @@ def test_scores_of_awkward_rows(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
 
 
+def test_rare_words_find_their_example(spark):
+    own = lambda n: " ".join(chr(97 + n // 26) + chr(97 + n % 26) + x for x in "pqrs")
+    rows = [(i, f"plain {own(i)}", "en", "a") for i in range(40)] + [(100 + i, f"plain {own(100 + i)}", "en", "a") for i in range(10)]
+    rows += [(500 + i, f"{own(100 + i)} again", "en", "a") for i in range(10)]
+    labels = spark.createDataFrame([(i, 0, int(i >= 100)) for i in [*range(40), *range(100, 110)]], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in X.score(documents(spark, rows), labels).collect()}
+    for i in range(10):
+        best = got[500 + i].evidence[0].split(":")
+        assert best[0] == str(100 + i) and float(best[1]) > 0.9 and best[2] == "1"
+        assert got[500 + i].score > got[0].score
+
+
 def test_no_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in X.score_documents(documents(spark, awkward()), labels).collect()} == {0.0}
