@@ -7,7 +7,8 @@
   documents per language (Bernoulli by a hash of the id, rate from exact counts); several
   centroids per language. This sample is the only bounded part.
 * Prediction: cosine to all centroids; the best one's language wins. A text is rejected
-  when its cosine distance exceeds the radius learned for that language.
+  when its cosine distance exceeds the radius learned for that language and its length
+  class (by the number of distinct grams).
 
 Defined results: null text, text without a letter, or no learnable row at all gives
 ``und`` with score 0, rejected. Repeated rows are judged alike. Whole texts are read.
@@ -25,6 +26,10 @@ from . import common as C
 
 DIMS = 4096
 UNDETERMINED = "und"
+#: Upper ends of the length classes, in distinct grams.
+LENGTHS = np.array([16, 32, 64, 128, 256, 512])
+#: The share of a class's sample whose distances its radius covers.
+QUANTILE = 0.995
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:0x80] = 0x20
@@ -69,7 +74,7 @@ class Model:
     langs: list[str]
     centroids: np.ndarray  # (languages * k, DIMS), normalised
     owner: np.ndarray  # language of each centroid
-    radius: np.ndarray  # per language: the largest accepted cosine distance
+    radius: np.ndarray  # (languages, length classes): the largest accepted cosine distance
     idf: np.ndarray
 
 
@@ -105,12 +110,29 @@ def _spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c.astype(np.float32)
 
 
-def fit(train: DataFrame, sample_key: Column, k: int = 4, sample_per_lang: int = 500, slack: float = 1.25, least_radius: float = 0.95) -> Model | None:
+def length_class(counts: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS, (counts > 0).sum(axis=1))
+
+
+def _radii(distance: np.ndarray, size: np.ndarray, least: int = 20) -> np.ndarray:
+    """Per length class the QUANTILE of the distances; a class of fewer than ``least`` rows
+    takes in its neighbours, the shorter first (they lie further out), until it has them or
+    all rows are in. A shorter class never has the smaller radius."""
+    out = np.zeros(len(LENGTHS) + 1)
+    for c in range(len(out)):
+        low = high = c
+        while ((size >= low) & (size <= high)).sum() < least and (low > 0 or high < len(LENGTHS)):
+            low, high = (low - 1, high) if low > 0 else (low, high + 1)
+        out[c] = np.quantile(distance[(size >= low) & (size <= high)], QUANTILE, method="higher")
+    return np.maximum.accumulate(out[::-1])[::-1]
+
+
+def fit(train: DataFrame, sample_key: Column, k: int = 4, sample_per_lang: int = 500, slack: float = 1.25) -> Model | None:
     """Learn from ``train`` (text, lang); ``sample_key`` is a column in [0, 1).
 
-    The radius of a language is ``slack`` times the largest distance of its sample to its
-    nearest own centroid, at least ``least_radius``: very short clean texts lie far out, so
-    only what shares next to nothing with any centroid is rejected.
+    The radius of a language and length class is ``slack`` times a high quantile of its
+    sample's distances to the nearest own centroid, so a few outliers do not widen it and
+    short texts, which lie far out, have their own.
     """
     train = train.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
@@ -130,16 +152,17 @@ def fit(train: DataFrame, sample_key: Column, k: int = 4, sample_per_lang: int =
     langs = sorted(by_lang)
     centroids, owner, radius = [], [], []
     for i, lang in enumerate(langs):
-        x = weighted(np.stack(by_lang[lang]), idf)
-        x = x[np.linalg.norm(x, axis=1) > 0]
+        rows = np.stack(by_lang[lang])
+        x = weighted(rows, idf)
+        some = np.linalg.norm(x, axis=1) > 0
+        x, size = x[some], length_class(rows[some])
         if not len(x):
-            radius.append(1.0)
+            radius.append(np.ones(len(LENGTHS) + 1))
             continue
         c = _spherical_kmeans(x, k)
         centroids.append(c)
         owner += [i] * len(c)
-        far = 1 - float((x @ c.T).max(axis=1).min())
-        radius.append(min(0.995, max(far * slack, least_radius)))
+        radius.append(np.minimum(1.0, _radii(1 - (x @ c.T).max(axis=1), size) * slack))
     if not centroids:
         return None
     return Model(langs, np.concatenate(centroids), np.array(owner), np.array(radius), idf)
@@ -149,16 +172,17 @@ def judge(m: Model, texts: pa.Array, known: np.ndarray):
     """Arrays over the texts: index of the nearest language, score, distance, rejected."""
     parts = []
     for chunk in C.text_chunks(texts, 1 << 20, 256):
-        sim = weighted(gram_counts(chunk.data, chunk.offs), m.idf) @ m.centroids.T
+        counts = gram_counts(chunk.data, chunk.offs)
+        sim = weighted(counts, m.idf) @ m.centroids.T
         per = np.stack([sim[:, m.owner == i].max(axis=1) if (m.owner == i).any() else np.zeros(len(sim)) for i in range(len(m.langs))], axis=1)
         best = per.argmax(axis=1)
         top = np.clip(per[np.arange(len(per)), best], 0, 1).astype(np.float64)
         odds = np.exp(20 * (per - per.max(axis=1, keepdims=True)))
-        parts.append((best, (1 / odds.sum(axis=1)).astype(np.float64), 1 - top))
+        parts.append((best, (1 / odds.sum(axis=1)).astype(np.float64), 1 - top, m.radius[best, length_class(counts)]))
     if not parts:
         return np.zeros(0, dtype=int), np.zeros(0), np.zeros(0), np.zeros(0, dtype=bool)
-    best, score, distance = (np.concatenate(x) for x in zip(*parts))
-    return best, np.where(known, score, 0.0), np.where(known, distance, 1.0), ~known | (distance > m.radius[best])
+    best, score, distance, radius = (np.concatenate(x) for x in zip(*parts))
+    return best, np.where(known, score, 0.0), np.where(known, distance, 1.0), ~known | (distance > radius)
 
 
 def has_letter(text_col: str) -> Column:

@@ -44,6 +44,22 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert kept.columns == docs.columns and kept.count() > 0.99 * docs.count()
 
 
+@needs_data
+def test_unlearned_languages_and_random_letters_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rng = random.Random(2)
+    strange = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+        *(" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(60)) for _ in range(5)),
+    ]
+    odd = documents(spark, [(10**9 + i, t, None, "a") for i, t in enumerate(strange)]).select("doc_id", "text", "lang", "source")
+    found = G.identify(docs.union(odd)).collect()
+    assert [r.lang_found for r in found if r.doc_id >= 10**9] == ["und"] * len(strange)
+    assert np.mean([r.rejected for r in found if r.doc_id < 10**9]) < 0.02
+
+
 def test_block_max_search_is_exact():
     rng = random.Random(3)
     terms = 40
