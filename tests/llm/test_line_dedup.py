@@ -69,8 +69,8 @@ def left_by(spark, texts):
 
 
 def test_block_whose_lines_have_other_owners(spark):
-    a, b, c = "one two three four five six", "seven eight nine ten eleven", "twelve thirteen"
-    texts = [f"{a}\nfirst text", f"{b}\nsecond text", f"third text\n{a}\n{b}\n{c}", f"{a}\n{b}\n{c}\nfourth text"]
+    a, b = "one two three four five six", "seven eight nine ten eleven"
+    texts = [f"{a}\nfirst text", f"{b}\nsecond text", f"third text\n{a}\n{b}", f"{a}\n{b}\nfourth text"]
     assert left_by(spark, texts) == [*texts[:3], "fourth text"]
 
 
