@@ -25,5 +25,3 @@ def spark():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cc-test-ckpt-"))
     yield s
 
-
-SF_SMALL = "/root/testdata/sf0.001"

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="driver tables not present")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from callcorpus.plans import derived as D, jobs
 from callcorpus.streaming import jobs as SJ
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_prepare_corpus_end_to_end(spark):
