@@ -98,4 +98,120 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
 FROM pages LEFT JOIN best USING (url) LEFT JOIN seen USING (url)
 """
 
-ORACLES = {"op8_url_filter": OP8, "op7_decontaminate": OP7, "op2_mixing": OP2, "op3_quality_rules": OP3}
+# crc32 by its table of 256 values, over the bytes of a hexadecimal text ``h``
+_CRC_TABLE = """crc AS MATERIALIZED (
+  SELECT list(v ORDER BY b) AS t
+  FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(b)))"""
+
+
+def _crc32(hexadecimal: str) -> str:
+    codes = f"list_transform(regexp_extract_all({hexadecimal}, '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {codes}), lambda a, b: xor(crc.t[1 + (xor(a, b) & 255)], a >> 8)))"
+
+
+_STATES = {0: ("u", 2), 1: ("u", 2), 2: ("a", 3), 3: ("u", 2)}
+_NO = "{'c': 1000000000::BIGINT, 'a': ''}"
+
+
+def _label(state: int, cost: str, edit: str) -> str:
+    return f"{{'c': s{state}.c + {cost}, 'a': s{state}.a || '{edit}'}}"
+
+
+def _op11_step(to: int) -> str:
+    """Best label of a state after one more row: the row deleted, kept or reroled."""
+    ways = [_label(to, "3", "D")]
+    for state, (role, onward) in _STATES.items():
+        if onward == to:
+            ways.append(f"CASE WHEN NOT r.forced THEN {_label(state, '2 + r.late', 'R')} ELSE {_NO} END")
+            ways.append(f"CASE WHEN NOT r.forced AND r.initial = '{role}' THEN {_label(state, 'r.late', 'K')} ELSE {_NO} END")
+    if to == 1:
+        ways.append(f"CASE WHEN NOT r.forced AND r.initial = 's' THEN {_label(0, 'r.late', 'K')} ELSE {_NO} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _op11_inserts(t: str) -> str:
+    """The four labels with up to two rows inserted."""
+    def more(state: int, cost: int) -> str:
+        return f"{{'c': {t}{state}.c + {cost}, 'a': {t}{state}.a || '{'I' * (cost // 2)}'}}"
+
+    return (
+        f"{t}0 AS s0, {t}1 AS s1, list_min([{t}2, {more(0, 2)}, {more(1, 2)}, {more(3, 2)}]) AS s2, "
+        f"list_min([{t}3, {more(2, 2)}, {more(0, 4)}, {more(1, 4)}]) AS s3"
+    )
+
+
+def _op11_text() -> str:
+    """The rows of an audit, folded over its letters: st is the state, at the row."""
+    role = "CASE WHEN z.st = 2 THEN 'assistant' ELSE 'user' END"
+    onward = "CASE WHEN z.st = 2 THEN 3 ELSE 2 END"
+    return f"""list_reduce(list_prepend({{'st': 0, 'at': 1, 'e': '', 'out': []::VARCHAR[]}}, list_transform(string_split(audit, ''), lambda e: {{'st': 0, 'at': 0, 'e': e, 'out': []::VARCHAR[]}})),
+      lambda z, y: {{'st': CASE WHEN y.e IN ('', 'D') THEN z.st WHEN y.e = 'K' AND z.st = 0 AND starts_with(said[z.at], 's') THEN 1 ELSE {onward} END,
+                    'at': z.at + CASE WHEN y.e IN ('K', 'R', 'D') THEN 1 ELSE 0 END, 'e': '',
+                    'out': CASE y.e WHEN 'K' THEN list_append(z.out, said[z.at] || ':' || wrote[z.at]) WHEN 'R' THEN list_append(z.out, {role} || ':' || wrote[z.at]) WHEN 'I' THEN list_append(z.out, {role} || ':') ELSE z.out END}})"""
+
+
+_SP = r"\x20\x09-\x0D"
+
+OP11 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations),
+hit AS (SELECT raw.*, {_crc32('h')} % 20 AS k FROM raw, crc),
+dam AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, c
+  FROM (SELECT *, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS c FROM hit WHERE k != 0)),
+num AS (
+  SELECT *, row_number() OVER w AS i, substr(role, 1, 1) AS initial, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, c) AS nth,
+         lag(substr(role, 1, 1)) OVER w AS before
+  FROM dam WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), c)),
+flt AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_SP}]') THEN 'b' WHEN nth > 1 THEN 'd' WHEN regexp_matches(text, '[^{_SP}.!?][{_SP}]*\z') THEN 't' ELSE '' END AS f FROM num),
+r AS (SELECT *, f IN ('b', 'd') AS forced, CASE WHEN f = 't' THEN 1 ELSE 0 END AS late FROM flt),
+agg AS (
+  SELECT conv_id, CASE WHEN count(turn) > 0 THEN max(turn) - min(turn) + 1 - count(DISTINCT turn) ELSE 0 END AS gaps, sum((f = 'b')::INT) AS blank, sum((f = 'd')::INT) AS duplicate,
+         sum((f = 't')::INT) AS truncated, sum((before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au'))::INT) AS illegal,
+         list(role ORDER BY i) AS said, list(text ORDER BY i) AS wrote, count(*) AS n
+  FROM r GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {_op11_inserts('z.t')} FROM agg, (SELECT {{'c': 0::BIGINT, 'a': ''}} AS t0, {_NO} AS t1, {_NO} AS t2, {_NO} AS t3) z
+  UNION ALL
+  SELECT conv_id, i, {_op11_inserts('t')}
+  FROM (SELECT w.conv_id, r.i, {', '.join(f'{_op11_step(s)} AS t{s}' for s in range(4))} FROM walk w JOIN r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1)),
+won AS (SELECT agg.*, list_min([s0, s3]) AS best FROM agg JOIN walk ON agg.conv_id IS NOT DISTINCT FROM walk.conv_id AND agg.n = walk.i),
+res AS (SELECT *, best.a AS audit, best.c AS cost FROM won),
+txt AS (SELECT *, array_to_string(({_op11_text()}).out, chr(10)) AS t FROM res)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN txt ON o.conv_id IS NOT DISTINCT FROM txt.conv_id
+"""
+
+OP12 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, {_crc32("hex(encode(coalesce(text, '')))")} AS text_crc32, md5(coalesce(text, '')) AS th, coalesce('=' || doc_id::VARCHAR, '') AS id FROM documents, crc),
+o AS (SELECT *, sum(size) OVER (ORDER BY th, id ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total, row_number() OVER (ORDER BY th, id) AS nth FROM d),
+p AS (SELECT *, least((24 * (2 * upto - size)) // (2 * total), 23)::INT AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, (nth - min(nth) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard FROM p
+"""
+
+OP13 = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+h AS (SELECT run, n, {_crc32("hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run))")} AS h FROM g, crc),
+cut AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+lost AS (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM w)),
+near AS (
+  SELECT a.word AS x, b.word AS y FROM lost a JOIN lost b ON a.rest = b.rest AND a.p = b.p AND a.word != b.word
+  UNION SELECT w.word, lost.word FROM w JOIN lost ON w.word = lost.rest
+  UNION SELECT lost.word, w.word FROM w JOIN lost ON w.word = lost.rest),
+best AS (SELECT x, count(*) AS n_near, arg_min(y, (-b.n, y)) AS y, max(b.n) AS y_n FROM near JOIN w b ON near.y = b.word GROUP BY x),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN y_n >= 5 * w.n THEN y END AS form, CASE WHEN y_n >= 5 * w.n THEN y_n END AS form_n FROM w LEFT JOIN best ON w.word = best.x),
+way AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT way.word, f.form FROM way JOIN f ON way.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.at AS root, f.n, f.n_near::BIGINT AS n_near, f.form_n
+FROM f JOIN way ON f.word = way.word JOIN f last ON way.at = last.word AND last.form IS NULL
+"""
+
+ORACLES = {"op8_url_filter": OP8, "op7_decontaminate": OP7, "op2_mixing": OP2, "op3_quality_rules": OP3, "op11_repair": OP11, "op12_sharding": OP12, "op13_spelling": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import common as C
-from . import decontaminate, langid, line_dedup, mixing, near_dedup, quality_rules, substring_dedup, token_counts, toxicity, url_filter
+from . import conversation_repair, decontaminate, langid, line_dedup, mixing, near_dedup, quality_rules, sharding, spelling, substring_dedup, token_counts, toxicity, url_filter
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,20 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(C.table(spark, sf_dir, "conversations")))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(C.table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.damaged(C.table(spark, sf_dir, "documents"), every=199)
+    return spelling.group_variants(spelling.vocabulary(runs))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_mixing": op2_mixing,
@@ -70,4 +84,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_repair": op11_repair,
+    "op12_sharding": op12_sharding,
+    "op13_spelling": op13_spelling,
 }
