@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions import jsonx as J
-from ..functions.text import broadcast_if_small, clean_model_name, col_of, keep_where, let, preview
+from ..functions.text import clean_model_name, col_of, keep_where, let, preview
 
 
 # ---------------------------------------------------------------------------
@@ -90,24 +90,6 @@ def prepare_cases(cases: DataFrame, expected_col: str = "expected") -> DataFrame
     return cases.withColumn(EXPECTED_NORM, normalised_expected(F.col(expected_col)))
 
 
-def compare_columns(predicted_obj: Column | str, expected: Column | str) -> dict[str, Column]:
-    """C1 ``compare_outputs`` as four boolean columns.
-
-    ``predicted_obj`` is the J2 output (object text or NULL); ``expected`` the golden
-    call text. Arguments compare deep-equal with key order ignored (VARIANT text).
-    """
-    p = _normalised(col_of(predicted_obj))
-    e = _normalised(J.json_text(col_of(expected)))
-    function_match = _python_eq(p["fn"], e["fn"])
-    args_match = _python_eq(p["args"], e["args"])
-    return {
-        "exact_match": function_match & args_match,
-        "function_match": function_match,
-        "args_match": args_match,
-        "valid_json": col_of(predicted_obj).isNotNull(),
-    }
-
-
 def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected", strict_python: bool = False) -> DataFrame:
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details).
 
@@ -277,35 +259,15 @@ def summary_document(board: DataFrame, dataset: str, run_ts: str) -> DataFrame:
 # W1 + P6 + P7: numbering and failure listing
 # ---------------------------------------------------------------------------
 
-def numbered(details: DataFrame, order_by: str = "example_id") -> DataFrame:
-    """1-based ``position`` and ``total`` per model, in ``order_by`` order.
-
-    A window partitioned by model would put a model that holds most rows into one
-    task. Instead the rows get a global index over ``(model_name, order_by)`` (range
-    partitioned, see ``split.global_row_index``); a model's position is its index
-    minus the model's first index, and the per-model starts (one row per model) are
-    broadcast after a count proves them small.
-    """
-    from .split import global_row_index
-
-    indexed = global_row_index(details, [F.col("model_name"), F.col(order_by)], index_col="_gidx")
-    starts = indexed.groupBy("model_name").agg(F.min("_gidx").alias("_start"), F.count(F.lit(1)).alias("total"))
-    return (
-        indexed.join(broadcast_if_small(starts), "model_name")
-        .withColumn("position", F.col("_gidx") - F.col("_start") + 1)
-        .drop("_gidx", "_start")
-    )
-
-
 def number_cases(cases: DataFrame, order_by: str = "example_id") -> DataFrame:
     """W1 as the reference prints it: ``[i/total]`` is the case's 1-based position in
-    the dataset and the dataset size, the same for every model. Computed once over
-    the N cases (global index, no single-task window), then carried through the
-    model fan-out -- not recomputed over N x models details."""
-    from .split import indexed_with_total
+    the dataset and the dataset size, the same for every model. Only the (unique) ids are
+    counted and ranked, range by range; the cases join their numbers."""
+    from .selection import positions
 
-    idx, total = indexed_with_total(cases, [F.col(order_by)], "_cc_case_idx")
-    return idx.withColumn("position", F.col("_cc_case_idx") + 1).withColumn("total", F.lit(total).cast("long")).drop("_cc_case_idx")
+    numbers = positions(cases.select(F.col(order_by).alias("_cc_id")), ["_cc_id"], "_cc_pos", "total")
+    out = cases.drop("total", "position").join(numbers, F.col(order_by).eqNullSafe(F.col("_cc_id")))
+    return out.withColumn("position", F.col("_cc_pos") + 1).drop("_cc_id", "_cc_pos")
 
 
 def failures(details: DataFrame, verbose: bool = False) -> DataFrame:

@@ -1,7 +1,7 @@
 """Exact-size splits, head and sample.
 
-Spark has no row order, and an unpartitioned ``row_number()`` funnels every row into
-one task. Exact positional work therefore goes through ``global_row_index``:
+Cuts of an order at a position (splits, first N rows, pages) are made by counting key ranges,
+see ``selection``. ``global_row_index`` numbers whole rows:
 
 1. range-partition on the order key and sort within partitions (a balanced shuffle,
    because range boundaries are sampled from the data -- a hot key value is split
@@ -11,13 +11,6 @@ one task. Exact positional work therefore goes through ``global_row_index``:
 3. count rows per partition (one small row per partition), turn the counts into
    prefix offsets and broadcast them (bounded by the partition count);
 4. global index = partition offset + position inside the partition.
-
-Splits only need the *k*-th key. With a numeric first key they find it by selection
-(``kth_row_keys_select``): approximate percentiles bracket the k-th row, one pass
-counts below and inside the bracket, and only the bracket's rows are indexed -- no
-sort of the whole key set. Otherwise they index a narrow projection (key columns
-only). Either way the full rows are then filtered against one scalar threshold -- no
-join back.
 """
 
 from __future__ import annotations
@@ -26,9 +19,9 @@ import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import MapType, VariantType
 
 from ..session import ensure_checkpoint_dir
+from .selection import Cut, Key
 
 _PID = "_cc_pid"
 _LOCAL = "_cc_local"
@@ -78,90 +71,6 @@ def global_row_index(df: DataFrame, order_by: Sequence[Column | str], index_col:
     return indexed_with_total(df, order_by, index_col)[0]
 
 
-def kth_row_keys(df: DataFrame, key_cols: Sequence[str], k) -> tuple[tuple | None, int]:
-    """Key values of the *k*-th row (1-based) in key order, and the row count.
-
-    ``k`` is an int or a function of the row count (the count comes from the
-    indexing pass itself, no separate job). Only the key columns are sorted and
-    checkpointed.
-    """
-    narrow = df.select(*key_cols)
-    idx, total = indexed_with_total(narrow, key_cols, "_cc_idx")
-    k = k(total) if callable(k) else k
-    if k <= 0 or total == 0:
-        return None, total
-    k = min(k, total)
-    row = idx.filter(F.col("_cc_idx") == k - 1).select(*key_cols).first()
-    return tuple(row), total
-
-
-def _numeric_first_key(df: DataFrame, key_cols: Sequence[str]) -> bool:
-    from pyspark.sql.types import NumericType
-
-    return isinstance(df.schema[key_cols[0]].dataType, NumericType)
-
-
-def kth_row_keys_select(df: DataFrame, key_cols: Sequence[str], fraction: float, k_of_total, accuracy: int = 100_000) -> tuple[tuple | None, int]:
-    """Exact k-th key by selection, for a numeric first key column (no full sort).
-
-    1. one aggregate: row count + approximate percentiles that bracket ``fraction``;
-    2. one pass: rows below the bracket, rows inside it;
-    3. only the rows inside the bracket (about ``4n/accuracy``) are indexed exactly.
-    If the bracket misses the k-th row, the full global index is used instead.
-    """
-    first = F.col(key_cols[0])
-    eps = 2.0 / accuracy
-    lo_q, hi_q = max(0.0, fraction - eps), min(1.0, fraction + eps)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(first, [lo_q, hi_q], accuracy).alias("b")).first()
-    n = row["n"]
-    k = k_of_total(n)
-    if k <= 0 or n == 0:
-        return None, n
-    k = min(k, n)
-    lo, hi = row["b"]
-    lo = None if lo_q <= 0.0 else lo
-    hi = None if hi_q >= 1.0 else hi
-    # NULL keys sort first: they lie below any bracket, and inside one that is open below
-    below = first.isNull() | (first < F.lit(lo)) if lo is not None else F.lit(False)
-    inside = F.coalesce((first >= F.lit(lo) if lo is not None else F.lit(True)) & (first <= F.lit(hi) if hi is not None else F.lit(True)), F.lit(lo is None))
-    c = df.agg(F.count_if(below).alias("lo"), F.count_if(inside).alias("in")).first()
-    if c["lo"] < k <= c["lo"] + c["in"]:
-        kth, _ = kth_row_keys(df.filter(inside), key_cols, k - c["lo"])
-        return kth, n
-    return kth_row_keys(df, key_cols, k)
-
-
-def _le_keys(key_cols: Sequence[str], values: tuple) -> Column:
-    """Lexicographic ``(key_cols) <= values``; NULLs first like ascending sort."""
-    cond = F.lit(True)
-    for name, val in reversed(list(zip(key_cols, values))):
-        c = F.col(name)
-        lit = F.lit(val)
-        if val is None:
-            cond = c.isNull() & cond
-        else:
-            cond = c.isNull() | (c < lit) | ((c == lit) & cond)
-    return cond
-
-
-def _split_at(df: DataFrame, keys: Sequence[str], kth: tuple, k_of_total, split_col: str, inside: str, outside: str) -> DataFrame:
-    """The first k rows in key order get ``inside``, the rest ``outside``; exact also when
-    several rows share the k-th key. Only those rows are then ordered (by all columns)."""
-    upto = _le_keys(keys, kth)
-    tie = F.lit(True)
-    for name, val in zip(keys, kth):
-        tie = tie & F.col(name).eqNullSafe(F.lit(val))
-    c = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(upto).alias("upto"), F.count_if(tie).alias("ties")).first()
-    over = c["upto"] - k_of_total(c["n"])
-    marked = df.withColumn(split_col, F.when(upto, inside).otherwise(outside))
-    if over <= 0:
-        return marked
-    order = [x for x in df.columns if not isinstance(df.schema[x].dataType, (MapType, VariantType))]
-    tied = global_row_index(df.filter(tie), order, "_cc_tie")
-    cut = F.when(F.col("_cc_tie") < c["ties"] - over, inside).otherwise(outside)
-    return marked.filter(~tie).unionByName(tied.withColumn(split_col, cut).drop("_cc_tie"))
-
-
 def hash_split(
     df: DataFrame, id_col: str, test_fraction: float = 0.05, seed: int = 42, split_col: str = "split",
     names: tuple[str, str] = ("train", "val"),
@@ -172,46 +81,22 @@ def hash_split(
     Row membership matches any engine that uses the same hash order, not the
     reference library's permutation.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
-    # (first 60 bits as a number, full hash, id) orders exactly like (hash, id) and
-    # gives the selection a uniform numeric key
-    keyed = df.withColumn("_cc_hkey", key).withColumn(
-        "_cc_hnum", F.conv(F.substring("_cc_hkey", 1, 15), 16, 10).cast("long")
-    )
-    keys = ["_cc_hnum", "_cc_hkey", id_col]
-    kth, _ = kth_row_keys_select(keyed, keys, test_fraction, lambda n: math.ceil(n * test_fraction))
-    if kth is None:
-        return keyed.withColumn(split_col, F.lit(names[0])).drop("_cc_hkey", "_cc_hnum")
-    return _split_at(keyed, keys, kth, lambda n: math.ceil(n * test_fraction), split_col, names[1], names[0]).drop("_cc_hkey", "_cc_hnum")
+    key = F.upper(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
+    val = Cut(df, [Key(key, raw=True), id_col], lambda n: math.ceil(n * test_fraction))
+    return val.marked(split_col, names[1], names[0])
 
 
 def ordered_split(
-    df: DataFrame, order_cols: Sequence[str], train_fraction: float = 0.95, split_col: str = "split",
+    df: DataFrame, order_cols: Sequence[Key | Column | str], train_fraction: float = 0.95, split_col: str = "split",
     names: tuple[str, str] = ("train", "val"),
 ) -> DataFrame:
-    """The first ``int(n * f)`` rows in ``order_cols`` order train, the rest val.
-
-    A numeric first order column takes the selection path (no full sort)."""
-    cols = list(order_cols)
-    if _numeric_first_key(df, cols):
-        kth, _ = kth_row_keys_select(df, cols, train_fraction, lambda n: int(n * train_fraction))
-    else:
-        kth, _ = kth_row_keys(df, cols, lambda n: int(n * train_fraction))
-    if kth is None:
-        return df.withColumn(split_col, F.lit(names[1]))
-    return _split_at(df, cols, kth, lambda n: int(n * train_fraction), split_col, names[0], names[1])
-
+    """The first ``int(n * f)`` rows in ``order_cols`` order train, the rest val."""
+    return Cut(df, order_cols, lambda n: int(n * train_fraction)).marked(split_col, names[0], names[1])
 
-def head(df: DataFrame, order_cols: Sequence[Column | str], n: int | None, direct_max: int = 10_000) -> DataFrame:
-    """L1 first-N rows (``max_samples``): 0 or None means no limit.
 
-    Up to ``direct_max`` rows, ``orderBy().limit()`` plans as TakeOrderedAndProject
-    (each task keeps its own top N; one task merges ``tasks x N`` candidates). A
-    larger N goes through the global index instead (same rows, no single task).
-    """
-    if not n:
-        return df
-    return page(df, order_cols, 0, int(n), direct_max)
+def head(df: DataFrame, order_cols: Sequence[Key | Column | str], n: int | None) -> DataFrame:
+    """L1 first-N rows (``max_samples``), any N, not sorted: 0 or None means no limit."""
+    return Cut(df, order_cols, int(n)).inside() if n else df
 
 
 def sample_rows(df: DataFrame, order_cols: Sequence[Column | str], k: int = 1) -> DataFrame:
@@ -222,18 +107,3 @@ def sample_rows(df: DataFrame, order_cols: Sequence[Column | str], k: int = 1) -
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows per split."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))
-
-
-def page(df: DataFrame, order_by: Sequence[Column | str], offset: int, limit: int, direct_max: int = 10_000) -> DataFrame:
-    """Rows ``offset .. offset+limit-1`` in ``order_by`` order (the table tools' paging).
-
-    Small pages use TakeOrderedAndProject: each task keeps its top ``offset+limit``
-    and one task merges ``tasks x (offset+limit)`` candidates, so that bound is kept
-    small (``direct_max``). Deeper pages go through the distributed global index.
-    """
-    offset = max(int(offset or 0), 0)
-    limit = max(int(limit), 0)
-    if offset + limit <= direct_max:
-        return df.orderBy(*_cols(order_by)).offset(offset).limit(limit)
-    idx = global_row_index(df, order_by, "_cc_page_idx")
-    return idx.filter((F.col("_cc_page_idx") >= offset) & (F.col("_cc_page_idx") < offset + limit)).drop("_cc_page_idx")

@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import broadcast_if_small
-from .split import page
+from .selection import Key, desc, page
 
 # Limits declared by the catalog (default, maximum).
 CONVERSATION_LIMIT = (20, 5000)
@@ -77,9 +77,9 @@ def date_range(df: DataFrame, col: str, start: str | None, end: str | None) -> D
     return df
 
 
-def paged_query(df: DataFrame, order_by: Sequence[Column | str], limit: int, offset: int = 0) -> DataFrame:
+def paged_query(df: DataFrame, order_by: Sequence[Key | Column | str], limit: int, offset: int = 0) -> DataFrame:
     """Offset/limit page in a total order (ties broken by the caller's id column)."""
-    return page(df, order_by, max(int(offset or 0), 0), limit)
+    return page(df, order_by, offset, limit)
 
 
 def conversations_query(
@@ -95,7 +95,7 @@ def conversations_query(
         out = out.filter(F.col(status_col).isin(wanted))
     if discarded_col is not None and not include_discarded:
         out = out.filter(~F.coalesce(F.col(discarded_col), F.lit(False)))
-    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, CONVERSATION_LIMIT), offset)
+    return paged_query(out, [desc(_instant(out, created_col)), id_col], _limit(limit, CONVERSATION_LIMIT), offset)
 
 
 def memories_query(
@@ -104,7 +104,7 @@ def memories_query(
 ) -> DataFrame:
     """R6 ``get_memories``: R2 without status, default 50 (max 5000)."""
     out = date_range(df, created_col, start_date, end_date)
-    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, MEMORY_LIMIT), offset)
+    return paged_query(out, [desc(_instant(out, created_col)), id_col], _limit(limit, MEMORY_LIMIT), offset)
 
 
 def action_items_query(
@@ -121,7 +121,7 @@ def action_items_query(
         out = out.filter(F.col(completed_col) == F.lit(bool(completed)))
     if conversation_id is not None:
         out = out.filter(F.col(conversation_col) == F.lit(conversation_id))
-    return paged_query(out, [_instant(out, created_col).desc(), F.col(id_col)], _limit(limit, ACTION_ITEM_LIMIT), offset)
+    return paged_query(out, [desc(_instant(out, created_col)), id_col], _limit(limit, ACTION_ITEM_LIMIT), offset)
 
 
 def transcripts(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import jsonx as JX, segments as SG
 from ..functions.text import PY_WHITESPACE, keep_where
-from ..operators import catalog as CT, formatters as FM, runlogs as RLG, scoring, split as SP
+from ..operators import catalog as CT, formatters as FM, runlogs as RLG, scoring, selection as SEL, split as SP
 from ..operators import tables as TB, teacher as TC, validate as VL
 from . import derived as D
 
@@ -410,12 +410,56 @@ ORDER BY o_orderdate DESC, o_orderkey LIMIT 50 OFFSET 5000
 """,
 )
 def paged_filter_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a deep page: the offset is past the direct top-N bound, so the global index runs
     orders = D.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus").isin("O", "F"))
-    out = SP.page(orders, [F.col("o_orderdate").desc(), F.col("o_orderkey")], 5000, 50, direct_max=1000)
+    out = SEL.page(orders, [SEL.desc("o_orderdate"), "o_orderkey"], 5000, 50)
     return out.select("o_orderkey", "o_orderstatus")
 
 
+_TEXT_KEYS = """
+  SELECT l_orderkey, l_linenumber, l_linestatus || '/' || l_returnflag || CAST(l_orderkey % 1000 AS VARCHAR) AS label,
+         CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice * (1 - 2 * (l_orderkey % 2)) END AS price, copy
+  FROM lineitem, (SELECT unnest([0, 1, 2, 3, 4]) AS copy)
+"""
+
+
+def _text_keyed(spark: SparkSession, sf_dir: str):
+    """Every lineitem row five times: over 200,000 rows from sf0.01 on."""
+    return D.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat("l_linestatus", F.lit("/"), "l_returnflag", (F.col("l_orderkey") % 1000).cast("string")).alias("label"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice") * (1 - 2 * (F.col("l_orderkey") % 2))).alias("price"),
+        F.explode(F.array(*[F.lit(k) for k in range(5)])).alias("copy"),
+    )
+
+
+@register(
+    "text_page_deep",
+    f"""
+SELECT l_orderkey, l_linenumber, copy, label FROM ({_TEXT_KEYS})
+ORDER BY label DESC, price ASC NULLS FIRST, l_orderkey, l_linenumber, copy LIMIT 500 OFFSET 200000
+""",
+)
+def text_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _text_keyed(spark, sf_dir)
+    out = SEL.page(rows, [SEL.desc("label"), "price", "l_orderkey", "l_linenumber", "copy"], 200_000, 500)
+    return out.select("l_orderkey", "l_linenumber", "copy", "label")
+
+
+@register(
+    "text_split",
+    f"""
+SELECT label, split, COUNT(*)::BIGINT AS n FROM (
+  SELECT label, CASE WHEN row_number() OVER (ORDER BY price DESC NULLS LAST, label, l_orderkey, l_linenumber, copy) <= floor(COUNT(*) OVER () * 0.95) THEN 'train' ELSE 'val' END AS split
+  FROM ({_TEXT_KEYS}))
+GROUP BY label, split
+""",
+)
+def text_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _text_keyed(spark, sf_dir)
+    out = SP.ordered_split(rows, [SEL.desc("price"), "label", "l_orderkey", "l_linenumber", "copy"], 0.95)
+    return out.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register(
     "memories",
     """

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import jsonx as J
 from ..functions.text import py_strip
-from ..operators.split import global_row_index
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -56,13 +55,16 @@ def read_eval_cases(spark: SparkSession, path: str, mode: str = "FAILFAST") -> D
     mode a blank or invalid line raises, as in the reference; ``mode="PERMISSIVE"``
     returns such lines with ``bad_line`` set instead.
     """
-    # a line's place is its file, the block of the file that holds it, and its order in
-    # that block; the rank of the places is the same for any split size or cluster
+    # a line's place is its file, the block of the file that holds it, and its order in that
+    # block. One task reads a block from its start, so the order is the line's number less that
+    # of the block's first line; only one count per block is added up
     placed = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_order"), "value",
     )
-    lines = global_row_index(placed, ["_file", "_block", "_order"], "example_id")
+    blocks = placed.groupBy("_file", "_block").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lines = placed.join(blocks.withColumn("_before", before), ["_file", "_block"]).withColumn("example_id", F.col("_before") + F.col("_order") - F.col("_first"))
     # each line is loaded after ``strip()``; it must hold one JSON object
     line = py_strip(F.col("value"))
     ok = J.json_loads_ok(line) & line.startswith("{")

@@ -28,13 +28,6 @@ def test_ordered_split(spark):
     assert out.filter("split = 'val'").agg(F.min("k")).first()[0] == 950
 
 
-def test_page_deep_equals_direct(spark):
-    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"))
-    a = [r.k for r in SP.page(df, ["k"], 1234, 10).collect()]
-    b = [r.k for r in SP.page(df, ["k"], 1234, 10, direct_max=10).orderBy("k").collect()]
-    assert a == b == list(range(1234, 1244))
-
-
 def test_segments(spark):
     t = "<|im_start|>user\nq1<|im_end|>\n<|im_start|>assistant\na1<|im_end|>\n<|im_start|>assistant\n a2 <|im_end|>"
     df = spark.createDataFrame([(t,), ("plain",)], "t string")
@@ -71,14 +64,6 @@ def test_pluggable_tokenizer(spark):
     assert ws == [3, 0, None] and chars == [5, 0, None]
 
 
-def test_selection_matches_full_index_and_falls_back(spark):
-    df = spark.range(20000).select((F.col("id") * 7919 % 20000).alias("k"), F.col("id"))
-    want, n = SP.kth_row_keys(df, ["k", "id"], 1000)
-    hit, _ = SP.kth_row_keys_select(df, ["k", "id"], 1000 / 20000, lambda n: 1000)
-    miss, _ = SP.kth_row_keys_select(df, ["k", "id"], 0.5, lambda n: 1000)  # bracket aims elsewhere
-    assert want == hit == miss and n == 20000
-
-
 def test_conversations_with_transcripts(spark):
     from callcorpus.operators import tables as TB
 
