@@ -277,3 +277,45 @@ def _render_catalog(tools: DataFrame, strict: bool, single: bool, max_bytes: int
         return row["body"]
     # every full-form line ends with a newline: join + one trailing newline
     return TOOLS_HEADER + row["body"] + "\n"
+
+
+def path_name(name: Column) -> Column:
+    """A property name inside a path, where ``.`` and ``[]`` have a meaning."""
+    return F.replace(F.replace(F.replace(name, F.lit("~"), F.lit("~0")), F.lit("."), F.lit("~1")), F.lit("[]"), F.lit("~2"))
+
+
+def shown_path(path: Column) -> Column:
+    return F.replace(F.replace(F.replace(path, F.lit("~2"), F.lit("[]")), F.lit("~1"), F.lit(".")), F.lit("~0"), F.lit("~"))
+
+
+def catalog_paths(tools: DataFrame) -> DataFrame:
+    """One row per declared value of a tool, nested ones included: ``(device, tool, path,
+    parent, depth, type, maximum, required)``. A property of an object is ``parent.name``, the
+    items of an array are ``parent[]``. One step per level of the deepest declaration."""
+    level = tools.select("device", F.col("name").alias("tool"), F.lit("").alias("path"), F.get_json_object("tool_json", "$.parameters").alias("schema"))
+    out, depth = None, 0
+    while True:
+        depth += 1
+        v = F.try_parse_json("schema")
+        named = F.coalesce(F.try_variant_get(v, "$.properties", "variant").try_cast("map<string,variant>"), F.create_map().cast("map<string,variant>"))
+        required = F.from_json(F.get_json_object("schema", "$.required"), "array<string>")
+        items = F.get_json_object("schema", "$.items")
+        props = F.transform(
+            F.map_entries(named),
+            lambda e: F.struct(
+                F.concat("path", F.when(F.col("path") == "", "").otherwise("."), path_name(e["key"])).alias("path"),
+                F.to_json(e["value"]).alias("schema"), F.coalesce(F.array_contains(required, e["key"]), F.lit(False)).alias("required"),
+            ),
+        )
+        item = F.when(items.startswith("{") & (F.col("path") != ""), F.array(F.struct(F.concat("path", F.lit("[]")).alias("path"), items.alias("schema"), F.lit(False).alias("required"))))
+        below = level.select("device", "tool", F.col("path").alias("parent"), F.explode(F.concat(props, F.coalesce(item, F.array().cast("array<struct<path:string,schema:string,required:boolean>>")))).alias("c"))
+        below = below.select("device", "tool", "parent", "c.path", "c.schema", "c.required")
+        s = F.try_parse_json("schema")
+        rows = below.select(
+            "device", "tool", "path", "parent", F.lit(depth).alias("depth"),
+            F.coalesce(F.try_variant_get(s, "$.type", "string"), F.lit("string")).alias("type"), F.try_variant_get(s, "$.maximum", "bigint").alias("maximum"), "required",
+        )
+        out = rows if out is None else out.unionByName(rows)
+        level = below.select("device", "tool", "path", "schema").filter(F.col("schema").rlike('"(properties|items)"'))
+        if level.isEmpty():
+            return out

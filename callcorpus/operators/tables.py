@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import broadcast_if_small
@@ -171,73 +174,124 @@ def ensure_group_limit(spark, k: int) -> None:
         spark.conf.set(key, str(k))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """NULL if either vector is zero (it has no direction)."""
-    return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
-
-
-def vector_topk(
-    corpus: DataFrame, queries: Sequence[tuple[object, Sequence[float]]], id_col: str, vec_col: str, k: int,
-    rank_from: int = 1, chunk: int = 256,
-) -> DataFrame:
+#: Queries in one block of a product.
+QUERY_BLOCK = 256
+
+
+def _packed(batches):
+    """Blocks of a batch's vectors: (dim, ids, vectors), a row per dimension. Rows without a
+    vector, or whose vector has a null or no direction, have no cosine and are left out."""
+    for batch in batches:
+        column = batch.column(1)
+        sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+        whole = np.array([v is not None and all(x is not None for x in v) for v in column.to_pylist()]) if column.flatten().null_count else np.ones(len(column), dtype=bool)
+        sizes = np.where(whole & ~np.isnan(sizes.astype(float)), sizes, 0).astype(np.int64)
+        for dim in np.unique(sizes[sizes > 0]).tolist():
+            rows = np.flatnonzero(sizes == dim)
+            flat = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            block = flat.reshape(len(rows), dim)
+            sound = (block != 0).any(axis=1) & np.isfinite(block).all(axis=1)
+            if sound.any():
+                ids = batch.column(0).take(pa.array(rows[sound]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dim], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([block[sound].tobytes()], pa.binary())],
+                    ["dim", "ids", "vectors"],
+                )
+
+
+def _scored(k: int):
+    """The best ``k`` rows of a block for each query of a block of queries, by one matrix
+    product; what may be among them is scored again, so that equal vectors score alike."""
+
+    def best(ids: list, rank: np.ndarray, rows: np.ndarray, norms: np.ndarray, query: np.ndarray, rough: np.ndarray):
+        near = np.arange(len(ids))
+        if len(ids) > k:
+            near = np.flatnonzero(rough >= np.partition(rough, -k)[-k] - 1e-9)
+        score = (rows[near] * query).sum(axis=1) / (norms[near] * np.sqrt((query * query).sum()))
+        return [(near[i], float(score[i])) for i in np.lexsort((rank[near], -score))[:k]]
+
+    def run(batches):
+        for batch in batches:
+            for dim, ids, vectors, asked, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = np.frombuffer(vectors).reshape(-1, dim)
+                queries = np.frombuffer(wanted).reshape(-1, dim)
+                norms = np.sqrt((rows * rows).sum(axis=1))
+                rank = np.empty(len(ids), dtype=np.int64)
+                rank[sorted(range(len(ids)), key=lambda i: ids[i])] = np.arange(len(ids))
+                rough = (rows / norms[:, None]) @ (queries / np.sqrt((queries * queries).sum(axis=1))[:, None]).T
+                found = [(q, ids[i], s) for j, q in enumerate(asked) for i, s in best(ids, rank, rows, norms, queries[j], rough[:, j])]
+                kinds = batch.schema.field(3).type.value_type, batch.schema.field(1).type.value_type
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[0] for f in found], kinds[0]), pa.array([f[1] for f in found], kinds[1]), pa.array([f[2] for f in found], pa.float64())],
+                    ["query_id", "id", "score"],
+                )
+
+    return run
+
+
+def vector_topk(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, k: int, rank_from: int = 1) -> DataFrame:
     """Per query, the corpus rows ranked ``rank_from .. k`` by cosine similarity
     (ties by id). Output ``(query_id, rank, <id>, score)``.
 
-    Query vectors are the search input (one per tool call), held in the plan as a
-    literal array -- the corpus is never joined or shuffled against them. Each corpus
-    row scores every query of a chunk in one projection; a partial WindowGroupLimit
-    keeps the top ``k`` per query in each task, so only ``k x tasks`` rows per query
-    reach the final ranking. More queries than ``chunk`` run chunk by chunk (exact,
-    no cap).
+    ``queries`` is a relation: its first column is the query's id, its second the vector. The
+    corpus is read once, in blocks of an Arrow batch; queries are gathered in blocks of about
+    ``QUERY_BLOCK``, and each corpus block meets each query block in an equi-join on the
+    block's number, which the planner broadcasts if the queries are few. A matrix product per
+    pair of blocks leaves ``k`` rows per query and batch; the partial lists are merged by rank,
+    after a partial limit in each task. Rows without an id, and vectors that are null or zero,
+    have no place in the ranks; a query meets rows of its own dimension only.
     """
-    queries = list(queries)
-    if not queries:
-        kind = corpus.schema[id_col].dataType.simpleString()
-        return corpus.sparkSession.createDataFrame([], f"query_id long, `{id_col}` {kind}, score double, rank long")
-    ensure_group_limit(corpus.sparkSession, k)
-    parts = []
-    for start in range(0, len(queries), chunk):
-        part = queries[start : start + chunk]
-        qarr = F.array(
-            *[
-                F.struct(F.lit(qid).alias("qid"), F.array(*[F.lit(float(x)) for x in vec]).alias("qv"))
-                for qid, vec in part
-            ]
-        )
-        vec = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-        scored = corpus.select(F.col(id_col), vec.alias("_v")).select(
-            F.col(id_col), F.explode(F.transform(qarr, lambda q: F.struct(q["qid"].alias("query_id"), cosine(q["qv"], F.col("_v")).alias("score")))).alias("_s")
-        ).select(F.col("_s.query_id").alias("query_id"), F.col(id_col), F.col("_s.score").alias("score"))
-        w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col))
-        ranked = scored.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
-        if rank_from > 1:
-            ranked = ranked.filter(F.col("rank") >= rank_from)
-        parts.append(ranked)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def vector_search(corpus: DataFrame, queries, id_col: str, vec_col: str, limit: int | None = None,
+    if k < 1:
+        raise ValueError(f"k must be at least 1, not {k}")
+    qid, qvec = queries.columns[:2]
+    id_kind, q_kind = corpus.schema[id_col].dataType.simpleString(), queries.schema[qid].dataType.simpleString()
+    asked = queries.select(F.col(qid).alias("query_id"), F.col(qvec).cast("array<double>").alias("v")).filter(F.size("v") > 0)
+    sizes = asked.groupBy(F.size("v").alias("d")).count().collect()  # a row per dimension
+    blocks = F.coalesce(*[F.when(F.col("dim") == d, F.lit(-(-n // QUERY_BLOCK))) for d, n in sizes], F.lit(0))
+    dealt = asked.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.greatest(blocks, F.lit(1))).cast("int"))
+    asked = dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "v")).alias("q"))
+    pack = f"dim int, block int, ids array<{q_kind}>, vectors binary"
+    qblocks = asked.select("dim", "block", F.col("q.query_id").alias("ids"), F.col("q.v").alias("v")).mapInArrow(_packed_queries, pack)
+    cblocks = corpus.select(id_col, F.col(vec_col).cast("array<double>")).filter(F.col(id_col).isNotNull()).mapInArrow(_packed, f"dim int, ids array<{id_kind}>, vectors binary")
+    spread = cblocks.withColumn("block", F.explode(F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))))
+    q = qblocks.select(F.col("dim").alias("qd"), F.col("block").alias("qb"), F.col("ids").alias("asked"), F.col("vectors").alias("wanted"))
+    pairs = spread.join(q, (F.col("dim") == F.col("qd")) & (F.col("block") == F.col("qb"))).select("dim", "ids", "vectors", "asked", "wanted")
+    best = pairs.mapInArrow(_scored(k), f"query_id {q_kind}, id {id_kind}, score double")
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
+    ranked = best.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)
+    if rank_from > 1:
+        ranked = ranked.filter(F.col("rank") >= rank_from)
+    return ranked.select("query_id", F.col("id").alias(id_col), "score", "rank")
+
+
+def _packed_queries(batches):
+    for batch in batches:
+        for dim, block, ids, vectors in zip(*(c.to_pylist() for c in batch.columns)):
+            sound = [(i, v) for i, v in zip(ids, vectors) if i is not None and None not in v and any(v) and np.isfinite(v).all()]
+            if sound:
+                rows = np.array([v for _, v in sound], dtype=np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([dim], pa.int32()), pa.array([block], pa.int32()), pa.array([[i for i, _ in sound]], batch.schema.field(2).type), pa.array([rows.tobytes()], pa.binary())],
+                    ["dim", "block", "ids", "vectors"],
+                )
+
+
+def vector_search(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, limit: int | None = None,
                   where: Column | None = None) -> DataFrame:
-    """R4 ``vector_search``: top ``limit`` per query (default 5, at most 20).
+    """R4 ``vector_search``: top ``limit`` per query (default 5, 1 to 20).
     ``where`` (date range, discarded flag, ...) filters the corpus first and pushes
     into the scan."""
     corpus = corpus if where is None else corpus.filter(where)
-    return vector_topk(corpus, queries, id_col, vec_col, max(1, _limit(limit, VECTOR_LIMIT)))
+    return vector_topk(corpus, queries, id_col, vec_col, _limit(limit, VECTOR_LIMIT))
 
 
-def paged_search(corpus: DataFrame, queries, id_col: str, vec_col: str, page: int = 1, per_page: int | None = None,
+def paged_search(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str, page: int | None = 1, per_page: int | None = None,
                  where: Column | None = None) -> DataFrame:
-    """R5 ``search``: page ``page`` (from 1) of ``per_page`` results (default 10, at most 100)."""
+    """R5 ``search``: page ``page`` (from 1) of ``per_page`` results (default 10, 1 to 100)."""
     corpus = corpus if where is None else corpus.filter(where)
-    n = max(1, _limit(per_page, SEARCH_PER_PAGE))
-    p = max(1, int(page or 1))
+    n, p = _limit(per_page, SEARCH_PER_PAGE), 1 if page is None else int(page)
+    if p < 1 or n < 1:
+        raise ValueError(f"page {p} and per_page {n} start at 1")
     return vector_topk(corpus, queries, id_col, vec_col, p * n, rank_from=(p - 1) * n + 1)
 
 
@@ -250,14 +304,6 @@ def label_centroids(corpus: DataFrame, label_col: str, vec_col: str) -> DataFram
     )
 
 
-def collect_queries(qdf: DataFrame, id_col: str, vec_col: str, max_queries: int = 100_000) -> list[tuple[object, list[float]]]:
-    """Bring a bounded query set to the driver (the count is checked first)."""
-    n = qdf.count()
-    if n > max_queries:
-        raise ValueError(f"{n} query vectors exceed the {max_queries} bound; pass them in batches")
-    return [(r[0], list(r[1])) for r in qdf.select(id_col, vec_col).orderBy(id_col).collect()]
-
-
 # ---------------------------------------------------------------------------
 # Latest non-null state per entity
 # ---------------------------------------------------------------------------

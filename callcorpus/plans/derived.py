@@ -244,3 +244,31 @@ def trainer_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     noise = F.when(F.col("event_id") % 10 == 5, F.lit(" 12%|###       | 160/1338 [05:21<39:30,  2.01s/it]"))
     return ev.select(F.explode(F.array_compact(F.array(loss, ev_line, noise))).alias("value"))
+
+
+# Two declarations of the same tools, with other types and nested parameters.
+_DEVICE_PARAMETERS = {
+    "watch": '{"type": "object", "properties": {"k": {"type": "integer", "maximum": 60}, "place": {"type": "object", "properties": {"lat": {"type": "number"}, "label": {"type": "string"}}, '
+    '"required": ["lat"]}, "tags": {"type": "array", "items": {"type": "object", "properties": {"name": {"type": "string"}}, "required": ["name"]}}}, "required": ["place"]}',
+    "phone": '{"type": "object", "properties": {"k": {"type": "string"}, "free": {"type": "object"}}, "required": ["k"]}',
+}
+
+
+def device_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog of two devices that declare a tool per event type each in their own way."""
+    kinds = table(spark, sf_dir, "events").select(F.col("event_type").alias("name")).distinct()
+    both = kinds.select("name", F.explode(F.map_from_arrays(F.array(*map(F.lit, _DEVICE_PARAMETERS)), F.array(*map(F.lit, _DEVICE_PARAMETERS.values())))).alias("device", "p"))
+    return both.select("device", "name", F.concat(F.lit('{"name": "'), "name", F.lit('", "parameters": '), "p", F.lit("}")).alias("tool_json"))
+
+
+def device_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A call per event, alternately of each device; its arguments go by ``event_id % 9``."""
+    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    arguments = [
+        '{"k": 5, "place": {"lat": 1.5}}', '{"k": "5"}', '{"k": 61, "place": {"lat": 1, "label": 7}}', '{"place": {"label": "x", "far": 1}}',
+        '{"place": {"lat": 2}, "tags": [{"name": "a"}, {"name": 1}, {"name": 2}, {}]}', '{"place": {"lat": 2}, "tags": ["a", {"name": "b", "n": 1}]}',
+        '{"k": "x", "free": {"any": {"thing": [1, {"k": 2}]}}}', '{"place": [], "k": 1.0}', "{}",
+    ]
+    args = F.element_at(F.array(*map(F.lit, arguments)), (F.col("event_id") % 9 + 1).cast("int"))
+    device = F.when(F.col("event_id") % 2 == 0, "watch").otherwise("phone")
+    return e.select(F.col("event_id").alias("call_id"), device.alias("device"), F.concat(F.lit('{"function": "'), "event_type", F.lit('", "arguments": '), args, F.lit("}")).alias("call_json"))

@@ -376,6 +376,32 @@ def validate_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return VL.validate_calls(D.planted_calls(spark, sf_dir), params, tools=tools).select("call_id", "violation", "param")
 
 
+@register(
+    "validate_devices",
+    """
+WITH f(device, kind, violation, param) AS (VALUES
+  ('watch', 1, 'wrong_type', 'k'), ('watch', 1, 'missing_required', 'place'),
+  ('watch', 2, 'over_maximum', 'k'), ('watch', 2, 'wrong_type', 'place.label'),
+  ('watch', 3, 'unknown_param', 'place.far'), ('watch', 3, 'missing_required', 'place.lat'),
+  ('watch', 4, 'wrong_type', 'tags[].name'), ('watch', 4, 'missing_required', 'tags[].name'),
+  ('watch', 5, 'wrong_type', 'tags[]'), ('watch', 5, 'unknown_param', 'tags[].n'),
+  ('watch', 6, 'wrong_type', 'k'), ('watch', 6, 'unknown_param', 'free'), ('watch', 6, 'missing_required', 'place'),
+  ('watch', 7, 'wrong_type', 'place'), ('watch', 8, 'missing_required', 'place'),
+  ('phone', 0, 'wrong_type', 'k'), ('phone', 0, 'unknown_param', 'place'),
+  ('phone', 2, 'wrong_type', 'k'), ('phone', 2, 'unknown_param', 'place'),
+  ('phone', 3, 'unknown_param', 'place'), ('phone', 3, 'missing_required', 'k'),
+  ('phone', 4, 'unknown_param', 'place'), ('phone', 4, 'unknown_param', 'tags'), ('phone', 4, 'missing_required', 'k'),
+  ('phone', 5, 'unknown_param', 'place'), ('phone', 5, 'unknown_param', 'tags'), ('phone', 5, 'missing_required', 'k'),
+  ('phone', 7, 'unknown_param', 'place'), ('phone', 7, 'wrong_type', 'k'), ('phone', 8, 'missing_required', 'k'))
+SELECT event_id AS call_id, violation, param FROM events
+JOIN f ON f.device = CASE WHEN event_id % 2 = 0 THEN 'watch' ELSE 'phone' END AND f.kind = event_id % 9
+""",
+)
+def validate_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools = D.device_tools(spark, sf_dir)
+    return VL.validate_calls(D.device_calls(spark, sf_dir), CT.catalog_paths(tools), tools=tools, device_col="device")
+
+
 # ---------------------------------------------------------------------------
 # table tools: R2 R3 R4 R5 R6 R7 R8 R11
 # ---------------------------------------------------------------------------
@@ -533,7 +559,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 def _centroid_queries(spark: SparkSession, sf_dir: str):
     emb = D.table(spark, sf_dir, "embeddings")
     cents = TB.label_centroids(emb, "label", "embedding")
-    return emb, TB.collect_queries(cents, "label", "centroid")
+    return emb, cents.select("label", "centroid")
 
 
 @register(
@@ -558,6 +584,24 @@ def paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("query_id").cast("long").alias("query_id"), "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
+@register(
+    "vector_neighbours",
+    """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (
+  SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.v, e.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(e.v, e.v))) AS score
+  FROM e q, e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::BIGINT AS rank, round(score, 6) AS score FROM r WHERE rank <= 5
+""",
+)
+def vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # every vector is a query: the query side is a table like any other
+    emb = D.table(spark, sf_dir, "embeddings")
+    out = TB.vector_search(emb, emb.select("vec_id", "embedding"), "vec_id", "embedding")
+    return out.select("query_id", "rank", F.round("score", 6).alias("score"))
+
+
 @register(
     "upsert_state",
     """

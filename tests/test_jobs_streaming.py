@@ -51,10 +51,15 @@ def test_streaming_upsert_matches_batch(spark):
     src = tempfile.mkdtemp(prefix="cc-upd-")
     ev.repartition(3).write.mode("overwrite").parquet(src)
     stream = SJ.read_stream(spark, src, "user_id long, ts timestamp_ntz, event_id long, description string", max_files_per_trigger=1)
-    q = SJ.start(SJ.upsert_state_stream(stream, "user_id", ["ts", "event_id"], ["description"]), tempfile.mkdtemp(prefix="cc-ckpt-"),
-                 output_mode="complete", sink="memory", query_name="state")
-    q.awaitTermination()
-    got = {r.user_id: r.description for r in spark.sql("SELECT * FROM state").collect()}
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        state = SJ.upsert_state_stream(stream, "user_id", ["ts", "event_id"], ["description"])
+        seen = []
+        SJ.start(state, tempfile.mkdtemp(prefix="cc-ckpt-"), "update", foreach_batch=lambda df, n: seen.extend(df.collect())).awaitTermination()
+    finally:
+        spark.conf.unset(provider)
+    got = {r.user_id: r.description for r in sorted(seen, key=lambda r: r.n_updates)}
     from callcorpus.operators import tables as TB
 
     want = {r.user_id: r.description for r in TB.upsert_state(ev, "user_id", ["ts", "event_id"], ["description"]).collect()}

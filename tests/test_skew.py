@@ -50,6 +50,8 @@ def test_hot_entity_state(spark):
 
 def test_deep_page_keeps_map_side_limit(spark):
     corpus = spark.range(5000).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("float"), F.lit(1.0)).alias("embedding"))
-    out = TB.paged_search(corpus, [(0, [1.0, 0.0])], "vec_id", "embedding", page=20, per_page=100)  # ranks 1901..2000
-    assert "WindowGroupLimit" in _plan(out) and "Partial" in _plan(out)
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "q long, v array<double>")
+    shallow = _plan(TB.paged_search(corpus, q, "vec_id", "embedding", page=5, per_page=100))
+    assert "WindowGroupLimit" in shallow and "Partial" in shallow
+    out = TB.paged_search(corpus, q, "vec_id", "embedding", page=20, per_page=100)  # ranks 1901..2000
     assert sorted(r.rank for r in out.collect()) == list(range(1901, 2001))

@@ -93,13 +93,16 @@ def test_vector_search_where_and_limits(spark):
     from callcorpus.operators import tables as TB
 
     corpus = spark.createDataFrame([(i, [float(i % 5), 1.0], i % 2 == 0) for i in range(60)], "vec_id long, embedding array<float>, discarded boolean")
-    q = [(0, [1.0, 1.0])]
+    q = spark.createDataFrame([(0, [1.0, 1.0])], "q long, v array<double>")
     top = TB.vector_search(corpus, q, "vec_id", "embedding", limit=20, where=~F.col("discarded"))
     rows = top.collect()
     assert len(rows) == 20 and all(r.vec_id % 2 == 1 for r in rows)
     with pytest.raises(ValueError):  # above the declared maximum: an error, not a shorter answer
         TB.vector_search(corpus, q, "vec_id", "embedding", limit=50)
-    assert TB.vector_topk(corpus, [], "vec_id", "embedding", 3).count() == 0
+    assert TB.vector_topk(corpus, q.limit(0), "vec_id", "embedding", 3).count() == 0
+    for bad in (lambda: TB.vector_search(corpus, q, "vec_id", "embedding", limit=0), lambda: TB.paged_search(corpus, q, "vec_id", "embedding", page=0)):
+        with pytest.raises(ValueError):
+            bad()
     zero = corpus.unionByName(spark.createDataFrame([(99, [0.0, 0.0], False)], corpus.schema))
     assert 99 not in {r.vec_id for r in TB.vector_search(zero, q, "vec_id", "embedding", limit=20).collect()}
     page = TB.paged_search(corpus, q, "vec_id", "embedding", page=2, per_page=10)
@@ -129,13 +132,36 @@ def test_splits_are_exact_with_ties_and_nulls(spark):
     assert n == {"train": 36, "val": 54}
 
 
-def test_two_devices_may_declare_one_tool(spark):
-    from callcorpus.operators import validate
-
+def test_two_devices_are_judged_apart(spark):
     rows = [("d1", "f", "a", "integer", 5, True), ("d2", "f", "a", "string", None, False), ("d2", "g", "b", "string", None, False)]
     params = spark.createDataFrame(rows, "device string, tool string, param string, type string, maximum long, required boolean")
-    calls = spark.createDataFrame([(1, '{"function": "f", "arguments": {"a": 9}}'), (2, '{"function": "g", "arguments": {}}')], "call_id long, call_json string")
-    assert [tuple(r) for r in validate.validate_calls(calls, params).collect()] == [(1, "over_maximum", "a")]
+    call = '{"function": "%s", "arguments": {%s}}'
+    calls = [("d1", call % ("f", '"a": 9')), ("d2", call % ("f", '"a": 9')), ("d2", call % ("f", '"a": "9"')), ("d1", call % ("g", "")), ("d2", call % ("g", "")), (None, call % ("f", "")), ("d3", call % ("f", ""))]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(calls)], "call_id long, on string, call_json string")
+    got = sorted(tuple(r) for r in VL.validate_calls(df, params, device_col="on").collect())
+    assert got == [(0, "over_maximum", "a"), (1, "wrong_type", "a"), (3, "unknown_function", None), (5, "unknown_function", None), (6, "unknown_function", None)]
+    with pytest.raises(ValueError):  # two declarations, and the calls name no device
+        VL.validate_calls(df, params)
+
+
+def test_nested_parameters(spark):
+    tool = (
+        '{"name": "t", "parameters": {"properties": {"a.b": {"type": "integer"}, "o": {"type": "object", "properties": {"x[]": {"type": "string"}, "deep": {"type": "object", '
+        '"properties": {"n": {"type": "integer", "maximum": 3}}, "required": ["n"]}}, "required": ["deep"]}, "l": {"type": "array", "items": {"type": "array", "items": {"type": "boolean"}}}}}}'
+    )
+    tools = spark.createDataFrame([("d", "t", tool)], "device string, name string, tool_json string")
+    paths = catalog.catalog_paths(tools)
+    assert {(r.path, r.parent, r.depth, r.type, r.required) for r in paths.collect()} == {
+        ("a~1b", "", 1, "integer", False), ("o", "", 1, "object", False), ("l", "", 1, "array", False), ("o.x~2", "o", 2, "string", False), ("o.deep", "o", 2, "object", True),
+        ("l[]", "l", 2, "array", False), ("o.deep.n", "o.deep", 3, "integer", True), ("l[][]", "l[]", 3, "boolean", False),
+    }
+    args = ['{"a.b": "x"}', '{"o": {}}', '{"o": {"x[]": 1, "deep": {}}}', '{"o": {"deep": {"n": 4, "m": 1}}, "a": {"b": 1}}', '{"l": [[true], [1, 2], 3]}', '{"o": {"deep": {"n": 1}}, "l": []}', "[1]", '{"o": null}']
+    df = spark.createDataFrame([(i, '{"function": "t", "arguments": %s}' % a) for i, a in enumerate(args)], "call_id long, call_json string")
+    got = sorted(tuple(r) for r in VL.validate_calls(df, paths, tools=tools).collect())
+    assert got == [
+        (0, "wrong_type", "a.b"), (1, "missing_required", "o.deep"), (2, "missing_required", "o.deep.n"), (2, "wrong_type", "o.x[]"),
+        (3, "over_maximum", "o.deep.n"), (3, "unknown_param", "a"), (3, "unknown_param", "o.deep.m"), (4, "wrong_type", "l[]"), (4, "wrong_type", "l[][]"), (7, "wrong_type", "o"),
+    ]
 
 
 def test_dates_as_text_and_in_any_session_zone(spark):
