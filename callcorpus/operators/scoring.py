@@ -175,23 +175,65 @@ def _python_verdicts(raw: pd.Series, expected: pd.Series) -> pd.DataFrame:
 # N1 + N2 + C9: pair models, cases and predictions
 # ---------------------------------------------------------------------------
 
-def pair_predictions(cases: DataFrame, predictions: DataFrame, model_names: list[str], failed: list[str] | None = None) -> DataFrame:
-    """N1 + N2 + C9: every (model, case) pair with its prediction, if any.
-
-    ``model_names`` is the evaluated registry (P5 output, a driver-side config);
-    models in ``failed`` raised during their run and are left out (C9). Each case
-    row is fanned out to the models with ``explode`` -- a bounded generate, not a
-    join -- then equi-joined with the predictions on (model_name, example_id), a
-    shuffle join on a key that is unique per side (no hot key). A missing
-    prediction scores as invalid JSON.
-    """
+def run_table(models: DataFrame, status: DataFrame | None = None) -> DataFrame:
+    """``(model_name, status)`` of the models that were run. ``models`` is the registry's
+    selection (P5: ``name``) or has ``model_name``; ``status`` ``(model_name, status)`` tells
+    which runs failed. A model without a status ran through."""
+    name = "model_name" if "model_name" in models.columns else "name"
+    runs = models.select(F.col(name).alias("model_name")).distinct()
+    if status is None:
+        return runs.withColumn("status", F.lit("ok"))
+    told = status.groupBy("model_name").agg(F.max(F.col("status") == "failed").alias("_failed"))
+    return runs.join(told, "model_name", "left").select("model_name", F.when(F.col("_failed"), "failed").otherwise("ok").alias("status"))
+
+
+def _told(cases: DataFrame, predictions: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     cases = prepare_cases(cases) if EXPECTED_NORM not in cases.columns else cases
-    keep = [m for m in model_names if m not in set(failed or [])]
-    if not keep:
-        return cases.select("*", F.lit(None).cast("string").alias("model_name"), F.lit(None).cast("string").alias("raw_output")).limit(0)
-    grid = cases.withColumn("model_name", F.explode(F.array(*[F.lit(m) for m in keep])))
-    preds = predictions.filter(F.col("model_name").isin(keep)).select("model_name", "example_id", "raw_output")
-    return grid.join(preds, ["model_name", "example_id"], "left")
+    ran = runs.filter(F.col("status") == "ok").select("model_name").distinct()
+    return cases, ran, predictions.select("model_name", "example_id", "raw_output").join(ran, "model_name", "left_semi")
+
+
+def pair_predictions(cases: DataFrame, predictions: DataFrame, runs: DataFrame) -> DataFrame:
+    """N1 + N2 + C9: every (model, case) pair of the runs that did not fail, with its
+    prediction or a null ``raw_output`` (scored as invalid JSON).
+
+    Predictions join the cases once, on the case's id; no case is multiplied by the models
+    before a shuffle. Which models lack predictions follows from a count of the ids, and only
+    for those are the missing pairs derived, by an anti-join. Case ids are unique, and so are
+    predictions per model and case.
+    """
+    cases, ran, told = _told(cases, predictions, runs)
+    present = told.join(cases, "example_id")
+    keys = told.select("model_name", "example_id").join(cases.select("example_id"), "example_id", "left_semi")
+    have = keys.groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
+    all_cases = cases.agg(F.count(F.lit(1)).alias("cases")).scalar()
+    counted = ran.join(have, "model_name", "left").withColumn("cases", all_cases)
+    # the models (of a registry) that lack a prediction
+    short = counted.filter(F.coalesce("n", F.lit(0)) < F.col("cases")).agg(F.collect_list("model_name").alias("models")).scalar()
+    grid = cases.withColumn("models", short).withColumn("model_name", F.explode("models")).drop("models")
+    missing = grid.join(keys, ["model_name", "example_id"], "left_anti").withColumn("raw_output", F.lit(None).cast("string"))
+    return present.unionByName(missing)
+
+
+def run_scoreboard(cases: DataFrame, predictions: DataFrame, runs: DataFrame, with_pct: bool = True) -> DataFrame:
+    """``scoreboard(score_rows(pair_predictions(...)))`` by complement: a missing prediction has
+    the same verdict whatever the model, so the missing pairs are never made. A model's counter
+    is that of all cases without predictions plus what its predictions change."""
+    cases, ran, told = _told(cases, predictions, runs)
+    marks = ("function_match", "args_match", "exact_match")
+    # without a prediction both sides compare as None: a match where the golden call has none
+    fn, args = F.col(EXPECTED_NORM)["fn"].isNull(), F.col(EXPECTED_NORM)["args"].isNull()
+    none = dict(zip(marks, (fn, args, fn & args)))
+    scored = score_rows(told.join(cases, "example_id").select("*", *[c.cast("int").alias(f"_no_{m}") for m, c in none.items()]))
+    change = scored.groupBy("model_name").agg(F.count_if("valid_json").alias("valid_json"), *[F.sum(F.col(m).cast("int") - F.col(f"_no_{m}")).alias(f"_d_{m}") for m in marks])
+    base = cases.agg(F.struct(F.count(F.lit(1)).alias("total"), *[F.count_if(c).alias(m) for m, c in none.items()]).alias("b")).scalar()
+    both = ran.join(change, "model_name", "left").withColumn("_b", base)
+    zero = F.lit(0).cast("long")
+    board = both.filter("_b.total > 0").select(
+        "model_name", F.col("_b.total").alias("total"), F.coalesce("valid_json", zero).alias("valid_json"),
+        *[(F.col(f"_b.{m}") + F.coalesce(f"_d_{m}", zero)).alias(m) for m in marks],
+    )
+    return _with_pct(board) if with_pct else board
 
 
 # ---------------------------------------------------------------------------
@@ -222,9 +264,11 @@ def scoreboard(details: DataFrame, with_pct: bool = True) -> DataFrame:
         F.count_if(F.col("args_match")).alias("args_match"),
         F.count_if(F.col("exact_match")).alias("exact_match"),
     )
-    if not with_pct:
-        return agg
-    return agg.select(
+    return _with_pct(agg) if with_pct else agg
+
+
+def _with_pct(board: DataFrame) -> DataFrame:
+    return board.select(
         "*",
         *[pct(c, "total").alias(f"{c}_pct") for c in ("valid_json", "function_match", "args_match", "exact_match")],
     )

@@ -60,6 +60,14 @@ def raw_output_for(kind: Column, et: Column, props: Column) -> Column:
     )
 
 
+def model_runs(spark: SparkSession, sf_dir: str, failed: str | None = None) -> DataFrame:
+    """The run table of the models that events name, one of them perhaps failed."""
+    from ..operators import scoring
+
+    names = table(spark, sf_dir, "events").select(F.concat(F.lit("model_"), (F.col("user_id") % len(MODEL_NAMES)).cast("string")).alias("model_name")).distinct()
+    return scoring.run_table(names, names.select("model_name", F.when(F.col("model_name") == failed, "failed").otherwise("ok").alias("status")) if failed else None)
+
+
 def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of every model for every case: kind = (event_id + model) % 12."""
     ev = table(spark, sf_dir, "events")

@@ -64,11 +64,18 @@ class Evaluation:
 
 
 def evaluate(
-    cases: DataFrame, predictions: DataFrame, model_names: list[str], failed: list[str] | None = None,
+    cases: DataFrame, predictions: DataFrame, models: DataFrame | list[str], failed: DataFrame | list[str] | None = None,
     dataset: str = "", run_ts: str = "", output_dir: str | None = None,
 ) -> Evaluation:
-    """Evaluation after generation: pair, score, aggregate, report."""
-    details = scoring.score_rows(scoring.pair_predictions(cases, predictions, model_names, failed))
+    """Evaluation after generation: pair, score, aggregate, report. ``models`` is the registry's
+    selection (P5) or a list of names, ``failed`` a status table (C9) or a list of names."""
+    spark = cases.sparkSession
+    if not isinstance(models, DataFrame):
+        models = spark.createDataFrame([(m,) for m in models], "model_name string")
+    if failed is not None and not isinstance(failed, DataFrame):
+        failed = spark.createDataFrame([(m, "failed") for m in failed], "model_name string, status string")
+    runs = scoring.run_table(models, failed)
+    details = scoring.score_rows(scoring.pair_predictions(cases, predictions, runs))
     if output_dir:  # scored once; the three outputs read it back
         scored = sinks.run_dir(output_dir, "scored", run_ts)
         details.write.mode("overwrite").parquet(scored)
@@ -78,7 +85,7 @@ def evaluate(
     if output_dir:
         sinks.write_model_results(details, board, output_dir, run_ts)
         # K4: the summary is written unless exactly one model succeeded (0 included)
-        n_ok = len([m for m in model_names if m not in set(failed or [])])
+        n_ok = runs.filter("status = 'ok'").count()
         if n_ok != 1:
             sinks.write_summary(doc, output_dir, run_ts)
     return Evaluation(details, board, doc)

@@ -40,8 +40,7 @@ def scored_details(spark: SparkSession, sf_dir: str, numbered: bool = False) ->
     if numbered:
         cases = scoring.number_cases(cases)
     preds = D.eval_predictions(spark, sf_dir)
-    paired = scoring.pair_predictions(cases, preds, D.MODEL_NAMES)
-    return scoring.score_rows(paired)
+    return scoring.score_rows(scoring.pair_predictions(cases, preds, D.model_runs(spark, sf_dir)))
 
 
 # Oracle building blocks: the same planted kinds, with their verdicts by rule.
@@ -93,7 +92,7 @@ FROM agg
 """,
 )
 def eval_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.scoreboard(scored_details(spark, sf_dir))
+    return scoring.run_scoreboard(D.eval_cases(spark, sf_dir), D.eval_predictions(spark, sf_dir), D.model_runs(spark, sf_dir))
 
 
 @register(
@@ -783,16 +782,20 @@ def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     "eval_failed_models",
     _ORACLE_PRED
     + """
-SELECT model_name, COUNT(*)::BIGINT AS total, COUNT(*) FILTER (WHERE exact_match)::BIGINT AS exact_match,
-       COUNT(*) FILTER (WHERE valid_json)::BIGINT AS valid_json
-FROM v WHERE model_name <> 'model_2' GROUP BY model_name
+SELECT model_name, COUNT(*)::BIGINT AS total, COUNT(*) FILTER (WHERE exact_match AND NOT gone)::BIGINT AS exact_match,
+       COUNT(*) FILTER (WHERE valid_json AND NOT gone)::BIGINT AS valid_json, COUNT(*) FILTER (WHERE gone)::BIGINT AS missing
+FROM (SELECT *, example_id % 7 = 3 AND model_name <> 'model_0' AS gone FROM v WHERE model_name <> 'model_2') GROUP BY model_name
 """,
 )
 def eval_failed_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A model whose run failed is left out of pairing, scoring and the board
-    paired = scoring.pair_predictions(D.eval_cases(spark, sf_dir), D.eval_predictions(spark, sf_dir), D.MODEL_NAMES, failed=["model_2"])
-    board = scoring.scoreboard(scoring.score_rows(paired), with_pct=False)
-    return board.select("model_name", "total", "exact_match", "valid_json")
+    # A model whose run failed is left out of pairing, scoring and the board; the other
+    # models lack the predictions of every seventh case
+    runs = D.model_runs(spark, sf_dir, failed="model_2")
+    told = D.eval_predictions(spark, sf_dir).filter("example_id % 7 != 3 OR model_name = 'model_0'")
+    board = scoring.run_scoreboard(D.eval_cases(spark, sf_dir), told, runs, with_pct=False)
+    details = scoring.score_rows(scoring.pair_predictions(D.eval_cases(spark, sf_dir), told, runs))
+    listed = details.groupBy("model_name").agg(F.count_if(F.col("raw_output").isNull()).alias("missing"))
+    return board.join(listed, "model_name").select("model_name", "total", "exact_match", "valid_json", "missing")
 
 
 def _sql_text(text: str) -> str:
