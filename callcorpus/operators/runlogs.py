@@ -57,6 +57,38 @@ def length_percentiles(df: DataFrame, text_col: str, percentages=(0.5, 0.9, 0.99
     )
 
 
+#: Size of a stored length sketch; its ranks are off by ``rank_error(SKETCH_K)`` at most (99 %).
+SKETCH_K = 1600
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Normalised rank error of a KLL sketch of size k that 99 of 100 quantiles keep."""
+    return 2.296 / k**0.9723
+
+
+def length_sketches(df: DataFrame, text_col: str, by: list[str], k: int = SKETCH_K, budget: int = MAX_SEQ_LENGTH, tokenizer="whitespace") -> DataFrame:
+    """R11, stored form: one row per ``by`` (dataset, split, ...) with a KLL sketch of the token
+    lengths, the number of texts, of those over the budget, and the longest. Rows of new data are
+    appended; ``merged_lengths`` adds any of them up without reading a text again. The
+    sketch is built in each task and merged, so a group with most rows is not gathered."""
+    counted = df.select(*by, token_count(text_col, tokenizer).cast("long").alias("_n"))
+    return counted.groupBy(*by).agg(
+        F.kll_sketch_agg_bigint("_n", k).alias("sketch"), F.count("_n").alias("n_texts"),
+        F.count_if(F.col("_n") > budget).alias("n_over_budget"), F.max("_n").alias("max_tokens"),
+    )
+
+
+def merged_lengths(sketches: DataFrame, by: list[str] | None = None, percentages=(0.5, 0.9, 0.99)) -> DataFrame:
+    """Percentiles of the union of stored ``length_sketches``, per ``by`` or of all: a length
+    whose rank is off by ``rank_error`` at most."""
+    merged = sketches.groupBy(*(by or [])).agg(
+        F.kll_merge_agg_bigint("sketch").alias("_s"), F.sum("n_texts").alias("n_texts"), F.sum("n_over_budget").alias("n_over_budget"), F.max("max_tokens").alias("max_tokens")
+    )
+    asked = [F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_bigint("_s", F.lit(float(p))).alias("tokens")) for p in percentages]
+    found = F.when(F.col("n_texts") > 0, F.array(*asked))
+    return merged.select(*(by or []), "n_texts", "n_over_budget", "max_tokens", found.alias("percentiles"))
+
+
 # ---------------------------------------------------------------------------
 # Trainer log lines -> metrics
 # ---------------------------------------------------------------------------

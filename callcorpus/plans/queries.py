@@ -647,6 +647,44 @@ def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RL.length_histogram(docs, "text", bucket_width=512, n_buckets=8, budget=2048)
 
 
+_ORACLE_TOKENS = f"""
+WITH t AS (
+  SELECT CASE WHEN trim(text, {_WS_LIT}) = '' THEN 0
+              ELSE len(regexp_split_to_array(trim(text, {_WS_LIT}), '{_RE2_WS}+')) END AS tokens
+  FROM documents)
+"""
+
+
+@register("length_flags", _ORACLE_TOKENS.replace("SELECT ", "SELECT doc_id, ", 1) + "SELECT doc_id, tokens AS n_tokens, tokens > 2048 AS over_budget FROM t")
+def length_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = RLG.length_flags(D.table(spark, sf_dir, "documents"), "text")
+    return flagged.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "over_budget")
+
+
+@register(
+    "length_sketches",
+    _ORACLE_TOKENS
+    + """
+SELECT p, COUNT(tokens)::BIGINT AS n_texts, COUNT(*) FILTER (WHERE tokens > 2048)::BIGINT AS n_over_budget, MAX(tokens)::BIGINT AS max_tokens, TRUE AS within
+FROM t, (SELECT unnest([0.1, 0.5, 0.9, 0.99]::DOUBLE[]) AS p) GROUP BY p
+""",
+)
+def length_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # sketches per source and language, merged; then the true ranks of the merged percentiles
+    docs = D.table(spark, sf_dir, "documents")
+    merged = RLG.merged_lengths(RLG.length_sketches(docs, "text", ["source", "lang"]), percentages=(0.1, 0.5, 0.9, 0.99))
+    asked = merged.select("n_texts", "n_over_budget", "max_tokens", F.explode("percentiles").alias("q")).select("*", "q.p", "q.tokens")
+    lengths = docs.select(RLG.token_count("text").alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("c"))
+    quantiles = merged.select("percentiles").scalar()
+    ranked = lengths.withColumn("q", F.explode(quantiles)).groupBy("q.p").agg(
+        F.sum(F.when(F.col("n") < F.col("q.tokens"), F.col("c")).otherwise(0)).alias("less"), F.sum(F.when(F.col("n") <= F.col("q.tokens"), F.col("c")).otherwise(0)).alias("upto")
+    )
+    # a quantile keeps the bound 99 times in 100; three times the bound is not missed
+    slack = F.col("n_texts") * 3 * RLG.rank_error()
+    within = (F.col("less") - slack <= F.col("p") * F.col("n_texts")) & (F.col("upto") + slack >= F.col("p") * F.col("n_texts"))
+    return asked.join(ranked, "p").select("p", "n_texts", "n_over_budget", "max_tokens", within.alias("within"))
+
+
 # ---------------------------------------------------------------------------
 # run artefacts: R9 R10
 # ---------------------------------------------------------------------------

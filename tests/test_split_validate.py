@@ -109,6 +109,26 @@ def test_vector_search_where_and_limits(spark):
     assert sorted(r.rank for r in page.collect()) == list(range(11, 21))
 
 
+def test_stored_length_sketches_merge_within_the_bound(spark, tmp_path):
+    from callcorpus.operators import runlogs
+
+    df = spark.range(30_000).select(
+        (F.col("id") % 3).cast("string").alias("dataset"), F.when(F.col("id") % 10 == 0, "val").otherwise("train").alias("split"),
+        F.repeat(F.lit("w "), (F.col("id") * 7919 % 3000).cast("int")).alias("text"),
+    )
+    for part in ("0", "1", "2"):  # each dataset's sketches are appended when it arrives
+        runlogs.length_sketches(df.filter(F.col("dataset") == part), "text", ["dataset", "split"]).write.mode("append").parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    whole = runlogs.merged_lengths(stored).first()
+    assert (whole.n_texts, whole.max_tokens, whole.n_over_budget) == (30_000, 2999, df.filter(runlogs.token_count("text") > 2048).count())
+    assert all(abs(q.tokens / 3000 - q.p) <= 3 * runlogs.rank_error() + 1e-3 for q in whole.percentiles)
+    by = {r.split: r.n_texts for r in runlogs.merged_lengths(stored, ["split"]).collect()}
+    assert by == {"train": 27_000, "val": 3_000}
+    nothing = runlogs.merged_lengths(runlogs.length_sketches(df.limit(0), "text", ["split"])).first()
+    assert nothing.percentiles is None
+    assert runlogs.merged_lengths(runlogs.length_sketches(df.select("split", F.lit(None).cast("string").alias("text")), "text", ["split"])).first().n_texts == 0
+
+
 def test_length_flags_and_percentiles(spark):
     from callcorpus.operators import runlogs
 
