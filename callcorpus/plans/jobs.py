@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import keep_where
 from ..operators import formatters as FM, scoring, split as SP, teacher as TC
-from ..sources import sinks
+from ..sources import manifest, sinks
 
 
 def resolve_setting(arg, defaults: dict, key: str, literal):
@@ -37,11 +37,12 @@ class PreparedCorpus:
 def prepare_corpus(
     spark: SparkSession, raw: DataFrame, dataset_name: str, id_col: str = "id", formatter_name: str | None = None,
     max_samples: int | None = None, val_split: float = 0.05, seed: int = 42, output_dir: str | None = None,
-    include_disabled: bool = False,
+    include_disabled: bool = False, run_id: str | None = None,
 ) -> PreparedCorpus:
     """Corpus preparation: the formatter is chosen at plan time (F8), the limit is
     applied before formatting (L1, ordered by ``id_col``), failures are counted
-    from the source (F9), the split is exact-size and reproducible (T1)."""
+    from the source (F9), the split is exact-size and reproducible (T1). With ``run_id`` both
+    splits are written as one run (``sources.manifest``), else as two folders."""
     fmt = FM.get_formatter(formatter_name or dataset_name, include_disabled=include_disabled)
     rows = SP.head(raw, [id_col], max_samples)
     formatted = fmt(rows)
@@ -52,7 +53,12 @@ def prepare_corpus(
     kept = FM.drop_failed(formatted).select(id_col, "text")
     split = SP.hash_split(kept, id_col, val_split, seed, names=("train", "val"))
     corpus = split.select("text", "split")
-    path = sinks.write_splits(corpus, output_dir, dataset_name.split("/")[-1]) if output_dir else None
+    path = None
+    if output_dir and run_id:
+        manifest.write_run({n: corpus.filter(F.col("split") == n).select("text") for n in ("train", "val")}, output_dir, run_id)
+        path = output_dir
+    elif output_dir:
+        path = sinks.write_splits(corpus, output_dir, dataset_name.split("/")[-1])
     return PreparedCorpus(corpus, FM.rejects(formatted, id_col, None), SP.split_counts(corpus), FM.reject_counts(formatted), path)
 
 
