@@ -26,7 +26,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score_documents(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "held_out", "score", "predicted", F.size("evidence").alias("n_neighbours"))
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("evidence").alias("n_neighbours"), "looked_up")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,13 @@
 * Terms: all words of the examples and their 4-character stems. Their document frequencies
   count every document of the table. Chi-square on the sample's documents is a soft weight:
   a term that says nothing about the label keeps a twentieth of its weight.
-* Every document becomes a sparse weighted TF-IDF vector over those terms. Its neighbours are
-  the ``k`` examples of the highest cosine, found exactly through an inverted index with
-  block maxima: the blocks of the highest bounds are scored first, then all blocks whose bound
-  can reach the k-th best. Words that no example holds are not in the document's norm, which
-  scales its similarities and leaves their order.
+* Every document becomes a sparse weighted TF-IDF vector; its norm covers all its words. A word
+  that no example holds meets no example, and weighs in the norm what an unmarked word of
+  one document weighs.
+* Its neighbours are the ``k`` examples of the highest cosine, found exactly through an inverted
+  index: the lists of most terms are short and are summed; the long lists are bounded by
+  block maxima and by norms, and are looked up only for the examples whose bound reaches the
+  k-th best of those scored first.
 * Score: votes weighted by similarity and by the documents that an example stands for
   (its label's count over its label's sample), shrunk towards the prior; the prior is the
   share of toxic ones among sample documents without a term that marks a label (chi-square
@@ -35,8 +37,10 @@ from .langid import held_out, sample_unit
 
 STEM = 4
 BLOCK = 64
-#: Blocks scored before the bounds are tested.
-FIRST_BLOCKS = 4
+#: Terms with the longest lists: bounded first, looked up only where the bound allows it.
+COMMON = 256
+#: Examples scored before the bounds are tested.
+FIRST = 32
 #: What a term keeps of its weight if it says nothing about the label.
 LEAST_WEIGHT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
@@ -60,88 +64,142 @@ def _explode_terms(batches):
             yield pa.RecordBatch.from_arrays([pa.array([slot] * len(terms), pa.int64()), pa.array([toxic] * len(terms), pa.int32()), pa.array(terms, pa.string())], ["slot", "toxic", "term"])
 
 
+class _Numbers(dict):
+    def __missing__(self, term: str) -> int:
+        return -1
+
+
+class Vocabulary:
+    """Numbers of the examples' terms, and for each word the number of its stem (or -1)."""
+
+    def __init__(self, terms: list[str]):
+        self.at = _Numbers((t, i) for i, t in enumerate(terms))
+        self.stem = np.array([self.at[t[:STEM] + "*"] if len(t) > STEM and not t.endswith("*") else -1 for t in terms] + [-1], dtype=np.int64)
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
+        """(terms, counts) of the text's known terms in ascending order, and the sum of
+        ``(1 + log count)**2`` over its other terms: the same as by ``term_counts``."""
+        words = Counter(_WORD.findall((text or "").lower()))
+        found = np.array(list(map(self.at.__getitem__, words)), dtype=np.int64)
+        counts = np.array(list(words.values()), dtype=np.int64)
+        known = found >= 0
+        stem = self.stem[found[known]]
+        terms, ns = [found[known], stem[stem >= 0]], [counts[known], counts[known][stem >= 0]]
+        rest: Counter = Counter()  # the stems that no example holds
+        if not known.all():
+            strange = [(w[:STEM] + "*", n) for w, n, k in zip(words, counts.tolist(), known.tolist()) if not k and len(w) > STEM]
+            held = []
+            for t, n in strange:
+                if t in self.at:
+                    held.append((self.at[t], n))
+                else:
+                    rest[t] += n
+            terms.append(np.array([t for t, _ in held], dtype=np.int64))
+            ns.append(np.array([n for _, n in held], dtype=np.int64))
+        left = np.concatenate([counts[~known], np.array(list(rest.values()), dtype=np.int64)])
+        each, place = np.unique(np.concatenate(terms), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate(ns), minlength=len(each)).astype(np.int64)
+        return each, total, float(((1 + np.log(left)) ** 2).sum())
+
+
 @dataclass
 class Index:
-    """Vectors of the examples by example and by term, with the largest weight per term and
-    block of BLOCK examples."""
+    """Inverted index of the examples' vectors.
+
+    The ``COMMON`` terms with the longest lists are kept by example, with the largest weight
+    per term and block of BLOCK examples; the lists of all others are kept by term. A search
+    sums the short lists and looks the common terms up only for the examples whose bound can
+    reach the k-th best."""
 
-    vocabulary: dict[str, int]
     idf: np.ndarray  # weight of each term
     ids: list
     labels: np.ndarray
-    row_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by example: terms, weights
-    row_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    row_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term: examples, weights
-    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
+    other: float = 0.0  # weight of a term that no example holds
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # by term: number among the common ones, or -1
+    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term that is not common: examples, weights
+    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
     term_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    max_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term: blocks, largest weights
-    max_blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    max_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    row_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by example: common terms, weights
+    row_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    row_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    row_norm: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by example: length of its common part
+    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # by common term and block
     prior: float = 0.0
     stands_for: tuple[float, float] = (1.0, 1.0)
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> np.ndarray:
+        """Weights over the norm of the whole text; ``others`` as from ``Vocabulary.encode``."""
         w = (1 + np.log(counts)) * self.idf[terms]
-        return w / np.linalg.norm(w)
+        return w / np.sqrt(w @ w + self.other**2 * others)
 
     @staticmethod
-    def build(vocabulary, idf, ids, labels, rows, prior=0.0, stands_for=(1.0, 1.0)) -> "Index":
-        ix = Index(vocabulary, idf, ids, np.asarray(labels, dtype=np.float64), prior=prior, stands_for=stands_for)
+    def build(idf, ids, labels, rows, prior=0.0, stands_for=(1.0, 1.0), other=0.0) -> "Index":
+        """``rows`` holds (terms, counts) of every example."""
+        ix = Index(idf, ids, np.asarray(labels, dtype=np.float64), other, np.full(len(idf), -1), prior=prior, stands_for=stands_for)
         if not len(ids):
             return ix
-        ix.row_first = np.cumsum([0, *(len(t) for t, _ in rows)])
-        ix.row_terms = np.concatenate([np.asarray(t, dtype=np.int32) for t, _ in rows])
-        ix.row_weights = np.concatenate([ix.vector(np.asarray(t, dtype=np.int32), np.asarray(c, dtype=np.float64)) for t, c in rows])
-        at = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(ix.row_first))
-        order = np.argsort(ix.row_terms, kind="stable")
-        terms, numbers = ix.row_terms[order], np.arange(len(vocabulary) + 1)
-        ix.term_rows, ix.term_weights = at[order], ix.row_weights[order]
-        ix.term_first = np.searchsorted(terms, numbers)
-        blocks = ix.term_rows // BLOCK
-        new = np.flatnonzero(np.append(True, (terms[1:] != terms[:-1]) | (blocks[1:] != blocks[:-1])))
-        ix.max_blocks, ix.max_weights = blocks[new], np.maximum.reduceat(ix.term_weights, new)
-        ix.max_first = np.searchsorted(terms[new], numbers)
+        terms = np.concatenate([np.asarray(t, dtype=np.int32) for t, _ in rows])
+        weights = np.concatenate([ix.vector(np.asarray(t, dtype=np.int32), np.asarray(c, dtype=np.float64)) for t, c in rows])
+        at = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t, _ in rows])
+        common = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[:COMMON]
+        ix.place[common] = np.arange(len(common))
+        long = ix.place[terms] >= 0
+        ix.row_terms, ix.row_weights = ix.place[terms[long]].astype(np.int32), weights[long]
+        ix.row_first = np.searchsorted(at[long], np.arange(len(ids) + 1))
+        ix.row_norm = np.sqrt(np.bincount(at[long], weights=ix.row_weights**2, minlength=len(ids)))
+        ix.block_max = np.zeros((len(common), -(-len(ids) // BLOCK)))
+        np.maximum.at(ix.block_max, (ix.row_terms, at[long] // BLOCK), ix.row_weights)
+        order = np.flatnonzero(~long)
+        order = order[np.argsort(terms[order], kind="stable")]
+        ix.term_rows, ix.term_weights = at[order], weights[order]
+        ix.term_first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
         return ix
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int) -> list[tuple[float, int]]:
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> list[tuple[float, int]]:
         """The ``k`` best (similarity, example) with similarity above 0, ties by example: exact."""
+        return self.search(terms, counts, k, others)[0]
+
+    def search(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> tuple[list[tuple[float, int]], int]:
+        """``nearest`` and the number of examples whose common terms were looked up."""
         if not len(terms) or not len(self.ids):
-            return []
-        q = self.vector(terms, counts)
-        at, each = self._spans(self.max_first, terms, q)
-        bounds = np.bincount(self.max_blocks[at], weights=self.max_weights[at] * each, minlength=-(-len(self.ids) // BLOCK))
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        dense = np.zeros(len(self.idf))
-        dense[terms] = q
-        best = self._best([self._block(dense, int(b)) for b in order[:FIRST_BLOCKS]], k)
+            return [], 0
+        q = self.vector(terms, counts, others)
+        place = self.place[terms]
+        short, common, weight = terms[place < 0], place[place >= 0], q[place >= 0]
+        at, each = self._spans(self.term_first, short, q[place < 0])
+        sims = np.bincount(self.term_rows[at], weights=self.term_weights[at] * each, minlength=len(self.ids)).astype(np.float64)
+        by_block = np.repeat(weight @ self.block_max[common], BLOCK)[: len(sims)]
+        bounds = sims + np.minimum(by_block, self.row_norm * np.sqrt(weight @ weight))
+        dense = np.zeros(len(self.block_max))
+        dense[common] = weight
+        first = np.argpartition(-bounds, min(FIRST, len(bounds) - 1))[:FIRST]
+        sims[first] += self._common_part(dense, first)
+        best = self._best(first, sims[first], k)
         floor = best[-1][0] if len(best) == k else 0.0
-        rest = order[FIRST_BLOCKS:]
-        rest = rest[bounds[rest] >= floor - 1e-6]
-        if len(rest) > 16:  # most of them: by term, over all examples
-            at, each = self._spans(self.term_first, terms, q)
-            sims = np.bincount(self.term_rows[at], weights=self.term_weights[at] * each, minlength=len(self.ids))
-            return self._best([(np.arange(len(sims)), sims)], k)
-        return self._best([(np.array([p for _, p in best], dtype=np.int64), np.array([s for s, _ in best])), *(self._block(dense, int(b)) for b in rest)], k)
+        bounds[first] = -1.0
+        rest = np.flatnonzero((bounds > 0) & (bounds >= floor - 1e-6))
+        if not len(rest):
+            return best, len(first)
+        sims[rest] += self._common_part(dense, rest)
+        rows = np.concatenate([first, rest])
+        return self._best(rows, sims[rows], k), len(rows)
 
     @staticmethod
     def _spans(first: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the terms' entries and the query's weight at each."""
+        """Places of the entries ``first[t]:first[t + 1]`` and the query's weight at each."""
         size = first[terms + 1] - first[terms]
         return np.arange(size.sum()) + np.repeat(first[terms] - np.cumsum(size) + size, size), np.repeat(q, size)
 
-    def _block(self, dense: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of a block and their similarities."""
-        rows = np.arange(block * BLOCK, min((block + 1) * BLOCK, len(self.ids)))
-        first = self.row_first[rows[0] : rows[-1] + 2]
-        part = slice(first[0], first[-1])
-        at = np.repeat(np.arange(len(rows)), np.diff(first))
-        return rows, np.bincount(at, weights=dense[self.row_terms[part]] * self.row_weights[part], minlength=len(rows))
+    def _common_part(self, dense: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """What the common terms add to the similarities of the examples ``rows``."""
+        at, number = self._spans(self.row_first, rows, np.arange(len(rows)))
+        return np.bincount(number, weights=dense[self.row_terms[at]] * self.row_weights[at], minlength=len(rows))
 
     @staticmethod
-    def _best(found: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[float, int]]:
-        rows, sims = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, dtype=np.int64), np.zeros(0))
+    def _best(rows: np.ndarray, sims: np.ndarray, k: int) -> list[tuple[float, int]]:
         sims = np.round(sims, 9)
         if len(sims) > k:
             use = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
@@ -198,23 +256,36 @@ def marked_terms(sample: DataFrame, least_documents: int, least_chi2: float, lea
     return rows.column("term").to_pylist(), weight, marks
 
 
-def _known(text: str | None, vocabulary: dict[str, int]) -> list[tuple[int, int]]:
-    return sorted((vocabulary[t], n) for t, n in term_counts(text).items() if t in vocabulary) if text else []
+def encoded(docs: DataFrame, vocabulary) -> DataFrame:
+    """(doc_id, terms, counts, others) of every document by the broadcast vocabulary, stored:
+    the texts are read and tokenised once."""
+
+    def run(batches):
+        voc = vocabulary.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found = [voc.encode(x.as_py()) for x in part.column(1)]
+                first = pa.array(np.cumsum([0, *(len(t) for t, _, _ in found)]), pa.int32())
+                terms, counts = (pa.ListArray.from_arrays(first, pa.array(np.concatenate([f[i] for f in found]), pa.int32())) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), terms, counts, pa.array([x for _, _, x in found], pa.float64())], ["doc_id", "terms", "counts", "others"])
+
+    src = C.texts_only(docs, "doc_id", "text")
+    return C.store(src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, terms array<int>, counts array<int>, others double"), "encoded")
 
 
-def document_frequencies(docs: DataFrame, vocabulary) -> DataFrame:
-    """(t, n): documents that hold term ``t`` of the broadcast vocabulary; all documents at -1."""
+def document_frequencies(found: DataFrame, size: int) -> DataFrame:
+    """(t, n): documents that hold term ``t`` of a vocabulary of ``size``; all documents at -1."""
 
     def run(batches):
-        known, seen, n = vocabulary.value, np.zeros(len(vocabulary.value), dtype=np.int64), 0
+        seen, n = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
             n += batch.num_rows
-            for x in batch.column(0).to_pylist():
-                seen[[known[t] for t in term_counts(x or "") if t in known]] += 1
+            seen += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
         hit = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1), pa.int64()), pa.array(np.append(seen[hit], n), pa.int64())], ["t", "n"])
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    return found.select("terms").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
 
 
 def score(
@@ -227,48 +298,51 @@ def score(
     least_chi2: float = 20.0,
     least_lift: float = 3.0,
 ) -> DataFrame:
-    """doc_id, score in 0..1 and ``evidence`` (the neighbours used) for every document."""
+    """doc_id, score in 0..1, ``evidence`` (the neighbours used) and ``looked_up`` (the share of
+    the examples that the bounds left open) for every document."""
     spark = docs.sparkSession
     sample, known = labelled_sample(docs, labels, examples or {0: 6000, 1: 3000}, usable)
     terms, weights, marks = marked_terms(sample, least_documents, least_chi2, least_lift)
-    vocabulary = {t: i for i, t in enumerate(terms)}
-    counted = document_frequencies(docs, spark.sparkContext.broadcast(vocabulary)).toArrow()  # a row per vocabulary entry
+    vocabulary = Vocabulary(terms)
+    found = encoded(docs, spark.sparkContext.broadcast(vocabulary))
+    counted = document_frequencies(found, len(vocabulary)).toArrow()  # a row per vocabulary entry
     t, n = counted.column("t").to_numpy(), counted.column("n").to_numpy()
     n_docs = int(n[t < 0].sum())
-    idf = np.full(len(vocabulary), np.log(1.0 + n_docs))
+    rarest = np.log((1.0 + n_docs) / 2) + 0.05  # a word that no example holds counts as one document's
+    idf = np.full(len(vocabulary), rarest)
     idf[t[t >= 0]] = np.log((1.0 + n_docs) / (1.0 + n[t >= 0])) + 0.05
     weights = weights * idf
     rows = []
     for r in sample.orderBy("doc_id").toLocalIterator():  # the bounded sample
-        v = np.array(_known(r["text"], vocabulary), dtype=np.int32).reshape(-1, 2)
-        rows.append((r["doc_id"], r["toxic"], v[:, 0].copy(), v[:, 1].copy()))
+        rows.append((r["doc_id"], r["toxic"], *vocabulary.encode(r["text"])[:2]))
     drawn = Counter(r[1] for r in rows)
     stands_for = tuple(known.get(y, 0) / max(1, drawn[y]) for y in (0, 1))
     empty = Counter(r[1] for r in rows if not marks[r[2]].any())
     prior = empty[1] * stands_for[1] / max(1e-9, empty[0] * stands_for[0] + empty[1] * stands_for[1])
     # examples with the same heaviest term stand together, so that block maxima are tight
     full = sorted((r for r in rows if len(r[2])), key=lambda r: (r[2][np.argmax(weights[r[2]])], r[0]))
-    index = Index.build(vocabulary, weights, [r[0] for r in full], [r[1] for r in full], [r[2:] for r in full], prior, stands_for)
+    index = Index.build(weights, [r[0] for r in full], [r[1] for r in full], [r[2:] for r in full], prior, stands_for, LEAST_WEIGHT * rarest)
     shared = spark.sparkContext.broadcast(index)  # bounded: examples * terms of each
 
     def run(batches):
         ix = shared.value
         for batch in batches:
-            near = []
-            for x in batch.column(1).to_pylist():
-                v = np.array(_known(x, ix.vocabulary), dtype=np.int64).reshape(-1, 2)
-                near.append(ix.nearest(v[:, 0], v[:, 1].astype(np.float64), k))
+            near, looked = [], []
+            for terms, counts, others in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist()):
+                best, n = ix.search(terms.values.to_numpy(), counts.values.to_numpy(), k, others)
+                near.append(best)
+                looked.append(n)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([ix.score(x) for x in near], pa.float64()),
                     pa.array([[f"{ix.ids[p]}:{s:.4f}:{int(ix.labels[p])}" for s, p in x] for x in near], pa.list_(pa.string())),
+                    pa.array([n / max(1, len(ix.ids)) for n in looked], pa.float64()),
                 ],
-                ["doc_id", "score", "evidence"],
+                ["doc_id", "score", "evidence", "looked_up"],
             )
 
-    src = C.texts_only(docs, "doc_id", "text")
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>")
+    return found.mapInArrow(run, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, score double, evidence array<string>, looked_up double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

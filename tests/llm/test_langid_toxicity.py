@@ -60,24 +60,118 @@ def test_unlearned_languages_and_random_letters_are_rejected(spark):
     assert np.mean([r.rejected for r in found if r.doc_id < 10**9]) < 0.02
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("common", [0, 5, 12, 40])
+def test_block_max_search_is_exact(common, monkeypatch):
+    monkeypatch.setattr(X, "COMMON", common)
     rng = random.Random(3)
     terms = 40
     idf = np.array([rng.uniform(0.1, 5) for _ in range(terms)])
     rows = [tuple(zip(*sorted((t, rng.randint(1, 4)) for t in rng.sample(range(terms), rng.randint(1, 6))))) for _ in range(700)]
-    index = X.Index.build({str(t): t for t in range(terms)}, idf, list(range(700)), [rng.randint(0, 1) for _ in rows], rows)
+    index = X.Index.build(idf, list(range(700)), [rng.randint(0, 1) for _ in rows], rows, other=0.7)
     dense = np.zeros((700, terms))
     for p, (t, c) in enumerate(rows):
-        dense[p, list(t)] = index.vector(np.array(t), np.array(c, float))
+        w = (1 + np.log(np.array(c, float))) * idf[list(t)]
+        dense[p, list(t)] = w / np.sqrt((w**2).sum())
     for _ in range(100):
         t = np.array(sorted(rng.sample(range(terms), rng.randint(1, 5))))
         c = np.array([rng.randint(1, 3) for _ in t], float)
-        sims = dense[:, t] @ index.vector(t, c)
+        others = rng.choice([0.0, 3.5])
+        w = (1 + np.log(c)) * idf[t]
+        sims = dense[:, t] @ (w / np.sqrt((w**2).sum() + 0.49 * others))
         want = sorted(((round(float(s), 9), p) for p, s in enumerate(sims) if s > 0), key=lambda x: (-x[0], x[1]))[:10]
-        got = index.nearest(t, c, 10)
+        got = index.nearest(t, c, 10, others)
         assert [round(s, 7) for s, _ in got] == [round(s, 7) for s, _ in want]
 
 
+def test_bounds_leave_most_examples_alone():
+    rng = random.Random(8)
+    rows = []
+    for p in range(2000):  # ten frequent terms in each, and four of its own group
+        group = p // 20
+        t = sorted(rng.sample(range(30), 10) + [30 + 5 * group + x for x in rng.sample(range(5), 4)])
+        rows.append((t, [1] * len(t)))
+    idf = np.array([0.3] * 30 + [5.0] * 500)
+    index = X.Index.build(idf, list(range(2000)), [0] * 2000, rows)
+    looked = [index.search(np.array(t), np.array(c, float), 10)[1] for t, c in rows[::50]]
+    assert np.mean(looked) < 0.1 * len(rows)
+
+
+def test_encoded_texts_are_their_term_counts():
+    rng = random.Random(5)
+    letters = ["".join(rng.choice("abé") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    held = sorted({t for w in letters[:30] for t in X.term_counts(w)})
+    voc = X.Vocabulary(held)
+    for text in [None, "", "12 -- !", *(" ".join(rng.choices(letters, k=n)).upper() for n in range(40))]:
+        counts = X.term_counts(text or "")
+        terms, ns, others = voc.encode(text)
+        assert list(terms) == sorted(terms)
+        assert {held[t]: n for t, n in zip(terms, ns)} == {t: n for t, n in counts.items() if t in voc.at}
+        assert others == pytest.approx(sum((1 + np.log(n)) ** 2 for t, n in counts.items() if t not in voc.at))
+
+
+def test_scores_against_brute_force(spark):
+    """Weights, norms over all words, prior and votes, written again over dense vectors."""
+    rng = random.Random(12)
+    clean, bad = [f"word{chr(97 + i)}" for i in range(26)], ["slur", "insult", "threat"]
+    rows, truth = [], {}
+    for i in range(160):
+        toxic = i % 4 == 0
+        words = rng.choices(clean, k=rng.randint(3, 12)) + (rng.choices(bad, k=rng.randint(1, 3)) if toxic or i % 17 == 0 else [])
+        rows.append((i, " ".join(words), "en", "a"))
+        if i < 110:
+            truth[i] = int(toxic)
+    rows += [(200 + i, f"{rows[i][1]} unseen{chr(97 + i)}x newword{chr(97 + i)} newword{chr(97 + i)}", "en", "a") for i in range(20)] + [(300, None, "en", "a"), (301, "zzz", "en", "a")]
+    labels = spark.createDataFrame([(i, 0, y) for i, y in truth.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in X.score(documents(spark, rows), labels, k=5).collect()}
+
+    def terms(text):
+        words = [w.strip("0123456789") for w in (text or "").lower().split()]
+        bag = {}
+        for w in words:
+            bag[w] = bag.get(w, 0) + 1
+            if len(w) > 4:
+                bag[w[:4] + "*"] = bag.get(w[:4] + "*", 0) + 1
+        return bag
+
+    bags, first = {r[0]: terms(r[1]) for r in rows}, {}
+    for i in sorted(truth):
+        first.setdefault(rows[i][1], i)
+    ex = sorted(first.values())
+    label = {i: max(truth[j] for j in truth if rows[j][1] == rows[i][1]) for i in ex}
+    pos = sum(label.values())
+    neg, n_docs = len(ex) - pos, len(rows)
+    weight, marks = {}, set()
+    for t in {t for i in ex for t in bags[i]}:
+        a = sum(t in bags[i] for i in ex if label[i])
+        df = sum(t in bags[i] for i in ex)
+        b, n = df - a, pos + neg
+        chi2 = n * (a * (neg - b) - b * (pos - a)) ** 2 / max(df * (n - df) * pos * neg, 1e-9)
+        lift = abs(np.log((max(a, 0.5) / pos) / (max(b, 0.5) / neg)))
+        soft = 0.05 + 0.95 * chi2 / (chi2 + 20) * min(1, lift / np.log(3))
+        weight[t] = soft * (np.log((1 + n_docs) / (1 + sum(t in x for x in bags.values()))) + 0.05)
+        if df >= 4 and chi2 >= 20 and lift >= np.log(3):
+            marks.add(t)
+    other = 0.05 * (np.log((1 + n_docs) / 2) + 0.05)
+
+    def unit(bag):
+        w = {t: (1 + np.log(n)) * weight.get(t, other) for t, n in bag.items()}
+        size = np.sqrt(sum(x * x for x in w.values())) or 1.0
+        return {t: x / size for t, x in w.items()}
+
+    stands = [sum(y == v for y in truth.values()) / max(1, sum(y == v for y in label.values())) for v in (0, 1)]
+    bare = [sum(label[i] == v and not marks & set(bags[i]) for i in ex) for v in (0, 1)]
+    prior = bare[1] * stands[1] / max(1e-9, bare[0] * stands[0] + bare[1] * stands[1])
+    units = {i: unit(bags[i]) for i in ex}
+    for d, bag in bags.items():
+        mine = unit(bag)
+        sims = sorted(((sum(x * units[i].get(t, 0) for t, x in mine.items()), i) for i in ex), reverse=True)
+        near = [(s, i) for s, i in sims[:5] if s > 0]
+        cut = len(sims) > 5 and abs(sims[4][0] - sims[5][0]) < 1e-7  # a tie at the last place
+        votes = [(s * (1 if label[i] else stands[0] / stands[1]), label[i]) for s, i in near]
+        want = (sum(v for v, y in votes if y) + 2 * prior) / (sum(v for v, _ in votes) + 2) if near else prior
+        assert cut or got[d] == pytest.approx(want, abs=1e-6)
+
+
 def test_scores_of_awkward_rows(spark):
     rows = awkward() + [(100 + i, f"clean words number {i} stand here", "en", "a") for i in range(120)] + [(300 + i, f"words with badword{i % 3} and worseword here {i}", "en", "a") for i in range(60)]
     labels = spark.createDataFrame([(i, 0, 0) for i in range(100, 220)] + [(i, 0, 1) for i in range(300, 360)] + [(300, 1, 0), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
