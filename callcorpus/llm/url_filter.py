@@ -15,7 +15,7 @@ looped over; a host with a third of all pages is only a repeated join key of the
 
 Defined results: a null url or one without ``://`` has an empty host and path, no rule and
 no alias, and is allowed. A null html has no tie. Repeated rows are judged alike. Relative
-targets are resolved against the page's url.
+targets are resolved against the page's url by RFC 3986 (dot segments, lone queries).
 """
 
 from __future__ import annotations
@@ -70,19 +70,32 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.trim(F.regexp_replace(F.when(quoted != "", quoted).otherwise(bare), "(?i)&amp;", "&"))
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments carried out; a last one leaves its slash."""
+    parts = F.slice(F.split(path, "/"), 2, F.length(path) + 1)
+    step = lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    open_end = F.when(path.rlike(r"(?s)/\.{1,2}$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(open_end, "/"))
+
+
 def _resolved(page: Column, target: Column) -> Column:
-    """An absolute url for a link target on a page; null if there is none."""
+    """An absolute url for a link target on a page (RFC 3986, 5.2); null if there is none."""
     scheme = F.regexp_extract(page, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(page, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(page, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
+    own = F.regexp_extract(page, r"(?s)^(.*?://[^?#]*)", 1)
+    query = F.regexp_extract(page, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    folder = F.regexp_extract(page, r"(?s)^.*?://[^/?#]*((?:/[^?#]*)?/)", 1)
+    path, rest = F.regexp_extract(target, r"(?s)^([^?#]*)", 1), F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
     return (
         F.when(target == "", None)
         .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(site, target))
         .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-        .otherwise(F.concat(folder, target))
+        .when(target.startswith("?"), F.concat(own, target))
+        .when(target.startswith("#"), F.concat(own, query, target))
+        .otherwise(F.concat(site, _without_dots(whole), rest))
     )
 
 

@@ -1,4 +1,4 @@
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from callcorpus.llm import url_filter as U
 from callcorpus.llm.components import components
@@ -72,3 +72,25 @@ def test_components(spark):
 def test_empty_tables(spark):
     assert judged(spark, []) == {}
     assert judged(spark, [(1, "http://a.net/es/", "")], rules=()) == {1: ("a.net", "/es/", None, "allow")}
+
+
+def test_relative_targets_are_resolved(spark):
+    from urllib.parse import urljoin
+
+    pages = ["http://a.com", "http://a.com/", "http://a.com/b", "http://a.com/b/c/d?x=1/2#f", "https://a.com/b/c/?y", "http://a.com/b/c/"]
+    targets = ["../x", "./x", "x/./y/../z", "..", ".", "../..", "../../../../up", "?q=1", "x?q=../1#g", "#part", "/p/../q/", "/", "//b.com/r", "https://c.com/s", "x/..", "...", "..x/.y"]
+    rows = [(p, t) for p in pages for t in targets]
+    found = spark.createDataFrame(rows, "page string, target string").withColumn("to", U._resolved(F.col("page"), F.col("target"))).collect()
+    assert {(r.page, r.target): r.to for r in found} == {(p, t): urljoin(p, t) for p, t in rows}
+    kept = spark.createDataFrame([("http://a.com/x/", "a//b/../c")], "page string, target string")  # RFC 3986 keeps empty segments, urljoin drops them
+    assert kept.select(U._resolved(F.col("page"), F.col("target"))).first()[0] == "http://a.com/x/a//c"
+    odd = spark.createDataFrame([("http://a.com/b", ""), ("http://a.com/b", "mailto:x"), ("http://a.com/b", None)], "page string, target string")
+    assert {r[0] for r in odd.select(U._resolved(F.col("page"), F.col("target"))).collect()} == {None}
+
+
+def test_blocks_reach_pages_named_by_relative_links(spark):
+    link = lambda t: f'<link rel="canonical" href="{t}">'
+    rows = [(1, "http://ok.org/a/b/page", link("../../same")), (2, "http://ok.org/same", '<meta http-equiv="refresh" content="0; url=//x.net/es/1">'), (3, "http://ok.org/a/other", link("?v=2"))]
+    rows += [(4, "http://ok.org/a/other?v=2", "x" * 300_000 + link("./b/page")), (5, "http://ok.org/a/free", None), (1, "http://ok.org/a/b/page", link("../../same"))]
+    got = sorted((r.page_id, r.verdict) for r in U.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), U.rules_table(spark)).collect())
+    assert got == [(1, "block"), (1, "block"), (2, "block"), (3, "block"), (4, "block"), (5, "allow")]
