@@ -48,8 +48,10 @@ b AS (
     + (CASE WHEN n_words > 0 AND 2 * n_letters < word_chars THEN 32 ELSE 0 END) AS fail_bits
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 != 0 AS base_failed,
-       fail_bits & 23 = 0 AS kept, fail_bits::BIGINT AS fail_bits
-FROM b
+       fail_bits & 23 = 0 AS kept, fail_bits::BIGINT AS fail_bits, fail_bits = 0 AS keep_v2, sole_rule,
+       CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY sole_rule) END AS n_sole
+FROM (SELECT *, CASE fail_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_words' WHEN 4 THEN 'symbols' WHEN 8 THEN 'duplicate_lines'
+                     WHEN 16 THEN 'word_length' WHEN 32 THEN 'few_letters' END AS sole_rule FROM b)
 """
 
 _BENCH_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -153,3 +153,9 @@ def ablation(led: DataFrame, mask: int, rules=RULES) -> DataFrame:
         F.sum(F.when(F.col("bits") == F.col("flag"), F.col("n")).otherwise(0)).alias("n_failed_only_this"),
         F.sum(F.when(F.col("bits") == 0, F.col("n")).otherwise(0)).alias("n_kept_by_all"),
     )
+
+
+def sole_rule(mask: int, bits: Column | str = "fail_bits", rules=RULES) -> Column:
+    """The rule that alone removes a document under the policy, or null."""
+    bits = (F.col(bits) if isinstance(bits, str) else bits).bitwiseAND(F.lit(mask).cast("long"))
+    return F.coalesce(*[F.when(bits == 1 << r.bit, F.lit(r.name)) for r in rules])

@@ -14,9 +14,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    led = quality_rules.ledger(C.table(spark, sf_dir, "documents"))
-    out = quality_rules.apply_policies(led, {v: quality_rules.POLICIES[v] for v in ("base", "v1")})
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("keep_base")).alias("base_failed"), F.col("keep_v1").alias("kept"), "fail_bits")
+    led = C.store(quality_rules.ledger(C.table(spark, sf_dir, "documents")), "ledger")
+    newest = quality_rules.POLICIES["v2"]
+    lost = quality_rules.ablation(led, newest).select(F.col("rule").alias("sole_rule"), F.col("n_failed_only_this").alias("n_sole"))  # a row per rule
+    out = quality_rules.apply_policies(led).withColumn("sole_rule", quality_rules.sole_rule(newest)).join(F.broadcast(lost), "sole_rule", "left")
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("keep_base")).alias("base_failed"),
+        F.col("keep_v1").alias("kept"), "fail_bits", "keep_v2", "sole_rule", "n_sole",
+    )
 
 
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

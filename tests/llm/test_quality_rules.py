@@ -36,6 +36,9 @@ def test_policies_and_ablation_agree_with_the_rules(spark):
                 assert r.n_failed == sum(b >> rule.bit & 1 for b in bits.values())
                 assert r.n_failed_only_this == sum(b & mask == 1 << rule.bit for b in bits.values())
                 assert r.n_kept_by_all == len(kept)
+        sole = {r[0]: r[1] for r in led.select("doc_id", Q.sole_rule(mask)).collect()}
+        names = {1 << r.bit: r.name for r in Q.RULES}
+        assert sole == {i: names.get(b & mask) for i, b in bits.items()}
 
 
 def test_clean_text_is_kept(spark):
