@@ -231,36 +231,9 @@ def py_dumps_at(c: Column | str, path: str = "$", parsed_doc: Column | None = No
     return ascii_escape(python_floats(python_spacing(let(v, from_variant))))
 
 
-def has_key(c: Column | str, parent_path: str, key: str) -> Column:
-    """True when the object at ``parent_path`` has ``key`` (presence, not non-null)."""
-    parent = F.get_json_object(col_of(c), parent_path) if parent_path != "$" else col_of(c)
-    return F.coalesce(F.array_contains(F.json_object_keys(parent), key), F.lit(False))
-
-
-def json_kind(c: Column | str, path: str = "$") -> Column:
-    """JSON type of the value at ``path``: object, array, string, number, boolean, null.
-
-    NULL when the text does not parse or the path is absent.
-    """
-    k = F.schema_of_variant(_variant_at(col_of(c), path))
-    return (
-        F.when(k.startswith("OBJECT"), F.lit("object"))
-        .when(k.startswith("ARRAY"), F.lit("array"))
-        .when(k == "STRING", F.lit("string"))
-        .when(k == "BOOLEAN", F.lit("boolean"))
-        .when(k == "VOID", F.lit("null"))
-        .when(k.isNotNull(), F.lit("number"))
-    )
-
-
 def canonical_at(c: Column | str, path: str = "$") -> Column:
     """Comparison text of the value at ``path``: sorted keys, numbers normalised.
 
     ``'null'`` for a JSON null, NULL when absent or unparseable.
     """
     return F.to_json(_variant_at(col_of(c), path))
-
-
-def is_truthy_json(c: Column | str) -> Column:
-    """Python truthiness of a parsed JSON document (``{}``, ``[]``, ``""``, 0, false, null are falsy)."""
-    return let(canonical_at(col_of(c)), lambda canon: ~canon.isin("{}", "[]", '""', "0", "0.0", "false", "null") & canon.isNotNull())

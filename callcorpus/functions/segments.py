@@ -37,10 +37,6 @@ def first_user_segment(c: Column | str) -> Column:
     return between_first(c, USER_MARK)
 
 
-def first_assistant_segment(c: Column | str) -> Column:
-    return between_first(c, ASSISTANT_MARK)
-
-
 def strip_fences(c: Column | str) -> Column:
     """Trimmed content; a leading json-tagged fence removes every json-tagged fence and
     every bare fence; a leading bare fence removes every bare fence; trimmed again."""

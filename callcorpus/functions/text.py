@@ -26,12 +26,6 @@ def py_strip(c: Column | str) -> Column:
     return F.trim(col_of(c), F.lit(PY_WHITESPACE))
 
 
-def py_split_ws(c: Column | str) -> Column:
-    """``str.split()`` with no argument: runs of whitespace separate, ends ignored."""
-    s = py_strip(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, PY_WS_CLASS + "+"))
-
-
 def py_word_count(c: Column | str) -> Column:
     """``len(str.split())`` (NULL stays NULL)."""
     s = py_strip(c)
@@ -55,11 +49,6 @@ def clean_model_name(c: Column | str) -> Column:
     return F.translate(col_of(c), "/ ", "__")
 
 
-def last_path_part(c: Column | str) -> Column:
-    """``name.split('/')[-1]``."""
-    return F.substring_index(col_of(c), "/", -1)
-
-
 def let(expr: Column, fn) -> Column:
     """Evaluate ``expr`` once and pass it to ``fn`` as a lambda variable.
 
