@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline as P
 from callcorpus.llm import queries as Q
-from llm_edges import documents, words
+from llm_edges import awkward, documents, words
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -21,7 +21,12 @@ COLUMNS = {
     "op8_url_filter": ["page_id", "host", "path", "rule", "verdict"],
     "op9_token_counts": ["doc_id"],
     "op10_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op11_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op13_spelling": ["word", "n", "form", "form_n", "n_near", "root"],
 }
+#: Tables other than documents that a query has its rows from, and their ids.
+ROWS_OF = {"op8_url_filter": ("pages", "page_id"), "op11_repair": ("conversations", "conv_id")}
 
 
 def test_stages(spark, tmp_path):
@@ -50,10 +55,30 @@ def test_stages(spark, tmp_path):
     assert set(ids["mix"]) <= set(ids["decontaminate"])
 
 
+def test_stages_on_awkward_rows(spark, tmp_path):
+    """Null, empty and very long texts, null ids, ties and repeated rows, clashing columns, and
+    an empty table pass all stages; a null text is rejected by the first."""
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in (awkward(), []):
+        docs, sizes = documents(spark, rows), []
+        for name, stage in P.STAGES:
+            path = f"{tmp_path}/{name}-{len(rows)}"
+            stage(spark, docs, str(tmp_path)).write.parquet(path)
+            docs = spark.read.parquet(path)
+            sizes.append(docs.count())
+            assert set(documents(spark, []).columns) <= set(docs.columns) | {"copies"}
+        assert sizes == sorted(sizes, reverse=True) and (sizes[0] > 0) == bool(rows)
+        assert not docs.filter("text IS NULL").count()
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_registered_query(spark, name):
     out = Q.QUERIES[name](spark, SF)
     assert set(COLUMNS[name]) <= set(out.columns)
-    table = "pages" if name.startswith("op8_") else "documents"
-    assert out.select(out.columns[0]).distinct().count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if name == "op13_spelling":  # a row per word
+        assert 0 < out.count() == out.select("word").distinct().count()
+        return
+    table, key = ROWS_OF.get(name, ("documents", "doc_id"))
+    rows = spark.read.parquet(f"{SF}/{table}.parquet")
+    assert out.select(key).distinct().count() == rows.select(key).distinct().count()
