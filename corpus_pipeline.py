@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and reread as the next stage's docs. All but the last return the columns of ``documents``;
 the last adds ``copies``, the number of times the mix holds a document.
+
+Defined results: a null or empty text, or one without letters, is rejected by the first stage,
+unless no row has a language to learn from: then all rows stay there. Repeated rows, copies and ties are
+settled by the operators (see their docstrings). Very long texts are used whole. An empty table gives an
+empty mix. Further columns pass through under their own names.
 """
 
 from __future__ import annotations
