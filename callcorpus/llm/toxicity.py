@@ -9,9 +9,9 @@
   that no example holds meets no example, and weighs in the norm what an unmarked word of
   one document weighs.
 * Its neighbours are the ``k`` examples of the highest cosine, found exactly through an inverted
-  index: the lists of most terms are short and are summed; the long lists are bounded by
-  block maxima and by norms, and are looked up only for the examples whose bound reaches the
-  k-th best of those scored first.
+  index: the lists of most terms are summed, those of middle length for many documents by one
+  matrix product; the longest lists are bounded by block maxima and by norms, and are looked
+  up only for the examples whose bound reaches the k-th best of those scored first.
 * Score: votes weighted by similarity and by the documents that an example stands for
   (its label's count over its label's sample), shrunk towards the prior; the prior is the
   share of toxic ones among sample documents without a term that marks a label (chi-square
@@ -39,6 +39,11 @@ STEM = 4
 BLOCK = 64
 #: Terms with the longest lists: bounded first, looked up only where the bound allows it.
 COMMON = 256
+#: Terms with the next longest lists: summed for BATCH documents by one matrix product.
+MIDDLE = 1024
+BATCH = 256
+#: More than single precision can lose in a sum of COMMON + MIDDLE products of vectors of length 1.
+SLACK = 2e-4
 #: Examples scored before the bounds are tested.
 FIRST = 32
 #: What a term keeps of its weight if it says nothing about the label.
@@ -110,23 +115,27 @@ class Index:
     """Inverted index of the examples' vectors.
 
     The ``COMMON`` terms with the longest lists are kept by example, with the largest weight
-    per term and block of BLOCK examples; the lists of all others are kept by term. A search
-    sums the short lists and looks the common terms up only for the examples whose bound can
-    reach the k-th best."""
+    per term and block of BLOCK examples. The ``MIDDLE`` next lists are rows of a matrix, summed
+    for many documents by one product; the lists of all others are kept by term. A search sums
+    these and looks the common terms up only for the examples whose bound can reach the k-th
+    best. Products are in single precision, so the best, and every example within ``SLACK`` of
+    them, are summed again from their whole vectors."""
 
     idf: np.ndarray  # weight of each term
     ids: list
     labels: np.ndarray
     other: float = 0.0  # weight of a term that no example holds
-    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # by term: number among the common ones, or -1
-    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term that is not common: examples, weights
-    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # by term: number among the common, then the middle ones, or -1
+    term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term without a place: examples, weights
+    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     term_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    row_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by example: common terms, weights
-    row_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
-    row_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    middle: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))  # by middle term and example
+    common: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))  # by example and common term
     row_norm: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by example: length of its common part
     block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # by common term and block
+    full_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by example: all terms, weights
+    full_terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    full_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
     stands_for: tuple[float, float] = (1.0, 1.0)
 
@@ -144,48 +153,72 @@ class Index:
         terms = np.concatenate([np.asarray(t, dtype=np.int32) for t, _ in rows])
         weights = np.concatenate([ix.vector(np.asarray(t, dtype=np.int32), np.asarray(c, dtype=np.float64)) for t, c in rows])
         at = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t, _ in rows])
-        common = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[:COMMON]
-        ix.place[common] = np.arange(len(common))
-        long = ix.place[terms] >= 0
-        ix.row_terms, ix.row_weights = ix.place[terms[long]].astype(np.int32), weights[long]
-        ix.row_first = np.searchsorted(at[long], np.arange(len(ids) + 1))
-        ix.row_norm = np.sqrt(np.bincount(at[long], weights=ix.row_weights**2, minlength=len(ids)))
-        ix.block_max = np.zeros((len(common), -(-len(ids) // BLOCK)))
-        np.maximum.at(ix.block_max, (ix.row_terms, at[long] // BLOCK), ix.row_weights)
-        order = np.flatnonzero(~long)
+        ix.full_first, ix.full_terms, ix.full_weights = np.searchsorted(at, np.arange(len(ids) + 1)), terms, weights
+        longest = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[: COMMON + MIDDLE]
+        ix.place[longest] = np.arange(len(longest))
+        place = ix.place[terms]
+        top = (place >= 0) & (place < COMMON)
+        ix.common = np.zeros((len(ids), min(COMMON, len(longest))), dtype=np.float32)
+        ix.common[at[top], place[top]] = weights[top]
+        ix.row_norm = np.sqrt(np.bincount(at[top], weights=weights[top] ** 2, minlength=len(ids)))
+        ix.block_max = np.zeros((ix.common.shape[1], -(-len(ids) // BLOCK)))
+        np.maximum.at(ix.block_max, (place[top], at[top] // BLOCK), weights[top])
+        ix.middle = np.zeros((len(longest) - len(ix.block_max), len(ids)), dtype=np.float32)
+        ix.middle[place[place >= COMMON] - COMMON, at[place >= COMMON]] = weights[place >= COMMON]
+        order = np.flatnonzero(place < 0)
         order = order[np.argsort(terms[order], kind="stable")]
-        ix.term_rows, ix.term_weights = at[order], weights[order]
+        ix.term_rows, ix.term_weights = at[order].astype(np.int64), weights[order]
         ix.term_first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
         return ix
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> list[tuple[float, int]]:
         """The ``k`` best (similarity, example) with similarity above 0, ties by example: exact."""
-        return self.search(terms, counts, k, others)[0]
-
-    def search(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> tuple[list[tuple[float, int]], int]:
-        """``nearest`` and the number of examples whose common terms were looked up."""
-        if not len(terms) or not len(self.ids):
-            return [], 0
-        q = self.vector(terms, counts, others)
-        place = self.place[terms]
-        short, common, weight = terms[place < 0], place[place >= 0], q[place >= 0]
-        at, each = self._spans(self.term_first, short, q[place < 0])
-        sims = np.bincount(self.term_rows[at], weights=self.term_weights[at] * each, minlength=len(self.ids)).astype(np.float64)
-        by_block = np.repeat(weight @ self.block_max[common], BLOCK)[: len(sims)]
-        bounds = sims + np.minimum(by_block, self.row_norm * np.sqrt(weight @ weight))
-        dense = np.zeros(len(self.block_max))
-        dense[common] = weight
-        first = np.argpartition(-bounds, min(FIRST, len(bounds) - 1))[:FIRST]
-        sims[first] += self._common_part(dense, first)
-        best = self._best(first, sims[first], k)
-        floor = best[-1][0] if len(best) == k else 0.0
-        bounds[first] = -1.0
-        rest = np.flatnonzero((bounds > 0) & (bounds >= floor - 1e-6))
-        if not len(rest):
-            return best, len(first)
-        sims[rest] += self._common_part(dense, rest)
-        rows = np.concatenate([first, rest])
-        return self._best(rows, sims[rows], k), len(rows)
+        return self.search([(terms, counts, others)], k)[0][0]
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray, float]], k: int) -> list[tuple[list[tuple[float, int]], int]]:
+        """For each (terms, counts, others): the nearest as from ``nearest``, and the number of
+        examples whose common terms were looked up."""
+        if not len(self.ids):
+            return [([], 0)] * len(queries)
+        common = len(self.block_max)
+        dense, across = np.zeros((len(queries), common)), np.zeros((len(queries), len(self.middle)), dtype=np.float32)
+        vectors, short = [], []
+        for i, (terms, counts, others) in enumerate(queries):
+            q = self.vector(terms, counts, others) if len(terms) else np.zeros(0)
+            place = self.place[terms]
+            top, listed = (place >= 0) & (place < common), place < 0
+            dense[i, place[top]] = q[top]
+            across[i, place[place >= common] - common] = q[place >= common]
+            vectors.append(q)
+            short.append((terms[listed], q[listed]))
+        middle, by_block = across @ self.middle, dense @ self.block_max
+        norms = np.sqrt((dense * dense).sum(axis=1))
+        dense = dense.astype(np.float32)
+        whole = np.zeros(len(self.idf))
+        found = []
+        for i, (terms, _, _) in enumerate(queries):
+            if not len(terms):
+                found.append(([], 0))
+                continue
+            at, each = self._spans(self.term_first, *short[i])
+            sims = np.bincount(self.term_rows.take(at), weights=self.term_weights.take(at) * each, minlength=len(self.ids)) + middle[i].astype(np.float64)
+            bounds = np.repeat(by_block[i], BLOCK)[: len(sims)]
+            np.minimum(bounds, self.row_norm * norms[i], out=bounds)
+            bounds += sims
+            rows = np.argpartition(bounds, max(0, len(bounds) - FIRST))[-FIRST:]
+            near = sims[rows] + self.common[rows] @ dense[i]
+            floor = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else 0.0
+            bounds[rows] = -1.0
+            rest = np.flatnonzero((bounds > 0) & (bounds >= floor - SLACK))
+            if len(rest):
+                rows, near = np.concatenate([rows, rest]), np.concatenate([near, sims[rest] + self.common[rest] @ dense[i]])
+            looked = len(rows)
+            if looked > k:
+                rows = rows[near >= np.partition(near, looked - k)[looked - k] - SLACK]
+            whole[terms] = vectors[i]
+            found.append((self._best(rows, self._similarities(whole, rows), k), looked))
+            whole[terms] = 0.0
+        return found
 
     @staticmethod
     def _spans(first: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,10 +226,10 @@ class Index:
         size = first[terms + 1] - first[terms]
         return np.arange(size.sum()) + np.repeat(first[terms] - np.cumsum(size) + size, size), np.repeat(q, size)
 
-    def _common_part(self, dense: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """What the common terms add to the similarities of the examples ``rows``."""
-        at, number = self._spans(self.row_first, rows, np.arange(len(rows)))
-        return np.bincount(number, weights=dense[self.row_terms[at]] * self.row_weights[at], minlength=len(rows))
+    def _similarities(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The examples' exact similarities to the vector ``query``."""
+        at, number = self._spans(self.full_first, rows, np.arange(len(rows)))
+        return np.bincount(number, weights=query[self.full_terms[at]] * self.full_weights[at], minlength=len(rows))
 
     @staticmethod
     def _best(rows: np.ndarray, sims: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -327,11 +360,9 @@ def score(
     def run(batches):
         ix = shared.value
         for batch in batches:
-            near, looked = [], []
-            for terms, counts, others in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist()):
-                best, n = ix.search(terms.values.to_numpy(), counts.values.to_numpy(), k, others)
-                near.append(best)
-                looked.append(n)
+            queries = [(t.values.to_numpy(), c.values.to_numpy(), o) for t, c, o in zip(batch.column(1), batch.column(2), batch.column(3).to_pylist())]
+            results = [x for at in range(0, len(queries), BATCH) for x in ix.search(queries[at : at + BATCH], k)]
+            near, looked = [x for x, _ in results], [n for _, n in results]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

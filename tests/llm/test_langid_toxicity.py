@@ -60,9 +60,10 @@ def test_unlearned_languages_and_random_letters_are_rejected(spark):
     assert np.mean([r.rejected for r in found if r.doc_id < 10**9]) < 0.02
 
 
-@pytest.mark.parametrize("common", [0, 5, 12, 40])
-def test_block_max_search_is_exact(common, monkeypatch):
+@pytest.mark.parametrize("common, middle", [(0, 0), (0, 9), (5, 10), (5, 100), (12, 0), (40, 3)])
+def test_block_max_search_is_exact(common, middle, monkeypatch):
     monkeypatch.setattr(X, "COMMON", common)
+    monkeypatch.setattr(X, "MIDDLE", middle)
     rng = random.Random(3)
     terms = 40
     idf = np.array([rng.uniform(0.1, 5) for _ in range(terms)])
@@ -72,6 +73,7 @@ def test_block_max_search_is_exact(common, monkeypatch):
     for p, (t, c) in enumerate(rows):
         w = (1 + np.log(np.array(c, float))) * idf[list(t)]
         dense[p, list(t)] = w / np.sqrt((w**2).sum())
+    queries, wanted = [(np.zeros(0, dtype=np.int64), np.zeros(0), 0.0)], [[]]
     for _ in range(100):
         t = np.array(sorted(rng.sample(range(terms), rng.randint(1, 5))))
         c = np.array([rng.randint(1, 3) for _ in t], float)
@@ -79,7 +81,10 @@ def test_block_max_search_is_exact(common, monkeypatch):
         w = (1 + np.log(c)) * idf[t]
         sims = dense[:, t] @ (w / np.sqrt((w**2).sum() + 0.49 * others))
         want = sorted(((round(float(s), 9), p) for p, s in enumerate(sims) if s > 0), key=lambda x: (-x[0], x[1]))[:10]
-        got = index.nearest(t, c, 10, others)
+        queries.append((t, c, others))
+        wanted.append(want)
+        assert index.nearest(t, c, 10, others) == index.search(queries, 10)[-1][0]
+    for (got, _), want in zip(index.search(queries, 10), wanted):
         assert [round(s, 7) for s, _ in got] == [round(s, 7) for s, _ in want]
 
 
@@ -92,7 +97,7 @@ def test_bounds_leave_most_examples_alone():
         rows.append((t, [1] * len(t)))
     idf = np.array([0.3] * 30 + [5.0] * 500)
     index = X.Index.build(idf, list(range(2000)), [0] * 2000, rows)
-    looked = [index.search(np.array(t), np.array(c, float), 10)[1] for t, c in rows[::50]]
+    looked = [n for _, n in index.search([(np.array(t), np.array(c, float), 0.0) for t, c in rows[::50]], 10)]
     assert np.mean(looked) < 0.1 * len(rows)
 
 
