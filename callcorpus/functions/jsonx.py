@@ -12,17 +12,19 @@ so this module closes the gaps with native expressions:
                             key order kept, Python spacing, ``ensure_ascii`` escapes and
                             Python float repr.
 * ``canonical_at``       -- comparison text: keys sorted, ``1.0`` == ``1`` (C1).
+* ``object_fields``      -- fields of an object as comparison text, for what the VARIANT parser
+                            refuses or rounds: duplicate keys, ``NaN``/``Infinity``, long numbers.
+* ``equality_form``      -- comparison text in which values that Python calls equal are the same.
 
-Documented deviation (the VARIANT parser is stricter than Python): objects with
-duplicate keys and ``NaN``/``Infinity`` literals count as invalid. Python's ``==``
-between numbers and booleans is restored in ``operators.scoring``.
+Where a whole document is read as VARIANT (``parsed``, ``json_loads_ok``), duplicate keys and
+``NaN``/``Infinity`` count as invalid; ``operators.scoring`` falls back to ``object_fields``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import col_of, let
+from .text import JSON_WHITESPACE, col_of, let
 
 # One token of JSON-ish text: a (possibly unterminated) string, a backslash escape,
 # a bracket, or a run of anything else. DOTALL so an escaped newline stays an escape.
@@ -237,3 +239,160 @@ def canonical_at(c: Column | str, path: str = "$") -> Column:
     ``'null'`` for a JSON null, NULL when absent or unparseable.
     """
     return F.to_json(_variant_at(col_of(c), path))
+
+
+# ---------------------------------------------------------------------------
+# Python's json.loads and == beyond what VARIANT holds
+# ---------------------------------------------------------------------------
+
+# Tokens of JSON text; whatever is none (a lone quote, other characters) stays one that no parser accepts.
+_JSON_TOKEN_RE = r'(?s)"(?:[^"\\]|\\.)*+"|[{}\[\],:]|[^ \t\n\r{}\[\],:"]+|"'
+# Tokens of comparison text.
+_FORM_TOKEN_RE = r'(?s)"(?:[^"\\]|\\.)*+"|-?[0-9][0-9.eE+-]*|true|false|null|NaN|-?Infinity|[{}\[\],:]'
+# The literals beyond JSON that Python's json reads.
+_CONSTANTS = ("NaN", "Infinity", "-Infinity")
+#: Digits in a row from which VARIANT may have rounded a number or forgotten that it is a float, and exponents beyond doubles.
+LONG_NUMBER_RE = r"[0-9.]{16,}|[0-9][eE][+-]?[0-9]{3}"
+_LIMB = 10**9
+
+
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b))
+
+
+def _whole_digits(d: Column) -> Column:
+    """All decimal digits of a double of at least 2**63: a 61-bit integer times a power of two,
+    multiplied out in limbs of nine digits."""
+
+    def times(limbs, factor):
+        def step(acc, limb):
+            return let(limb * factor + acc["carry"], lambda x: F.struct(F.array_append(acc["out"], x % _LIMB).alias("out"), _div(x, _LIMB).alias("carry")))
+
+        zero = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+        return F.aggregate(limbs, zero, step, lambda acc: F.when(acc["carry"] > 0, F.array_append(acc["out"], acc["carry"])).otherwise(acc["out"]))
+
+    def scaled(k):
+        m = (d / F.pow(F.lit(2.0), k)).cast("bigint")
+        limbs = let(m, lambda x: F.array(x % _LIMB, _div(x, _LIMB) % _LIMB, _div(x, _LIMB * _LIMB)))
+        factors = F.concat(F.array_repeat(F.lit(1 << 29).cast("bigint"), _div(k, 29).cast("int")), F.array(F.pow(F.lit(2.0), k % 29).cast("bigint")))
+        return F.regexp_replace(F.array_join(F.transform(F.reverse(F.aggregate(factors, limbs, times)), lambda x: F.lpad(x.cast("string"), 9, "0")), ""), "^0+", "")
+
+    return let((F.floor(F.log2(d)) - 60).cast("int"), scaled)
+
+
+def number_form(tok: Column) -> Column:
+    """A JSON number in the form that is the same for numbers Python calls equal: integers exact
+    at any length, floats as the integer they equal or else as the double's text."""
+
+    def from_double(d):
+        size = F.abs(d)
+        return (
+            F.when(size == float("inf"), F.when(d > 0, "Infinity").otherwise("-Infinity"))
+            .when(size >= 2.0**63, F.concat(F.when(d < 0, "-").otherwise(""), _whole_digits(size)))
+            .when(d.cast("bigint").cast("double") == d, d.cast("bigint").cast("string"))
+            .otherwise(d.cast("string"))
+        )
+
+    return F.when(tok.isin(*_CONSTANTS), tok).when(tok == "-0", "0").when(tok.rlike("^-?[0-9]+$"), tok).otherwise(let(tok.try_cast("double"), from_double))
+
+
+def equality_form(canonical: Column) -> Column:
+    """Comparison text with every number and boolean in its ``number_form``: ``1``, ``1.0``,
+    ``1e0`` and ``true`` are the same, and so are ``1e16`` and ``10000000000000000``."""
+    def form(t):
+        return F.when(t == "true", "1").when(t == "false", "0").when(t.rlike("^[-0-9NI]"), number_form(t)).otherwise(t)
+
+    return F.array_join(F.transform(F.regexp_extract_all(canonical, F.lit(_FORM_TOKEN_RE), 0), form), "")
+
+
+def _is_key(toks: Column, t: Column, i: Column) -> Column:
+    return t.startswith('"') & F.coalesce(F.try_element_at(toks, i + 2) == ":", F.lit(False))
+
+
+def _loads(toks: Column) -> Column:
+    """Would ``json.loads`` read these tokens: a strict parse with every key made unlike all
+    others and 0 for the literals beyond JSON."""
+
+    def neutral(t, i):
+        return F.when(_is_key(toks, t, i), F.concat(F.substring(t, F.lit(1), F.length(t) - 1), F.lit("#"), i.cast("string"), F.lit('"'))).when(t.isin(*_CONSTANTS), "0").otherwise(t)
+
+    return F.try_parse_json(F.array_join(F.transform(toks, neutral), " ")).isNotNull()
+
+
+def _fold(toks: Column) -> Column:
+    """Fields of the object that the (valid) tokens spell, in source order:
+    array<struct<o, at, key, v>> with comparison texts ``v``. One pass with a stack of the open
+    containers; a closed object keeps the last field of each key, in VARIANT's key order."""
+    item = "struct<o:string,at:int,key:string,v:string>"
+
+    def event(t, i):
+        quoted = t.startswith('"')
+        kind = F.when(t == "{", "object").when(t == "[", "array").when(t.isin("}", "]"), "close").when(t.isin(",", ":"), "skip").when(_is_key(toks, t, i), "key").otherwise("value")
+
+        def read(v):
+            order = F.when(quoted, F.hex(F.encode(F.try_variant_get(v, "$", "string"), "UTF-16BE")))
+            return F.struct(kind.alias("kind"), F.when(quoted, F.to_json(v)).when(kind == "value", t).alias("text"), order.alias("o"))
+
+        return let(F.try_parse_json(F.when(quoted, t)), read)
+
+    def closed(frame):
+        def last(fields):
+            kept = F.filter(fields, lambda x, i: ~F.coalesce(F.try_element_at(fields, i + 2)["o"] == x["o"], F.lit(False)))
+            return F.concat(F.lit("{"), F.array_join(F.transform(kept, lambda x: F.concat(x["key"], F.lit(":"), x["v"])), ","), F.lit("}"))
+
+        values = F.concat(F.lit("["), F.array_join(F.transform(frame["items"], lambda x: x["v"]), ","), F.lit("]"))
+        return F.when(frame["object"], let(F.sort_array(frame["items"]), last)).otherwise(values)
+
+    def frame(o, key, is_object, items):
+        return F.struct(o.alias("o"), key.alias("key"), is_object.alias("object"), items.alias("items"))
+
+    nothing, empty = F.lit(None).cast("string"), F.array().cast(f"array<{item}>")
+
+    def step(stack, e):
+        """A key or a value changes the innermost open container; the outermost stays open."""
+        kind, depth = e["kind"], F.size(stack)
+        value = F.when(kind == "value", e["text"]).when((kind == "close") & (depth > 1), closed(F.element_at(stack, -1)))
+        left = depth - F.when((kind == "close") & (depth > 1), 1).otherwise(0)
+
+        def change(now):
+            top, v, is_key = now["top"], now["v"], kind == "key"
+            new = F.struct(top["o"].alias("o"), F.size(top["items"]).alias("at"), top["key"].alias("key"), v.alias("v"))
+            items = F.when(v.isNull(), top["items"]).otherwise(F.array_append(top["items"], new))
+            changed = frame(F.when(is_key, e["o"]).otherwise(top["o"]), F.when(is_key, e["text"]).otherwise(top["key"]), top["object"], items)
+            return F.concat(F.slice(stack, F.lit(1), now["left"] - 1), F.array(changed))
+
+        changed = let(F.struct(F.element_at(stack, left).alias("top"), value.alias("v"), left.alias("left")), change)
+        return F.when(kind.isin("object", "array"), F.array_append(stack, frame(nothing, nothing, kind == "object", empty))).otherwise(changed)
+
+    events = F.filter(F.transform(toks, event), lambda e: e["kind"] != "skip")
+    start = F.array().cast(f"array<struct<o:string,key:string,object:boolean,items:array<{item}>>>")
+    return F.aggregate(events, start, step, lambda stack: F.element_at(stack, 1)["items"])
+
+
+def object_fields(c: Column | str, *names: str, whole: bool = False) -> Column:
+    """The first ``{...}`` of free text as Python reads it: struct(text, empty, one comparison
+    text per name), NULL when there is none or ``json.loads`` fails. The last of equal keys
+    counts, ``NaN``/``Infinity`` are values, numbers stay as written (``equality_form`` unites
+    them). ``whole``: the object must be the entire text."""
+
+    def fields(toks):
+        def pick(items):
+            def last(name):
+                return F.try_element_at(F.filter(items, lambda x: x["key"] == f'"{name}"'), F.lit(-1))["v"].alias(name)
+
+            return F.struct(F.array_join(toks, "").alias("text"), (F.size(items) == 0).alias("empty"), *map(last, names))
+
+        return F.when(_loads(toks), let(_fold(toks), pick))
+
+    def cut(sub):
+        def found(end):
+            fits = end.isNotNull() & ((end == F.length(sub)) if whole else F.lit(True))
+            return F.when(fits, let(F.regexp_extract_all(F.substring(sub, F.lit(1), end), F.lit(_JSON_TOKEN_RE), 0), fields))
+
+        return let(_scan_end(sub, ("{",), ("}",)), found)
+
+    def start(text):
+        body = F.trim(text, F.lit(JSON_WHITESPACE)) if whole else F.substring(text, F.instr(text, "{"), F.lit(1 << 30))
+        return F.when(F.substring(text, F.lit(1), F.lit(1)) == "{" if whole else F.instr(text, "{") > 0, let(body, cut))
+
+    return let(F.trim(col_of(c), F.lit(JSON_WHITESPACE)) if whole else col_of(c), start)

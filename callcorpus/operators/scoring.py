@@ -11,9 +11,10 @@ scoreboard   one row per model: total and four counters, plus percentages (C2, C
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions import jsonx as J
 from ..functions.text import clean_model_name, col_of, keep_where, let, preview
@@ -41,40 +42,32 @@ def _normalised_variant(v: Column) -> Column:
     return let(v, build)
 
 
-# Tokens of canonical JSON text (VARIANT ``to_json``): strings, numbers, literals, punctuation.
-_CANON_TOKEN_RE = r'"(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|[{}\[\],:]'
-
-
-def _numeric_form(canon: Column) -> Column:
-    """Canonical text with every number and boolean rewritten through a double:
-    Python's ``==`` equates ``1``, ``1.0``, ``1e0`` and ``True`` (and ``0``/``False``).
-    NULL when an integer has more than 15 digits (a double would blur it) -- those
-    rows keep the exact comparison."""
-    toks = F.regexp_extract_all(canon, F.lit(_CANON_TOKEN_RE), 0)
-
-    def norm(t):
-        is_num = t.rlike(r"^-?[0-9]")
-        return (
-            F.when(is_num, t.cast("double").cast("string"))
-            .when(t == "true", F.lit("1.0"))
-            .when(t == "false", F.lit("0.0"))
-            .otherwise(t)
-        )
+def _python_eq(a: Column, b: Column, fields: tuple[str, ...]) -> Column:
+    """Python ``==`` of the fields of two normalised calls, given as comparison text (NULL =
+    None): only if some texts differ are all put into their equality form (lazy branch). ``NaN``
+    is unlike itself as a value, and the same within a container, where Python asks for
+    identity first."""
+    same = [a[f].eqNullSafe(b[f]) for f in fields]
+    texts = F.array(*[side[f] for side in (a, b) for f in fields])
+    forms = F.when(~reduce(and_, same), F.transform(texts, J.equality_form))
 
-    blurred = F.exists(toks, lambda t: t.rlike(r"^-?[0-9]{16,}$"))
-    return F.when(~blurred, F.array_join(F.transform(toks, norm), ""))
+    def verdicts(x):
+        return F.struct(*[
+            F.when(a[f] == "NaN", F.lit(False)).when(s, F.lit(True)).otherwise(F.coalesce(x[i] == x[i + len(fields)], F.lit(False))).alias(f)
+            for i, (f, s) in enumerate(zip(fields, same))
+        ])
 
+    return let(forms, verdicts)
 
-def _python_eq(a: Column, b: Column) -> Column:
-    """Python ``==`` of two normalised values given as canonical text (NULL = None):
-    exact text first; only differing texts take the numeric form (lazy branch)."""
-    na, nb = _numeric_form(a), _numeric_form(b)
-    return F.when(a.eqNullSafe(b), F.lit(True)).otherwise(F.coalesce(na.isNotNull() & (na == nb), F.lit(False)))
 
+def _normalised_fields(f: Column) -> Column:
+    """``_normalised_variant`` from ``jsonx.object_fields``; NULL stays NULL."""
+    def value(c, default):
+        return F.when(c.isNull(), F.lit(default)).when(c != "null", c)
 
-def _normalised(obj_text: Column) -> Column:
-    """``normalize_json`` of a JSON object text (one parse)."""
-    return _normalised_variant(F.try_parse_json(obj_text))
+    return F.when(f["empty"], F.struct(F.lit(None).cast("string").alias("fn"), F.lit(None).cast("string").alias("args"))).when(
+        f.isNotNull(), F.struct(value(f["function"], '""').alias("fn"), value(f["arguments"], "{}").alias("args"))
+    )
 
 
 EXPECTED_NORM = "_cc_expected_norm"
@@ -82,7 +75,12 @@ EXPECTED_NORM = "_cc_expected_norm"
 
 def normalised_expected(expected: Column) -> Column:
     """J9 of a golden call text: struct(fn, args) comparison text."""
-    return _normalised_variant(J.parsed(expected))
+    def norm(v):
+        doubtful = v.isNull() | expected.rlike(J.LONG_NUMBER_RE)
+        exactly = F.when(doubtful, J.object_fields(expected, "function", "arguments", whole=True))
+        return F.coalesce(let(exactly, _normalised_fields), _normalised_variant(v))
+
+    return let(J.parsed(expected), norm)
 
 
 def prepare_cases(cases: DataFrame, expected_col: str = "expected") -> DataFrame:
@@ -90,85 +88,35 @@ def prepare_cases(cases: DataFrame, expected_col: str = "expected") -> DataFrame
     return cases.withColumn(EXPECTED_NORM, normalised_expected(F.col(expected_col)))
 
 
-def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected", strict_python: bool = False) -> DataFrame:
+def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected") -> DataFrame:
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details).
 
-    ``strict_python=True`` re-decides the residue -- failed rows whose texts hold
-    exponents, booleans, NaN/Infinity, integers over 15 digits or an unparsed object
-    (duplicate keys) -- with
-    Python's own ``json`` and ``==`` (see ``_python_verdicts``); other rows never
-    reach Python.
+    Most texts are one VARIANT parse. Those that it refuses (perhaps for duplicate keys or
+    ``NaN``) or may round (long numbers) are read by ``jsonx.object_fields``.
     """
+    raw = F.col(raw_col)
     # J2 as one parse of the text from the first '{' (see jsonx.first_object_value)
-    with_pred = df.withColumn("_cc_first", J.first_object_value(F.col(raw_col)))
+    with_first = df.withColumn("_cc_first", J.first_object_value(raw))
+    doubtful = (F.col("_cc_first").isNull() & raw.rlike(r'^[^{]*\{[ \t\n\r]*"')) | raw.rlike(J.LONG_NUMBER_RE)
+    with_pred = with_first.withColumn("_cc_exactly", F.when(doubtful, J.object_fields(raw, "function", "arguments")))
     # the golden side may arrive normalised already (prepare_cases, once per case)
     exp_norm = F.col(EXPECTED_NORM) if EXPECTED_NORM in df.columns else normalised_expected(F.col(expected_col))
     # normalised sides as columns of their own, so each is parsed once per row
     staged = with_pred.select(
         "*",
-        F.col("_cc_first.text").alias("predicted"),
-        _normalised_variant(F.col("_cc_first.value")).alias("_cc_p"),
+        F.coalesce("_cc_exactly.text", "_cc_first.text").alias("predicted"),
+        F.coalesce(let(F.col("_cc_exactly"), _normalised_fields), _normalised_variant(F.col("_cc_first.value"))).alias("_cc_p"),
         exp_norm.alias("_cc_e"),
     )
-    fm = _python_eq(F.col("_cc_p.fn"), F.col("_cc_e.fn"))
-    am = _python_eq(F.col("_cc_p.args"), F.col("_cc_e.args"))
-    out = staged.select(
+    fm, am = F.col("_cc_same.fn"), F.col("_cc_same.args")
+    out = staged.withColumn("_cc_same", _python_eq(F.col("_cc_p"), F.col("_cc_e"), ("fn", "args"))).select(
         "*",
         (fm & am).alias("exact_match"),
         fm.alias("function_match"),
         am.alias("args_match"),
         F.col("predicted").isNotNull().alias("valid_json"),
     )
-    out = out.drop("_cc_p", "_cc_e", "_cc_first", *([EXPECTED_NORM] if EXPECTED_NORM in df.columns else []))
-    if not strict_python:
-        return out
-    raw, exp = F.col(raw_col), F.col(expected_col)
-    residue = ~F.col("exact_match") & (
-        raw.rlike(r"[0-9][eE][+-]?[0-9]|true|false|NaN|Infinity|[0-9]{16,}") | exp.rlike(r"[0-9][eE][+-]?[0-9]|true|false|[0-9]{16,}")
-        | (F.col("predicted").isNull() & (F.instr(raw, "{") > 0))
-    )
-    staged = out.select("*", _python_verdicts(F.when(residue, raw), F.when(residue, exp)).alias("_cc_py"))
-    cols = {c: F.coalesce(F.col(f"_cc_py.{c}"), F.col(c)).alias(c) for c in ("exact_match", "function_match", "args_match", "valid_json")}
-    return staged.select(*[cols.get(c, F.col(c)) for c in out.columns])
-
-
-_VERDICT_TYPE = StructType([StructField(n, BooleanType()) for n in ("exact_match", "function_match", "args_match", "valid_json")])
-
-
-@F.pandas_udf(_VERDICT_TYPE)
-def _python_verdicts(raw: pd.Series, expected: pd.Series) -> pd.DataFrame:
-    """C1 with Python's own json + ``==`` for the residue rows (NULL input -> NULL out).
-
-    The first object is decoded in place from the first ``{`` (``raw_decode``): for an
-    object that parses, that is the same object the brace scan isolates.
-    """
-    import json
-
-    dec = json.JSONDecoder()
-
-    def first(text):
-        i = text.find("{")
-        if i < 0:
-            return None
-        try:
-            obj, _ = dec.raw_decode(text, i)
-        except ValueError:
-            return None
-        return obj if isinstance(obj, dict) else None
-
-    def norm(obj):
-        return {} if not obj else {"function": obj.get("function", ""), "arguments": obj.get("arguments", {})}
-
-    rows = []
-    for r, e in zip(raw, expected):
-        if r is None or e is None:
-            rows.append((None, None, None, None))
-            continue
-        pred = first(r)
-        p, x = norm(pred), norm(json.loads(e))
-        fm, am = p.get("function") == x.get("function"), p.get("arguments") == x.get("arguments")
-        rows.append((fm and am, fm, am, pred is not None))
-    return pd.DataFrame(rows, columns=["exact_match", "function_match", "args_match", "valid_json"])
+    return out.drop("_cc_p", "_cc_e", "_cc_same", "_cc_first", "_cc_exactly", *([EXPECTED_NORM] if EXPECTED_NORM in df.columns else []))
 
 
 # ---------------------------------------------------------------------------

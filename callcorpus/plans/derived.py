@@ -60,6 +60,41 @@ def raw_output_for(kind: Column, et: Column, props: Column) -> Column:
     )
 
 
+# Planted arguments (prediction, golden) that JSON parsers often refuse or round; K stands for the
+# event's number. The oracle lists which pairs Python calls equal.
+PYTHON_JSON_ARGUMENTS = [
+    ('{"k": -1, "k": K}', '{"k": K}'),
+    ('{"k": K, "k": -1}', '{"k": K}'),
+    ('{"k": [{"a": {"b": 0}, "a": [K, true]}]}', '{"k": [{"a": [K.0, 1]}]}'),
+    ('{"\\u006b": K}', '{"k": "x", "k": Ke0}'),
+    ('{"k": NaN, "n": K}', '{"n": K, "k": NaN}'),
+    ("NaN", "NaN"),
+    ('{"k": K, "x": 1e400}', '{"k": K, "x": Infinity}'),
+    ('{"k": K, "x": -Infinity}', '{"k": K, "x": Infinity}'),
+    ('{"k": K, "x": 1e16}', '{"k": K, "x": 10000000000000000}'),
+    ('{"k": K, "x": 1e16}', '{"k": K, "x": 10000000000000001}'),
+    ('{"k": K, "x": 10000000000000001.0}', '{"k": K, "x": 10000000000000000}'),
+    ('{"k": K, "x": 1e23}', '{"k": K, "x": 99999999999999991611392}'),
+    ('{"k": K, "x": 1e23}', '{"k": K, "x": 100000000000000000000000}'),
+    ('{"k": K1234567890123456789012345678901234567890}', '{"k": K1234567890123456789012345678901234567890}'),
+    ('{"k": K1234567890123456789012345678901234567890}', '{"k": K1234567890123456789012345678901234567891}'),
+    ('{"k": K, "k": }', '{"k": K}'),
+]
+
+
+def python_json_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One prediction and golden call per event; kind = event_id % 16 plants the arguments."""
+    ev = table(spark, sf_dir, "events")
+    kind = (F.col("event_id") % len(PYTHON_JSON_ARGUMENTS)).cast("int")
+
+    def call(side: int) -> Column:
+        args = F.element_at(F.array(*[F.lit(pair[side]) for pair in PYTHON_JSON_ARGUMENTS]), kind + 1)
+        args = F.replace(args, F.lit("K"), F.concat(F.lit("1"), F.col("event_id").cast("string")))
+        return F.concat(F.lit('{"function": "'), F.col("event_type"), F.lit('", "arguments": '), args, F.lit("}"))
+
+    return ev.select(F.col("event_id").alias("example_id"), F.concat(F.lit("Call: "), call(0)).alias("raw_output"), call(1).alias("expected"))
+
+
 def model_runs(spark: SparkSession, sf_dir: str, failed: str | None = None) -> DataFrame:
     """The run table of the models that events name, one of them perhaps failed."""
     from ..operators import scoring

@@ -836,6 +836,20 @@ def eval_failed_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return board.join(listed, "model_name").select("model_name", "total", "exact_match", "valid_json", "missing")
 
 
+@register(
+    "eval_python_json",
+    """
+SELECT event_id AS example_id, event_id % 16 <> 15 AS valid_json, event_id % 16 <> 15 AS function_match,
+       event_id % 16 IN (0, 2, 3, 4, 6, 8, 10, 11, 13) AS args_match, event_id % 16 IN (0, 2, 3, 4, 6, 8, 10, 11, 13) AS exact_match
+FROM events
+""",
+)
+def eval_python_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # C1 + J2 on repeated keys, NaN, Infinity and numbers of any length
+    rows = scoring.score_rows(D.python_json_calls(spark, sf_dir))
+    return rows.select("example_id", "valid_json", "function_match", "args_match", "exact_match")
+
+
 def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

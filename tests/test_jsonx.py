@@ -22,6 +22,45 @@ def test_first_object_duplicate_keys_documented_deviation(spark):
     assert _one(spark, J.first_object, ['{"a":1,"a":2}']) == [None]
 
 
+def _spelled(rng, depth=0):
+    """JSON text with repeated keys, literals beyond JSON, and numbers spelled in several ways."""
+    kind = rng.randrange(7 if depth < 3 else 5)
+    if kind == 0:
+        return rng.choice(["0", "-0", "1", "1.0", "1e0", "10E-1", "true", "false", "0.0", "null", "0.1", "0.10", "1e-1", "5e-324"])
+    if kind == 1:
+        return rng.choice(["1e16", "10000000000000000", "1e22", "10000000000000000000000", "1e23", "99999999999999991611392", "9223372036854775807",
+                           "9223372036854775808", "9223372036854775807.0", "-9223372036854775808", "1e300", str(int(1e300)), "1.7976931348623157e308"])
+    if kind == 2:
+        return rng.choice(["NaN", "Infinity", "-Infinity", "1e999", "-1e999"])
+    if kind == 3:
+        return json.dumps(rng.choice(["", "a", "é", "q\"", "{", "NaN", "😀", "\n"]), ensure_ascii=rng.random() < 0.5)
+    if kind == 4:
+        return str(rng.randrange(-3, 3))
+    if kind == 5:
+        return "[" + ", ".join(_spelled(rng, depth + 1) for _ in range(rng.randrange(3))) + "]"
+    keys = rng.choices(['"a"', '"\\u0061"', '"a!"', '"b"', '"😀"', '"\\uffee"', '""'], k=rng.randrange(4))
+    return "{" + " , ".join(f"{k}:{_spelled(rng, depth + 1)}" for k in keys) + "}"
+
+
+def test_object_fields_are_equal_when_python_says_so(spark):
+    rng = random.Random(11)
+    pairs = [(_spelled(rng, 2), _spelled(rng, 2)) for _ in range(1500)] + [(t, t) for t in (_spelled(rng) for _ in range(150))]
+    df = spark.createDataFrame([(i, f'x {{"v": {a}}} }}', f' {{"v": {b}}}\n') for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    got = df.select("i", J.equality_form(J.object_fields("a", "v")["v"]).alias("x"), J.equality_form(J.object_fields("b", "v", whole=True)["v"]).alias("y")).orderBy("i").collect()
+    equal = 0
+    for (a, b), r in zip(pairs, got):
+        want = [json.loads(a)] == [json.loads(b)]  # within a container NaN is the same as itself
+        equal += want
+        assert (r.x is not None and r.x == r.y) == want, (a, b, r)
+    assert 150 < equal < 1000
+
+
+def test_object_fields_reject_what_python_rejects(spark):
+    broken = ['{"a": 1, "a": }', '{"a": NaN, }', "{NaN: 1}", '{"a": nan, "a": 1}', '{"a": 01, "a": 1}', '{"a" "a": 1}', '{"a": 1 "a": 1}', '{"a": "\n", "a": 1}', '{"a": +1}', "{'a': 1}", '{"a": [}', "{", "", "NaN"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(broken)], "i int, s string")
+    assert [s for s, r in zip(broken, df.select("i", J.object_fields("s", "a").alias("o")).orderBy("i").collect()) if r.o is not None] == []
+
+
 def _py_loads_ok(s):
     try:
         json.loads(s)
