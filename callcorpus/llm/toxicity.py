@@ -138,6 +138,7 @@ class Index:
     full_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
     stands_for: tuple[float, float] = (1.0, 1.0)
+    rows: tuple = ()  # the examples' terms and counts, one after the other, and each example's number of terms
 
     def vector(self, terms: np.ndarray, counts: np.ndarray, others: float = 0.0) -> np.ndarray:
         """Weights over the norm of the whole text; ``others`` as from ``Vocabulary.encode``."""
@@ -147,12 +148,28 @@ class Index:
     @staticmethod
     def build(idf, ids, labels, rows, prior=0.0, stands_for=(1.0, 1.0), other=0.0) -> "Index":
         """``rows`` holds (terms, counts) of every example."""
-        ix = Index(idf, ids, np.asarray(labels, dtype=np.float64), other, np.full(len(idf), -1), prior=prior, stands_for=stands_for)
+        flat = [np.concatenate([np.asarray(r[i], dtype=np.int32) for r in rows] or [np.zeros(0, dtype=np.int32)]) for i in (0, 1)]
+        ix = Index(idf, ids, np.asarray(labels, dtype=np.float64), other, prior=prior, stands_for=stands_for, rows=(*flat, np.array([len(t) for t, _ in rows], dtype=np.int64)))
+        ix._invert()
+        return ix
+
+    def __getstate__(self) -> dict:
+        """Only what the lists are made from is sent to the tasks."""
+        return {f: getattr(self, f) for f in ("idf", "ids", "labels", "other", "prior", "stands_for", "rows")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(**state)
+        self._invert()
+
+    def _invert(self) -> None:
+        ix, idf, ids = self, self.idf, self.ids
+        ix.place = np.full(len(idf), -1)
         if not len(ids):
-            return ix
-        terms = np.concatenate([np.asarray(t, dtype=np.int32) for t, _ in rows])
-        weights = np.concatenate([ix.vector(np.asarray(t, dtype=np.int32), np.asarray(c, dtype=np.float64)) for t, c in rows])
-        at = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t, _ in rows])
+            return
+        terms, counts, sizes = ix.rows
+        at = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        weights = (1 + np.log(counts)) * idf[terms]
+        weights /= np.sqrt(np.bincount(at, weights=weights**2, minlength=len(ids)))[at]
         ix.full_first, ix.full_terms, ix.full_weights = np.searchsorted(at, np.arange(len(ids) + 1)), terms, weights
         longest = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[: COMMON + MIDDLE]
         ix.place[longest] = np.arange(len(longest))
@@ -169,7 +186,6 @@ class Index:
         order = order[np.argsort(terms[order], kind="stable")]
         ix.term_rows, ix.term_weights = at[order].astype(np.int64), weights[order]
         ix.term_first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
-        return ix
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> list[tuple[float, int]]:
         """The ``k`` best (similarity, example) with similarity above 0, ties by example: exact."""

@@ -1,6 +1,7 @@
 """Learned operators: exact parts against brute force, the rest by held-out accuracy."""
 
 import os
+import pickle
 import random
 import zlib
 
@@ -84,6 +85,8 @@ def test_block_max_search_is_exact(common, middle, monkeypatch):
         queries.append((t, c, others))
         wanted.append(want)
         assert index.nearest(t, c, 10, others) == index.search(queries, 10)[-1][0]
+    sent = pickle.loads(pickle.dumps(index))
+    assert sent.search(queries, 10) == index.search(queries, 10)
     for (got, _), want in zip(index.search(queries, 10), wanted):
         assert [round(s, 7) for s, _ in got] == [round(s, 7) for s, _ in want]
 
