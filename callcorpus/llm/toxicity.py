@@ -49,11 +49,18 @@ FIRST = 32
 #: What a term keeps of its weight if it says nothing about the label.
 LEAST_WEIGHT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
+_ASCII_WORD = re.compile(r"[a-z]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters in lower case."""
+    text = text.lower()
+    return (_ASCII_WORD if text.isascii() else _WORD).findall(text)
 
 
 def term_counts(text: str) -> Counter:
     """Words (lower case) and ``stem*`` of the longer ones, with their counts."""
-    words = Counter(_WORD.findall(text.lower()))
+    words = Counter(words_of(text))
     stems: Counter = Counter()
     for w, n in words.items():
         if len(w) > STEM:
@@ -87,7 +94,7 @@ class Vocabulary:
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
         """(terms, counts) of the text's known terms in ascending order, and the sum of
         ``(1 + log count)**2`` over its other terms: the same as by ``term_counts``."""
-        words = Counter(_WORD.findall((text or "").lower()))
+        words = Counter(words_of(text or ""))
         found = np.array(list(map(self.at.__getitem__, words)), dtype=np.int64)
         counts = np.array(list(words.values()), dtype=np.int64)
         known = found >= 0
@@ -222,12 +229,12 @@ class Index:
             np.minimum(bounds, self.row_norm * norms[i], out=bounds)
             bounds += sims
             rows = np.argpartition(bounds, max(0, len(bounds) - FIRST))[-FIRST:]
-            near = sims[rows] + self.common[rows] @ dense[i]
+            near = sims[rows] + self.common.take(rows, axis=0) @ dense[i]
             floor = np.partition(near, len(near) - k)[len(near) - k] if len(near) >= k else 0.0
             bounds[rows] = -1.0
             rest = np.flatnonzero((bounds > 0) & (bounds >= floor - SLACK))
             if len(rest):
-                rows, near = np.concatenate([rows, rest]), np.concatenate([near, sims[rest] + self.common[rest] @ dense[i]])
+                rows, near = np.concatenate([rows, rest]), np.concatenate([near, sims[rest] + self.common.take(rest, axis=0) @ dense[i]])
             looked = len(rows)
             if looked > k:
                 rows = rows[near >= np.partition(near, looked - k)[looked - k] - SLACK]
@@ -245,7 +252,7 @@ class Index:
     def _similarities(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The examples' exact similarities to the vector ``query``."""
         at, number = self._spans(self.full_first, rows, np.arange(len(rows)))
-        return np.bincount(number, weights=query[self.full_terms[at]] * self.full_weights[at], minlength=len(rows))
+        return np.bincount(number, weights=query.take(self.full_terms.take(at)) * self.full_weights.take(at), minlength=len(rows))
 
     @staticmethod
     def _best(rows: np.ndarray, sims: np.ndarray, k: int) -> list[tuple[float, int]]:
