@@ -174,8 +174,16 @@ def ensure_group_limit(spark, k: int) -> None:
         spark.conf.set(key, str(k))
 
 
-#: Queries in one block of a product.
+#: Bytes of one block of vectors, and the queries of one product.
+BLOCK_BYTES = 1 << 21
 QUERY_BLOCK = 256
+#: Bytes of all queries up to which they are broadcast; the parts of the corpus if they are not.
+BROADCAST_BYTES = 1 << 20
+CORPUS_PARTS = 16
+
+
+def _block_rows(dim: int) -> int:
+    return max(BLOCK_BYTES // (8 * dim), 1)
 
 
 def _packed(batches):
@@ -187,21 +195,23 @@ def _packed(batches):
         whole = np.array([v is not None and all(x is not None for x in v) for v in column.to_pylist()]) if column.flatten().null_count else np.ones(len(column), dtype=bool)
         sizes = np.where(whole & ~np.isnan(sizes.astype(float)), sizes, 0).astype(np.int64)
         for dim in np.unique(sizes[sizes > 0]).tolist():
-            rows = np.flatnonzero(sizes == dim)
-            flat = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            block = flat.reshape(len(rows), dim)
-            sound = (block != 0).any(axis=1) & np.isfinite(block).all(axis=1)
-            if sound.any():
-                ids = batch.column(0).take(pa.array(rows[sound]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([dim], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([block[sound].tobytes()], pa.binary())],
-                    ["dim", "ids", "vectors"],
-                )
+            every = np.flatnonzero(sizes == dim)
+            for rows in np.split(every, range(_block_rows(dim), len(every), _block_rows(dim))):
+                flat = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                block = flat.reshape(len(rows), dim)
+                sound = (block != 0).any(axis=1) & np.isfinite(block).all(axis=1)
+                if sound.any():
+                    ids = batch.column(0).take(pa.array(rows[sound]))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([dim], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([block[sound].tobytes()], pa.binary())],
+                        ["dim", "ids", "vectors"],
+                    )
 
 
 def _scored(k: int):
-    """The best ``k`` rows of a block for each query of a block of queries, by one matrix
-    product; what may be among them is scored again, so that equal vectors score alike."""
+    """The best ``k`` rows of a block for each query of a block of queries, by matrix products
+    of ``QUERY_BLOCK`` queries; what may be among them is scored again, so that equal vectors
+    score alike."""
 
     def best(ids: list, rank: np.ndarray, rows: np.ndarray, norms: np.ndarray, query: np.ndarray, rough: np.ndarray):
         near = np.arange(len(ids))
@@ -212,19 +222,24 @@ def _scored(k: int):
 
     def run(batches):
         for batch in batches:
-            for dim, ids, vectors, asked, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = np.frombuffer(vectors).reshape(-1, dim)
-                queries = np.frombuffer(wanted).reshape(-1, dim)
+            kinds = batch.schema.field(3).type.value_type, batch.schema.field(1).type.value_type
+            for n in range(batch.num_rows):  # one pair of blocks at a time
+                dim, ids, vectors, asked, wanted = (c[n] for c in batch.columns)
+                dim, ids, asked = dim.as_py(), ids.as_py(), asked.as_py()
+                rows = np.frombuffer(vectors.as_buffer()).reshape(-1, dim)
+                every = np.frombuffer(wanted.as_buffer()).reshape(-1, dim)
                 norms = np.sqrt((rows * rows).sum(axis=1))
                 rank = np.empty(len(ids), dtype=np.int64)
                 rank[sorted(range(len(ids)), key=lambda i: ids[i])] = np.arange(len(ids))
-                rough = (rows / norms[:, None]) @ (queries / np.sqrt((queries * queries).sum(axis=1))[:, None]).T
-                found = [(q, ids[i], s) for j, q in enumerate(asked) for i, s in best(ids, rank, rows, norms, queries[j], rough[:, j])]
-                kinds = batch.schema.field(3).type.value_type, batch.schema.field(1).type.value_type
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], kinds[0]), pa.array([f[1] for f in found], kinds[1]), pa.array([f[2] for f in found], pa.float64())],
-                    ["query_id", "id", "score"],
-                )
+                unit = (rows / norms[:, None]).T
+                for at in range(0, len(asked), QUERY_BLOCK):
+                    queries = every[at : at + QUERY_BLOCK]
+                    rough = (queries / np.sqrt((queries * queries).sum(axis=1))[:, None]) @ unit
+                    found = [(q, ids[i], s) for j, q in enumerate(asked[at : at + QUERY_BLOCK]) for i, s in best(ids, rank, rows, norms, queries[j], rough[j])]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([f[0] for f in found], kinds[0]), pa.array([f[1] for f in found], kinds[1]), pa.array([f[2] for f in found], pa.float64())],
+                        ["query_id", "id", "score"],
+                    )
 
     return run
 
@@ -233,13 +248,13 @@ def vector_topk(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str
     """Per query, the corpus rows ranked ``rank_from .. k`` by cosine similarity
     (ties by id). Output ``(query_id, rank, <id>, score)``.
 
-    ``queries`` is a relation: its first column is the query's id, its second the vector. The
-    corpus is read once, in blocks of an Arrow batch; queries are gathered in blocks of about
-    ``QUERY_BLOCK``, and each corpus block meets each query block in an equi-join on the
-    block's number, which the planner broadcasts if the queries are few. A matrix product per
-    pair of blocks leaves ``k`` rows per query and batch; the partial lists are merged by rank,
-    after a partial limit in each task. Rows without an id, and vectors that are null or zero,
-    have no place in the ranks; a query meets rows of its own dimension only.
+    ``queries`` is a relation: its first column is the query's id, its second the vector. Both
+    sides are packed into blocks of about ``BLOCK_BYTES``. Few queries are broadcast to the
+    corpus blocks. Many never reach the driver: the corpus is dealt into ``CORPUS_PARTS`` parts,
+    and each block of queries meets each part in a sort-merge join, whose cells are what a task
+    holds. Matrix products of a pair of blocks leave ``k`` rows per query; the partial lists are
+    merged by rank, after a partial limit in each task. Rows without an id, and vectors that are
+    null or zero, have no place in the ranks; a query meets rows of its own dimension only.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, not {k}")
@@ -247,15 +262,19 @@ def vector_topk(corpus: DataFrame, queries: DataFrame, id_col: str, vec_col: str
     id_kind, q_kind = corpus.schema[id_col].dataType.simpleString(), queries.schema[qid].dataType.simpleString()
     asked = queries.select(F.col(qid).alias("query_id"), F.col(qvec).cast("array<double>").alias("v")).filter(F.size("v") > 0)
     sizes = asked.groupBy(F.size("v").alias("d")).count().collect()  # a row per dimension
-    blocks = F.coalesce(*[F.when(F.col("dim") == d, F.lit(-(-n // QUERY_BLOCK))) for d, n in sizes], F.lit(0))
+    few = sum(8 * d * n for d, n in sizes) <= BROADCAST_BYTES
+    parts = 1 if few else CORPUS_PARTS
+    blocks = F.coalesce(*[F.when(F.col("dim") == d, F.lit(-(-n // _block_rows(d)))) for d, n in sizes], F.lit(0))
     dealt = asked.withColumn("dim", F.size("v")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.greatest(blocks, F.lit(1))).cast("int"))
     asked = dealt.groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "v")).alias("q"))
     pack = f"dim int, block int, ids array<{q_kind}>, vectors binary"
     qblocks = asked.select("dim", "block", F.col("q.query_id").alias("ids"), F.col("q.v").alias("v")).mapInArrow(_packed_queries, pack)
     cblocks = corpus.select(id_col, F.col(vec_col).cast("array<double>")).filter(F.col(id_col).isNotNull()).mapInArrow(_packed, f"dim int, ids array<{id_kind}>, vectors binary")
-    spread = cblocks.withColumn("block", F.explode(F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))))
-    q = qblocks.select(F.col("dim").alias("qd"), F.col("block").alias("qb"), F.col("ids").alias("asked"), F.col("vectors").alias("wanted"))
-    pairs = spread.join(q, (F.col("dim") == F.col("qd")) & (F.col("block") == F.col("qb"))).select("dim", "ids", "vectors", "asked", "wanted")
+    cells = F.explode(F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>")))
+    spread = cblocks.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")).withColumn("block", cells)
+    q = qblocks.select(F.col("dim").alias("qd"), F.col("block").alias("qb"), F.col("ids").alias("asked"), F.col("vectors").alias("wanted"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("qp"))
+    q = F.broadcast(q) if few else q.hint("merge")
+    pairs = spread.join(q, (F.col("dim") == F.col("qd")) & (F.col("block") == F.col("qb")) & (F.col("part") == F.col("qp"))).select("dim", "ids", "vectors", "asked", "wanted")
     best = pairs.mapInArrow(_scored(k), f"query_id {q_kind}, id {id_kind}, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id"))
     ranked = best.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k)

@@ -44,6 +44,19 @@ def test_many_queries_agree_with_a_plain_comparison(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_a_large_query_table_is_not_broadcast(spark, monkeypatch):
+    rng = random.Random(2)
+    corpus, queries = vectors(rng, 500, 4) + [("d", [1.0, 2.0])], vectors(rng, 400, 4) + [("two", [2.0, 1.0])]
+    c = spark.createDataFrame(corpus, "i string, v array<double>").repartition(3)
+    q = spark.createDataFrame(queries, "q string, v array<double>")
+    monkeypatch.setattr(TB, "BROADCAST_BYTES", 1000)
+    monkeypatch.setattr(TB, "BLOCK_BYTES", 3200)  # several blocks on both sides
+    found = TB.vector_topk(c, q, "i", "v", 6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert result(found) == brute(corpus, queries, 6)
+
+
 def test_equal_vectors_are_ranked_by_id(spark):
     corpus = [(k, [0.1, 0.7, -0.3]) for k in range(500)]
     c = spark.createDataFrame(corpus, "i long, v array<float>").repartition(4)
