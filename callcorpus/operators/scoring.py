@@ -11,112 +11,98 @@ scoreboard   one row per model: total and four counters, plus percentages (C2, C
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+import json
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import jsonx as J
-from ..functions.text import clean_model_name, col_of, keep_where, let, preview
+from ..functions.text import clean_model_name, col_of, keep_where, preview
 
 
 # ---------------------------------------------------------------------------
-# J9 + C1: normalise and compare
+# J2 + J9 + C1: read, normalise and compare as Python does
 # ---------------------------------------------------------------------------
 
-def _normalised_variant(v: Column) -> Column:
-    """``normalize_json`` as comparison text from a parsed VARIANT: struct(fn, args).
+def _integer(text: str):
+    """An integer; one longer than ``int`` reads is its text, which equals no other number."""
+    return int(text) if len(text) <= 4_000 else ("integer", text)
+
+
+_DECODER, _LONG_DECODER = json.JSONDecoder(), json.JSONDecoder(parse_int=_integer)
+_MISSING = object()
 
-    A falsy call (NULL or ``{}``) normalises to an empty dict whose ``.get`` gives None
-    for both fields -> SQL NULL. A missing key takes the default (``""`` / ``{}``).
-    A JSON ``null`` value is Python None as well -> SQL NULL.
-    """
-    def build(v):
-        falsy = v.isNull() | (F.to_json(v) == "{}")
-        f = F.to_json(F.try_variant_get(v, "$.function", "variant"))
-        a = F.to_json(F.try_variant_get(v, "$.arguments", "variant"))
-        fn = F.when(falsy, F.lit(None)).when(f.isNull(), F.lit('""')).when(f == "null", F.lit(None)).otherwise(f)
-        args = F.when(falsy, F.lit(None)).when(a.isNull(), F.lit("{}")).when(a == "null", F.lit(None)).otherwise(a)
-        return F.struct(fn.cast("string").alias("fn"), args.cast("string").alias("args"))
-
-    return let(v, build)
-
-
-def _python_eq(a: Column, b: Column, fields: tuple[str, ...]) -> Column:
-    """Python ``==`` of the fields of two normalised calls, given as comparison text (NULL =
-    None): only if some texts differ are all put into their equality form (lazy branch). ``NaN``
-    is unlike itself as a value, and the same within a container, where Python asks for
-    identity first."""
-    same = [a[f].eqNullSafe(b[f]) for f in fields]
-    texts = F.array(*[side[f] for side in (a, b) for f in fields])
-    forms = F.when(~reduce(and_, same), F.transform(texts, J.equality_form))
-
-    def verdicts(x):
-        return F.struct(*[
-            F.when(a[f] == "NaN", F.lit(False)).when(s, F.lit(True)).otherwise(F.coalesce(x[i] == x[i + len(fields)], F.lit(False))).alias(f)
-            for i, (f, s) in enumerate(zip(fields, same))
-        ])
-
-    return let(forms, verdicts)
-
-
-def _normalised_fields(f: Column) -> Column:
-    """``_normalised_variant`` from ``jsonx.object_fields``; NULL stays NULL."""
-    def value(c, default):
-        return F.when(c.isNull(), F.lit(default)).when(c != "null", c)
-
-    return F.when(f["empty"], F.struct(F.lit(None).cast("string").alias("fn"), F.lit(None).cast("string").alias("args"))).when(
-        f.isNotNull(), F.struct(value(f["function"], '""').alias("fn"), value(f["arguments"], "{}").alias("args"))
-    )
 
+def _read(text: str | None, whole: bool):
+    """The JSON value of a text (``whole``), or the first ``{...}`` in it: where that is valid
+    JSON, the reference's brace scan ends where its first value ends."""
+    at = -1 if text is None else 0 if whole else text.find("{")
+    if at < 0:
+        return _MISSING
+    for decoder in (_DECODER, _LONG_DECODER):
+        try:
+            return decoder.decode(text) if whole else decoder.raw_decode(text, at)[0]
+        except (json.JSONDecodeError, RecursionError):
+            return _MISSING
+        except ValueError:  # an integer of more digits than ``int`` reads
+            continue
 
-EXPECTED_NORM = "_cc_expected_norm"
 
+def _normalised(call):
+    """No call and ``{}`` have neither field; a missing key takes its default."""
+    if call is _MISSING or call == {}:
+        return None, None
+    return (call.get("function", ""), call.get("arguments", {})) if isinstance(call, dict) else ("", {})
 
-def normalised_expected(expected: Column) -> Column:
-    """J9 of a golden call text: struct(fn, args) comparison text."""
-    def norm(v):
-        doubtful = v.isNull() | expected.rlike(J.LONG_NUMBER_RE)
-        exactly = F.when(doubtful, J.object_fields(expected, "function", "arguments", whole=True))
-        return F.coalesce(let(exactly, _normalised_fields), _normalised_variant(v))
 
-    return let(J.parsed(expected), norm)
+def _equal(a, b) -> bool:
+    try:
+        return a == b
+    except RecursionError:
+        return False
 
 
-def prepare_cases(cases: DataFrame, expected_col: str = "expected") -> DataFrame:
-    """Normalise each golden call once per case, before cases fan out to models."""
-    return cases.withColumn(EXPECTED_NORM, normalised_expected(F.col(expected_col)))
+def _verdict_rows(raw: pa.Array, expected: pa.Array) -> pa.Array:
+    rows = []
+    for r, e in zip(raw.to_pylist(), expected.to_pylist()):
+        call = _read(r, False)
+        (fn, args), (fn_e, args_e) = _normalised(call), _normalised(_read(e, True))
+        rows.append((call is not _MISSING, _equal(fn, fn_e), _equal(args, args_e)))
+    columns = zip(*rows) if rows else ((), (), ())
+    return pa.StructArray.from_arrays([pa.array(c, pa.bool_()) for c in columns], ["valid_json", "function_match", "args_match"])
+
+
+def verdicts(raw: Column, expected: Column) -> Column:
+    """J2 + J9 + C1 of an output and a golden call (JSON text): struct(valid_json,
+    function_match, args_match), by Python's ``json`` and ``==`` over Arrow batches."""
+    kind = T.StructType([T.StructField(f, T.BooleanType()) for f in ("valid_json", "function_match", "args_match")])
+    return F.arrow_udf(_verdict_rows, kind)(raw.cast("string"), expected.cast("string"))
 
 
 def score_rows(df: DataFrame, raw_col: str = "raw_output", expected_col: str = "expected") -> DataFrame:
     """Row-local J2 + C1: add ``predicted`` and the four verdict columns (C5 details).
 
-    Most texts are one VARIANT parse. Those that it refuses (perhaps for duplicate keys or
-    ``NaN``) or may round (long numbers) are read by ``jsonx.object_fields``.
+    ``predicted`` is the text of the call that was read, made by column expressions (nothing is
+    computed where it is not selected): mostly one VARIANT parse; texts that it refuses
+    (perhaps for duplicate keys or ``NaN``) or may round (long numbers) are read by
+    ``jsonx.object_fields``.
     """
     raw = F.col(raw_col)
     # J2 as one parse of the text from the first '{' (see jsonx.first_object_value)
-    with_first = df.withColumn("_cc_first", J.first_object_value(raw))
+    first = J.first_object_value(raw)
+    staged = df.select("*", first.alias("_cc_first"), verdicts(raw, F.col(expected_col)).alias("_cc_v"))
     doubtful = (F.col("_cc_first").isNull() & raw.rlike(r'^[^{]*\{[ \t\n\r]*"')) | raw.rlike(J.LONG_NUMBER_RE)
-    with_pred = with_first.withColumn("_cc_exactly", F.when(doubtful, J.object_fields(raw, "function", "arguments")))
-    # the golden side may arrive normalised already (prepare_cases, once per case)
-    exp_norm = F.col(EXPECTED_NORM) if EXPECTED_NORM in df.columns else normalised_expected(F.col(expected_col))
-    # normalised sides as columns of their own, so each is parsed once per row
-    staged = with_pred.select(
-        "*",
-        F.coalesce("_cc_exactly.text", "_cc_first.text").alias("predicted"),
-        F.coalesce(let(F.col("_cc_exactly"), _normalised_fields), _normalised_variant(F.col("_cc_first.value"))).alias("_cc_p"),
-        exp_norm.alias("_cc_e"),
-    )
-    fm, am = F.col("_cc_same.fn"), F.col("_cc_same.args")
-    out = staged.withColumn("_cc_same", _python_eq(F.col("_cc_p"), F.col("_cc_e"), ("fn", "args"))).select(
+    exactly = F.when(doubtful, J.object_fields(raw, "function", "arguments"))["text"]
+    fm, am = F.col("_cc_v.function_match"), F.col("_cc_v.args_match")
+    out = staged.select(
         "*",
+        F.coalesce(exactly, F.col("_cc_first.text")).alias("predicted"),
         (fm & am).alias("exact_match"),
         fm.alias("function_match"),
         am.alias("args_match"),
-        F.col("predicted").isNotNull().alias("valid_json"),
+        F.col("_cc_v.valid_json").alias("valid_json"),
     )
-    return out.drop("_cc_p", "_cc_e", "_cc_same", "_cc_first", "_cc_exactly", *([EXPECTED_NORM] if EXPECTED_NORM in df.columns else []))
+    return out.drop("_cc_first", "_cc_v")
 
 
 # ---------------------------------------------------------------------------
@@ -135,10 +121,9 @@ def run_table(models: DataFrame, status: DataFrame | None = None) -> DataFrame:
     return runs.join(told, "model_name", "left").select("model_name", F.when(F.col("_failed"), "failed").otherwise("ok").alias("status"))
 
 
-def _told(cases: DataFrame, predictions: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cases = prepare_cases(cases) if EXPECTED_NORM not in cases.columns else cases
+def _told(predictions: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ran = runs.filter(F.col("status") == "ok").select("model_name").distinct()
-    return cases, ran, predictions.select("model_name", "example_id", "raw_output").join(ran, "model_name", "left_semi")
+    return ran, predictions.select("model_name", "example_id", "raw_output").join(ran, "model_name", "left_semi")
 
 
 def pair_predictions(cases: DataFrame, predictions: DataFrame, runs: DataFrame) -> DataFrame:
@@ -150,7 +135,7 @@ def pair_predictions(cases: DataFrame, predictions: DataFrame, runs: DataFrame)
     for those are the missing pairs derived, by an anti-join. Case ids are unique, and so are
     predictions per model and case.
     """
-    cases, ran, told = _told(cases, predictions, runs)
+    ran, told = _told(predictions, runs)
     present = told.join(cases, "example_id")
     keys = told.select("model_name", "example_id").join(cases.select("example_id"), "example_id", "left_semi")
     have = keys.groupBy("model_name").agg(F.count(F.lit(1)).alias("n"))
@@ -167,12 +152,13 @@ def run_scoreboard(cases: DataFrame, predictions: DataFrame, runs: DataFrame, wi
     """``scoreboard(score_rows(pair_predictions(...)))`` by complement: a missing prediction has
     the same verdict whatever the model, so the missing pairs are never made. A model's counter
     is that of all cases without predictions plus what its predictions change."""
-    cases, ran, told = _told(cases, predictions, runs)
+    ran, told = _told(predictions, runs)
     marks = ("function_match", "args_match", "exact_match")
     # without a prediction both sides compare as None: a match where the golden call has none
-    fn, args = F.col(EXPECTED_NORM)["fn"].isNull(), F.col(EXPECTED_NORM)["args"].isNull()
+    cases = cases.withColumn("_none", verdicts(F.lit(None).cast("string"), F.col("expected")))
+    fn, args = F.col("_none.function_match"), F.col("_none.args_match")
     none = dict(zip(marks, (fn, args, fn & args)))
-    scored = score_rows(told.join(cases, "example_id").select("*", *[c.cast("int").alias(f"_no_{m}") for m, c in none.items()]))
+    scored = score_rows(told.join(cases.select("example_id", "expected", *[c.cast("int").alias(f"_no_{m}") for m, c in none.items()]), "example_id"))
     change = scored.groupBy("model_name").agg(F.count_if("valid_json").alias("valid_json"), *[F.sum(F.col(m).cast("int") - F.col(f"_no_{m}")).alias(f"_d_{m}") for m in marks])
     base = cases.agg(F.struct(F.count(F.lit(1)).alias("total"), *[F.count_if(c).alias(m) for m, c in none.items()]).alias("b")).scalar()
     both = ran.join(change, "model_name", "left").withColumn("_b", base)

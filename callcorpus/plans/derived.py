@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of one task where every row is read or written as JSON several times.
+TASK_ROWS = 20_000
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/events.parquet", task_rows=TASK_ROWS)
+
+
 def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k")
 
@@ -32,7 +40,7 @@ def _k(props: Column) -> Column:
 
 def eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Golden cases: one per event; expected = {"function": event_type, "arguments": props}."""
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir)
     return ev.select(
         F.col("event_id").alias("example_id"),
         F.concat(F.lit("record a "), F.col("event_type"), F.lit(" event")).alias("command"),
@@ -84,7 +92,7 @@ PYTHON_JSON_ARGUMENTS = [
 
 def python_json_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One prediction and golden call per event; kind = event_id % 16 plants the arguments."""
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir)
     kind = (F.col("event_id") % len(PYTHON_JSON_ARGUMENTS)).cast("int")
 
     def call(side: int) -> Column:
@@ -105,7 +113,7 @@ def model_runs(spark: SparkSession, sf_dir: str, failed: str | None = None) -> D
 
 def eval_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of every model for every case: kind = (event_id + model) % 12."""
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir)
     m = F.explode(F.array(*[F.lit(i) for i in range(len(MODEL_NAMES))])).alias("_m")
     per_model = ev.select("event_id", "event_type", "props", m)
     kind = (F.col("event_id") + F.col("_m")) % N_PRED_KINDS
@@ -127,7 +135,7 @@ N_XLAM_KINDS = 13
 def xlam_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw call rows ``(id, query, tools, answers)``; kind = event_id % 13 plants the
     formatter's edge cases (see the oracle for the expected text or reject)."""
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir)
     et, props, k = F.col("event_type"), F.col("props"), _k(F.col("props"))
     kind = F.col("event_id") % N_XLAM_KINDS
     desc = F.concat(F.lit("Record one "), et, F.lit(" event"))
@@ -254,7 +262,7 @@ N_CALL_KINDS = 9
 def planted_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(call_id, call_json)``: one call per event; kind = event_id % 9 plants one
     violation class each (0 = valid)."""
-    ev = table(spark, sf_dir, "events")
+    ev = _events(spark, sf_dir)
     et, k = F.col("event_type"), _k(F.col("props"))
     kind = F.col("event_id") % N_CALL_KINDS
     fn = F.concat(F.lit('{"function": "'), et, F.lit('"'))
@@ -306,7 +314,7 @@ def device_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def device_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A call per event, alternately of each device; its arguments go by ``event_id % 9``."""
-    e = table(spark, sf_dir, "events").select("event_id", "event_type")
+    e = _events(spark, sf_dir).select("event_id", "event_type")
     arguments = [
         '{"k": 5, "place": {"lat": 1.5}}', '{"k": "5"}', '{"k": 61, "place": {"lat": 1, "label": 7}}', '{"place": {"label": "x", "far": 1}}',
         '{"place": {"lat": 2}, "tags": [{"name": "a"}, {"name": 1}, {"name": 2}, {}]}', '{"place": {"lat": 2}, "tags": ["a", {"name": "b", "n": 1}]}',

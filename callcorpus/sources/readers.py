@@ -25,9 +25,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, path: str, spread_small: bool = True) -> DataFrame:
-    """Parquet table scan (column pruning and filters push into the scan)."""
+def read_table(spark: SparkSession, path: str, spread_small: bool = True, task_rows: int | None = None) -> DataFrame:
+    """Parquet table scan (column pruning and filters push into the scan). ``task_rows``: rows
+    of one task at most (about), for work that costs much more per row than the scan; they are
+    counted from the files' footers, so that tasks grow in number and not in length."""
     df = spark.read.parquet(path)
+    if task_rows:
+        return spread(df, max(spark.sparkContext.defaultParallelism, -(-df.count() // task_rows)))
     return spread(df) if spread_small else df
 
 
