@@ -15,6 +15,11 @@ Two or three rounds do for any table. When at most ``SMALL`` rows are left, they
 Only key columns are read, nothing is written or checkpointed, and every pass is a plain
 aggregate: a lost executor costs its tasks only.
 
+Before that, ``located`` narrows a large table column by column with the columns as they are:
+a column of few values by counting them, a number of many values by approximate quantiles whose
+exact ranks are then counted. Texts are made, and compared, only for the rows in that span. A
+page near the beginning is one bounded sort.
+
 ``cut`` makes the first k rows of it, exactly: where rows share the k-th key, they are selected
 by a digest of all their columns, and rows that are equal in every column are interchangeable
 and given out by number.
@@ -39,6 +44,12 @@ SMALL = 20_000
 WIDTH = 3
 #: Rows that one task ranks when every row is numbered.
 RANGE_ROWS = 1_000_000
+#: Rows up to which a page is cut by one sort that keeps as many rows per task.
+SHALLOW = 1_000
+#: Values of a column up to which each is counted by itself.
+VALUES = 50_000
+#: Share of the rows on either side of a quantile that is read as text.
+MARGIN = 0.002
 
 _HEX, _XEH = "0123456789ABCDEF", "FEDCBA9876543210"
 
@@ -233,38 +244,128 @@ def kth(keys: DataFrame, k: int) -> Kth:
     return kths(keys, [k])[k]
 
 
+def _native(k: Key, kind: T.DataType) -> Column:
+    """An order column as Spark compares it and as Python can hold it exactly."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(k.expr).cast("long")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(k.expr)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), k.expr)
+    return k.expr
+
+
+def _sorts(k: Key) -> Column:
+    first = (not k.desc) if k.nulls_first is None else k.nulls_first
+    if k.desc:
+        return k.expr.desc_nulls_first() if first else k.expr.desc_nulls_last()
+    return k.expr.asc_nulls_first() if first else k.expr.asc_nulls_last()
+
+
+@dataclass(frozen=True)
+class Span:
+    """Neighbouring rows of an order: ``before`` tells the rows ahead of it, ``inside`` its own;
+    both are never null. ``found``: the k-th rows that lie in it."""
+
+    before: Column
+    inside: Column
+    found: dict[int, Kth]
+
+
+def located(df: DataFrame, order_by: Sequence[Key | Column | str], wanted: Sequence[int | Callable[[int], int]]) -> list[Span]:
+    """``kths`` of the order's keys, and for each the span of rows to which the text need be made."""
+    keys = keys_of(order_by)
+    kinds = [df.select(k.expr.alias("k")).schema["k"].dataType for k in keys]
+    key = order_key(df, order_by)
+    no, yes = F.lit(False), F.lit(True)
+
+    def span(before: Column, inside: Column, skipped: int, ks: Sequence) -> Span:
+        found = kths(df.filter(inside).select(key.alias("k")), [k if callable(k) else k - skipped for k in ks])
+        return Span(before, inside, {k + skipped: Kth(f.key, f.below + skipped, f.ties) for k, f in found.items()})
+
+    n = df.count()
+    ks = sorted({k for k in (w(n) if callable(w) else w for w in wanted) if k > 0})
+    spans = [Span(no, yes, {k: Kth(None, n, 0)}) for k in ks if k > n]
+    todo = [(0, no, yes, 0, n, [k for k in ks if k <= n])]
+    while todo:
+        j, before, inside, skipped, n, ks = todo.pop()
+        if not ks:
+            continue
+        if n <= SMALL or j == len(keys):
+            spans.append(span(before, inside, skipped, ks))
+            continue
+        k, x = keys[j], _native(keys[j], kinds[j])
+        nulls_first = (not k.desc) if k.nulls_first is None else k.nulls_first
+        rows = df.filter(inside).select(x.alias("x"))
+
+        def ahead(v, x=x, k=k, nulls_first=nulls_first) -> Column:
+            if v is None:
+                return no if nulls_first else x.isNotNull()
+            return F.coalesce(x > F.lit(v) if k.desc else x < F.lit(v), F.lit(nulls_first))
+
+        if rows.agg(F.approx_count_distinct("x")).first()[0] <= VALUES:
+            at, order = skipped, _sorts(Key("x", k.desc, k.nulls_first))
+            for v, size in rows.groupBy("x").count().orderBy(order).collect():
+                here = [q for q in ks if at < q <= at + size]
+                if here:
+                    same = x.isNull() if v is None else F.coalesce(x == F.lit(v), no)
+                    todo.append((j + 1, before | (inside & ahead(v)), inside & same, at, size, here))
+                at += size
+            continue
+        numbers = F.when(~F.isnan("x"), F.col("x")) if isinstance(kinds[j], (T.FloatType, T.DoubleType)) else F.col("x")
+        if not isinstance(kinds[j], (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+            spans.append(span(before, inside, skipped, ks))
+            continue
+        head = rows.agg(F.count_if(F.lit(nulls_first) & F.col("x").isNull()).alias("nulls"), F.count(numbers).alias("n")).first()
+        for q in ks:
+            rank = (q - skipped - head["nulls"]) / max(head["n"], 1)
+            rank = 1 - rank if k.desc else rank
+            share = [min(max(rank + m, 0.0), 1.0) for m in (-MARGIN, MARGIN)]
+            lo, hi = rows.agg(F.percentile_approx(numbers, share, 10_000)).first()[0]
+            first, last = (hi, lo) if k.desc else (lo, hi)
+            between = F.coalesce((x >= F.lit(lo)) & (x <= F.lit(hi)), no)
+            sizes = df.filter(inside).agg(F.count_if(ahead(first)).alias("ahead"), F.count_if(between).alias("here")).first()
+            at = skipped + sizes["ahead"]
+            if at < q <= at + sizes["here"]:
+                spans.append(span(before | (inside & ahead(first)), inside & between, at, [q]))
+            else:  # among the nulls or NaN, or the quantile was off
+                spans.append(span(before, inside, skipped, [q]))
+    return spans
+
+
 class Cut:
     """The first ``k`` rows of ``df`` in an order (all of them if ``k`` is beyond the last;
     ``k`` may be a function of the row count): ``inside()``, ``marked()``."""
 
-    def __init__(self, df: DataFrame, order_by: Sequence[Key | Column | str], k: int | Callable[[int], int], found: Kth | None = None):
+    def __init__(self, df: DataFrame, order_by: Sequence[Key | Column | str], k: int | Callable[[int], int], within: Span | None = None):
         self.df = df
-        self.key = order_key(df, order_by)
+        key = order_key(df, order_by)
         self.copies = self.rest = 0  # of rows equal in every column: how many are inside, how many are not
         self.same, self.bound = F.lit(False), F.lit(True)
-        if found is None:
-            made = kths(df.select(self.key.alias("k")), [k])
-            if not made:  # no row is inside
-                self.cond = F.lit(False)
-                return
-            (k, found), = made.items()
+        made = [within] if within else located(df, order_by, [k])
+        if not made:  # no row is inside
+            self.cond = F.lit(False)
+            return
+        within = made[0]
+        k, found = max(within.found.items()) if callable(k) else (k, within.found[k])
         self.k = k
         if found.key is None:
             self.cond = F.lit(True)
             return
         self.bound = first_bound(df, order_by, found.key, True)
         if found.below + found.ties == self.k:
-            self.cond = self.key <= F.lit(found.key)
+            self.cond = within.before | (within.inside & (key <= F.lit(found.key)))
             return
-        tie = self.key == F.lit(found.key)
+        tie = within.inside & (key == F.lit(found.key))
+        less = within.before | (within.inside & (key < F.lit(found.key)))
         digest = row_digest(df)
         split = kth(df.filter(tie).select(digest.alias("k")), self.k - found.below)
-        self.cond = (self.key < F.lit(found.key)) | (tie & (digest <= F.lit(split.key)))
+        self.cond = less | (tie & (digest <= F.lit(split.key)))
         self.copies = self.k - found.below - split.below
         self.rest = split.ties - self.copies
         if self.rest:  # the k-th row lies among rows equal in every column
             self.same = tie & (digest == F.lit(split.key))
-            self.cond = (self.key < F.lit(found.key)) | (tie & (digest < F.lit(split.key)))
+            self.cond = less | (tie & (digest < F.lit(split.key)))
 
     def _equal(self, n: int) -> DataFrame:
         """``n`` of the equal rows."""
@@ -294,8 +395,11 @@ def page(df: DataFrame, order_by: Sequence[Key | Column | str], offset: int, lim
     offset, limit = max(int(offset or 0), 0), max(int(limit), 0)
     if not limit:
         return df.limit(0)
-    found = kths(df.select(order_key(df, order_by).alias("k")), [offset + 1, offset + limit] if offset else [limit])
-    first = found[offset + 1] if offset else None
+    if offset + limit <= SHALLOW:
+        order_key(df, order_by)  # refuses what has no order
+        return df.orderBy(*map(_sorts, keys_of(order_by)), row_digest(df)).limit(offset + limit).offset(offset)
+    found = {k: s for s in located(df, order_by, [offset + 1, offset + limit] if offset else [limit]) for k in s.found}
+    first = found[offset + 1].found[offset + 1] if offset else None
     if first and first.key is None:
         return df.limit(0)
     rows = Cut(df, order_by, offset + limit, found[offset + limit]).inside()

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
 
-from ..functions.text import broadcast_if_small
+from ..functions.text import broadcast_if_small, let
 from .selection import Key, desc, page
 
 # Limits declared by the catalog (default, maximum).
@@ -48,8 +49,6 @@ def _ts(value: str | None) -> Column | None:
 def _instant(df: DataFrame, col: str) -> Column:
     """A date column as a naive UTC time: ISO text (with or without offset) and TIMESTAMP
     are instants, TIMESTAMP_NTZ is read as UTC (and stays pushable into the scan)."""
-    from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
-
     kind, c = df.schema[col].dataType, F.col(col)
     if isinstance(kind, TimestampNTZType):
         return c
@@ -72,11 +71,15 @@ def _limit(limit: int | None, default_max: tuple[int, int]) -> int:
 
 def date_range(df: DataFrame, col: str, start: str | None, end: str | None) -> DataFrame:
     """``start <= col <= end`` for the given bounds (pushed into the scan)."""
-    c = _instant(df, col)
+    c, bounds = _instant(df, col), []
     if start is not None:
-        df = df.filter(c >= _ts(start))
+        bounds.append(lambda x: x >= _ts(start))
     if end is not None:
-        df = df.filter(c <= _ts(end))
+        bounds.append(lambda x: x <= _ts(end))
+    if len(bounds) == 2 and isinstance(df.schema[col].dataType, StringType):  # read each text once
+        return df.filter(let(c, lambda x: bounds[0](x) & bounds[1](x)))
+    for bound in bounds:
+        df = df.filter(bound(c))
     return df
 
 
@@ -92,12 +95,13 @@ def conversations_query(
 ) -> DataFrame:
     """R2 ``get_conversations``: date range, comma-separated statuses, discarded flag,
     newest first, limit (default 20, max 5000) and offset."""
-    out = date_range(df, created_col, start_date, end_date)
+    out = df
     if statuses:
         wanted = [s.strip() for s in statuses.split(",") if s.strip()]
         out = out.filter(F.col(status_col).isin(wanted))
     if discarded_col is not None and not include_discarded:
         out = out.filter(~F.coalesce(F.col(discarded_col), F.lit(False)))
+    out = date_range(out, created_col, start_date, end_date)  # last: dates as text are dear
     return paged_query(out, [desc(_instant(out, created_col)), id_col], _limit(limit, CONVERSATION_LIMIT), offset)
 
 
