@@ -316,9 +316,21 @@ def located(df: DataFrame, order_by: Sequence[Key | Column | str], wanted: Seque
         if not isinstance(kinds[j], (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
             spans.append(span(before, inside, skipped, ks))
             continue
-        head = rows.agg(F.count_if(F.lit(nulls_first) & F.col("x").isNull()).alias("nulls"), F.count(numbers).alias("n")).first()
-        for q in ks:
-            rank = (q - skipped - head["nulls"]) / max(head["n"], 1)
+        nan = F.isnan("x") if isinstance(kinds[j], (T.FloatType, T.DoubleType)) else no
+        head = rows.agg(F.count_if(F.col("x").isNull()).alias("nulls"), F.count_if(nan).alias("nans"), F.count(numbers).alias("n")).first()
+        groups = [("number", head["n"]), (float("nan"), head["nans"])]
+        groups = groups[::-1] if k.desc else groups
+        groups = [(None, head["nulls"]), *groups] if nulls_first else [*groups, (None, head["nulls"])]
+        at, asked = skipped, []
+        for v, size in groups:
+            here = [q for q in ks if at < q <= at + size]
+            if v == "number":
+                asked = [(q, (q - at) / size) for q in here]
+            elif here:
+                same = x.isNull() if v is None else F.coalesce(x == F.lit(v), no)
+                todo.append((j + 1, before | (inside & ahead(v)), inside & same, at, size, here))
+            at += size
+        for q, rank in asked:
             rank = 1 - rank if k.desc else rank
             share = [min(max(rank + m, 0.0), 1.0) for m in (-MARGIN, MARGIN)]
             lo, hi = rows.agg(F.percentile_approx(numbers, share, 10_000)).first()[0]
@@ -328,7 +340,7 @@ def located(df: DataFrame, order_by: Sequence[Key | Column | str], wanted: Seque
             at = skipped + sizes["ahead"]
             if at < q <= at + sizes["here"]:
                 spans.append(span(before | (inside & ahead(first)), inside & between, at, [q]))
-            else:  # among the nulls or NaN, or the quantile was off
+            else:  # the quantile was off
                 spans.append(span(before, inside, skipped, [q]))
     return spans
 

@@ -118,3 +118,20 @@ def test_scans_are_narrowed(spark, tmp_path):
 def test_descending_column_is_refused(spark):
     with pytest.raises(TypeError):
         SEL.page(table(spark, 5), [F.col("id").desc()], 0, 1)
+
+
+def test_texts_are_made_for_a_span_only(spark, monkeypatch):
+    """Many values, nulls and NaN: the span of each k-th row is small and its place exact."""
+    monkeypatch.setattr(SEL, "SMALL", 50)
+    monkeypatch.setattr(SEL, "VALUES", 20)
+    rng = random.Random(3)
+    df = spark.createDataFrame([(rng.choice([None, float("nan"), *[float(rng.randrange(2000))] * 5]), i) for i in range(3000)], "x double, id long").repartition(4).cache()
+    for order in (["x", "id"], [SEL.desc("x"), SEL.desc("id")]):
+        rows = [r.id for r in df.orderBy(*[F.col(k) if isinstance(k, str) else F.col(k.col).desc() for k in order]).collect()]
+        spans = SEL.located(df, order, [5, 1500, 2990])
+        for s in spans:
+            (k, found), = s.found.items()
+            inside = df.filter(s.inside).count()
+            assert inside < 100 and df.filter(s.before).count() <= found.below < k <= found.below + found.ties
+            assert rows[k - 1] in [r.id for r in df.filter(s.inside).collect()]
+        assert len(spans) == 3
