@@ -261,3 +261,11 @@ def test_read_eval_cases_strips_lines(spark):
     p = _write(os.path.join(d, "c.jsonl"), '\u3000 {"command": "a", "expected_output": {"function": "f", "arguments": {}}}  \n')
     rows = readers.read_eval_cases(spark, p).collect()
     assert [r.command for r in rows] == ["a"]
+
+
+def test_tasks_grow_in_number_with_the_rows(spark, tmp_path):
+    from callcorpus.sources.readers import read_table
+
+    spark.range(5000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = read_table(spark, str(tmp_path / "t"), task_rows=100)
+    assert table.rdd.getNumPartitions() == 50 and table.count() == 5000
