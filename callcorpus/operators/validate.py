@@ -8,8 +8,8 @@ default), so its required parameters are also reported missing.
 Plan: one pass over the calls. Catalog and call are both flattened to paths. Each call is
 left-joined on device and function name with the tool's signature row (declared paths and
 required properties); every check is then a row-local expression and the violations are
-exploded. The planner broadcasts a
-small signature side by its size; a larger catalog takes a shuffle join, where AQE
+exploded. A signature side of up to 100,000 tools (counted) is broadcast, so the calls stay in
+their tasks; a larger catalog takes a shuffle join, where AQE
 splits the partition of a function that holds a third of all calls.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import jsonx as J
+from ..functions.text import broadcast_if_small, let
 from .catalog import path_name, shown_path
 
 # JSON-schema type name -> accepted VARIANT kinds.
@@ -87,20 +88,26 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
     ``param`` of a nested value is its path (``place.lat``, ``tags[].name``); a violation
     that several items of an array share is one row.
     """
-    sigs = tool_signatures(params, tools, device_col is not None)
+    # counted, then broadcast: few tools would else draw all calls into few tasks
+    sigs = broadcast_if_small(tool_signatures(params, tools, device_col is not None))
     depth = _paths(params).agg(F.max("depth")).first()[0] or 1
-    v = J.parsed(F.col(call_col))
-    keys = F.json_object_keys(F.col(call_col))
+    # what is read several times is a column of its own, computed once
     base = calls.select(
         F.col(id_col).alias("_id"),
-        F.col(call_col).alias("_call"),
         (F.col(device_col).cast("string") if device_col else F.lit(None).cast("string")).alias("_dev"),
-        F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)).alias("is_obj"),
-        F.coalesce(F.array_contains(keys, "function"), F.lit(False)).alias("has_fn"),
-        F.coalesce(F.array_contains(keys, "arguments"), F.lit(False)).alias("has_args"),
-        F.try_variant_get(v, "$.function", "string").alias("_fn"),
-        _flattened(F.try_variant_get(v, "$.arguments", "variant"), depth).alias("vals"),
+        J.parsed(F.col(call_col)).alias("_v"),
+        F.json_object_keys(F.col(call_col)).alias("_keys"),
     )
+    base = base.select(
+        "_id",
+        "_dev",
+        (F.col("_v").isNotNull() & F.col("_keys").isNotNull()).alias("is_obj"),
+        F.coalesce(F.array_contains("_keys", "function"), F.lit(False)).alias("has_fn"),
+        F.coalesce(F.array_contains("_keys", "arguments"), F.lit(False)).alias("has_args"),
+        F.try_variant_get("_v", "$.function", "string").alias("_fn"),
+        F.try_variant_get("_v", "$.arguments", "variant").alias("_args"),
+    )
+    base = _flattened(base, "_args", depth)
     same = F.col("_fn") == F.col("fn")
     if device_col:
         same = same & F.col("_dev").eqNullSafe(F.col("device"))
@@ -111,16 +118,19 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
         return F.when(cond, F.struct(F.lit(name).alias("violation"), F.lit(None).cast("string").alias("param")))
 
     def value_issue(x):
-        spec = F.element_at(F.col("pmap"), x["path"])
-        kind = F.schema_of_variant(x["value"])
-        name = (
-            F.when(spec.isNull() & ~x["item"] & F.element_at(F.col("req"), x["parent"]).isNotNull(), F.lit("unknown_param"))
-            .when(spec.isNull() & ~x["item"] & (x["parent"] == ""), F.lit("unknown_param"))
-            .when(spec.isNull(), F.lit(None))
-            .when(~_type_ok_expr(spec["type"], kind), F.lit("wrong_type"))
-            .when(spec["maximum"].isNotNull() & (F.try_variant_get(x["value"], "$", "double") > spec["maximum"]), F.lit("over_maximum"))
-        )
-        return F.when(name.isNotNull(), F.struct(name.alias("violation"), shown_path(x["path"]).alias("param")))
+        kind = F.when(x["has"].isNotNull(), F.lit("OBJECT")).otherwise(F.schema_of_variant(x["value"]))
+
+        def judged(spec):
+            return (
+                F.when(spec.isNull() & ~x["item"] & F.element_at(F.col("req"), x["parent"]).isNotNull(), F.lit("unknown_param"))
+                .when(spec.isNull() & ~x["item"] & (x["parent"] == ""), F.lit("unknown_param"))
+                .when(spec.isNull(), F.lit(None))
+                .when(~let(kind, lambda k: _type_ok_expr(spec["type"], k)), F.lit("wrong_type"))
+                .when(spec["maximum"].isNotNull() & (F.try_variant_get(x["value"], "$", "double") > spec["maximum"]), F.lit("over_maximum"))
+            )
+
+        name = let(F.element_at(F.col("pmap"), x["path"]), judged)
+        return let(name, lambda n: F.when(n.isNotNull(), F.struct(n.alias("violation"), shown_path(x["path"]).alias("param"))))
 
     def missing(x):  # required properties that an object (or the arguments) lacks
         lacks = F.array_except(F.coalesce(F.element_at(F.col("req"), x["path"]), F.array().cast("array<string>")), x["has"])
@@ -146,10 +156,11 @@ def validate_calls(calls: DataFrame, params: DataFrame, id_col: str = "call_id",
 _VALUE = "struct<path:string,parent:string,item:boolean,value:variant,has:array<string>>"
 
 
-def _flattened(args, depth: int):
-    """The values of an arguments object down to ``depth`` levels: path, path of what holds
-    it, whether it is an array's item, the value, and for objects the paths of their
-    properties. The first entry (path ``""``) is the arguments object itself."""
+def _flattened(df: DataFrame, args: str, depth: int) -> DataFrame:
+    """``df`` with ``vals`` in place of the column ``args``: the values of an arguments object
+    down to ``depth`` levels: path, path of what holds it, whether it is an array's item, the
+    value, and for objects (only) the paths of their properties. The first entry (path ``""``)
+    is the arguments object itself. A level is made once, from the one above it."""
     none = F.array().cast(f"array<{_VALUE}>")
 
     def joined(path, key):
@@ -157,20 +168,19 @@ def _flattened(args, depth: int):
 
     def entry(path, parent, item, value):
         has = F.transform(F.map_keys(value.try_cast("map<string,variant>")), lambda k: joined(path, k))
-        return F.struct(path.alias("path"), parent.alias("parent"), item.alias("item"), value.alias("value"), F.when(F.schema_of_variant(value).startswith("OBJECT"), has).alias("has"))
+        return F.struct(path.alias("path"), parent.alias("parent"), item.alias("item"), value.alias("value"), has.alias("has"))
 
     def below(x):
-        kind = F.schema_of_variant(x["value"])
         props = F.transform(F.map_entries(x["value"].try_cast("map<string,variant>")), lambda e: entry(joined(x["path"], e["key"]), x["path"], F.lit(False), e["value"]))
         items = F.transform(x["value"].try_cast("array<variant>"), lambda e: entry(F.concat(x["path"], F.lit("[]")), x["path"], F.lit(True), e))
-        return F.coalesce(F.when(kind.startswith("OBJECT"), props).when(kind.startswith("ARRAY"), items), none)
-
-    level = F.when(F.schema_of_variant(args).startswith("OBJECT"), F.array(entry(F.lit(""), F.lit(None).cast("string"), F.lit(False), args))).otherwise(none)
-    out = level
-    for _ in range(depth):
-        level = F.flatten(F.transform(level, below))
-        out = F.concat(out, level)
-    return out
+        return F.when(x["has"].isNotNull(), props).otherwise(F.coalesce(items, none))
+
+    levels = [f"_level{i}" for i in range(depth + 1)]
+    first = F.array(entry(F.lit(""), F.lit(None).cast("string"), F.lit(False), F.col(args)))
+    out = df.withColumn(levels[0], F.filter(first, lambda x: x["has"].isNotNull()))
+    for above, level in zip(levels, levels[1:]):
+        out = out.withColumn(level, F.flatten(F.transform(above, below)))
+    return out.withColumn("vals", F.concat(*levels)).drop(args, *levels)
 
 
 def _type_ok_expr(expected, kind):

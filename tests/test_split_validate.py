@@ -213,3 +213,14 @@ def test_user_formatter_sees_python_values(spark):
 
     got = {r.id: (r.text, r.reject_reason) for r in FM.python_row_formatter(df, fn).collect()}
     assert got == {1: ("None a", None), 2: ("5 b", None), 3: (None, "formatter_error")}
+
+
+def test_calls_of_few_tools_stay_in_their_tasks(spark):
+    tool = '{"name": "f", "parameters": {"properties": {"at": {"type": "object", "properties": {"lat": {"type": "number"}}, "required": ["lat"]}}}}'
+    tools = spark.createDataFrame([("watch", "f", tool)], "device string, name string, tool_json string")
+    calls = spark.createDataFrame([(i, "watch", '{"function": "f", "arguments": {"at": {"n": [%d, {}]}}}' % i) for i in range(40)], "call_id long, device string, call_json string").repartition(4)
+    out = VL.validate_calls(calls, catalog.catalog_paths(tools), tools=tools, device_col="device")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(" in line and "_fn#" in line], plan
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == sorted(x for i in range(40) for x in [(i, "missing_required", "at.lat"), (i, "unknown_param", "at.n")])
