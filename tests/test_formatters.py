@@ -146,3 +146,47 @@ def test_catalog_text_zero_tools(spark):
     empty = spark.createDataFrame([], "ord int, tool_json string")
     assert catalog.catalog_text(empty) == catalog.TOOLS_HEADER
     assert catalog.catalog_text(empty, single=True) == ""
+
+
+def test_calls_are_read_once_in_python_batches(spark):
+    df = spark.createDataFrame([(1, SAMPLE_QUERY, SAMPLE_TOOLS, SAMPLE_ANSWERS)], "id long, query string, tools string, answers string")
+    formatted = FM.xlam_format(df)
+    for out in (FM.drop_failed(formatted).select("id", "text"), FM.rejects(formatted), FM.reject_counts(formatted)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and "parse_json" not in plan, plan
+
+
+def test_awkward_tools_and_answers(spark):
+    call = '[{"name": "f", "arguments": {"p": "x"}}]'
+
+    def tool(parameters):
+        return '[{"name": "f", "description": null, "parameters": ' + parameters + "}]"
+
+    cases = [
+        (tool('{"properties": {"b": {"type": ["string", null]}, "a": {}}, "required": "ab"}'), call, "- f(b: [\"string\", null], a: string)\n  None\n"),
+        (tool('{"properties": {"a": {"type": 1.50}}, "required": {"a": 0}}'), call, "- f(a: 1.5)\n  None\n"),
+        (tool('{"properties": {}, "required": 7}'), call, "- f()\n  None\n"),
+        (tool('{"properties": {"a": {}}, "required": 7}'), call, "tools_malformed"),
+        (tool('{"properties": null}'), call, "tools_malformed"),
+        (tool("null"), call, "tools_malformed"),
+        ('{"name": "f"}', call, "tools_malformed"),
+        ('[{"name": "f", "name": "g"}]', call, None),
+        ('[{"name": NaN}]', call, None),
+        (None, call, None),
+        ("[]", '[{"name": "f", "name": "g"}]', "answers_unparseable"),
+        ("[]", '{"name": "f", "arguments": Infinity}', "answers_unparseable"),
+        ("[]", "[[]]", "no_call"),
+        ("[]", "-0.0", "no_call"),
+        ("[]", None, "no_call"),
+        ("[]", '"f"', "call_not_object"),
+        ('[{"name": "\\ud800", "description": ""}]', call, "- ?()\n  \n"),
+    ]
+    out = _xlam(spark, [(i, "q", tools, answers) for i, (tools, answers, _) in enumerate(cases)])
+    for i, (tools, answers, want) in enumerate(cases):
+        text, why = out[i]
+        if want is None:
+            assert why is None and "Available functions" not in text, (tools, text, why)
+        elif want.startswith("- "):
+            assert why is None and f"Available functions:\n{want}\n\nOutput" in text, (tools, text, why)
+        else:
+            assert (text, why) == (None, want), (tools, answers, text, why)
