@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +50,15 @@ FIRST = 32
 #: What a term keeps of its weight if it says nothing about the label.
 LEAST_WEIGHT = 0.05
 _WORD = re.compile(r"[^\W\d_]+")
-_ASCII_WORD = re.compile(r"[a-z]+")
+#: Bytes of lower-case UTF-8: every ASCII character but a letter becomes a space.
+_SPACED = bytes(b if b >= 128 or chr(b).islower() else 32 for b in range(256))
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case."""
     text = text.lower()
-    return (_ASCII_WORD if text.isascii() else _WORD).findall(text)
+    words = text.encode("utf-8", "surrogatepass").translate(_SPACED).decode("utf-8", "surrogatepass").split()
+    return words if text.isascii() else [w for x in words for w in ((x,) if x.isascii() else _WORD.findall(x))]
 
 
 def term_counts(text: str) -> Counter:
@@ -76,41 +79,38 @@ def _explode_terms(batches):
             yield pa.RecordBatch.from_arrays([pa.array([slot] * len(terms), pa.int64()), pa.array([toxic] * len(terms), pa.int32()), pa.array(terms, pa.string())], ["slot", "toxic", "term"])
 
 
-class _Numbers(dict):
-    def __missing__(self, term: str) -> int:
-        return -1
-
-
 class Vocabulary:
     """Numbers of the examples' terms, and for each word the number of its stem (or -1)."""
 
     def __init__(self, terms: list[str]):
-        self.at = _Numbers((t, i) for i, t in enumerate(terms))
-        self.stem = np.array([self.at[t[:STEM] + "*"] if len(t) > STEM and not t.endswith("*") else -1 for t in terms] + [-1], dtype=np.int64)
+        self.at = {t: i for i, t in enumerate(terms)}
+        self.stem = np.array([self.at.get(t[:STEM] + "*", -1) if len(t) > STEM and not t.endswith("*") else -1 for t in terms] + [-1], dtype=np.int64)
 
     def __len__(self) -> int:
         return len(self.at)
 
+    def _numbers(self, terms) -> np.ndarray:
+        return np.fromiter(map(self.at.get, terms, repeat(-1)), np.int64, len(terms))
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
         """(terms, counts) of the text's known terms in ascending order, and the sum of
         ``(1 + log count)**2`` over its other terms: the same as by ``term_counts``."""
         words = Counter(words_of(text or ""))
-        found = np.array(list(map(self.at.__getitem__, words)), dtype=np.int64)
-        counts = np.array(list(words.values()), dtype=np.int64)
+        found, counts = self._numbers(words), np.fromiter(words.values(), np.int64, len(words))
         known = found >= 0
         stem = self.stem[found[known]]
         terms, ns = [found[known], stem[stem >= 0]], [counts[known], counts[known][stem >= 0]]
         rest: Counter = Counter()  # the stems that no example holds
         if not known.all():
-            strange = [(w[:STEM] + "*", n) for w, n, k in zip(words, counts.tolist(), known.tolist()) if not k and len(w) > STEM]
-            held = []
-            for t, n in strange:
-                if t in self.at:
-                    held.append((self.at[t], n))
-                else:
-                    rest[t] += n
-            terms.append(np.array([t for t, _ in held], dtype=np.int64))
-            ns.append(np.array([n for _, n in held], dtype=np.int64))
+            strange = list(compress(words, ~known))
+            long = np.fromiter(map(len, strange), np.int64, len(strange)) > STEM
+            stems = [w[:STEM] + "*" for w in compress(strange, long)]
+            number, n = self._numbers(stems), counts[~known][long]
+            held = number >= 0
+            for t, x in zip(compress(stems, ~held), n[~held].tolist()):
+                rest[t] += x
+            terms.append(number[held])
+            ns.append(n[held])
         left = np.concatenate([counts[~known], np.array(list(rest.values()), dtype=np.int64)])
         each, place = np.unique(np.concatenate(terms), return_inverse=True)
         total = np.bincount(place, weights=np.concatenate(ns), minlength=len(each)).astype(np.int64)
@@ -261,7 +261,7 @@ class Index:
             use = sims >= np.partition(sims, len(sims) - k)[len(sims) - k]
             rows, sims = rows[use], sims[use]
         order = np.lexsort((rows, -sims))[:k]
-        return [(float(sims[i]), int(rows[i])) for i in order if sims[i] > 0]
+        return [x for x in zip(sims[order].tolist(), rows[order].tolist()) if x[0] > 0]
 
     def score(self, near: list[tuple[float, int]]) -> float:
         """Weighted share of toxic neighbours, shrunk towards the prior by two votes: ten far

@@ -215,3 +215,14 @@ def test_toxicity_on_labelled_documents(spark):
     pairs = [(truth[r.doc_id], r.predicted) for r in X.score_documents(docs, labels).collect() if r.doc_id in truth]
     assert sum(t == p for t, p in pairs) > 0.93 * len(pairs)
     assert sum(p and not t for t, p in pairs) <= 0.02 * len(pairs)
+
+
+def test_words_are_runs_of_letters():
+    import re
+
+    rng = random.Random(3)
+    spans = [(0, 128), (0x80, 0x500), (0x2000, 0x2100), (0xE000, 0x110000)]
+    for _ in range(2000):
+        text = "".join(chr(rng.randrange(*rng.choice(spans))) for _ in range(rng.randrange(40)))
+        assert X.words_of(text) == re.findall(r"[^\W\d_]+", text.lower()), text
+    assert X.words_of("It's a_B1c² ÉTÉ\x1fx") == ["it", "s", "a", "b", "c²", "été", "x"]
