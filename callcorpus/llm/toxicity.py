@@ -27,10 +27,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from itertools import compress, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import common as C
@@ -42,13 +43,17 @@ BLOCK = 64
 COMMON = 256
 #: Terms with the next longest lists: summed for BATCH documents by one matrix product.
 MIDDLE = 1024
-BATCH = 256
+BATCH = 512
+#: An example and its weight in a list; eight bytes are taken at once.
+ENTRY = np.dtype([("row", np.int32), ("weight", np.float32)])
 #: More than single precision can lose in a sum of COMMON + MIDDLE products of vectors of length 1.
 SLACK = 2e-4
 #: Examples scored before the bounds are tested.
 FIRST = 32
 #: What a term keeps of its weight if it says nothing about the label.
 LEAST_WEIGHT = 0.05
+#: Bytes of text that are encoded at once (a longer text alone).
+ENCODED_BYTES = 2 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 #: Bytes of lower-case UTF-8: every ASCII character but a letter becomes a space.
 _SPACED = bytes(b if b >= 128 or chr(b).islower() else 32 for b in range(256))
@@ -61,6 +66,23 @@ def words_of(text: str) -> list[str]:
     return words if text.isascii() else [w for x in words for w in ((x,) if x.isascii() else _WORD.findall(x))]
 
 
+def pieces_of(texts: list[str | None]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """The texts in lower case, cut at every ASCII character but a letter: the pieces of text
+    ``i`` are ``first[i]:first[i + 1]``. Some are empty; one that is not ASCII may hold several
+    words or none."""
+    lower = [(t or "").lower().encode("utf-8", "replace") for t in texts]
+    ends = np.cumsum([0, *map(len, lower)], dtype=np.int64)
+    spaced = pa.LargeStringArray.from_buffers(len(lower), pa.py_buffer(ends), pa.py_buffer(b"".join(lower).translate(_SPACED)))
+    split = pc.ascii_split_whitespace(spaced)
+    return split.offsets.to_numpy(), split.flatten().dictionary_encode()
+
+
+def spans(first: np.ndarray, rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places ``first[r]:first[r + 1]`` of every row, and the row's value at each."""
+    size = first[rows + 1] - first[rows]
+    return np.arange(size.sum()) + np.repeat(first[rows] - np.cumsum(size) + size, size), np.repeat(values, size)
+
+
 def term_counts(text: str) -> Counter:
     """Words (lower case) and ``stem*`` of the longer ones, with their counts."""
     words = Counter(words_of(text))
@@ -95,26 +117,40 @@ class Vocabulary:
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
         """(terms, counts) of the text's known terms in ascending order, and the sum of
         ``(1 + log count)**2`` over its other terms: the same as by ``term_counts``."""
-        words = Counter(words_of(text or ""))
-        found, counts = self._numbers(words), np.fromiter(words.values(), np.int64, len(words))
-        known = found >= 0
-        stem = self.stem[found[known]]
-        terms, ns = [found[known], stem[stem >= 0]], [counts[known], counts[known][stem >= 0]]
-        rest: Counter = Counter()  # the stems that no example holds
-        if not known.all():
-            strange = list(compress(words, ~known))
-            long = np.fromiter(map(len, strange), np.int64, len(strange)) > STEM
-            stems = [w[:STEM] + "*" for w in compress(strange, long)]
-            number, n = self._numbers(stems), counts[~known][long]
-            held = number >= 0
-            for t, x in zip(compress(stems, ~held), n[~held].tolist()):
-                rest[t] += x
-            terms.append(number[held])
-            ns.append(n[held])
-        left = np.concatenate([counts[~known], np.array(list(rest.values()), dtype=np.int64)])
-        each, place = np.unique(np.concatenate(terms), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate(ns), minlength=len(each)).astype(np.int64)
-        return each, total, float(((1 + np.log(left)) ** 2).sum())
+        _, terms, counts, others = self.encode_all([text])
+        return terms, counts, float(others[0])
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``encode`` of many texts: (first, terms, counts, others), where text ``i`` has
+        ``terms[first[i]:first[i + 1]]``, their counts and ``others[i]``."""
+        ends, pieces = pieces_of(texts)
+        words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        piece, text = pieces.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(ends))
+        plain = np.fromiter(map(str.isalpha, words), bool, len(words))
+        odd, inner = np.flatnonzero(~plain).tolist(), np.zeros(len(words), dtype=np.int64)
+        for i in odd:  # pieces of several words or none
+            words += (found := _WORD.findall(words[i]))
+            inner[i] = len(found)
+        use = plain[piece]
+        at, again = spans(np.append(0, np.cumsum(inner)) + len(inner), piece[~use], text[~use])
+        word, text = np.append(piece[use], at), np.append(text[use], again)
+
+        number, strange = self._numbers(words), {}  # terms that no example holds get the numbers after the others
+        stem = self.stem[number]
+        for i in np.flatnonzero(number < 0).tolist():
+            number[i] = len(self) + strange.setdefault(words[i], len(strange))
+            if len(words[i]) > STEM:
+                t = words[i][:STEM] + "*"
+                known = self.at.get(t)
+                stem[i] = len(self) + strange.setdefault(t, len(strange)) if known is None else known
+        many = len(self) + len(strange) + 1
+        text = text * many
+        keys, stem = text + number[word], stem[word]
+        keys, counts = np.unique(np.append(keys, (text + stem)[stem >= 0]), return_counts=True)
+        text, term = np.divmod(keys, many)
+        known = term < len(self)
+        others = np.bincount(text[~known], weights=(1 + np.log(counts[~known])) ** 2, minlength=len(texts))
+        return np.searchsorted(text[known], np.arange(len(texts) + 1)), term[known], counts[known], others
 
 
 @dataclass
@@ -132,10 +168,9 @@ class Index:
     ids: list
     labels: np.ndarray
     other: float = 0.0  # weight of a term that no example holds
-    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))  # by term: number among the common, then the middle ones, or -1
+    place: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))  # by term: number among the common, then the middle ones, or -1
     term_first: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # by term without a place: examples, weights
-    term_rows: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    term_weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    entries: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=ENTRY))
     middle: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))  # by middle term and example
     common: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))  # by example and common term
     row_norm: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by example: length of its common part
@@ -170,7 +205,7 @@ class Index:
 
     def _invert(self) -> None:
         ix, idf, ids = self, self.idf, self.ids
-        ix.place = np.full(len(idf), -1)
+        ix.place = np.full(len(idf), -1, dtype=np.int32)
         if not len(ids):
             return
         terms, counts, sizes = ix.rows
@@ -181,6 +216,12 @@ class Index:
         longest = np.argsort(-np.bincount(terms, minlength=len(idf)), kind="stable")[: COMMON + MIDDLE]
         ix.place[longest] = np.arange(len(longest))
         place = ix.place[terms]
+        order = np.flatnonzero(place < 0)
+        order = order[np.argsort(terms[order], kind="stable")]
+        ix.entries = np.empty(len(order), dtype=ENTRY)
+        ix.entries["row"], ix.entries["weight"] = at[order], weights[order]
+        ix.term_first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        del order  # before the matrices are made
         top = (place >= 0) & (place < COMMON)
         ix.common = np.zeros((len(ids), min(COMMON, len(longest))), dtype=np.float32)
         ix.common[at[top], place[top]] = weights[top]
@@ -189,10 +230,6 @@ class Index:
         np.maximum.at(ix.block_max, (place[top], at[top] // BLOCK), weights[top])
         ix.middle = np.zeros((len(longest) - len(ix.block_max), len(ids)), dtype=np.float32)
         ix.middle[place[place >= COMMON] - COMMON, at[place >= COMMON]] = weights[place >= COMMON]
-        order = np.flatnonzero(place < 0)
-        order = order[np.argsort(terms[order], kind="stable")]
-        ix.term_rows, ix.term_weights = at[order].astype(np.int64), weights[order]
-        ix.term_first = np.searchsorted(terms[order], np.arange(len(idf) + 1))
 
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, others: float = 0.0) -> list[tuple[float, int]]:
         """The ``k`` best (similarity, example) with similarity above 0, ties by example: exact."""
@@ -223,8 +260,9 @@ class Index:
             if not len(terms):
                 found.append(([], 0))
                 continue
-            at, each = self._spans(self.term_first, *short[i])
-            sims = np.bincount(self.term_rows.take(at), weights=self.term_weights.take(at) * each, minlength=len(self.ids)) + middle[i].astype(np.float64)
+            at, each = spans(self.term_first, *short[i])
+            listed = self.entries.take(at)
+            sims = np.bincount(listed["row"], weights=listed["weight"] * each, minlength=len(self.ids)) + middle[i]
             bounds = np.repeat(by_block[i], BLOCK)[: len(sims)]
             np.minimum(bounds, self.row_norm * norms[i], out=bounds)
             bounds += sims
@@ -243,16 +281,10 @@ class Index:
             whole[terms] = 0.0
         return found
 
-    @staticmethod
-    def _spans(first: np.ndarray, terms: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the entries ``first[t]:first[t + 1]`` and the query's weight at each."""
-        size = first[terms + 1] - first[terms]
-        return np.arange(size.sum()) + np.repeat(first[terms] - np.cumsum(size) + size, size), np.repeat(q, size)
-
     def _similarities(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The examples' exact similarities to the vector ``query``."""
-        at, number = self._spans(self.full_first, rows, np.arange(len(rows)))
-        return np.bincount(number, weights=query.take(self.full_terms.take(at)) * self.full_weights.take(at), minlength=len(rows))
+        parts = [slice(*x) for x in zip(self.full_first[rows].tolist(), self.full_first[rows + 1].tolist())]
+        return np.array([query.take(self.full_terms[x]) @ self.full_weights[x] for x in parts])
 
     @staticmethod
     def _best(rows: np.ndarray, sims: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -319,12 +351,11 @@ def encoded(docs: DataFrame, vocabulary) -> DataFrame:
     def run(batches):
         voc = vocabulary.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                found = [voc.encode(x.as_py()) for x in part.column(1)]
-                first = pa.array(np.cumsum([0, *(len(t) for t, _, _ in found)]), pa.int32())
-                terms, counts = (pa.ListArray.from_arrays(first, pa.array(np.concatenate([f[i] for f in found]), pa.int32())) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([part.column(0), terms, counts, pa.array([x for _, _, x in found], pa.float64())], ["doc_id", "terms", "counts", "others"])
+            for chunk in C.text_chunks(batch.column(1), ENCODED_BYTES):
+                part = batch.slice(chunk.first, chunk.n)
+                first, terms, counts, others = voc.encode_all(part.column(1).to_pylist())
+                lists = (pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int32())) for x in (terms, counts))
+                yield pa.RecordBatch.from_arrays([part.column(0), *lists, pa.array(others, pa.float64())], ["doc_id", "terms", "counts", "others"])
 
     src = C.texts_only(docs, "doc_id", "text")
     return C.store(src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, terms array<int>, counts array<int>, others double"), "encoded")

@@ -117,6 +117,42 @@ def test_encoded_texts_are_their_term_counts():
         assert others == pytest.approx(sum((1 + np.log(n)) ** 2 for t, n in counts.items() if t not in voc.at))
 
 
+def test_many_texts_are_encoded_like_each_alone():
+    rng = random.Random(6)
+    spans = [(0, 128), (0x80, 0x500), (0x2000, 0x2100), (0xE000, 0x110000)]
+    odd = ["".join(chr(rng.randrange(*rng.choice(spans))) for _ in range(rng.randrange(60))) for _ in range(200)]
+    texts = [None, "", "12 -- !", "It's a_B1c² ÉTÉ\x1fx", "ΟΔΟΣ ΟΔΟΣ, Σ'Α", "İstanbul ISTANBUL", "a\ud800b été\u2003été·x٣y", "\0a\0", *odd, *odd[:20]]
+    bags = [X.term_counts(t or "") for t in texts]
+    held = sorted({t for b in bags for t in b if len(t) % 3})
+    voc = X.Vocabulary(held)
+    first, terms, counts, others = voc.encode_all(texts)
+    assert len(first) == len(texts) + 1 and first[-1] == len(terms) == len(counts)
+    for i, bag in enumerate(bags):
+        mine = slice(first[i], first[i + 1])
+        assert list(terms[mine]) == sorted(terms[mine])
+        assert {held[t]: n for t, n in zip(terms[mine], counts[mine])} == {t: n for t, n in bag.items() if t in voc.at}, texts[i]
+        assert others[i] == pytest.approx(sum((1 + np.log(n)) ** 2 for t, n in bag.items() if t not in voc.at))
+    for none in ([], [None], ["", None]):
+        first, terms, counts, others = voc.encode_all(none)
+        assert first.tolist() == [0] * (len(none) + 1) and not len(terms) and not len(counts) and others.tolist() == [0] * len(none)
+    first, terms, counts, others = X.Vocabulary([]).encode_all(["plain plain", "x"])
+    assert first.tolist() == [0, 0, 0] and others.tolist() == pytest.approx([2 * (1 + np.log(2)) ** 2, 1])
+
+
+def test_a_distinct_word_is_looked_up_once_for_many_texts():
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *a):
+            Counted.looked += 1
+            return super().get(*a)
+
+    voc = X.Vocabulary(sorted(X.term_counts("many words stand in every text")))
+    voc.at = Counted(voc.at)
+    first, _, counts, _ = voc.encode_all(["Many words stand; in every text. Many strangers"] * 300)
+    assert Counted.looked <= 10 and set(np.diff(first)) == {9} and counts.sum() == 300 * 10
+
+
 def test_scores_against_brute_force(spark):
     """Weights, norms over all words, prior and votes, written again over dense vectors."""
     rng = random.Random(12)
